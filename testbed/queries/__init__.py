@@ -1,3 +1,16 @@
 """Importing this package registers every query."""
 
-from testbed.queries import stays  # noqa: F401
+from testbed.queries import (  # noqa: F401
+    cleaning,
+    crowds,
+    flows,
+    geometry,
+    jobs,
+    labels,
+    od,
+    places,
+    sources,
+    stays,
+    traces,
+    trips,
+)

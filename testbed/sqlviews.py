@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from waymarks.functions import geo
 
-ECI = "(25600 + (k//4)*256 + k%4)"
+ECI = "(CAST(25600 AS BIGINT) + (k//4)*256 + k%4)"
 CELL = f"(CASE WHEN k%5=0 THEN concat_ws('_', k, k%4) ELSE CAST({ECI} AS VARCHAR) END)"
 CODE = f"CAST(CASE WHEN k%5=0 THEN CAST(k AS BIGINT)*100000 + k%4 ELSE {ECI} END AS VARCHAR)"
 LON = "(105e0 + (k%10)*2e-2)"
@@ -27,7 +27,7 @@ def _place(k: str) -> dict[str, str]:
     }
 
 
-_HOME, _WORK, _HOL = "c_custkey%100", "(c_custkey*7+2)%100", "(c_custkey*3+1)%100"
+_HOME, _WORK, _HOL = "c_custkey%100", "(c_custkey*7+8)%100", "(c_custkey*11+10)%100"
 _PLACES = ", ".join(
     f"{expr} AS {side}_{kind}"
     for side, k in (("live", _HOME), ("work", _WORK))
@@ -36,13 +36,13 @@ _PLACES = ", ".join(
 
 VIEWS = f"""WITH ev AS (
   SELECT CAST(user_id AS VARCHAR) AS imsi, strftime(ts, '%Y-%m-%d') AS date, event_id,
-    epoch_ms(ts) AS s_time, event_type, value,
+    epoch_us(ts)//1000 AS s_time, event_type, value,
     CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k
   FROM events),
 pt0 AS (
   SELECT *, CASE event_type WHEN 'view' THEN '5' WHEN 'click' THEN '6' WHEN 'purchase' THEN '2'
       WHEN 'signup' THEN '7' WHEN 'error' THEN '8' END AS loc_type,
-    {CELL} AS cell, {ECI} AS eci, {LON} + value*1e-5 AS lon, {LAT} + value*5e-6 AS lat,
+    {CELL} AS cell, {ECI} AS eci, {LON} + value*1.1371859e-5 AS lon, {LAT} + value*4.7131859e-6 AS lat,
     {INDOOR} AS scene FROM ev),
 pt AS (
   SELECT * EXCLUDE (event_type),
@@ -75,7 +75,7 @@ tick AS (
     concat('138', o_custkey) AS phone, concat('R', o_orderkey%7) AS city_code,
     concat('D', o_orderkey%11) AS county_code, o_orderkey%50000 + 4096 AS lac,
     (o_orderkey*37)%100000 AS ci, strftime(o_orderdate, '%Y%m%d103000') AS start_text,
-    epoch_ms(date_trunc('day', o_orderdate)) + 37800000 AS s_time,
+    epoch_us(date_trunc('day', o_orderdate))//1000 + 37800000 AS s_time,
     CAST(floor(o_totalprice/100) AS BIGINT) AS seconds,
     CASE WHEN o_orderkey%2=0 THEN 'voice' ELSE 'data' END AS service,
     CASE WHEN o_orderkey%4<2 THEN 'local' ELSE 'out' END AS origin
@@ -91,11 +91,13 @@ roam AS (
     CASE WHEN k%7=0 THEN '' ELSE concat('province ', k//10) END AS province_name,
     'P0' AS home_province_code, 'province 0' AS home_province_name FROM roam0),
 sig AS (
-  SELECT concat('P', k%10) AS home_province, imsi, concat('86138', imsi) AS msisdn, event_id,
+  SELECT concat('P', k%10) AS home_province, imsi,
+    concat(CASE WHEN CAST(imsi AS BIGINT)%4=0 THEN '66' ELSE '86' END, '138', imsi) AS msisdn, event_id,
     date, s_time, CAST({ECI} AS VARCHAR) AS cell, {LON} AS lon, {LAT} AS lat,
     strftime(epoch_ms(s_time), '%Y%m%d%H') AS stat_hour FROM ev)"""
 
 KEYS = "imsi, date"
+MIDNIGHT = "(epoch_us(CAST(date AS TIMESTAMP))//1000)"
 
 
 def project(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y") -> str:
@@ -175,15 +177,15 @@ def merge(
     else:
         src, mid = runs(source, keys=keys, order=order), ""
     grouped = f"""(SELECT {keys}, code{first}, min(s_time) AS s_time, max(e_time) AS e_time,
-     max(e_time) - min(s_time) AS duration, count(*) AS _n,
+     max(e_time) - min(s_time) AS duration, count(*) AS _cnt,
      arg_min(lon, ({order})) AS _lon, arg_min(lat, ({order})) AS _lat,
      CASE WHEN bool_or(scene='INDOOR') THEN 'INDOOR' ELSE arg_max(scene, ({order})) END AS scene{mid}
    FROM {src} GROUP BY {keys}, code, g)"""
     if not midpoint:
-        return f"(SELECT * EXCLUDE (_n,_lon,_lat), _lon AS lon, _lat AS lat FROM {grouped})"
+        return f"(SELECT * EXCLUDE (_cnt,_lon,_lat), _lon AS lon, _lat AS lat FROM {grouped})"
     out = unproject(grouped, "_mx", "_my", "_ulon", "_ulat")
-    return f"""(SELECT * EXCLUDE (_n,_lon,_lat,_mx,_my,_ulon,_ulat),
-   CASE WHEN _n=1 THEN _lon ELSE _ulon END AS lon, CASE WHEN _n=1 THEN _lat ELSE _ulat END AS lat
+    return f"""(SELECT * EXCLUDE (_cnt,_lon,_lat,_mx,_my,_ulon,_ulat),
+   CASE WHEN _cnt=1 THEN _lon ELSE _ulon END AS lon, CASE WHEN _cnt=1 THEN _lat ELSE _ulat END AS lat
    FROM {out})"""
 
 
@@ -200,3 +202,6 @@ def aggregate(source: str, carry: str = "") -> str:
    FROM {runs(project(source, x="_x", y="_y"))} GROUP BY imsi, date, code, g)"""
     out = unproject(grouped, "_x", "_y")
     return f"(SELECT * EXCLUDE (_x, _y) FROM {out})"
+
+
+TRACE = f", tr AS (SELECT * FROM {merge(smooth('iv_county'), midpoint=False)})"

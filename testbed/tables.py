@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from waymarks.functions import cells as C
 from waymarks.functions.calendar import UTC, wall_ms
+from waymarks.operators.stays import merge_adjacent_stays
 
 
 def div(value: Column, by: int) -> Column:
@@ -85,8 +86,8 @@ class Tables:
                 "loc_type": types[F.col("event_type")],
                 "cell": cell_of(k),
                 "eci": eci_of(k),
-                "lon": lon_of(k) + F.col("value") * F.lit(1e-5),
-                "lat": lat_of(k) + F.col("value") * F.lit(5e-6),
+                "lon": lon_of(k) + F.col("value") * F.lit(1.1371859e-5),
+                "lat": lat_of(k) + F.col("value") * F.lit(4.7131859e-6),
                 "scene": F.when(F.col("value") >= 20, "INDOOR").otherwise("ROAD"),
             }
         )
@@ -171,7 +172,7 @@ class Tables:
                 eci_of(k).cast("string").alias("sector"),
             )
 
-        home, work, holiday = u % 100, (u * 7 + 2) % 100, (u * 3 + 1) % 100
+        home, work, holiday = u % 100, (u * 7 + 8) % 100, (u * 11 + 10) % 100
         return self.raw("customer").select(
             u.cast("string").alias("imsi"),
             F.concat(F.lit("138"), u).alias("phone"),
@@ -242,7 +243,9 @@ class Tables:
         return self.events().select(
             F.concat(F.lit("P"), k % 10).alias("home_province"),
             "imsi",
-            F.concat(F.lit("86138"), F.col("imsi")).alias("msisdn"),
+            F.concat(
+                F.when(F.col("user_id") % 4 == 0, "66").otherwise("86"), F.lit("138"), F.col("imsi")
+            ).alias("msisdn"),
             "event_id",
             "date",
             "s_time",
@@ -254,3 +257,10 @@ class Tables:
                 F.lpad(UTC.hour(F.col("s_time")).cast("string"), 2, "0"),
             ).alias("stat_hour"),
         )
+
+    def trace(self) -> DataFrame:
+        """County-level traces: overlaps cut, neighbours in one county merged."""
+        return merge_adjacent_stays(self.intervals("county"), smooth=True, midpoint=False)
+
+    def hubs(self) -> DataFrame:
+        return self.cells().where(F.col("scene_id").isin("YDY2", "YDY3"))

@@ -1,4 +1,4 @@
-"""Geohash text as 64-bit integer arithmetic, without per-row Python."""
+"""Geohash text by integer arithmetic on the two grid indexes, without per-row Python."""
 
 from __future__ import annotations
 
@@ -11,72 +11,80 @@ LENGTH = 12
 # ---- end of fixed values ---------------------------------------------------------------
 
 HALF_BITS = 30
-# (shift, mask) steps that spread the low 30 bits of a number over every second bit.
-_SPREAD = (
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-)
-
-
-def _cell(value: Column, low: int) -> Column:
-    """Index of a coordinate among 2^30 equal slices above ``low``; a boundary belongs below."""
-    # A slice edge is low + 45 * i / 2^k, so dividing by 45 first keeps edges exact.
-    span_over_45 = -2 * low // 45
-    index = F.ceil((value - low) / 45 * float(2**HALF_BITS // span_over_45)) - 1
-    return F.least(F.greatest(index, F.lit(0)), F.lit(2**HALF_BITS - 1)).cast("long")
 
 
-def _spread(v: Column) -> Column:
-    for shift, mask in _SPREAD:
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-    return v
+def _letters() -> str:
+    """Letters by three bits of one coordinate (high) and two of the other (low).
+
+    A letter interleaves five bits.  Letters at even places start with a longitude bit, so they
+    take three longitude and two latitude bits; letters at odd places the other way round.
+    """
+
+    def woven(three: int, two: int) -> int:
+        return sum(
+            ((three >> (2 - j // 2)) & 1 if j % 2 == 0 else (two >> (1 - j // 2)) & 1) << (4 - j)
+            for j in range(5)
+        )
+
+    return "".join(ALPHABET[woven(p >> 2, p & 3)] for p in range(32))
 
 
-def _squeeze(v: Column) -> Column:
-    v = v.bitwiseAND(F.lit(_SPREAD[-1][1]))
-    masks = [m for _, m in _SPREAD[:-1]][::-1] + [0x00000000FFFFFFFF]
-    for (shift, _), mask in zip(reversed(_SPREAD), masks):
-        v = v.bitwiseOR(F.shiftright(v, shift)).bitwiseAND(F.lit(mask))
-    return v
+LETTERS = _letters()
+
+
+def _index(value: Column, low: int) -> Column:
+    """Index of a coordinate among 2^30 equal slices above ``low``; an edge belongs below."""
+    # Edges are low + 45 * i / 2^k, so dividing by 45 first keeps them exact.
+    per_45 = float(2**HALF_BITS // (-2 * low // 45))
+    index = F.ceil((value - low) / 45 * per_45) - 1
+    return F.least(F.greatest(index, F.lit(0)), F.lit(2**HALF_BITS - 1)).cast("long")
 
 
 def encode(lon: Column, lat: Column, compat: bool = False) -> Column:
     """12-character geohash; ``compat`` swaps the two coordinates as older tables do."""
     if compat:
         lon, lat = lat, lon
-    bits = F.shiftleft(_spread(_cell(lon, -180)), 1).bitwiseOR(_spread(_cell(lat, -90)))
-    letters = [
-        F.substring(
-            F.lit(ALPHABET),
-            F.shiftright(bits, 5 * (LENGTH - 1 - i)).bitwiseAND(F.lit(31)).cast("int") + 1,
-            F.lit(1),
-        )
-        for i in range(LENGTH)
-    ]
+    index = {"lon": _index(lon, -180), "lat": _index(lat, -90)}
+    left = {"lon": HALF_BITS, "lat": HALF_BITS}
+
+    def take(axis: str, bits: int) -> Column:
+        left[axis] -= bits
+        return F.shiftright(index[axis], left[axis]).bitwiseAND(F.lit(2**bits - 1))
+
+    letters = []
+    for i in range(LENGTH):
+        first, second = ("lon", "lat") if i % 2 == 0 else ("lat", "lon")
+        at = take(first, 3) * 4 + take(second, 2)
+        letters.append(F.substring(F.lit(LETTERS), at.cast("int") + 1, F.lit(1)))
     return F.when(lon.isNotNull() & lat.isNotNull(), F.concat(*letters))
 
 
 def decode(code: Column) -> tuple[Column, Column, Column, Column]:
     """Centre latitude and longitude of a geohash, and the half-height and half-width."""
-    packed = F.aggregate(
-        F.filter(F.split(code, ""), lambda c: c != ""),
-        F.lit(0).cast("long"),
-        lambda acc, c: F.shiftleft(acc, 5) + F.instr(F.lit(ALPHABET), c).cast("long") - 1,
-    )
-    used = F.length(code) * 5
-    bits = packed * F.pow(F.lit(2.0), F.lit(2 * HALF_BITS) - used).cast("long")
-    lon_err = F.lit(180.0) / F.pow(F.lit(2.0), F.ceil(used / 2))
-    lat_err = F.lit(90.0) / F.pow(F.lit(2.0), F.floor(used / 2))
-    lon = _squeeze(F.shiftright(bits, 1)) * (360.0 / 2**HALF_BITS) - 180.0 + lon_err
-    lat = _squeeze(bits) * (180.0 / 2**HALF_BITS) - 90.0 + lat_err
+    zero = F.lit(0).cast("long")
+
+    def step(acc: Column, letter: Column) -> Column:
+        at = F.instr(F.lit(LETTERS), letter).cast("long") - 1
+        three, two = F.shiftright(at, 2), at.bitwiseAND(F.lit(3).cast("long"))
+        even = acc["n"] % 2 == 0
+        return F.struct(
+            F.when(even, acc["lon"] * 8 + three).otherwise(acc["lon"] * 4 + two).alias("lon"),
+            F.when(even, acc["lat"] * 4 + two).otherwise(acc["lat"] * 8 + three).alias("lat"),
+            (acc["n"] + 1).alias("n"),
+        )
+
+    start = F.struct(zero.alias("lon"), zero.alias("lat"), zero.alias("n"))
+    index = F.aggregate(F.filter(F.split(code, ""), lambda c: c != ""), start, step)
+    bits = F.length(code) * 5
+    lon_err = F.lit(180.0) / F.pow(F.lit(2.0), F.ceil(bits / 2))
+    lat_err = F.lit(90.0) / F.pow(F.lit(2.0), F.floor(bits / 2))
+    lon = (index["lon"] * 2 + 1) * lon_err - 180.0
+    lat = (index["lat"] * 2 + 1) * lat_err - 90.0
     return lat, lon, lat_err, lon_err
 
 
 def trim_to_error(value: Column, err: Column) -> Column:
     """Cut the decimals of a decoded coordinate that its error makes meaningless."""
-    digits = F.greatest(F.round(-F.log10(err)), F.lit(1)) - 1
+    digits = F.greatest(F.round(-F.log10(err)), F.lit(1.0)) - 1
     unit = F.pow(F.lit(10.0), -digits)
     return value - value % unit
