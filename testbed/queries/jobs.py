@@ -1 +1,355 @@
+"""End-to-end jobs."""
 
+from pyspark.sql import functions as F
+
+from testbed.queries.geometry import GEOHASH
+from testbed.queries.cleaning import VOICE
+from testbed.registry import query
+from testbed.sqlviews import aggregate, merge, project, runs, smooth, unproject
+from waymarks.functions.calendar import UTC
+from waymarks.operators import stays as S
+from waymarks.plans import jobs as J
+
+ORDER = "s_time, event_id"
+
+
+def degrees(df, lon="longitude", lat="latitude"):
+    return df.withColumns({lon: F.round(lon, 7), lat: F.round(lat, 7)})
+
+
+def cell_table(points: str) -> str:
+    hashed = GEOHASH.replace("(lon+", "(a.lon+").replace("(lat+", "(a.lat+")
+    return f""" SELECT a.imsi, a.date, '' AS msisdn, '' AS imei, a.code AS lac_cell, a.rat,
+      round(a.lon,7) AS longitude, round(a.lat,7) AS latitude, {hashed} AS geohash,
+      'CN' AS country_code, coalesce(city_id,'') AS city_code, coalesce(county_id,'') AS county_code,
+      a.s_time AS enter_time, a.e_time AS leave_time, source
+    FROM {aggregate(points)} a LEFT JOIN cells c ON a.code=c.code AND a.rat=c.rat"""
+
+
+def coarse(df, size: int = 10):
+    """Geohash of a centroid to the precision that two engines' rounding shares."""
+    return df.withColumn("geohash", F.substring("geohash", 1, size))
+
+
+CELL_TABLE = "SELECT * REPLACE (substr(geohash,1,10) AS geohash) FROM ("
+
+
+@query("cell_stay_table", CELL_TABLE + cell_table("pt") + ")")
+def _(t):
+    return coarse(degrees(J.cell_stay_table(t.points(), t.cells())))
+
+
+PING = """, pp AS (SELECT * REPLACE (CASE WHEN lag(code) OVER w = lead(code) OVER w THEN lag(code) OVER w
+    ELSE code END AS code) FROM pt WINDOW w AS (PARTITION BY imsi, date ORDER BY s_time, event_id))"""
+
+
+@query("cell_stay_table_ping_pong", PING + CELL_TABLE.replace("SELECT", " SELECT", 1) + cell_table("pp") + ")")
+def _(t):
+    return coarse(degrees(J.cell_stay_table(t.points(), t.cells(), ping_pong=True)))
+
+
+BY_END = "e_time, s_time, event_id"
+
+
+@query(
+    "cell_stay_table_text",
+    f""", sb AS (SELECT iv_eci.*, concat('138', imsi) AS phone, concat('86', imsi) AS imei FROM iv_eci),
+    m AS (SELECT * FROM {merge('sb', keys='phone, imsi, imei, date', order=BY_END)})
+    SELECT imsi, phone, imei, date, m.code AS cell, round(m.lon,7) AS longitude,
+      round(m.lat,7) AS latitude, substr({GEOHASH.replace('(lon+', '(m.lon+').replace('(lat+', '(m.lat+')},1,10)
+      AS geohash, 'CHN' AS country_code, coalesce(county_id,'') AS county_code, s_time AS enter_time,
+      e_time AS leave_time
+    FROM m LEFT JOIN (SELECT CAST(eci AS VARCHAR) AS ec, county_id FROM cells) c ON m.code=c.ec""",
+)
+def _(t):
+    who = {"phone": F.concat(F.lit("138"), "imsi"), "imei": F.concat(F.lit("86"), "imsi")}
+    rows = t.intervals("eci").withColumns(who).withColumn("eci", F.col("code").cast("bigint"))
+    counties = t.cells().select(F.col("eci").cast("string").alias("code"), "county_id")
+    return coarse(
+        degrees(J.cell_stay_table_text(rows.drop("lon", "lat", "code"), t.cells(), counties))
+    )
+
+
+GRID_XY = "concat(CAST(trunc(x/50) AS INTEGER), '-', CAST(trunc(y/50) AS INTEGER))"
+GRID_HOUR = f""", gp AS (SELECT * EXCLUDE (x, y) REPLACE ({GRID_XY} AS code),
+      strftime(make_timestamp(s_time*1000), '%H') AS hour_id, date AS day_id
+    FROM {project("(SELECT * FROM pt WHERE loc_type IN ('5','6'))")}),
+  gs AS (SELECT imsi, day_id, hour_id, code, arg_min(event_id, ({ORDER})) AS event_id,
+      min(s_time) AS s_time, max(s_time) AS e_time
+    FROM {runs('gp', keys='imsi, day_id, hour_id')} GROUP BY imsi, day_id, hour_id, code, g),
+  gc AS (SELECT imsi, day_id, hour_id, code, array_to_string(list(eci ORDER BY f), '#') AS ecis
+    FROM (SELECT imsi, day_id, hour_id, code, eci, min((s_time, event_id)) AS f FROM gp GROUP BY ALL)
+    GROUP BY ALL),
+  gt AS (SELECT gs.*, ecis FROM gs JOIN gc USING (imsi, day_id, hour_id, code))"""
+
+
+def grid_rows(source: str, extra: str) -> str:
+    corner = unproject(
+        f"""(SELECT *, CAST(split_part(code,'-',1) AS DOUBLE)*50 AS gx,
+        CAST(split_part(code,'-',2) AS DOUBLE)*50 AS gy FROM {source})""",
+        "gx", "gy", "_glon", "_glat",
+    )
+    return f"""SELECT '' AS calling_no, code AS grid, '' AS calling_imei, imsi AS calling_imsi,
+      round(_glon,7) AS lon, round(_glat,7) AS lat,
+      strftime(make_timestamp(s_time*1000), '%Y-%m-%d %H:%M:%S') AS start_time,
+      (e_time-s_time)//1000 AS stay_time,
+      strftime(make_timestamp(e_time*1000), '%Y-%m-%d %H:%M:%S') AS end_time, ecis, 'MR' AS source,
+      event_id, s_time, e_time, {extra} FROM {corner}"""
+
+
+def hour_points(t):
+    p = t.points().withColumn("day_id", F.col("date"))
+    hour = F.lpad(UTC.hour(F.col("s_time")).cast("string"), 2, "0")
+    return p.withColumn("hour_id", hour)
+
+
+@query("grid_trace_hour", GRID_HOUR + " " + grid_rows("gt", "day_id, hour_id"))
+def _(t):
+    return degrees(J.grid_trace_hour(hour_points(t), clock=UTC), "lon", "lat")
+
+
+GRID_DAY = "imsi, day_id"
+
+
+@query(
+    "grid_trace_day",
+    GRID_HOUR
+    + f""", gl AS (SELECT *, 0e0 AS lon, 0e0 AS lat, 'ROAD' AS scene, 6 AS rat FROM gt),
+    gd AS (SELECT * EXCLUDE (lon, lat) FROM {merge(smooth('gl', GRID_DAY), GRID_DAY, carry=('ecis',),
+                                                    midpoint=False)}) """
+    + grid_rows("gd", "day_id"),
+)
+def _(t):
+    hourly = J.grid_trace_hour(hour_points(t), clock=UTC)
+    return degrees(J.grid_trace_day(hourly, clock=UTC), "lon", "lat")
+
+
+TICKETS = f""", tk AS (SELECT event_id, imsi, phone, strftime(make_timestamp(s_time*1000), '%Y-%m-%d') AS date,
+      CASE WHEN service='voice' THEN {VOICE} ELSE CAST(lac*256 + ci AS VARCHAR) END AS code,
+      s_time, s_time + seconds*1000 AS e_time, city_code, county_code, 0e0 AS lon, 0e0 AS lat,
+      'ROAD' AS scene, 0 AS rat FROM tick)"""
+TICKET_KEYS = "imsi, phone, date"
+
+
+def ticket_tables(t):
+    tickets = t.tickets().withColumn("cell", F.substring_index("cell", "|", 1))
+    return [
+        tickets.where((F.col("origin") == o) & (F.col("service") == s))
+        for o in ("local", "out")
+        for s in ("voice", "data")
+    ]
+
+
+@query(
+    "ticket_trace",
+    TICKETS
+    + f""" SELECT imsi, date, phone AS msisdn, '' AS imei, code AS lac_cell, '86' AS country_code,
+      city_code, county_code, s_time AS enter_time, e_time AS leave_time, 'bill' AS source
+    FROM {merge(smooth('tk', TICKET_KEYS), TICKET_KEYS, carry=('city_code', 'county_code'),
+                midpoint=False)}""",
+)
+def _(t):
+    return J.ticket_trace(*ticket_tables(t), clock=UTC)
+
+
+@query(
+    "merge_ticket_and_location",
+    f""", a AS (SELECT imsi, date, event_id, code, s_time, e_time, lon, lat, scene, rat, 'xdr' AS source
+      FROM iv),
+    b AS (SELECT imsi, date, event_id + 1000000000 AS event_id, code, s_time + 60000 AS s_time,
+      e_time + 60000 AS e_time, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat,
+      'ROAD' AS scene, 0 AS rat, 'bill' AS source FROM iv WHERE scene='ROAD'),
+    u AS (SELECT * FROM a UNION ALL SELECT * FROM b),
+    m AS (SELECT * FROM {merge(smooth('u'), carry=('source',))})
+    SELECT imsi, date, event_id, code, s_time, e_time, duration, scene, source, round(lon,7) AS lon,
+      round(lat,7) AS lat, CASE WHEN lon IS NULL THEN '' ELSE substr({GEOHASH},1,8) END AS geohash FROM m""",
+)
+def _(t):
+    located = t.intervals().withColumn("source", F.lit("xdr")).drop("rat")
+    bills = (
+        located.where(F.col("scene") == "ROAD")
+        .drop("lon", "lat")
+        .withColumns(
+            {
+                "event_id": F.col("event_id") + 1000000000,
+                "s_time": F.col("s_time") + 60000,
+                "e_time": F.col("e_time") + 60000,
+                "source": F.lit("bill"),
+            }
+        )
+    )
+    return coarse(degrees(J.merge_ticket_and_location(bills, located), "lon", "lat"), 8)
+
+
+STAY_TEXT = """concat_ws(',', CAST(lon AS VARCHAR), CAST(lat AS VARCHAR), '', code, s_time, e_time,
+    duration, CASE WHEN scene='INDOOR' THEN 'INDOOR' ELSE 'ROAD' END)"""
+
+
+@query(
+    "trace_serialise",
+    f""", m AS (SELECT * FROM {merge('iv', midpoint=False)})
+    SELECT imsi, date, CAST(0 AS BIGINT) AS part, concat(imsi, ',SECTOR#',
+      array_to_string(list({STAY_TEXT} ORDER BY {ORDER}), '#')) AS trace FROM m GROUP BY imsi, date""",
+)
+def _(t):
+    stays = S.merge_adjacent_stays(t.intervals(), midpoint=False)
+    return S.trace_serialise(stays)
+
+
+@query(
+    "point_trace_text",
+    f""", m AS (SELECT * FROM {aggregate('(SELECT * FROM pt WHERE value>=2)')})
+    SELECT imsi, date, CAST(0 AS BIGINT) AS part, count(*) AS stays,
+      list_reduce(list(code ORDER BY {ORDER}), lambda a, b: concat(a, '#', b)) AS codes
+    FROM m GROUP BY imsi, date""",
+)
+def _(t):
+    texts = J.point_trace_text(t.points(), where=F.col("value") >= 2)
+    stays = F.slice(F.split("trace", "#"), 2, 10**6)
+    codes = F.transform(stays, lambda s: F.split(s, ",")[3])
+    return texts.select(
+        "imsi",
+        "date",
+        "part",
+        F.size(codes).cast("bigint").alias("stays"),
+        F.array_join(codes, "#").alias("codes"),
+    )
+
+
+@query(
+    "interval_trace_count",
+    f""", ph AS (SELECT *, concat('138', imsi) AS phone FROM iv_county)
+    SELECT phone, date, count(*) AS stays FROM {merge('ph', 'phone, date', BY_END, midpoint=False)}
+    GROUP BY ALL""",
+)
+def _(t):
+    rows = t.intervals("county").withColumn("phone", F.concat(F.lit("138"), "imsi"))
+    return J.interval_trace_count(rows)
+
+
+@query(
+    "stay_count_per_trace",
+    f"SELECT imsi, date, count(*) AS stays FROM {merge('iv_city', midpoint=False)} GROUP BY ALL",
+)
+def _(t):
+    return S.stay_count_per_trace(S.merge_adjacent_stays(t.intervals("city"), midpoint=False))
+
+
+@query(
+    "single_area_subscribers",
+    f""", rl AS (SELECT iv.* REPLACE (coalesce(c.county_id,'') AS code) FROM iv LEFT JOIN
+      (SELECT * FROM cells WHERE scene_id<>'YDY2') c ON iv.code=c.code),
+    m AS (SELECT *, count(*) OVER (PARTITION BY imsi, date) AS n FROM {merge('rl', midpoint=False)})
+    SELECT imsi, date, code AS area_code, s_time, e_time FROM m WHERE n=1""",
+)
+def _(t):
+    area = t.cells().where(F.col("scene_id") != "YDY2").select(
+        "code", F.col("county_id").alias("area_code")
+    )
+    return J.single_area_subscribers(t.intervals(), area)
+
+
+@query(
+    "secondary_sort",
+    """SELECT o_orderpriority AS grade, o_orderkey AS student,
+    CAST(CASE WHEN o_orderkey%9=0 THEN 0 ELSE o_orderkey%100 END AS INTEGER) AS score
+    FROM orders ORDER BY grade, score DESC, student""",
+)
+def _(t):
+    o = F.col("o_orderkey")
+    rows = t.raw("orders").select(
+        F.col("o_orderpriority").alias("grade"),
+        o.alias("student"),
+        F.when(o % 9 == 0, "absent").otherwise((o % 100).cast("string")).alias("score"),
+    )
+    return J.secondary_sort(rows, "grade", "score", ("student",))
+
+
+@query(
+    "smooth_overlaps_day",
+    f"SELECT * FROM {smooth('iv')} WHERE (imsi, date) IN (SELECT (imsi, date) FROM iv GROUP BY imsi, date HAVING count(*)>1)",
+)
+def _(t):
+    return S.smooth_overlaps(t.intervals(), drop_single=True)
+
+
+@query("suppress_ping_pong", PING.replace("FROM pt", "FROM iv_county") + " SELECT event_id, code FROM pp")
+def _(t):
+    return S.suppress_ping_pong(t.intervals("county")).select("event_id", "code")
+
+
+@query(
+    "validate_stay_order",
+    f"""SELECT imsi, date, event_id, s_time, previous_end FROM (SELECT *, lag(e_time) OVER
+      (PARTITION BY imsi, date ORDER BY {ORDER}) AS previous_end FROM iv) WHERE previous_end > s_time""",
+)
+def _(t):
+    bad = S.validate_stay_order(t.intervals())
+    return bad.select("imsi", "date", "event_id", "s_time", "previous_end")
+
+
+@query(
+    "cells_per_grid",
+    f""", gp AS (SELECT *, {GRID_XY} AS grid FROM {project('pt')})
+    SELECT imsi, date, grid, array_to_string(list(eci ORDER BY f), '#') AS ecis FROM
+      (SELECT imsi, date, grid, eci, min((s_time, event_id)) AS f FROM gp GROUP BY ALL) GROUP BY ALL""",
+)
+def _(t):
+    from waymarks.operators.clean import grid_assign_xy
+
+    return S.cells_per_grid(grid_assign_xy(t.points()))
+
+
+@query(
+    "relabel_and_remerge",
+    f""", rl AS (SELECT iv.* REPLACE (coalesce(c.county_id, iv.code) AS code) FROM iv LEFT JOIN
+      (SELECT * FROM cells WHERE scene_id<>'YDY2') c ON iv.code=c.code)
+    SELECT imsi, date, event_id, code, s_time, e_time, duration, round(lon,7) AS lon, round(lat,7) AS lat,
+      scene, rat FROM {merge('rl')}""",
+)
+def _(t):
+    area = t.cells().where(F.col("scene_id") != "YDY2").select(
+        "code", F.col("county_id").alias("area_code")
+    )
+    merged = S.relabel_and_remerge(t.intervals(), area, unknown=None)
+    return degrees(merged, "lon", "lat")
+
+
+TWO_DAYS = """, a AS (SELECT * FROM iv_county WHERE date='2024-01-10'),
+    b AS (SELECT * FROM iv_county WHERE date='2024-01-11')"""
+
+
+@query(
+    "merge_traces_across_days",
+    TWO_DAYS
+    + f""", cl AS (SELECT imsi FROM (SELECT imsi, min(s_time) AS f, max(e_time) AS l FROM a GROUP BY 1) x
+      JOIN (SELECT imsi, min(s_time) AS rf, max(e_time) AS rl FROM b GROUP BY 1) y USING (imsi)
+      WHERE NOT (l < rf OR f > rl)),
+    u AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE imsi NOT IN (SELECT imsi FROM cl))
+    SELECT imsi, event_id, date, code, s_time, e_time, duration, scene, rat,
+      round(lon,7) AS lon, round(lat,7) AS lat FROM {merge('u', 'imsi', carry=('date',))}""",
+)
+def _(t):
+    day = t.intervals("county")
+    merged = S.merge_traces_across_days(
+        day.where(F.col("date") == "2024-01-10"), day.where(F.col("date") == "2024-01-11")
+    )
+    return degrees(merged, "lon", "lat")
+
+
+@query(
+    "trace_is_on_road",
+    "SELECT imsi, date, NOT bool_or(scene='INDOOR') AS on_road FROM iv GROUP BY ALL",
+)
+def _(t):
+    return S.traces_on_road(t.intervals())
+
+
+@query(
+    "trace_is_empty",
+    """SELECT DISTINCT imsi, date FROM iv WHERE (imsi, date) NOT IN
+    (SELECT (imsi, date) FROM iv WHERE scene='INDOOR')""",
+)
+def _(t):
+    stays = t.intervals()
+    return S.empty_traces(stays, stays.where(F.col("scene") == "INDOOR"))

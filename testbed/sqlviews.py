@@ -189,17 +189,17 @@ def merge(
    FROM {out})"""
 
 
-def aggregate(source: str, carry: str = "") -> str:
+def aggregate(source: str, carry: str = "", keys: str = KEYS) -> str:
     """Stays of points: the twin of ``stay_aggregate``."""
     o = "(s_time, event_id)"
     sources = """concat('|', list_reduce(list_prepend('', list(source ORDER BY s_time, event_id)),
        lambda a, b: CASE WHEN contains(a, b) THEN a ELSE concat(a, b) END))"""
-    grouped = f"""(SELECT imsi, date, code, arg_min(event_id, {o}) AS event_id,
+    grouped = f"""(SELECT {keys}, code, arg_min(event_id, {o}) AS event_id,
      min(s_time) AS s_time, max(s_time) AS e_time, max(s_time) - min(s_time) AS duration,
      count(*) AS points, avg(_x) AS _x, avg(_y) AS _y, arg_min(rat, {o}) AS rat,
      CASE WHEN bool_or(scene='INDOOR') THEN 'INDOOR' ELSE arg_max(scene, {o}) END AS scene,
      {sources} AS source{carry}
-   FROM {runs(project(source, x="_x", y="_y"))} GROUP BY imsi, date, code, g)"""
+   FROM {runs(project(source, x="_x", y="_y"), keys=keys)} GROUP BY {keys}, code, g)"""
     out = unproject(grouped, "_x", "_y")
     return f"(SELECT * EXCLUDE (_x, _y) FROM {out})"
 

@@ -292,13 +292,9 @@ def province_od_signalling(
             "source": F.lit(None).cast("string"),
         }
     )
+    carried = [c for c in ("phone", "date", "home_province") if c not in line.keys]
     stays = S.stay_aggregate(
-        points,
-        line,
-        extra={
-            "phone": F.min_by("phone", line.stamp),
-            "home_province": F.min_by("home_province", line.stamp),
-        },
+        points, line, extra={c: F.min_by(c, line.stamp) for c in carried}
     )
     placed = roaming_in_force(stays, roaming, "province").drop("r_start", "r_end")
     return od_table(od_changes(placed, line, skip_blank=True, changed_on="place_code"), "province")
