@@ -10,11 +10,14 @@ from waymarks.operators.ordered import DAILY, annotate
 from waymarks.operators.stays import merge_adjacent_stays
 
 
+def degrees(df):
+    return df.select("event_id", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
+
+
 def legs(t):
     """Points with their own and the previous point's projected position."""
-    x, y = geo.project("lon", "lat")
     return annotate(
-        t.points().withColumns({"x": x, "y": y}),
+        geo.with_metres(t.points()),
         DAILY,
         before={"px": F.col("x"), "py": F.col("y")},
     )
@@ -26,8 +29,8 @@ LEGS = f""", legs AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM {p
 
 @query("project_points", f"SELECT event_id, round(x,3) AS x, round(y,3) AS y FROM {project('pt')}")
 def _(t):
-    x, y = geo.project("lon", "lat")
-    return t.points().select("event_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+    metres = geo.with_metres(t.points())
+    return metres.select("event_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
 @query(
@@ -36,10 +39,8 @@ def _(t):
     FROM {unproject(project('pt'), lon='ulon', lat='ulat')}""",
 )
 def _(t):
-    x, y = geo.project("lon", "lat")
-    metres = t.points().select("event_id", x.alias("x"), y.alias("y"))
-    lon, lat = geo.unproject("x", "y")
-    return metres.select("event_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
+    metres = geo.with_metres(t.points()).select("event_id", "x", "y")
+    return degrees(geo.with_degrees(metres))
 
 
 @query(
@@ -121,18 +122,14 @@ def _corner(offset: str) -> str:
 
 @query("grid_to_lonlat", _corner("0"))
 def _(t):
-    lon, lat = geo.grid_origin("grid")
-    return clean.grid_assign_xy(t.points()).select(
-        "event_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat")
-    )
+    grids = clean.grid_assign_xy(t.points()).select("event_id", "grid")
+    return degrees(geo.with_grid_origin(grids))
 
 
 @query("grid_center", _corner("5e-1"))
 def _(t):
-    lon, lat = geo.grid_center("grid_code")
-    return clean.grid_assign(t.points()).select(
-        "event_id", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat")
-    )
+    grids = clean.grid_assign(t.points()).select("event_id", "grid_code")
+    return degrees(geo.with_grid_center(grids))
 
 
 @query(

@@ -172,8 +172,8 @@ def merge(
     first = "".join(f", arg_min({c}, ({order})) AS {c}" for c in ("event_id", "rat", *carry))
     if midpoint:
         src = runs(project(source, x="_x", y="_y"), keys=keys, order=order)
-        mid = f""", list_reduce(list(_x ORDER BY {order}), lambda p, q: (p+q)/2) AS _mx,
-     list_reduce(list(_y ORDER BY {order}), lambda p, q: (p+q)/2) AS _my"""
+        mid = f""", list_reduce(list(_x ORDER BY {order}) FILTER (_x IS NOT NULL), lambda p, q: (p+q)/2) AS _mx,
+     list_reduce(list(_y ORDER BY {order}) FILTER (_y IS NOT NULL), lambda p, q: (p+q)/2) AS _my"""
     else:
         src, mid = runs(source, keys=keys, order=order), ""
     grouped = f"""(SELECT {keys}, code{first}, min(s_time) AS s_time, max(e_time) AS e_time,

@@ -1,4 +1,4 @@
-"""WGS84 <-> Gauss-Krueger projection, planar distances and grid codes as column expressions.
+"""WGS84 <-> Gauss-Krueger projection, planar distances and grid codes, without UDFs.
 
 A missing coordinate is NULL and makes every derived value NULL.
 """
@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values -------------------------------------------------------------------
@@ -57,67 +57,105 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def project(lon, lat, meridian: float = CENTRAL_MERIDIAN) -> tuple[Column, Column]:
-    """Longitude/latitude in degrees to easting/northing in metres."""
-    lon, lat = _col(lon), _col(lat)
-    b = lat * DEGREE
-    sin_b, cos_b = F.sin(b), F.cos(b)
-    t2 = F.tan(b) * F.tan(b)
-    m = (lon * DEGREE - meridian * DEGREE) * cos_b
-    m2 = m * m
-    s2 = sin_b * sin_b
-    q = cos_b * cos_b * EP2
-    n = F.lit(SEMI_MAJOR) / F.sqrt(1 - s2 * E2)
-
-    arc = b * ARC_LAT + cos_b * sin_b * _poly(s2, ARC_SIN1, ARC_SIN3, ARC_SIN5)
+def with_metres(
+    df: DataFrame,
+    lon="lon",
+    lat="lat",
+    x: str = "x",
+    y: str = "y",
+    meridian: float = CENTRAL_MERIDIAN,
+) -> DataFrame:
+    """Add easting ``x`` and northing ``y`` in metres of a longitude and latitude in degrees.
+
+    Shared terms are columns of their own, dropped at the end, so that each is computed once
+    and the generated code stays small.
+    """
+    c = F.col
+    angles = df.withColumns(
+        {"_b": _col(lat) * DEGREE, "_l": _col(lon) * DEGREE - meridian * DEGREE}
+    )
+    ratios = angles.withColumns({"_s": F.sin("_b"), "_c": F.cos("_b"), "_t": F.tan("_b")})
+    terms = ratios.withColumns(
+        {
+            "_m": c("_l") * c("_c"),
+            "_n": F.lit(SEMI_MAJOR) / F.sqrt(1 - c("_s") * c("_s") * E2),
+            "_q": c("_c") * c("_c") * EP2,
+            "_t2": c("_t") * c("_t"),
+            "_s2": c("_s") * c("_s"),
+        }
+    ).withColumn("_m2", c("_m") * c("_m"))
+    q, t2, s2, m2 = c("_q"), c("_t2"), c("_s2"), c("_m2")
+    arc = c("_b") * ARC_LAT + c("_c") * c("_s") * _poly(s2, ARC_SIN1, ARC_SIN3, ARC_SIN5)
     north = _poly(m2, 1 / 2, (5 - t2 + q * 9 + q * q * 4) / 24, _poly(t2, 61, -58, 1) / 720)
-    east = _poly(
-        m2, 1, (1 - t2 + q) / 6, (_poly(t2, 5, -18, 1) - q * 14 - q * t2 * 58) / 120
+    east = _poly(m2, 1, (1 - t2 + q) / 6, (_poly(t2, 5, -18, 1) - q * 14 - q * t2 * 58) / 120)
+    done = terms.withColumns(
+        {
+            x: c("_n") * c("_m") * east + FALSE_EASTING,
+            y: arc + c("_n") * c("_t") * m2 * north,
+        }
     )
-    x = n * m * east + FALSE_EASTING
-    y = arc + n * F.tan(b) * m2 * north
-    return x, y
-
-
-def unproject(x, y, meridian: float = CENTRAL_MERIDIAN) -> tuple[Column, Column]:
-    """Easting/northing in metres back to longitude/latitude in degrees."""
-    x, y = _col(x), _col(y)
+    return done.drop("_b", "_l", "_s", "_c", "_t", "_m", "_n", "_q", "_t2", "_s2", "_m2")
+
+
+def with_degrees(
+    df: DataFrame,
+    x="x",
+    y="y",
+    lon: str = "lon",
+    lat: str = "lat",
+    meridian: float = CENTRAL_MERIDIAN,
+) -> DataFrame:
+    """Add ``lon`` and ``lat`` in degrees of an easting and northing in metres."""
+    c = F.col
     third = (1 - math.sqrt(1 - E2)) / (1 + math.sqrt(1 - E2))
     quadrant = SEMI_MAJOR * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256)
-    u = y / quadrant
+    zone_meridian = math.floor((meridian + 3) / ZONE_WIDTH) * ZONE_WIDTH - 3
     foot = (
-        u
-        + F.sin(u * 2) * (3 * third / 2 - 27 * third**3 / 32)
-        + F.sin(u * 4) * (21 * third**2 / 16 - 55 * third**4 / 32)
-        + F.sin(u * 6) * (151 * third**3 / 96)
-        + F.sin(u * 8) * (1097 * third**4 / 512)
+        c("_u")
+        + F.sin(c("_u") * 2) * (3 * third / 2 - 27 * third**3 / 32)
+        + F.sin(c("_u") * 4) * (21 * third**2 / 16 - 55 * third**4 / 32)
+        + F.sin(c("_u") * 6) * (151 * third**3 / 96)
+        + F.sin(c("_u") * 8) * (1097 * third**4 / 512)
     )
-    sin_f, cos_f, tan_f = F.sin(foot), F.cos(foot), F.tan(foot)
-    c = cos_f * cos_f * EP2
-    t = tan_f * tan_f
-    w = 1 - sin_f * sin_f * E2
-    n = F.lit(SEMI_MAJOR) / F.sqrt(w)
-    r = F.lit(SEMI_MAJOR * (1 - E2)) / F.sqrt(w * w * w)
-    d = (x - FALSE_EASTING) / n
-    d2 = d * d
-    zone_meridian = math.floor((meridian + 3) / ZONE_WIDTH) * ZONE_WIDTH - 3
-
-    lon = d * _poly(
+    ratios = (
+        df.withColumns({"_e": _col(x) - FALSE_EASTING, "_u": _col(y) / quadrant})
+        .withColumn("_f", foot)
+        .withColumns({"_s": F.sin("_f"), "_k": F.cos("_f"), "_t1": F.tan("_f")})
+    )
+    terms = ratios.withColumns(
+        {
+            "_c": c("_k") * c("_k") * EP2,
+            "_t": c("_t1") * c("_t1"),
+            "_w": 1 - c("_s") * c("_s") * E2,
+        }
+    ).withColumns(
+        {
+            "_n": F.lit(SEMI_MAJOR) / F.sqrt("_w"),
+            "_r": F.lit(SEMI_MAJOR * (1 - E2)) / F.sqrt(c("_w") * c("_w") * c("_w")),
+        }
+    )
+    terms = terms.withColumn("_d", c("_e") / c("_n")).withColumn("_d2", c("_d") * c("_d"))
+    k, t, d2 = c("_c"), c("_t"), c("_d2")
+    east = c("_d") * _poly(
         d2,
         1,
-        -(t * 2 + 1 + c) / 6,
-        (5 - c * 2 + t * 28 - c * c * 3 + 8 * EP2 + t * t * 24) / 120,
+        -(t * 2 + 1 + k) / 6,
+        (5 - k * 2 + t * 28 - k * k * 3 + 8 * EP2 + t * t * 24) / 120,
     )
-    lat = d2 * _poly(
+    north = d2 * _poly(
         d2,
         1 / 2,
-        -(t * 3 + 5 + c * 10 - c * c * 4 - 9 * EP2) / 24,
-        (t * 90 + 61 + c * 298 + t * t * 45 - 256 * EP2 - c * c * 3) / 720,
+        -(t * 3 + 5 + k * 10 - k * k * 4 - 9 * EP2) / 24,
+        (t * 90 + 61 + k * 298 + t * t * 45 - 256 * EP2 - k * k * 3) / 720,
     )
-    return (
-        (lon / cos_f + zone_meridian * DEGREE) / DEGREE,
-        (foot - n * tan_f / r * lat) / DEGREE,
+    done = terms.withColumns(
+        {
+            lon: (east / c("_k") + zone_meridian * DEGREE) / DEGREE,
+            lat: (c("_f") - c("_n") * c("_t1") / c("_r") * north) / DEGREE,
+        }
     )
+    temporary = ["_e", "_u", "_f", "_s", "_k", "_t1", "_c", "_t", "_w", "_n", "_r", "_d", "_d2"]
+    return done.drop(*temporary)
 
 
 def central_meridian(lon) -> Column:
@@ -153,20 +191,36 @@ def grid_code_xy(x, y, size=GRID_SIZE) -> Column:
     return F.when(gx.isNotNull() & gy.isNotNull(), F.concat_ws("-", gx, gy))
 
 
-def grid_origin(code, size=GRID_SIZE, meridian: float = CENTRAL_MERIDIAN):
-    """Longitude/latitude of the corner of an ``X-Y`` grid cell."""
+def with_grid_origin(
+    df: DataFrame,
+    code="grid",
+    lon: str = "lon",
+    lat: str = "lat",
+    size=GRID_SIZE,
+    meridian: float = CENTRAL_MERIDIAN,
+) -> DataFrame:
+    """Add longitude and latitude of the corner of an ``X-Y`` grid cell."""
     parts = F.split(_col(code), "-")
-    return unproject(
-        parts.getItem(0).cast("double") * size, parts.getItem(1).cast("double") * size, meridian
+    corner = df.withColumns(
+        {"_gx": parts[0].cast("double") * size, "_gy": parts[1].cast("double") * size}
     )
+    return with_degrees(corner, "_gx", "_gy", lon, lat, meridian).drop("_gx", "_gy")
 
 
-def grid_center(code, meridian: float = CENTRAL_MERIDIAN):
-    """Longitude/latitude of the centre of an ``X~Y~Z~size`` grid cell."""
+def with_grid_center(
+    df: DataFrame,
+    code="grid_code",
+    lon: str = "lon",
+    lat: str = "lat",
+    meridian: float = CENTRAL_MERIDIAN,
+) -> DataFrame:
+    """Add longitude and latitude of the centre of an ``X~Y~Z~size`` grid cell."""
     parts = F.split(_col(code), "~")
-    size = parts.getItem(3).cast("double")
-    return unproject(
-        (parts.getItem(0).cast("double") + 0.5) * size,
-        (parts.getItem(1).cast("double") + 0.5) * size,
-        meridian,
+    size = parts[3].cast("double")
+    center = df.withColumns(
+        {
+            "_gx": (parts[0].cast("double") + 0.5) * size,
+            "_gy": (parts[1].cast("double") + 0.5) * size,
+        }
     )
+    return with_degrees(center, "_gx", "_gy", lon, lat, meridian).drop("_gx", "_gy")

@@ -155,8 +155,8 @@ def grid_assign(
     meridian: float = geo.CENTRAL_MERIDIAN,
     out: str = "grid_code",
 ) -> DataFrame:
-    x, y = geo.project("lon", "lat", meridian)
-    return points.withColumn(out, geo.grid_code(x, y, size))
+    located = geo.with_metres(points, x="_x", y="_y", meridian=meridian)
+    return located.withColumn(out, geo.grid_code("_x", "_y", size)).drop("_x", "_y")
 
 
 def grid_assign_xy(
@@ -165,8 +165,8 @@ def grid_assign_xy(
     meridian: float = geo.CENTRAL_MERIDIAN,
     out: str = "grid",
 ) -> DataFrame:
-    x, y = geo.project("lon", "lat", meridian)
-    return points.withColumn(out, geo.grid_code_xy(x, y, size))
+    located = geo.with_metres(points, x="_x", y="_y", meridian=meridian)
+    return located.withColumn(out, geo.grid_code_xy("_x", "_y", size)).drop("_x", "_y")
 
 
 def grid_indoor_session(
@@ -177,8 +177,7 @@ def grid_indoor_session(
     meridian: float = geo.CENTRAL_MERIDIAN,
 ) -> DataFrame:
     """One grid for a session that starts indoors (its centroid's), else a grid per event."""
-    x, y = geo.project("lon", "lat", meridian)
-    located = points.withColumns({"_x": x, "_y": y})
+    located = geo.with_metres(points, x="_x", y="_y", meridian=meridian)
     sessions = located.groupBy(*session).agg(
         F.min_by("scene", F.struct(*order)).alias("_first_scene"),
         F.avg("_x").alias("_cx"),
@@ -203,14 +202,9 @@ def centroid(
     points: DataFrame, keys: tuple[str, ...], meridian: float = geo.CENTRAL_MERIDIAN
 ) -> DataFrame:
     """Mean of the projected points of a group, as longitude and latitude."""
-    x, y = geo.project("lon", "lat", meridian)
-    means = (
-        points.select(*keys, x.alias("_x"), y.alias("_y"))
-        .groupBy(*keys)
-        .agg(F.avg("_x").alias("_x"), F.avg("_y").alias("_y"))
-    )
-    lon, lat = geo.unproject("_x", "_y", meridian)
-    return means.select(*keys, lon.alias("lon"), lat.alias("lat"))
+    located = geo.with_metres(points.select(*keys, "lon", "lat"), meridian=meridian)
+    means = located.groupBy(*keys).agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+    return geo.with_degrees(means, meridian=meridian).select(*keys, "lon", "lat")
 
 
 def cells_within_radius(
@@ -227,7 +221,7 @@ def cells_within_radius(
     # A degree of latitude is at least 110 km; widen the box a little for the projection.
     reach = radius / 110_000 * 1.05
     box = F.col("lat").between(lat - reach, lat + reach)
-    x, y = geo.project("lon", "lat", meridian)
-    cx, cy = geo.project(F.lit(lon), F.lit(lat), meridian)
-    near = cells.where(box).withColumn("distance", geo.euclid(x, y, cx, cy))
-    return near.where(F.col("distance") < radius)
+    near = geo.with_metres(cells.where(box), x="_x", y="_y", meridian=meridian)
+    near = geo.with_metres(near, F.lit(lon), F.lit(lat), "_cx", "_cy", meridian)
+    near = near.withColumn("distance", geo.euclid("_x", "_y", "_cx", "_cy"))
+    return near.where(F.col("distance") < radius).drop("_x", "_y", "_cx", "_cy")

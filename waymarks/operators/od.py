@@ -22,16 +22,16 @@ def od_legs(stays: DataFrame, origin: Column, destination: Column, line: Timelin
 
 def od_behaviour(legs: DataFrame, meridian: float = geo.CENTRAL_MERIDIAN) -> DataFrame:
     """Travel time and distances of every leg."""
-    ox, oy = geo.project("o.lon", "o.lat", meridian)
-    dx, dy = geo.project("d.lon", "d.lat", meridian)
-    return legs.select(
+    ends = geo.with_metres(legs, "o.lon", "o.lat", "_ox", "_oy", meridian)
+    ends = geo.with_metres(ends, "d.lon", "d.lat", "_dx", "_dy", meridian)
+    return ends.select(
         *[c for c in legs.columns if c not in ("o", "d")],
         F.col("o.event_id").alias("o_event_id"),
         F.col("o.code").alias("o_code"),
         F.col("d.code").alias("d_code"),
         (F.col("d.s_time") - F.col("o.e_time")).alias("time_ms"),
-        geo.euclid(ox, oy, dx, dy).alias("distance"),
-        geo.manhattan(ox, oy, dx, dy).alias("manhattan_distance"),
+        geo.euclid("_ox", "_oy", "_dx", "_dy").alias("distance"),
+        geo.manhattan("_ox", "_oy", "_dx", "_dy").alias("manhattan_distance"),
     )
 
 
@@ -65,8 +65,7 @@ def od_changes(
     last row of the trace.
     """
     label = F.coalesce(F.col(changed_on), F.lit(""))
-    x, y = geo.project("lon", "lat", meridian)
-    rows = stays.withColumns({"_x": x, "_y": y})
+    rows = geo.with_metres(stays, x="_x", y="_y", meridian=meridian)
     here = F.struct(*_SIDE)
     rows = rows.withColumns({"_label": label, "_here": here})
     known = F.col("_label") != ""

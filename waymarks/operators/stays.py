@@ -53,10 +53,9 @@ def stay_aggregate(
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per stay: first to last event start, centroid, scene, technology, sources."""
-    x, y = geo.project("lon", "lat", meridian)
-    runs = segment_stays(points.withColumns({"_x": x, "_y": y}), line, code)
+    located = geo.with_metres(points, x="_x", y="_y", meridian=meridian)
+    runs = segment_stays(located, line, code)
     grouped = runs.groupBy(*line.keys, "run").agg(
-        F.min("event_id").alias("_any_id"),
         F.min(code).alias("code"),
         F.min("s_time").alias("s_time"),
         F.max("s_time").alias("e_time"),
@@ -68,15 +67,13 @@ def stay_aggregate(
         _joined_sources(line, "source").alias("source"),
         *[c.alias(n) for n, c in (extra or {}).items()],
     )
-    lon, lat = geo.unproject("_x", "_y", meridian)
-    return grouped.withColumns(
+    stays = grouped.withColumns(
         {
             "event_id": F.col("run.event_id"),
             "duration": F.col("e_time") - F.col("s_time"),
-            "lon": lon,
-            "lat": lat,
         }
-    ).drop("run", "_x", "_y", "_any_id")
+    )
+    return geo.with_degrees(stays, "_x", "_y", meridian=meridian).drop("run", "_x", "_y")
 
 
 def stay_aggregate_given_center(
@@ -187,8 +184,7 @@ def merge_adjacent_stays(
     """
     computed = {"s_time", "e_time", "duration", "scene", "run"}
     if midpoint:
-        x, y = geo.project("lon", "lat", meridian)
-        stays = stays.withColumns({"_x": x, "_y": y})
+        stays = geo.with_metres(stays, x="_x", y="_y", meridian=meridian)
     rest = [c for c in stays.columns if c not in computed | {*line.keys, "_x", "_y", line.slice}]
     has_scene = "scene" in stays.columns
     rows = annotate(
@@ -253,10 +249,10 @@ def merge_adjacent_stays(
     columns["duration"] = F.col("e_time") - F.col("s_time")
     if midpoint:
         merged = merged.withColumn("_mid", _folded_center(F.col("_parts")))
-        lon, lat = geo.unproject("_mid.x", "_mid.y", meridian)
+        merged = geo.with_degrees(merged, "_mid.x", "_mid.y", "_lon", "_lat", meridian)
         single = F.col("_stays") == 1
-        columns["lon"] = F.when(single, F.col("_first.lon")).otherwise(lon)
-        columns["lat"] = F.when(single, F.col("_first.lat")).otherwise(lat)
+        columns["lon"] = F.when(single, F.col("_first.lon")).otherwise(F.col("_lon"))
+        columns["lat"] = F.when(single, F.col("_first.lat")).otherwise(F.col("_lat"))
     merged = merged.withColumns(columns)
     return merged.select(
         *line.keys,

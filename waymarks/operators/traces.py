@@ -90,9 +90,11 @@ def sub_traces_between(
 
 def path_length(stays: DataFrame, line: Timeline = DAILY, meridian=geo.CENTRAL_MERIDIAN):
     """Sum of leg lengths of a trace, straight and along the axes; 0 for a single stay."""
-    x, y = geo.project("lon", "lat", meridian)
+    located = geo.with_metres(
+        stays.select(*line.keys, *line.order, "lon", "lat"), x="_x", y="_y", meridian=meridian
+    )
     rows = annotate(
-        stays.select(*line.keys, *line.order, x.alias("_x"), y.alias("_y")),
+        located.drop("lon", "lat"),
         line,
         before={"_px": F.col("_x"), "_py": F.col("_y")},
     )
@@ -240,15 +242,15 @@ def one_day_od(
         midnight + work_end * HOUR_MS,
     )
     pairs = _longest_elsewhere(within, line, min_minutes).join(first_home, list(line.keys))
-    ox, oy = geo.project("_o.lon", "_o.lat", meridian)
-    dx, dy = geo.project("_d.lon", "_d.lat", meridian)
+    pairs = geo.with_metres(pairs, "_o.lon", "_o.lat", "_ox", "_oy", meridian)
+    pairs = geo.with_metres(pairs, "_d.lon", "_d.lat", "_dx", "_dy", meridian)
     return pairs.select(
         *line.keys,
         F.col("_o.code").alias("o_code"),
         F.col("_d.code").alias("d_code"),
         (F.col("_d.s_time") - F.col("_o.e_time")).alias("time_ms"),
-        geo.euclid(ox, oy, dx, dy).alias("distance"),
-        geo.manhattan(ox, oy, dx, dy).alias("manhattan_distance"),
+        geo.euclid("_ox", "_oy", "_dx", "_dy").alias("distance"),
+        geo.manhattan("_ox", "_oy", "_dx", "_dy").alias("manhattan_distance"),
     )
 
 

@@ -21,10 +21,13 @@ MIN_TRIP_SECONDS = 600
 # ---- end of fixed values ------------------------------------------------------------------
 
 
-def _metres(a: str, b: str, meridian: float):
-    ax, ay = geo.project(f"{a}.lon", f"{a}.lat", meridian)
-    bx, by = geo.project(f"{b}.lon", f"{b}.lat", meridian)
-    return geo.euclid(ax, ay, bx, by)
+def _with_distance(df: DataFrame, a: str, b: str, out: str, meridian: float) -> DataFrame:
+    """Add the straight distance in metres between two stay structs."""
+    ends = geo.with_metres(df, f"{a}.lon", f"{a}.lat", "_ax", "_ay", meridian)
+    ends = geo.with_metres(ends, f"{b}.lon", f"{b}.lat", "_bx", "_by", meridian)
+    return ends.withColumn(out, geo.euclid("_ax", "_ay", "_bx", "_by")).drop(
+        "_ax", "_ay", "_bx", "_by"
+    )
 
 
 def rail_trip_first_pair(
@@ -50,13 +53,13 @@ def rail_trip_first_pair(
         .groupBy(*keys, "o")
         .agg(F.min("_visit").alias("d"))
     )
-    trips = arrival.select(
+    trips = _with_distance(arrival, "o", "d", "mileage", meridian).select(
         *keys,
         F.col("o.e_time").alias("depart_time"),
         F.col("o.code").alias("start_hub"),
         F.col("d.code").alias("end_hub"),
         F.lit(mode).alias("mode"),
-        _metres("o", "d", meridian).alias("mileage"),
+        "mileage",
         (F.col("d.s_time") - F.col("o.e_time")).alias("duration"),
     )
     return trips.where(
@@ -89,10 +92,10 @@ def hub_trip_segments(
         F.min_by(stay, line.stamp).alias("a"),
         F.max_by(stay, line.stamp).alias("b"),
     )
-    km = _metres("b", "a", meridian) / 1000
+    trips = _with_distance(trips, "a", "b", "_metres", meridian)
     seconds = F.floor((F.col("b.s_time") - F.col("a.e_time")) / F.lit(1000))
     return (
-        trips.withColumns({"mileage": km, "_seconds": seconds})
+        trips.withColumns({"mileage": F.col("_metres") / 1000, "_seconds": seconds})
         .where((F.col("mileage") > min_km) | (F.col("_seconds") > min_seconds))
         .select(
             *line.keys,
@@ -131,11 +134,12 @@ def hub_trip_changes(
         position="_pos" if compat else None,
         size="_size" if compat else None,
     )
+    rows = _with_distance(rows, "a", "b", "_metres", meridian)
     left = F.coalesce(F.col("b.hub"), F.lit(""))
     gap = F.col("a.s_time") - F.col("b.e_time")
     values = F.struct(
         F.col("b.code").alias("end_hub"),
-        _metres("a", "b", meridian).alias("mileage"),
+        F.col("_metres").alias("mileage"),
         (-gap if compat else gap).alias("duration"),
     )
     turn = F.col("a.hub") != left

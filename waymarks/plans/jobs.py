@@ -100,14 +100,14 @@ def cell_stay_table_text(
 
 
 def _grid_row(stays: DataFrame, clock: Clock, size: int, meridian: float) -> DataFrame:
-    lon, lat = geo.grid_origin("code", size, meridian)
-    return stays.select(
+    placed = geo.with_grid_origin(stays, "code", "_glon", "_glat", size, meridian)
+    return placed.select(
         F.lit("").alias("calling_no"),
         F.col("code").alias("grid"),
         F.lit("").alias("calling_imei"),
         F.col("imsi").alias("calling_imsi"),
-        lon.alias("lon"),
-        lat.alias("lat"),
+        F.col("_glon").alias("lon"),
+        F.col("_glat").alias("lat"),
         clock.second_label(F.col("s_time")).alias("start_time"),
         F.floor((F.col("e_time") - F.col("s_time")) / F.lit(1000)).alias("stay_time"),
         clock.second_label(F.col("e_time")).alias("end_time"),
