@@ -154,7 +154,7 @@ def _(t):
 )
 def _(t):
     users = t.subscribers()
-    medians = E.commute_median(t.trace(), users)
+    medians = E.commute_median(t.trace(), users, line=t.daily())
     return G.crowd_commute_mean(users.where(F.col("gender") == "Male"), medians)
 
 

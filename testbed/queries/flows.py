@@ -37,7 +37,7 @@ NAMES = "(SELECT county_id AS code, min(county_name) AS name, min(city_id) AS ci
     AREA + roles("m") + f" SELECT * FROM {counts()} LEFT JOIN {NAMES} USING (code)",
 )
 def _(t):
-    return L.hourly_area_flow(t.intervals(), t.cells(), clock=UTC)
+    return L.hourly_area_flow(t.intervals(), t.cells(), clock=UTC, line=t.daily())
 
 
 @query(
@@ -45,7 +45,7 @@ def _(t):
     AREA + roles("m") + f" SELECT * FROM {counts(what='imsi')} LEFT JOIN {NAMES} USING (code)",
 )
 def _(t):
-    return L.hourly_area_flow(t.intervals(), t.cells(), clock=UTC, distinct=True)
+    return L.hourly_area_flow(t.intervals(), t.cells(), clock=UTC, distinct=True, line=t.daily())
 
 
 @query(
@@ -63,7 +63,7 @@ def _(t):
     area = t.cells().where(kind < 3).select(
         "code", F.when(kind < 2, "hubs").otherwise("campus").alias("area_code")
     )
-    return L.hourly_custom_area_flow(t.intervals(), area, clock=UTC)
+    return L.hourly_custom_area_flow(t.intervals(), area, clock=UTC, line=t.daily())
 
 
 @query(
@@ -82,4 +82,4 @@ def _(t):
       count(DISTINCT imsi) AS user_num FROM f GROUP BY ALL""",
 )
 def _(t):
-    return L.area_transition_flow(t.intervals(), t.cells(), clock=UTC)
+    return L.area_transition_flow(t.intervals(), t.cells(), clock=UTC, line=t.daily())

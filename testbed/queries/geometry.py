@@ -6,7 +6,7 @@ from testbed.registry import query
 from testbed.sqlviews import merge, project, unproject
 from waymarks.functions import geo, geohash
 from waymarks.operators import clean
-from waymarks.operators.ordered import DAILY, annotate
+from waymarks.operators.ordered import annotate
 from waymarks.operators.stays import merge_adjacent_stays
 
 
@@ -18,9 +18,7 @@ def legs(t):
     """Points with their own and the previous point's projected position."""
     return annotate(
         geo.with_metres(t.points()),
-        DAILY,
-        before={"px": F.col("x"), "py": F.col("y")},
-    )
+        before={"px": F.col("x"), "py": F.col("y")}, line=t.daily())
 
 
 LEGS = f""", legs AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM {project('pt')}
@@ -89,7 +87,7 @@ WHOLE_DAY = "(SELECT * REPLACE ('all' AS code), s_time AS e_time FROM pt)"
 )
 def _(t):
     whole_day = t.points().withColumn("code", F.lit("all")).withColumn("e_time", F.col("s_time"))
-    merged = merge_adjacent_stays(whole_day)
+    merged = merge_adjacent_stays(whole_day, line=t.daily())
     return merged.select(
         "imsi", "date", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat")
     )

@@ -8,6 +8,7 @@ from testbed.registry import query
 from testbed.sqlviews import aggregate, merge, project, runs, smooth, unproject
 from waymarks.functions.calendar import UTC
 from waymarks.operators import stays as S
+from waymarks.operators.ordered import Timeline
 from waymarks.plans import jobs as J
 
 ORDER = "s_time, event_id"
@@ -36,7 +37,7 @@ CELL_TABLE = "SELECT * REPLACE (substr(geohash,1,10) AS geohash) FROM ("
 
 @query("cell_stay_table", CELL_TABLE + cell_table("pt") + ")")
 def _(t):
-    return coarse(degrees(J.cell_stay_table(t.points(), t.cells())))
+    return coarse(degrees(J.cell_stay_table(t.points(), t.cells(), line=t.daily())))
 
 
 PING = """, pp AS (SELECT * REPLACE (CASE WHEN lag(code) OVER w = lead(code) OVER w THEN lag(code) OVER w
@@ -45,7 +46,7 @@ PING = """, pp AS (SELECT * REPLACE (CASE WHEN lag(code) OVER w = lead(code) OVE
 
 @query("cell_stay_table_ping_pong", PING + CELL_TABLE.replace("SELECT", " SELECT", 1) + cell_table("pp") + ")")
 def _(t):
-    return coarse(degrees(J.cell_stay_table(t.points(), t.cells(), ping_pong=True)))
+    return coarse(degrees(J.cell_stay_table(t.points(), t.cells(), ping_pong=True, line=t.daily())))
 
 
 BY_END = "e_time, s_time, event_id"
@@ -66,7 +67,9 @@ def _(t):
     rows = t.intervals("eci").withColumns(who).withColumn("eci", F.col("code").cast("bigint"))
     counties = t.cells().select(F.col("eci").cast("string").alias("code"), "county_id")
     return coarse(
-        degrees(J.cell_stay_table_text(rows.drop("lon", "lat", "code"), t.cells(), counties))
+        degrees(J.cell_stay_table_text(
+                rows.drop("lon", "lat", "code"), t.cells(), counties, J.IDENTITY.measured(rows)
+            ))
     )
 
 
@@ -103,9 +106,14 @@ def hour_points(t):
     return p.withColumn("hour_id", hour)
 
 
+def grid_hours(t):
+    points = hour_points(t)
+    return J.grid_trace_hour(points, J.GRID_HOUR.measured(points), clock=UTC)
+
+
 @query("grid_trace_hour", GRID_HOUR + " " + grid_rows("gt", "day_id, hour_id"))
 def _(t):
-    return degrees(J.grid_trace_hour(hour_points(t), clock=UTC), "lon", "lat")
+    return degrees(grid_hours(t), "lon", "lat")
 
 
 GRID_DAY = "imsi, day_id"
@@ -120,8 +128,8 @@ GRID_DAY = "imsi, day_id"
     + grid_rows("gd", "day_id"),
 )
 def _(t):
-    hourly = J.grid_trace_hour(hour_points(t), clock=UTC)
-    return degrees(J.grid_trace_day(hourly, clock=UTC), "lon", "lat")
+    hourly = grid_hours(t)
+    return degrees(J.grid_trace_day(hourly, clock=UTC, line=J.GRID_DAY.measured(hour_points(t))), "lon", "lat")
 
 
 TICKETS = f""", tk AS (SELECT event_id, imsi, phone, strftime(make_timestamp(s_time*1000), '%Y-%m-%d') AS date,
@@ -149,7 +157,7 @@ def ticket_tables(t):
                 midpoint=False)}""",
 )
 def _(t):
-    return J.ticket_trace(*ticket_tables(t), clock=UTC)
+    return J.ticket_trace(*ticket_tables(t), clock=UTC, line=t.by_ticket())
 
 
 @query(
@@ -178,7 +186,7 @@ def _(t):
             }
         )
     )
-    return coarse(degrees(J.merge_ticket_and_location(bills, located), "lon", "lat"), 8)
+    return coarse(degrees(J.merge_ticket_and_location(bills, located, t.daily()), "lon", "lat"), 8)
 
 
 STAY_TEXT = """concat_ws(',', CAST(lon AS VARCHAR), CAST(lat AS VARCHAR), '', code, s_time, e_time,
@@ -192,8 +200,8 @@ STAY_TEXT = """concat_ws(',', CAST(lon AS VARCHAR), CAST(lat AS VARCHAR), '', co
       array_to_string(list({STAY_TEXT} ORDER BY {ORDER}), '#')) AS trace FROM m GROUP BY imsi, date""",
 )
 def _(t):
-    stays = S.merge_adjacent_stays(t.intervals(), midpoint=False)
-    return S.trace_serialise(stays)
+    stays = S.merge_adjacent_stays(t.intervals(), midpoint=False, line=t.daily())
+    return S.trace_serialise(stays, line=t.daily())
 
 
 @query(
@@ -204,7 +212,7 @@ def _(t):
     FROM m GROUP BY imsi, date""",
 )
 def _(t):
-    texts = J.point_trace_text(t.points(), where=F.col("value") >= 2)
+    texts = J.point_trace_text(t.points(), where=F.col("value") >= 2, line=t.daily())
     stays = F.slice(F.split("trace", "#"), 2, 10**6)
     codes = F.transform(stays, lambda s: F.split(s, ",")[3])
     return texts.select(
@@ -224,7 +232,7 @@ def _(t):
 )
 def _(t):
     rows = t.intervals("county").withColumn("phone", F.concat(F.lit("138"), "imsi"))
-    return J.interval_trace_count(rows)
+    return J.interval_trace_count(rows, Timeline(keys=("phone", "date")).measured(rows))
 
 
 @query(
@@ -232,7 +240,7 @@ def _(t):
     f"SELECT imsi, date, count(*) AS stays FROM {merge('iv_city', midpoint=False)} GROUP BY ALL",
 )
 def _(t):
-    return S.stay_count_per_trace(S.merge_adjacent_stays(t.intervals("city"), midpoint=False))
+    return S.stay_count_per_trace(S.merge_adjacent_stays(t.intervals("city"), midpoint=False, line=t.daily()))
 
 
 @query(
@@ -270,12 +278,12 @@ def _(t):
     f"SELECT * FROM {smooth('iv')} WHERE (imsi, date) IN (SELECT (imsi, date) FROM iv GROUP BY imsi, date HAVING count(*)>1)",
 )
 def _(t):
-    return S.smooth_overlaps(t.intervals(), drop_single=True)
+    return S.smooth_overlaps(t.intervals(), drop_single=True, line=t.daily())
 
 
 @query("suppress_ping_pong", PING.replace("FROM pt", "FROM iv_county") + " SELECT event_id, code FROM pp")
 def _(t):
-    return S.suppress_ping_pong(t.intervals("county")).select("event_id", "code")
+    return S.suppress_ping_pong(t.intervals("county"), line=t.daily()).select("event_id", "code")
 
 
 @query(
@@ -284,7 +292,7 @@ def _(t):
       (PARTITION BY imsi, date ORDER BY {ORDER}) AS previous_end FROM iv) WHERE previous_end > s_time""",
 )
 def _(t):
-    bad = S.validate_stay_order(t.intervals())
+    bad = S.validate_stay_order(t.intervals(), line=t.daily())
     return bad.select("imsi", "date", "event_id", "s_time", "previous_end")
 
 
@@ -311,7 +319,7 @@ def _(t):
     area = t.cells().where(F.col("scene_id") != "YDY2").select(
         "code", F.col("county_id").alias("area_code")
     )
-    merged = S.relabel_and_remerge(t.intervals(), area, unknown=None)
+    merged = S.relabel_and_remerge(t.intervals(), area, unknown=None, line=t.daily())
     return degrees(merged, "lon", "lat")
 
 
@@ -332,7 +340,9 @@ TWO_DAYS = """, a AS (SELECT * FROM iv_county WHERE date='2024-01-10'),
 def _(t):
     day = t.intervals("county")
     merged = S.merge_traces_across_days(
-        day.where(F.col("date") == "2024-01-10"), day.where(F.col("date") == "2024-01-11")
+        day.where(F.col("date") == "2024-01-10"),
+        day.where(F.col("date") == "2024-01-11"),
+        t.lifetime(),
     )
     return degrees(merged, "lon", "lat")
 

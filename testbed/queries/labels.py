@@ -42,7 +42,7 @@ def _(t):
     called = t.events().select("event_id", (F.col("event_type") == "purchase").alias("called"))
     stays = t.intervals("county").join(called, "event_id")
     cuts = B.DriverCuts(visits=7, calls_per_cell=2, calls=12)
-    labels = B.driver_labels_by_features(stays, cuts=cuts)
+    labels = B.driver_labels_by_features(stays, t.lifetime(), cuts)
     return labels.withColumns(
         {
             "distance": F.round("distance", 2),

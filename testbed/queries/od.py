@@ -8,7 +8,6 @@ from testbed.sqlviews import TRACE, aggregate, merge, project, smooth
 from waymarks.operators import od as O
 from waymarks.operators import stays as S
 from waymarks.operators import traces as E
-from waymarks.operators.ordered import LIFETIME
 
 
 @query(
@@ -18,7 +17,7 @@ from waymarks.operators.ordered import LIFETIME
     FROM {passage_sql("'C1'", "'C2'")}""",
 )
 def _(t):
-    legs = O.od_legs(t.trace(), F.lit("C1"), F.lit("C2"))
+    legs = O.od_legs(t.trace(), F.lit("C1"), F.lit("C2"), line=t.daily())
     return legs.select(
         "imsi",
         "date",
@@ -42,7 +41,7 @@ BEHAVIOUR = f""", b AS (SELECT imsi, date, o_event_id, o_code, code AS d_code, s
     round(manhattan_distance,3) AS manhattan_distance FROM b""",
 )
 def _(t):
-    legs = E.home_work_passages(t.trace(), t.subscribers())
+    legs = E.home_work_passages(t.trace(), t.subscribers(), line=t.daily())
     return (
         O.od_behaviour(legs)
         .withColumns(
@@ -64,7 +63,7 @@ def _(t):
     round(avg(manhattan_distance),3) AS mean_manhattan FROM b GROUP BY ALL""",
 )
 def _(t):
-    legs = E.home_work_passages(t.trace(), t.subscribers())
+    legs = E.home_work_passages(t.trace(), t.subscribers(), line=t.daily())
     return O.od_summary(O.od_behaviour(legs)).withColumns(
         {
             "mean_distance": F.round("mean_distance", 3),
@@ -139,7 +138,7 @@ def dim(t):
 
 @query("county_od", labelled("county") + change_sql("lb") + " " + table_sql("county"))
 def _(t):
-    return O.area_od(S.stay_aggregate(t.points()), dim(t), "county")
+    return O.area_od(S.stay_aggregate(t.points(), line=t.daily()), dim(t), "county", line=t.daily())
 
 
 @query(
@@ -147,12 +146,12 @@ def _(t):
     labelled("county") + change_sql("lb", compat=True) + " " + table_sql("county"),
 )
 def _(t):
-    return O.area_od(S.stay_aggregate(t.points()), dim(t), "county", compat=True)
+    return O.area_od(S.stay_aggregate(t.points(), line=t.daily()), dim(t), "county", compat=True, line=t.daily())
 
 
 @query("city_od", labelled("city") + change_sql("lb") + " " + table_sql("city"))
 def _(t):
-    return O.area_od(S.stay_aggregate(t.points()), dim(t), "city")
+    return O.area_od(S.stay_aggregate(t.points(), line=t.daily()), dim(t), "city", line=t.daily())
 
 
 PLACE = {
@@ -183,7 +182,7 @@ def lookup_sql(level: str) -> str:
     + table_sql("province", phone="phone", home="home_province"),
 )
 def _(t):
-    return O.od_lookup(t.signalling(), t.roaming(), "province")
+    return O.od_lookup(t.signalling(), t.roaming(), "province", t.by_phone())
 
 
 @query(
@@ -194,7 +193,7 @@ def _(t):
     + table_sql("country", False, phone="phone", home="home_province"),
 )
 def _(t):
-    return O.od_lookup(t.signalling(), t.roaming(), "country")
+    return O.od_lookup(t.signalling(), t.roaming(), "country", t.by_phone())
 
 
 def roaming_sql(level: str, rows: str, phones: str) -> str:
@@ -225,7 +224,7 @@ def roaming_sql(level: str, rows: str, phones: str) -> str:
 def _(t):
     rows = t.roaming().where((F.col("country_code") == "86") & (F.col("province_code") != ""))
     heard = t.signalling().where(F.col("msisdn").startswith("86"))
-    return O.od_roaming(heard, rows, "province")
+    return O.od_roaming(heard, rows, "province", t.by_phone())
 
 
 @query(
@@ -238,7 +237,7 @@ def _(t):
 def _(t):
     rows = t.roaming().where(F.col("province_code") != "")
     heard = t.signalling().where(~F.col("msisdn").startswith("86"))
-    return O.od_roaming(heard, rows, "country")
+    return O.od_roaming(heard, rows, "country", t.by_phone())
 
 
 @query(
@@ -260,4 +259,4 @@ def _(t):
 )
 def _(t):
     rows = t.roaming().where(F.col("country_code") == "86")
-    return O.province_od_signalling(t.signalling(), rows, LIFETIME)
+    return O.province_od_signalling(t.signalling(), rows, t.lifetime(), t.by_phone())

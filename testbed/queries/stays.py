@@ -24,7 +24,7 @@ BY_END = "e_time, s_time, event_id"
     f"SELECT imsi, date, event_id, code, CAST(g AS BIGINT) AS stay_no FROM {runs('pt')}",
 )
 def _(t):
-    marked = S.segment_stays(t.points())
+    marked = S.segment_stays(t.points(), line=t.daily())
     numbered = marked.groupBy("imsi", "date", "run").agg(F.count(F.lit(1)).alias("n"))
     from pyspark.sql import Window
 
@@ -44,7 +44,7 @@ def _(t):
 
 @query("stay_aggregate", f"SELECT {STAY}, points, source FROM {aggregate('pt')}")
 def _(t):
-    return degrees(S.stay_aggregate(t.points()))
+    return degrees(S.stay_aggregate(t.points(), line=t.daily()))
 
 
 @query(
@@ -54,19 +54,19 @@ def _(t):
     FROM {aggregate('pt')} a LEFT JOIN cells c ON a.code = c.code""",
 )
 def _(t):
-    return degrees(S.stay_aggregate_given_center(t.points(), t.cells()))
+    return degrees(S.stay_aggregate_given_center(t.points(), t.cells(), line=t.daily()))
 
 
 @query("stays_from_intervals", f"SELECT {STAY} FROM {merge('iv_county', order=BY_END)}")
 def _(t):
-    return degrees(S.stays_from_intervals(t.intervals("county")))
+    return degrees(S.stays_from_intervals(t.intervals("county"), line=t.daily()))
 
 
 @query("merge_adjacent_stays", f"SELECT {STAY} FROM {merge('iv_county')}")
 def _(t):
-    return degrees(S.merge_adjacent_stays(t.intervals("county")))
+    return degrees(S.merge_adjacent_stays(t.intervals("county"), line=t.daily()))
 
 
 @query("smooth_overlaps", f"SELECT * FROM {smooth('iv')}")
 def _(t):
-    return S.smooth_overlaps(t.intervals())
+    return S.smooth_overlaps(t.intervals(), line=t.daily())

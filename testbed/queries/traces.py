@@ -82,7 +82,7 @@ def _(t):
       AND (tr.s_time, tr.event_id) <= (p.s_time, p.event_id)""",
 )
 def _(t):
-    sub = E.sub_traces_between(t.trace(), F.lit("C1"), F.lit("C2"))
+    sub = E.sub_traces_between(t.trace(), F.lit("C1"), F.lit("C2"), line=t.daily())
     return sub.select(
         "imsi", "date", F.col("passage.event_id").alias("passage"), "event_id", "code"
     )
@@ -106,7 +106,7 @@ def rounded(df):
 
 @query("path_length", TRACE + " " + length_sql("tr"))
 def _(t):
-    return rounded(E.path_length(t.trace()))
+    return rounded(E.path_length(t.trace(), line=t.daily()))
 
 
 @query(
@@ -114,7 +114,7 @@ def _(t):
     TRACE + f", w AS (SELECT * FROM tr WHERE {IN_WORK}) " + length_sql("w"),
 )
 def _(t):
-    return rounded(E.path_length_in_window(t.trace(), hours(8), hours(17)))
+    return rounded(E.path_length_in_window(t.trace(), hours(8), hours(17), line=t.daily()))
 
 
 @query(
@@ -134,7 +134,7 @@ def _(t):
     AS mean_ms FROM {passage_sql("'C1'", "'C2'")} GROUP BY ALL HAVING sum(s_time-o_e_time)>0""",
 )
 def _(t):
-    return E.od_mean_cost_time(t.trace(), "C1", "C2")
+    return E.od_mean_cost_time(t.trace(), "C1", "C2", line=t.daily())
 
 
 HW = (
@@ -152,7 +152,7 @@ HW = (
     code AS d_code FROM legs""",
 )
 def _(t):
-    legs = E.home_work_passages(t.trace(), t.subscribers())
+    legs = E.home_work_passages(t.trace(), t.subscribers(), line=t.daily())
     return legs.select(
         "imsi",
         "date",
@@ -171,7 +171,7 @@ def _(t):
     FROM legs""",
 )
 def _(t):
-    return E.commute_times(t.trace(), t.subscribers())
+    return E.commute_times(t.trace(), t.subscribers(), line=t.daily())
 
 
 MEDIANS = ", med AS (SELECT imsi, direction, median(s_time-o_e_time) AS median_ms FROM legs GROUP BY ALL)"
@@ -179,7 +179,7 @@ MEDIANS = ", med AS (SELECT imsi, direction, median(s_time-o_e_time) AS median_m
 
 @query("commute_median", HW + MEDIANS + " SELECT * FROM med")
 def _(t):
-    return E.commute_median(t.trace(), t.subscribers())
+    return E.commute_median(t.trace(), t.subscribers(), line=t.daily())
 
 
 def dwell_sql(source: str) -> str:

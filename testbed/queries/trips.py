@@ -26,7 +26,7 @@ ORDER = "s_time, event_id"
 )
 def _(t):
     hubs = t.hubs().select("code", F.concat("scene_name", "county_id").alias("area_code"))
-    trips = R.rail_trip_first_pair(t.intervals(), hubs)
+    trips = R.rail_trip_first_pair(t.intervals(), hubs, line=t.daily())
     return trips.withColumn("mileage", F.round("mileage", 3))
 
 
@@ -51,7 +51,7 @@ def hub_sql(join: str) -> str:
       sign(sec)*((abs(CAST(sec AS BIGINT))+18)//36)/1e2 AS duration FROM p WHERE km>20 OR sec>600""",
 )
 def _(t):
-    return R.hub_trip_segments(t.intervals(), t.hubs())
+    return R.hub_trip_segments(t.intervals(), t.hubs(), line=t.daily())
 
 
 BY_END = "e_time, s_time, event_id"
@@ -73,7 +73,7 @@ CHANGES = (
     round(dist,3) AS mileage, s_time-p_e AS duration FROM v WHERE turn AND rn>1""",
 )
 def _(t):
-    return R.hub_trip_changes(t.intervals(), t.hubs()).withColumn("mileage", F.round("mileage", 3))
+    return R.hub_trip_changes(t.intervals(), t.hubs(), line=t.daily()).withColumn("mileage", F.round("mileage", 3))
 
 
 def kept(value: str) -> str:
@@ -90,5 +90,5 @@ def kept(value: str) -> str:
       CAST(coalesce({kept('p_e-s_time')}, 0) AS BIGINT) AS duration FROM v) WHERE turn""",
 )
 def _(t):
-    trips = R.hub_trip_changes(t.intervals(), t.hubs(), compat=True)
+    trips = R.hub_trip_changes(t.intervals(), t.hubs(), compat=True, line=t.daily())
     return trips.withColumn("mileage", F.round("mileage", 3))

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from waymarks.functions import cells as C
 from waymarks.functions.calendar import UTC, wall_ms
+from waymarks.operators.od import PHONE
+from waymarks.operators.ordered import DAILY, LIFETIME, Timeline
 from waymarks.operators.stays import merge_adjacent_stays
+from waymarks.plans.jobs import TICKET
 
 
 def div(value: Column, by: int) -> Column:
@@ -42,6 +45,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir
+        self._lines: dict[Timeline, Timeline] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.dir, f"{name}.parquet"))
@@ -260,7 +264,34 @@ class Tables:
 
     def trace(self) -> DataFrame:
         """County-level traces: overlaps cut, neighbours in one county merged."""
-        return merge_adjacent_stays(self.intervals("county"), smooth=True, midpoint=False)
+        return merge_adjacent_stays(
+            self.intervals("county"), self.daily(), smooth=True, midpoint=False
+        )
+
+    def _measured(self, line: Timeline, rows: DataFrame) -> Timeline:
+        if line not in self._lines:
+            self._lines[line] = line.measured(rows)
+        return self._lines[line]
+
+    def daily(self) -> Timeline:
+        """Traces of a subscriber and day, with those measured that are too large for a task."""
+        return self._measured(DAILY, self.events())
+
+    def lifetime(self) -> Timeline:
+        return self._measured(LIFETIME, self.events())
+
+    def by_phone(self) -> Timeline:
+        phones = self.events().withColumn("phone", F.concat(F.lit("138"), "imsi"))
+        return self._measured(PHONE, phones)
+
+    def by_ticket(self) -> Timeline:
+        day = F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd")
+        rows = self.raw("orders").select(
+            F.col("o_custkey").cast("string").alias("imsi"),
+            F.concat(F.lit("138"), F.col("o_custkey")).alias("phone"),
+            day.alias("date"),
+        )
+        return self._measured(TICKET, rows)
 
     def hubs(self) -> DataFrame:
         return self.cells().where(F.col("scene_id").isin("YDY2", "YDY3"))

@@ -198,7 +198,7 @@ def roaming_in_force(
     both = signalling.withColumn("_kind", F.lit(1)).unionByName(
         begun.withColumn("_kind", F.lit(0)), allowMissingColumns=True
     )
-    order = Timeline(line.keys, (line.order[0], "_kind", *line.order[1:]), line.slice_ms)
+    order = line.ordered_by(line.order[0], "_kind", *line.order[1:])
     filled = annotate(both, order, last_upto={"_now": F.col("_visit")})
     return order.unsliced(filled.where(F.col("_kind") == 1)).select(
         "phone", "s_time", "event_id", *row, "_now.*"
@@ -213,7 +213,7 @@ def od_lookup(
     compat: bool = False,
 ) -> DataFrame:
     """OD from signalling rows that take place, start and end from the roaming row in force."""
-    found = roaming_in_force(local_phone(signalling), roaming, level)
+    found = roaming_in_force(local_phone(signalling), roaming, level, line)
     stays = found.where(F.col("r_start").isNotNull()).withColumns(
         {
             "s_time": F.col("r_start"),
@@ -279,7 +279,10 @@ def od_roaming(
 
 
 def province_od_signalling(
-    signalling: DataFrame, roaming: DataFrame, line: Timeline = DAILY
+    signalling: DataFrame,
+    roaming: DataFrame,
+    line: Timeline = DAILY,
+    phone_line: Timeline = PHONE,
 ) -> DataFrame:
     """OD from cell stays of phones in the roaming file, their province filled from it."""
     heard = local_phone(signalling).join(roaming.select("phone"), "phone", "left_semi")
@@ -295,5 +298,5 @@ def province_od_signalling(
     stays = S.stay_aggregate(
         points, line, extra={c: F.min_by(c, line.stamp) for c in carried}
     )
-    placed = roaming_in_force(stays, roaming, "province").drop("r_start", "r_end")
+    placed = roaming_in_force(stays, roaming, "province", phone_line).drop("r_start", "r_end")
     return od_table(od_changes(placed, line, skip_blank=True, changed_on="place_code"), "province")

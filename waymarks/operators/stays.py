@@ -195,7 +195,8 @@ def merge_adjacent_stays(
     )
     if smooth:
         rows = rows.withColumn("e_time", F.least("e_time", "_next_start"))
-    group = [*line.keys, line.slice, "run"]
+    group = [*line.keys, *line.cut, "run"]
+    at = F.col(line.slice) if line.cut else F.lit(0)
     partial = [
         F.min("s_time").alias("s_time"),
         F.max("e_time").alias("e_time"),
@@ -205,7 +206,7 @@ def merge_adjacent_stays(
     final = [
         F.min("s_time").alias("s_time"),
         F.max("e_time").alias("e_time"),
-        F.min_by("_first", line.slice).alias("_first"),
+        F.min_by("_first", at).alias("_first"),
         F.sum("_stays").alias("_stays"),
     ]
     if has_scene:
@@ -214,9 +215,7 @@ def merge_adjacent_stays(
             F.max_by("scene", line.stamp).alias("_scene"),
         ]
         final.append(
-            F.when(F.max("_indoor"), INDOOR)
-            .otherwise(F.max_by("_scene", line.slice))
-            .alias("scene")
+            F.when(F.max("_indoor"), INDOOR).otherwise(F.max_by("_scene", at)).alias("scene")
         )
     if midpoint:
         back = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in line.order])
@@ -235,7 +234,7 @@ def merge_adjacent_stays(
         final.append(
             F.collect_list(
                 F.struct(
-                    F.col(line.slice).alias("at"),
+                    at.alias("at"),
                     F.col("_n").alias("n"),
                     F.col("_sx").alias("sx"),
                     F.col("_sy").alias("sy"),
@@ -244,6 +243,7 @@ def merge_adjacent_stays(
                 )
             ).alias("_parts")
         )
+    # Slice by slice first; when no trace is sliced, both steps run on one partitioning.
     merged = rows.groupBy(*group).agg(*partial).groupBy(*line.keys, "run").agg(*final)
     columns: dict[str, Column] = {c: F.col(f"_first.{c}") for c in rest}
     columns["duration"] = F.col("e_time") - F.col("s_time")
@@ -265,12 +265,10 @@ def merge_adjacent_stays(
 
 
 def stays_from_intervals(
-    intervals: DataFrame, keys: tuple[str, ...] = ("imsi", "date"), code: str = "code"
+    intervals: DataFrame, line: Timeline = DAILY, code: str = "code"
 ) -> DataFrame:
     """Intervals as stays, ordered by end then start, neighbours with one code merged."""
-    return merge_adjacent_stays(
-        intervals, Timeline(keys=keys, order=("e_time", "s_time", "event_id")), code
-    )
+    return merge_adjacent_stays(intervals, line.ordered_by("e_time", "s_time", "event_id"), code)
 
 
 def relabel_and_remerge(

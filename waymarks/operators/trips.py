@@ -125,7 +125,7 @@ def hub_trip_changes(
     labelled = stays.join(scenes, ["code", "rat"], "left").withColumn(
         "hub", F.coalesce("_hub", F.lit(""))
     )
-    merged = stays_from_intervals(labelled.drop("_hub"), line.keys)
+    merged = stays_from_intervals(labelled.drop("_hub"), line)
     stay = F.struct("code", "hub", "s_time", "e_time", "lon", "lat")
     rows = annotate(
         merged.withColumn("a", stay),

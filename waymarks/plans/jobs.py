@@ -21,7 +21,9 @@ SOURCE_OF_TICKETS = "bill"
 SOURCE_OF_GRIDS = "MR"
 # ---- end of fixed values -------------------------------------------------------------------
 
+GRID_DAY = Timeline(keys=("imsi", "day_id"))
 GRID_HOUR = Timeline(keys=("imsi", "day_id", "hour_id"))
+IDENTITY = Timeline(keys=("phone", "imsi", "imei", "date"))
 TICKET = Timeline(keys=("imsi", "phone", "date"))
 
 
@@ -67,7 +69,7 @@ def cell_stay_table_text(
     intervals: DataFrame,
     sites: DataFrame,
     counties: DataFrame,
-    keys: tuple[str, ...] = ("phone", "imsi", "imei", "date"),
+    line: Timeline = IDENTITY,
     geohash_compat: bool = False,
 ) -> DataFrame:
     """Signalling text rows to merged cell stays with geohash and county.
@@ -76,9 +78,9 @@ def cell_stay_table_text(
     any impossible coordinate.  ``counties``: ``code`` and ``county_id``.
     """
     located = clean.drop_bad_coordinate_traces(
-        intervals.join(sites.select("eci", "lon", "lat"), "eci"), keys
+        intervals.join(sites.select("eci", "lon", "lat"), "eci"), line.keys
     ).withColumn("code", F.col("eci").cast("string"))
-    merged = S.stays_from_intervals(located, keys)
+    merged = S.stays_from_intervals(located, line)
     return (
         merged.where(~F.col("code").contains("-"))
         .join(counties.select("code", "county_id"), "code", "left")
@@ -137,13 +139,13 @@ def grid_trace_day(
     size: int = geo.GRID_SIZE,
     meridian: float = geo.CENTRAL_MERIDIAN,
     compat: bool = False,
+    line: Timeline = GRID_DAY,
 ) -> DataFrame:
     """Hourly grid stays of a day to one trace per subscriber and day.
 
     Stays of another day than their partition's are dropped.  ``compat`` also drops
     subscribers with a single stay.
     """
-    line = Timeline(keys=("imsi", "day_id"))
     rows = grid_stays.select(
         F.col("calling_imsi").alias("imsi"),
         "day_id",
@@ -185,6 +187,7 @@ def ticket_trace(
     out_data: DataFrame,
     clock: Clock = SHANGHAI,
     compat: bool = False,
+    line: Timeline = TICKET,
 ) -> DataFrame:
     """Four ticket tables to stays of decoded cells, overlaps cut and neighbours merged."""
     decoded = [
@@ -207,7 +210,7 @@ def ticket_trace(
         "city_code",
         "county_code",
     )
-    merged = S.merge_adjacent_stays(rows, TICKET, smooth=True, midpoint=False)
+    merged = S.merge_adjacent_stays(rows, line, smooth=True, midpoint=False)
     return _stay_row(merged, F.lit(SOURCE_OF_TICKETS))
 
 
@@ -239,13 +242,12 @@ def point_trace_text(
 
 
 def interval_trace_count(
-    intervals: DataFrame, keys: tuple[str, ...] = ("phone", "date")
+    intervals: DataFrame, line: Timeline = Timeline(keys=("phone", "date"))
 ) -> DataFrame:
     """Signalling intervals to the number of merged stays per phone and day."""
-    merged = S.merge_adjacent_stays(
-        intervals, Timeline(keys=keys, order=("e_time", "s_time", "event_id")), midpoint=False
-    )
-    return S.stay_count_per_trace(merged, keys)
+    by_end = line.ordered_by("e_time", "s_time", "event_id")
+    merged = S.merge_adjacent_stays(intervals, by_end, midpoint=False)
+    return S.stay_count_per_trace(merged, line.keys)
 
 
 def single_area_subscribers(

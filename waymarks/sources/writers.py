@@ -11,9 +11,14 @@ from waymarks.operators.clean import to_string_row
 def write_partition_overwrite(
     df: DataFrame, path: str, partitions: tuple[str, ...] = ("day_id",), fmt: str = "parquet"
 ) -> None:
-    """Replace the partitions that ``df`` has rows for and leave the others as they are."""
+    """Replace the partitions that ``df`` has rows for and leave the others as they are.
+
+    Rows of a partition value are brought together so that it gets few files; a value with
+    very many rows is split over several tasks by the rebalance.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .format(fmt)
