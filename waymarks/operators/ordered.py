@@ -35,13 +35,13 @@ class Timeline:
     slice_ms: int = HOUR_MS
     large: Any = None
 
-    def measured(self, df: DataFrame, limit: int = LARGE_TRACE_ROWS) -> Timeline:
+    def measured(self, df: DataFrame, limit: int | None = None) -> Timeline:
         """This timeline with the traces of ``df`` that have more than ``limit`` rows.
 
         There can be at most rows / ``limit`` of them; if that is still too many to broadcast,
         every trace is sliced.  Steps that only drop or merge rows can keep using the result.
         """
-        keys = list(self.keys)
+        keys, limit = list(self.keys), limit or LARGE_TRACE_ROWS
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         found = counts.where(F.col("_rows") > limit).select(*keys).limit(MOST_LARGE_TRACES + 1)
         rows = found.collect()
