@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from testbed.sqlviews import VIEWS
 from testbed.tables import Tables
+from waymarks.session import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[Tables], DataFrame]):
         assert name not in QUERIES, name
-        QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(Tables(tuned(spark), sf_dir))
         if sql is not None:
             SQL[name] = f"{VIEWS}{sql}" if sql.lstrip().startswith(",") else f"{VIEWS}\n{sql}"
         return build

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from waymarks.session import tuned
+
 
 def local_session(name: str, cores: str | None = None) -> SparkSession:
     cores = cores or os.environ.get("BENCH_CPUS", "8")
@@ -18,7 +20,8 @@ def local_session(name: str, cores: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tuned(spark)

@@ -48,15 +48,33 @@ def _arc_terms() -> tuple[float, float, float, float]:
 ARC_LAT, ARC_SIN1, ARC_SIN3, ARC_SIN5 = _arc_terms()
 
 
-def _poly(x: Column, *coefficients) -> Column:
-    """Polynomial by Horner's rule, constant term first."""
-    return reduce(lambda acc, c: acc * x + c, reversed(coefficients[:-1]), coefficients[-1])
+def _d(number: float) -> str:
+    """A SQL double literal."""
+    return f"({float(number)!r}D)"
+
+
+def _poly(x: str, *coefficients) -> str:
+    """Polynomial by Horner's rule, constant term first; coefficients are numbers or SQL."""
+    terms = [c if isinstance(c, str) else _d(c) for c in coefficients]
+    return reduce(lambda acc, c: f"({acc} * {x} + {c})", reversed(terms[:-1]), terms[-1])
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _stepwise(df: DataFrame, inputs: dict, steps: list[dict[str, str]], keep: set) -> DataFrame:
+    """Add columns step by step, each step using the ones before, and drop all but ``keep``.
+
+    Shared terms are columns of their own, so that each is computed once and the generated
+    code stays small.
+    """
+    df = df.withColumns({name: _col(c) for name, c in inputs.items()})
+    for step in steps:
+        df = df.withColumns({name: F.expr(sql) for name, sql in step.items()})
+    return df.drop(*({name for step in [inputs, *steps] for name in step} - keep))
+
+
 def with_metres(
     df: DataFrame,
     lon="lon",
@@ -65,36 +83,34 @@ def with_metres(
     y: str = "y",
     meridian: float = CENTRAL_MERIDIAN,
 ) -> DataFrame:
-    """Add easting ``x`` and northing ``y`` in metres of a longitude and latitude in degrees.
-
-    Shared terms are columns of their own, dropped at the end, so that each is computed once
-    and the generated code stays small.
-    """
-    c = F.col
-    angles = df.withColumns(
-        {"_b": _col(lat) * DEGREE, "_l": _col(lon) * DEGREE - meridian * DEGREE}
+    """Add easting ``x`` and northing ``y`` in metres of a longitude and latitude in degrees."""
+    arc = f"_b * {_d(ARC_LAT)} + _c * _s * {_poly('_s2', ARC_SIN1, ARC_SIN3, ARC_SIN5)}"
+    north = _poly(
+        "_m2", 1 / 2, "(5 - _t2 + 9 * _q + 4 * _q * _q) / 24D", f"{_poly('_t2', 61, -58, 1)} / 720D"
+    )
+    east = _poly(
+        "_m2",
+        1,
+        "(1 - _t2 + _q) / 6D",
+        f"({_poly('_t2', 5, -18, 1)} - 14 * _q - 58 * _q * _t2) / 120D",
     )
-    ratios = angles.withColumns({"_s": F.sin("_b"), "_c": F.cos("_b"), "_t": F.tan("_b")})
-    terms = ratios.withColumns(
+    steps = [
+        {"_b": f"_lat * {_d(DEGREE)}", "_l": f"_lon * {_d(DEGREE)} - {_d(meridian * DEGREE)}"},
+        {"_s": "sin(_b)", "_c": "cos(_b)", "_t": "tan(_b)"},
         {
-            "_m": c("_l") * c("_c"),
-            "_n": F.lit(SEMI_MAJOR) / F.sqrt(1 - c("_s") * c("_s") * E2),
-            "_q": c("_c") * c("_c") * EP2,
-            "_t2": c("_t") * c("_t"),
-            "_s2": c("_s") * c("_s"),
-        }
-    ).withColumn("_m2", c("_m") * c("_m"))
-    q, t2, s2, m2 = c("_q"), c("_t2"), c("_s2"), c("_m2")
-    arc = c("_b") * ARC_LAT + c("_c") * c("_s") * _poly(s2, ARC_SIN1, ARC_SIN3, ARC_SIN5)
-    north = _poly(m2, 1 / 2, (5 - t2 + q * 9 + q * q * 4) / 24, _poly(t2, 61, -58, 1) / 720)
-    east = _poly(m2, 1, (1 - t2 + q) / 6, (_poly(t2, 5, -18, 1) - q * 14 - q * t2 * 58) / 120)
-    done = terms.withColumns(
+            "_m": "_l * _c",
+            "_m2": "_l * _c * _l * _c",
+            "_n": f"{_d(SEMI_MAJOR)} / sqrt(1 - _s * _s * {_d(E2)})",
+            "_q": f"_c * _c * {_d(EP2)}",
+            "_t2": "_t * _t",
+            "_s2": "_s * _s",
+        },
         {
-            x: c("_n") * c("_m") * east + FALSE_EASTING,
-            y: arc + c("_n") * c("_t") * m2 * north,
-        }
-    )
-    return done.drop("_b", "_l", "_s", "_c", "_t", "_m", "_n", "_q", "_t2", "_s2", "_m2")
+            x: f"_n * _m * {east} + {_d(FALSE_EASTING)}",
+            y: f"{arc} + _n * _t * _m2 * {north}",
+        },
+    ]
+    return _stepwise(df, {"_lon": lon, "_lat": lat}, steps, {x, y})
 
 
 def with_degrees(
@@ -106,56 +122,49 @@ def with_degrees(
     meridian: float = CENTRAL_MERIDIAN,
 ) -> DataFrame:
     """Add ``lon`` and ``lat`` in degrees of an easting and northing in metres."""
-    c = F.col
     third = (1 - math.sqrt(1 - E2)) / (1 + math.sqrt(1 - E2))
     quadrant = SEMI_MAJOR * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256)
     zone_meridian = math.floor((meridian + 3) / ZONE_WIDTH) * ZONE_WIDTH - 3
-    foot = (
-        c("_u")
-        + F.sin(c("_u") * 2) * (3 * third / 2 - 27 * third**3 / 32)
-        + F.sin(c("_u") * 4) * (21 * third**2 / 16 - 55 * third**4 / 32)
-        + F.sin(c("_u") * 6) * (151 * third**3 / 96)
-        + F.sin(c("_u") * 8) * (1097 * third**4 / 512)
-    )
-    ratios = (
-        df.withColumns({"_e": _col(x) - FALSE_EASTING, "_u": _col(y) / quadrant})
-        .withColumn("_f", foot)
-        .withColumns({"_s": F.sin("_f"), "_k": F.cos("_f"), "_t1": F.tan("_f")})
+    waves = (
+        3 * third / 2 - 27 * third**3 / 32,
+        21 * third**2 / 16 - 55 * third**4 / 32,
+        151 * third**3 / 96,
+        1097 * third**4 / 512,
     )
-    terms = ratios.withColumns(
-        {
-            "_c": c("_k") * c("_k") * EP2,
-            "_t": c("_t1") * c("_t1"),
-            "_w": 1 - c("_s") * c("_s") * E2,
-        }
-    ).withColumns(
-        {
-            "_n": F.lit(SEMI_MAJOR) / F.sqrt("_w"),
-            "_r": F.lit(SEMI_MAJOR * (1 - E2)) / F.sqrt(c("_w") * c("_w") * c("_w")),
-        }
-    )
-    terms = terms.withColumn("_d", c("_e") / c("_n")).withColumn("_d2", c("_d") * c("_d"))
-    k, t, d2 = c("_c"), c("_t"), c("_d2")
-    east = c("_d") * _poly(
-        d2,
+    foot = " + ".join(["_u", *[f"{_d(w)} * sin({2 * i} * _u)" for i, w in enumerate(waves, 1)]])
+    east = _poly(
+        "_d2",
         1,
-        -(t * 2 + 1 + k) / 6,
-        (5 - k * 2 + t * 28 - k * k * 3 + 8 * EP2 + t * t * 24) / 120,
+        "-(1 + 2 * _tt + _cc) / 6D",
+        f"(5 - 2 * _cc + 28 * _tt - 3 * _cc * _cc + {_d(8 * EP2)} + 24 * _tt * _tt) / 120D",
     )
-    north = d2 * _poly(
-        d2,
+    north = _poly(
+        "_d2",
         1 / 2,
-        -(t * 3 + 5 + k * 10 - k * k * 4 - 9 * EP2) / 24,
-        (t * 90 + 61 + k * 298 + t * t * 45 - 256 * EP2 - k * k * 3) / 720,
+        f"-(5 + 3 * _tt + 10 * _cc - 4 * _cc * _cc - {_d(9 * EP2)}) / 24D",
+        f"(61 + 90 * _tt + 298 * _cc + 45 * _tt * _tt - {_d(256 * EP2)} - 3 * _cc * _cc) / 720D",
     )
-    done = terms.withColumns(
+    steps = [
+        {"_u": f"_y_in / {_d(quadrant)}"},
+        {"_f": foot},
+        {"_s": "sin(_f)", "_k": "cos(_f)", "_t": "tan(_f)"},
         {
-            lon: (east / c("_k") + zone_meridian * DEGREE) / DEGREE,
-            lat: (c("_f") - c("_n") * c("_t1") / c("_r") * north) / DEGREE,
-        }
-    )
-    temporary = ["_e", "_u", "_f", "_s", "_k", "_t1", "_c", "_t", "_w", "_n", "_r", "_d", "_d2"]
-    return done.drop(*temporary)
+            "_cc": f"_k * _k * {_d(EP2)}",
+            "_tt": "_t * _t",
+            "_w": f"1 - _s * _s * {_d(E2)}",
+        },
+        {
+            "_n": f"{_d(SEMI_MAJOR)} / sqrt(_w)",
+            "_r": f"{_d(SEMI_MAJOR * (1 - E2))} / (_w * sqrt(_w))",
+        },
+        {"_d": f"(_x_in - {_d(FALSE_EASTING)}) / _n"},
+        {"_d2": "_d * _d"},
+        {
+            lon: f"(_d * {east} / _k + {_d(zone_meridian * DEGREE)}) / {_d(DEGREE)}",
+            lat: f"(_f - _n * _t / _r * _d2 * {north}) / {_d(DEGREE)}",
+        },
+    ]
+    return _stepwise(df, {"_x_in": x, "_y_in": y}, steps, {lon, lat})
 
 
 def central_meridian(lon) -> Column:
