@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions import geo
@@ -39,19 +39,21 @@ def rail_trip_first_pair(
 ) -> DataFrame:
     """First hub of a trace and the earliest stay at another hub.
 
-    ``hubs``: cell ``code`` and hub name ``area_code``.  Found with aggregates over the first
-    stay at each hub, so no trace has to be sorted.
+    ``hubs``: cell ``code`` and hub name ``area_code``.  Of the first stays at each hub, the
+    earliest is the origin and the next the arrival; a trace has at most as many as there are
+    hubs.
     """
     at_hub = relabel_and_remerge(stays, hubs, line).where(F.col("code") != "")
     keys = list(line.keys)
     visit = F.struct(line.stamp.alias("at"), "code", "s_time", "e_time", "lon", "lat")
     first_visits = at_hub.groupBy(*keys, "code").agg(F.min(visit).alias("_visit"))
-    origin = first_visits.groupBy(*keys).agg(F.min("_visit").alias("o"))
+    in_order = Window.partitionBy(*keys).orderBy("_visit")
     arrival = (
-        first_visits.join(origin, keys)
-        .where(F.col("code") != F.col("o.code"))
-        .groupBy(*keys, "o")
-        .agg(F.min("_visit").alias("d"))
+        first_visits.withColumns(
+            {"_nth": F.row_number().over(in_order), "d": F.lead("_visit").over(in_order)}
+        )
+        .where((F.col("_nth") == 1) & F.col("d").isNotNull())
+        .withColumn("o", F.col("_visit"))
     )
     trips = _with_distance(arrival, "o", "d", "mileage", meridian).select(
         *keys,
