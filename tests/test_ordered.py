@@ -14,7 +14,7 @@ KEYS, SLICE = ("imsi",), 10
 def rows(seed):
     rng = random.Random(seed)
     out, n = [], 0
-    for imsi, count in (("a", 60), ("b", 7), ("c", 1), ("d", 25)):
+    for imsi, count in (("a", 60), ("b", 7), ("c", 1), (None, 12), ("d", 25)):
         for _ in range(count):
             n += 1
             out.append(

@@ -36,8 +36,20 @@ def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("limit", [None, 2])
-@pytest.mark.parametrize("name", NAMES)
+LARGE = [
+    "area_transition_flow",
+    "cell_stay_table",
+    "county_od_compat",
+    "province_od_roaming",
+    "hub_trip_segments",
+    "sub_traces_between",
+    "trace_serialise",
+]
+
+
+@pytest.mark.parametrize(
+    ("name", "limit"), [(n, None) for n in NAMES] + [(n, 2) for n in LARGE]
+)
 def test_query_equals_sql(spark, duck, monkeypatch, name, limit):
     if limit:
         monkeypatch.setattr(ordered, "LARGE_TRACE_ROWS", limit)

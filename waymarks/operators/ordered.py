@@ -12,6 +12,7 @@ timeline slices every trace, which is right for any data and needs no counting p
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,7 +73,9 @@ class Timeline:
             return df
         number = F.floor(F.col(self.order[0]) / F.lit(self.slice_ms))
         if self.large is None:
-            return df.withColumn(self.slice, number)
+            # A trace with a NULL key stays whole: its slices could not be joined to it.
+            known = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
+            return df.withColumn(self.slice, F.when(known, number).otherwise(F.lit(0)))
         marked = df.join(
             F.broadcast(self.large.withColumn("_large", F.lit(True))), list(self.keys), "left"
         )

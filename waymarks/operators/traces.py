@@ -180,18 +180,26 @@ def commute_median(stays, subscribers, kind: str = "AOI", line: Timeline = DAILY
     return exact_median(times, ["imsi", "direction"], "commute_ms", "median_ms")
 
 
-def _longest_elsewhere(stays: DataFrame, line: Timeline, min_minutes: int) -> DataFrame:
-    """Per trace, the code other than ``home`` with the most dwell, as the struct ``_d``."""
+def _longest_elsewhere(
+    stays: DataFrame, line: Timeline, min_minutes: int, same: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per trace, the code other than ``home`` with the most dwell, as the struct ``_d``.
+
+    Columns named in ``same`` have one value per trace and are kept.
+    """
+    kept = [F.any_value(c).alias(c) for c in same]
     away = stays.where(F.col("code") != F.col("home"))
     dwell = away.groupBy(*line.keys, "code").agg(
         F.sum("duration").alias("_total"),
         F.min_by(F.struct(*STAY_FIELDS), line.stamp).alias("_stay"),
+        *kept,
     )
     best = dwell.groupBy(*line.keys).agg(
-        F.min(F.struct((-F.col("_total")).alias("m"), "code", "_stay")).alias("_best")
+        F.min(F.struct((-F.col("_total")).alias("m"), "code", "_stay")).alias("_best"),
+        *kept,
     )
     return best.where(-F.col("_best.m") > min_minutes * MINUTE_MS).select(
-        *line.keys, (-F.col("_best.m")).alias("total_ms"), F.col("_best._stay").alias("_d")
+        *line.keys, (-F.col("_best.m")).alias("total_ms"), F.col("_best._stay").alias("_d"), *same
     )
 
 
@@ -237,11 +245,11 @@ def one_day_od(
     )
     midnight = clock.day_ms(F.col("date"))
     within = sub_trace_by_time(
-        homed.join(first_home.select(*line.keys, F.col("_o.e_time").alias("_left")), list(line.keys)),
-        F.least(F.col("_left"), midnight + work_start * HOUR_MS),
+        homed.join(first_home, list(line.keys)),
+        F.least(F.col("_o.e_time"), midnight + work_start * HOUR_MS),
         midnight + work_end * HOUR_MS,
     )
-    pairs = _longest_elsewhere(within, line, min_minutes).join(first_home, list(line.keys))
+    pairs = _longest_elsewhere(within, line, min_minutes, same=("_o",))
     pairs = geo.with_metres(pairs, "_o.lon", "_o.lat", "_ox", "_oy", meridian)
     pairs = geo.with_metres(pairs, "_d.lon", "_d.lat", "_dx", "_dy", meridian)
     return pairs.select(
