@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from testbed import queries as _registered  # noqa: F401  (fills the registry)
 from testbed.check import compare, connect
+from testbed.registry import QUERIES, SQL
 from waymarks.operators import ordered
 
 DIR = "/root/testdata/sf0.001"
@@ -33,7 +34,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 LARGE = [
@@ -53,5 +54,5 @@ LARGE = [
 def test_query_equals_sql(spark, duck, monkeypatch, name, limit):
     if limit:
         monkeypatch.setattr(ordered, "LARGE_TRACE_ROWS", limit)
-    state, rows, _, note = compare(spark, duck, name, queries()[name], oracle_sql()[name], DIR)
+    state, rows, _, note = compare(spark, duck, name, QUERIES[name], SQL[name], DIR)
     assert state == "ok" and rows > 0, note
