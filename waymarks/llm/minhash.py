@@ -8,11 +8,12 @@ of ``2 * rows`` rows each.  At similarity 0.75 a pair of sets shares a table wit
 be part of a shared table key, so partial keys are counted first and few table keys are built.
 
 Candidates are confirmed on the full sets.  Copies (equal sets) fold into their smallest id first.
-Then every document is compared with the bucket leader it shares most tables with, next with its
-other leaders, then with growing samples of the members of each bucket, until a bucket's members
-are one component or each pair across its components has been compared.  Pairs inside a component
-are never built, so a large group of near copies costs a few comparisons a member, and no candidate
-is left out.
+Then every document is compared with the bucket leader it shares most tables with, and next with its
+other leaders.  Documents of buckets that still span several components meet once more, in blocks of
+bounded size inside tasks: pairs that share a table, lie in different components, and pass an estimate
+from further minhashes (which a similar pair fails once in about 100,000) are confirmed too.  Pairs
+inside a component are never built, so a large group of near copies costs a few comparisons a member,
+and no candidate is left out.
 
 Defined results: NULL text, and text without words, is an empty set, linked with nothing.  With
 fewer words than a shingle the whole sequence is the one shingle.  Rows with one doc_id are one
@@ -26,21 +27,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymarks.llm.components import components
 from waymarks.llm.hashing import BASE_A, BASE_B, WordHashes, finish, rolling
 from waymarks.llm.stored import stored
 
-#: Members of a bucket that the first sampling round compares with the others, about.
-FIRST_PIVOTS = 64
-#: Each further round samples so many times more, until it takes all.
-GROWTH = 8
+#: Documents in a block; two blocks are compared at a time.
+BLOCK = 1024
+#: Minhashes of the estimate that pairs must pass before their full sets meet.
+ESTIMATE = 128
 
 SKETCH = "doc_id bigint, n_shingles bigint, fp binary, a array<bigint>, b array<bigint>"
 SETS = "doc bigint, shingles binary"
 FOUND = "u bigint, v bigint"
+PAIRS = "i int, part bigint, x int, y int, u bigint, v bigint"
+ROWS = "doc bigint, n bigint, component bigint, a array<bigint>, b array<bigint>, estimate binary"
 
 
 def _split_lower(text: str) -> list[bytes]:
@@ -136,6 +139,13 @@ def _sets(width: int):
     return sets
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    union = np.concatenate((x, y))
+    union.sort(kind="stable")  # two sorted runs merge
+    both = int((union[1:] == union[:-1]).sum())
+    return 100 * both >= percent * (len(union) - both)
+
+
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches, 1000):
@@ -144,10 +154,7 @@ def _confirm(percent: int):
             for i, (x, y) in enumerate(zip(batch["x"], batch["y"])):
                 x = np.frombuffer(x.as_buffer(), np.uint64)
                 y = np.frombuffer(y.as_buffer(), np.uint64)
-                union = np.concatenate((x, y))
-                union.sort()
-                both = int((union[1:] == union[:-1]).sum())
-                if 100 * both >= percent * (len(union) - both):
+                if _similar(x, y, percent):
                     keep.append(i)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -159,9 +166,91 @@ def _confirm(percent: int):
     return confirm
 
 
-def _unit(*cols: Column | str) -> Column:
-    """A repeatable number in [0, 1) from columns."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
+def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Eight bits of each of ESTIMATE further minhashes, computed for few documents only."""
+    salt = np.random.default_rng(77)
+    xor = salt.integers(0, 1 << 63, ESTIMATE, np.uint64)
+    times = salt.integers(0, 1 << 62, ESTIMATE, np.uint64) * np.uint64(2) + np.uint64(1)
+    for batch in _batches(batches, 500):
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["shingles"]]
+        n = np.array([len(x) for x in sets])
+        joined, at = np.concatenate(sets), np.cumsum(n) - n
+        low = [
+            finish(np.minimum.reduceat((joined ^ c) * m, at)).astype(np.uint8)
+            for c, m in zip(xor, times)
+        ]
+        columns = {c: batch[c] for c in ("doc", "n", "component", "a", "b")}
+        columns["estimate"] = pa.array([x.tobytes() for x in np.stack(low, 1)], pa.binary())
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def _pairs(percent: int):
+    # Similar sets agree in this many of the estimate's values but for one pair in about 100,000.
+    p = percent / 100
+    least = int(ESTIMATE * p - 4.2 * (ESTIMATE * p * (1 - p)) ** 0.5)
+
+    def matrix(column) -> np.ndarray:
+        flat = column.combine_chunks()
+        return flat.flatten().to_numpy().reshape(len(flat), -1)
+
+    def pairs(table: pa.Table) -> pa.Table:
+        i, x, y = (table[c][0].as_py() for c in ("i", "x", "y"))
+        doc, n, comp = (table[c].to_numpy() for c in ("doc", "n", "component"))
+        u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if len(np.unique(comp)) > 1:
+            a, b = matrix(table["a"]), matrix(table["b"])
+            est = np.frombuffer(b"".join(table["estimate"].to_pylist()), np.uint8)
+            est = est.reshape(len(doc), ESTIMATE)
+            own = table["own"].to_numpy()
+            left = np.flatnonzero(own == x)
+            right = left if x == y else np.flatnonzero(own == y)
+            for at in range(0, len(left), 256):
+                r = left[at : at + 256]
+                ok = comp[r][:, None] != comp[right]
+                ok &= 100 * np.minimum.outer(n[r], n[right]) >= percent * np.maximum.outer(
+                    n[r], n[right]
+                )
+                if x == y:
+                    ok &= doc[r][:, None] > doc[right]
+                for k in range(i):  # a pair belongs to the first partial key it shares
+                    ok &= a[r, k][:, None] != a[right, k]
+                shared = np.zeros(ok.shape, bool)
+                for k in range(b.shape[1]):
+                    shared |= b[r, k][:, None] == b[right, k]
+                e, f = np.nonzero(ok & shared)
+                e, f = r[e], right[f]
+                for cut in range(0, len(e), 1 << 16):
+                    g, h = e[cut : cut + (1 << 16)], f[cut : cut + (1 << 16)]
+                    like = (est[g] == est[h]).sum(1) >= least
+                    u.append(np.maximum(doc[g], doc[h])[like])
+                    v.append(np.minimum(doc[g], doc[h])[like])
+        u, v = np.concatenate(u), np.concatenate(v)
+        part = table["part"][0].as_py()
+        return pa.table(
+            {
+                "i": pa.array(np.full(len(u), i), pa.int32()),
+                "part": pa.array(np.full(len(u), part), pa.int64()),
+                "x": pa.array(np.full(len(u), x), pa.int32()),
+                "y": pa.array(np.full(len(u), y), pa.int32()),
+                "u": u,
+                "v": v,
+            }
+        )
+
+    return pairs
+
+
+def _confirm_block(percent: int):
+    def confirm(pairs: pa.Table, needed: pa.Table) -> pa.Table:
+        of = {
+            doc: np.frombuffer(x.as_buffer(), np.uint64)
+            for doc, x in zip(needed["doc"].to_pylist(), needed["shingles"])
+        }
+        u, v = pairs["u"].to_pylist(), pairs["v"].to_pylist()
+        keep = np.array([_similar(of[a], of[b], percent) for a, b in zip(u, v)], bool)
+        return pa.table({"u": pairs["u"].to_numpy()[keep], "v": pairs["v"].to_numpy()[keep]})
+
+    return confirm
 
 
 class Candidates:
@@ -251,32 +340,47 @@ class Candidates:
         edges = edges.union(stored(self.links(rest.select("doc", "leader").toDF("u", "v")), "links"))
         labels = components(edges)
 
-        pivots, before = FIRST_PIVOTS, 0
-        while True:
-            open_ = self.labelled(labels)
-            if before:  # buckets all of whose members have been compared are done
-                open_ = open_.where(F.col("size") > before)
-            open_ = stored(open_.withColumn("u01", _unit("key", "doc")), "open")
-            if open_.isEmpty():
-                return labels
-            share, done = F.lit(float(pivots)) / F.col("size"), F.lit(float(before)) / F.col("size")
-            pivot = open_.where((F.col("u01") < share) & (F.col("u01") >= done)).select(
-                "key",
-                F.col("doc").alias("v"),
-                F.col("component").alias("pc"),
-                F.col("n").alias("pn"),
-            )
-            # Sets of very different sizes cannot be similar enough.
-            fits = F.least("n", "pn") * 100 >= F.greatest("n", "pn") * self.percent
-            pairs = (
-                open_.join(pivot, "key")
-                .where((F.col("component") != F.col("pc")) & fits)
-                .select(F.greatest("doc", "v").alias("u"), F.least("doc", "v").alias("v"))
-                .distinct()
-            )
-            edges = edges.union(stored(self.links(pairs), "links"))
-            labels = components(edges)
-            before, pivots = pivots, GROWTH * pivots
+        open_ = stored(self.labelled(labels).select("doc", "n", "component").distinct(), "open")
+        if open_.isEmpty():
+            return labels
+        return components(edges.union(stored(self._rest(open_), "links")))
+
+    def _rest(self, open_: DataFrame) -> DataFrame:
+        """Links (u, v) across components, of documents whose buckets span several.
+
+        Documents meet by a partial key of the first collection, in blocks of bounded size, and are
+        a pair if they share one of the second, so all their common tables are met at once.
+        """
+        keys = self.reps.select(F.col("doc_id").alias("doc"), "a", "b")
+        rows = open_.join(keys, "doc").join(self.sets, "doc")
+        rows = rows.select("doc", "n", "component", "a", "b", "shingles")
+        rows = stored(rows.mapInArrow(_estimates, ROWS), "estimates")
+        met = rows.select("*", F.posexplode("a").alias("i", "part"))
+        groups = met.groupBy("i", "part").agg(
+            F.count("*").alias("size"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        groups = groups.where("low < high").select(
+            "i", "part", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+        )
+        met = met.join(groups, ["i", "part"])
+        own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+        met = met.withColumn("own", own)
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        met = met.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+        met = met.select("i", "part", "x", "y", "own", "doc", "n", "component", "a", "b", "estimate")
+        group = ["i", "part", "x", "y"]
+        pairs = stored(met.groupBy(*group).applyInArrow(_pairs(self.percent), PAIRS), "pairs")
+        # Each set goes once to each block that needs it, however many pairs it has there.
+        needed = pairs.select(*group, F.col("u").alias("doc")).union(pairs.select(*group, "v"))
+        needed = needed.distinct().join(self.sets, "doc").select(*group, "doc", "shingles")
+        needed = needed.toDF("gi", "gpart", "gx", "gy", "doc", "shingles")
+        return (
+            pairs.groupBy(*group)
+            .cogroup(needed.groupBy("gi", "gpart", "gx", "gy"))
+            .applyInArrow(_confirm_block(self.percent), FOUND)
+        )
 
 
 def near_duplicates(
