@@ -146,29 +146,39 @@ def _overlaps(tokens, block: Block, hits, least: int, percent: int) -> list[tupl
     return out
 
 
+def _found(block: Block, texts: list[str | None], hashes: TokenHashes, least: int, percent: int):
+    """(row, item_id, doc span, item span, matches, word span) of every overlap of some texts."""
+    taken = [tokens_of(t, hashes) for t in texts]
+    # Joined texts are looked up at once; zeros keep seeds from matching across texts.
+    gap = np.zeros(max(map(len, block.masks)), np.uint64)
+    joined = np.concatenate([x for t, _ in taken for x in (t, gap)])
+    ends = np.cumsum([len(t) + len(gap) for t, _ in taken])
+    doc_at, item, item_at = block.hits(joined)
+    of = np.searchsorted(ends, doc_at, side="right")
+    found = []
+    for k in np.unique(of).tolist():
+        tokens, words = taken[k]
+        own = of == k
+        begin = ends[k] - len(tokens) - len(gap)
+        hits = doc_at[own] - begin, item[own], item_at[own]
+        for i, s, e, a, b, n in _overlaps(tokens, block, hits, least, percent):
+            found.append((k, block.ids[i], s, e, a, b, n, int(words[s]), int(words[e - 1]) + 1))
+    return found
+
+
+#: Texts looked up at once.
+TEXTS = 500
+
+
 def _compare(shared, least: int, percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: Block = shared.value
         hashes = TokenHashes()
         for batch in batches:
-            ids, texts = batch["doc_id"].to_pylist(), batch["text"]
-            for at in range(0, len(ids), 500):
-                found = []
-                taken = [tokens_of(t.as_py(), hashes) for t in texts[at : at + 500]]
-                # Joined texts are looked up at once; zeros keep seeds from matching across texts.
-                gap = np.zeros(max(map(len, block.masks)), np.uint64)
-                joined = np.concatenate([x for t, _ in taken for x in (t, gap)])
-                ends = np.cumsum([len(t) + len(gap) for t, _ in taken])
-                doc_at, item, item_at = block.hits(joined)
-                of = np.searchsorted(ends, doc_at, side="right")
-                for k in np.unique(of):
-                    tokens, words = taken[k]
-                    own = of == k
-                    begin = ends[k] - len(tokens) - len(gap)
-                    hits = doc_at[own] - begin, item[own], item_at[own]
-                    for i, s, e, a, b, n in _overlaps(tokens, block, hits, least, percent):
-                        place = (int(words[s]), int(words[e - 1]) + 1)
-                        found.append((ids[at + k], block.ids[i], s, e, a, b, n, *place))
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                ids, texts = part["doc_id"].to_pylist(), part["text"].to_pylist()
+                found = _found(shared.value, texts, hashes, least, percent)
+                found = [(ids[k], *x) for k, *x in found]
                 columns = list(zip(*found)) if found else [[]] * 9
                 names = [c.split()[0] for c in OVERLAP.split(", ")]
                 yield pa.RecordBatch.from_arrays(
@@ -178,6 +188,18 @@ def _compare(shared, least: int, percent: int):
     return compare
 
 
+def _blocks(benchmark: DataFrame, masks: tuple[str, ...], block_bytes: int):
+    """Broadcast blocks of the benchmark, one after the other."""
+    items = benchmark.select(F.col("item_id").cast("bigint"), "text").where("item_id IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = parts(size, block_bytes)
+    number = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
+    for i in range(blocks):
+        rows = items.where(number == i).collect()  # a block of bounded text
+        block = Block([(r.item_id, r.text) for r in rows], masks)
+        yield items.sparkSession.sparkContext.broadcast(block)
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -191,21 +213,41 @@ def overlaps(
     Returns doc_id, item_id, the overlap's tokens in the document (doc_start, doc_end) and in the
     item, the number of equal tokens, and the overlap's words (word_start, word_end); ends exclusive.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("bigint"), "text").where("item_id IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = parts(size, block_bytes)
-    number = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     out = None
-    for i in range(blocks):
-        rows = items.where(number == i).collect()  # a block of bounded text
-        shared = spark.sparkContext.broadcast(Block([(r.item_id, r.text) for r in rows], masks))
+    for shared in _blocks(benchmark, masks, block_bytes):
         found = docs.mapInArrow(_compare(shared, least, percent), OVERLAP)
         out = found if out is None else out.union(found)
     return out
 
 
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    masks: tuple[str, ...] = MASKS,
+    least: int = LEAST_TOKENS,
+    percent: int = LEAST_PERCENT,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that have no verified overlap."""
+    column = docs.columns.index("text")
+    for shared in _blocks(benchmark, masks, block_bytes):
+
+        def run(batches, shared=shared):
+            hashes = TokenHashes()
+            for batch in batches:
+                for at in range(0, batch.num_rows, TEXTS):
+                    part = batch.slice(at, TEXTS)
+                    texts = part.column(column).to_pylist()
+                    keep = np.ones(len(texts), bool)
+                    for k, *_ in _found(shared.value, texts, hashes, least, percent):
+                        keep[k] = False
+                    yield part.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def contaminated(found: DataFrame) -> DataFrame:
     """One row for each document with overlaps: its items, and all words that overlaps cover."""
     spans = F.array_sort(F.collect_set(F.struct("word_start", "word_end")))

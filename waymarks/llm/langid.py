@@ -6,7 +6,8 @@ are trained together by stochastic gradient descent in numpy on a bounded sample
 Since the layers are linear, table times weights gives one score vector per row, and predicting is a
 lookup and a mean over the whole text.
 
-The sample takes at most about ``per_language`` rows of each language, chosen by a hash of the id.
+The sample takes about ``per_language`` rows of each of at most ``MOST_LANGUAGES`` languages, chosen by
+a hash of the id.
 A fifth of it is not trained on: it calibrates a temperature, and the score below which a prediction is
 rejected, so that no more than ``reject_rate`` of labelled rows are.
 
@@ -30,6 +31,8 @@ UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)
 BITS = 16
 DIMENSION = 16
+#: Languages learned, the most frequent ones.
+MOST_LANGUAGES = 500
 #: Texts are hashed in runs of so many characters, whatever their length.
 RUN = 1 << 20
 
@@ -148,41 +151,40 @@ def calibrate(model: Model, data: list, y: np.ndarray, reject_rate: float = 0.00
 def sample(docs: DataFrame, per_language: int, learnable: Column) -> tuple[list[str], list[str]]:
     """A bounded, repeatable sample of labelled rows, about as many of each language."""
     rows = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r[0]: r[1] for r in sizes.collect()}
+    if not sizes:
+        return [], []
+    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, per_language / n)))
     at = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    rows = rows.join(sizes, "lang").where(at * F.col("count") < per_language)
-    got = rows.select("doc_id", "text", "lang").collect()
+    got = rows.where(at < share[F.col("lang")]).select("doc_id", "text", "lang").collect()
     got.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, r.text))
     got = [r for r in got if has_letter(r.text)]
     return [r.text for r in got], [r.lang for r in got]
 
 
+def judge(model: Model | None, text: str | None) -> tuple[str, float, bool]:
+    """Language, calibrated score, and whether the prediction is rejected."""
+    if model is None or not has_letter(text):
+        return UNKNOWN, 0.0, True
+    p = model.probabilities(model.logits(text))
+    best = int(np.argmax(p))
+    return model.languages[best], float(p[best]), float(p[best]) < model.threshold
+
+
 def predict(docs: DataFrame, model: Model | None, held: Column) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            lang, score, rejected = [], [], []
-            for text in batch["text"]:
-                text = text.as_py()
-                if own is None or not has_letter(text):
-                    lang.append(UNKNOWN)
-                    score.append(0.0)
-                    rejected.append(True)
-                    continue
-                p = own.probabilities(own.logits(text))
-                best = int(np.argmax(p))
-                lang.append(own.languages[best])
-                score.append(float(p[best]))
-                rejected.append(float(p[best]) < own.threshold)
+            found = [judge(shared.value, text.as_py()) for text in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
                     batch["held_out"],
-                    pa.array(lang, pa.string()),
-                    pa.array(score, pa.float64()),
-                    pa.array(rejected, pa.bool_()),
+                    pa.array([x[0] for x in found], pa.string()),
+                    pa.array([x[1] for x in found], pa.float64()),
+                    pa.array([x[2] for x in found], pa.bool_()),
                 ],
                 ["doc_id", "held_out", "lang_pred", "score", "rejected"],
             )
@@ -204,3 +206,17 @@ def identify(
     held = held_out() if held is None else held
     texts, labels = sample(docs, per_language, ~held)
     return predict(docs, train(texts, labels) if texts else None, held)
+
+
+def keep_identified(docs: DataFrame, per_language: int = 1000) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose prediction is not rejected."""
+    texts, labels = sample(docs, per_language, ~held_out())
+    shared = docs.sparkSession.sparkContext.broadcast(train(texts, labels) if texts else None)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [not judge(shared.value, text.as_py())[2] for text in batch.column(at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

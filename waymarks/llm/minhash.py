@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.llm.components import components
@@ -403,3 +403,17 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns as they are, with one document of each group.
+
+    Of rows with one doc_id one stays; rows without doc_id all stay.
+    """
+    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone"))
+    docs = docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    # Rows without doc_id are spread, each a group of its own.
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    same = Window.partitionBy("doc_id", "_alone").orderBy(F.xxhash64("text"))
+    docs = docs.withColumn("_alone", alone).withColumn("_row", F.row_number().over(same))
+    return docs.where("_row = 1").drop("_row", "_alone")
