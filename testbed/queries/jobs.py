@@ -27,17 +27,12 @@ def cell_table(points: str) -> str:
     FROM {aggregate(points)} a LEFT JOIN cells c ON a.code=c.code AND a.rat=c.rat"""
 
 
-def coarse(df, size: int = 10):
-    """Geohash of a centroid to the precision that two engines' rounding shares."""
-    return df.withColumn("geohash", F.substring("geohash", 1, size))
-
-
-CELL_TABLE = "SELECT * REPLACE (substr(geohash,1,10) AS geohash) FROM ("
+CELL_TABLE = "SELECT * FROM ("
 
 
 @query("cell_stay_table", CELL_TABLE + cell_table("pt") + ")")
 def _(t):
-    return coarse(degrees(J.cell_stay_table(t.points(), t.cells(), line=t.daily())))
+    return degrees(J.cell_stay_table(t.points(), t.cells(), line=t.daily()))
 
 
 PING = """, pp AS (SELECT * REPLACE (CASE WHEN lag(code) OVER w = lead(code) OVER w THEN lag(code) OVER w
@@ -46,7 +41,7 @@ PING = """, pp AS (SELECT * REPLACE (CASE WHEN lag(code) OVER w = lead(code) OVE
 
 @query("cell_stay_table_ping_pong", PING + CELL_TABLE.replace("SELECT", " SELECT", 1) + cell_table("pp") + ")")
 def _(t):
-    return coarse(degrees(J.cell_stay_table(t.points(), t.cells(), ping_pong=True, line=t.daily())))
+    return degrees(J.cell_stay_table(t.points(), t.cells(), ping_pong=True, line=t.daily()))
 
 
 BY_END = "e_time, s_time, event_id"
@@ -57,7 +52,7 @@ BY_END = "e_time, s_time, event_id"
     f""", sb AS (SELECT iv_eci.*, concat('138', imsi) AS phone, concat('86', imsi) AS imei FROM iv_eci),
     m AS (SELECT * FROM {merge('sb', keys='phone, imsi, imei, date', order=BY_END)})
     SELECT imsi, phone, imei, date, m.code AS cell, round(m.lon,7) AS longitude,
-      round(m.lat,7) AS latitude, substr({GEOHASH.replace('(lon+', '(m.lon+').replace('(lat+', '(m.lat+')},1,10)
+      round(m.lat,7) AS latitude, {GEOHASH.replace('(lon+', '(m.lon+').replace('(lat+', '(m.lat+')}
       AS geohash, 'CHN' AS country_code, coalesce(county_id,'') AS county_code, s_time AS enter_time,
       e_time AS leave_time
     FROM m LEFT JOIN (SELECT CAST(eci AS VARCHAR) AS ec, county_id FROM cells) c ON m.code=c.ec""",
@@ -66,10 +61,8 @@ def _(t):
     who = {"phone": F.concat(F.lit("138"), "imsi"), "imei": F.concat(F.lit("86"), "imsi")}
     rows = t.intervals("eci").withColumns(who).withColumn("eci", F.col("code").cast("bigint"))
     counties = t.cells().select(F.col("eci").cast("string").alias("code"), "county_id")
-    return coarse(
-        degrees(J.cell_stay_table_text(
-                rows.drop("lon", "lat", "code"), t.cells(), counties, J.IDENTITY.measured(rows)
-            ))
+    return degrees(
+        J.cell_stay_table_text(rows.drop("lon", "lat", "code"), t.cells(), counties, J.IDENTITY)
     )
 
 
@@ -108,7 +101,7 @@ def hour_points(t):
 
 def grid_hours(t):
     points = hour_points(t)
-    return J.grid_trace_hour(points, J.GRID_HOUR.measured(points), clock=UTC)
+    return J.grid_trace_hour(points, J.GRID_HOUR, clock=UTC)
 
 
 @query("grid_trace_hour", GRID_HOUR + " " + grid_rows("gt", "day_id, hour_id"))
@@ -129,7 +122,7 @@ GRID_DAY = "imsi, day_id"
 )
 def _(t):
     hourly = grid_hours(t)
-    return degrees(J.grid_trace_day(hourly, clock=UTC, line=J.GRID_DAY.measured(hour_points(t))), "lon", "lat")
+    return degrees(J.grid_trace_day(hourly, clock=UTC, line=J.GRID_DAY), "lon", "lat")
 
 
 TICKETS = f""", tk AS (SELECT event_id, imsi, phone, strftime(make_timestamp(s_time*1000), '%Y-%m-%d') AS date,
@@ -170,7 +163,7 @@ def _(t):
     u AS (SELECT * FROM a UNION ALL SELECT * FROM b),
     m AS (SELECT * FROM {merge(smooth('u'), carry=('source',))})
     SELECT imsi, date, event_id, code, s_time, e_time, duration, scene, source, round(lon,7) AS lon,
-      round(lat,7) AS lat, CASE WHEN lon IS NULL THEN '' ELSE substr({GEOHASH},1,8) END AS geohash FROM m""",
+      round(lat,7) AS lat, CASE WHEN lon IS NULL THEN '' ELSE {GEOHASH} END AS geohash FROM m""",
 )
 def _(t):
     located = t.intervals().withColumn("source", F.lit("xdr")).drop("rat")
@@ -186,7 +179,7 @@ def _(t):
             }
         )
     )
-    return coarse(degrees(J.merge_ticket_and_location(bills, located, t.daily()), "lon", "lat"), 8)
+    return degrees(J.merge_ticket_and_location(bills, located, t.daily()), "lon", "lat")
 
 
 STAY_TEXT = """concat_ws(',', CAST(lon AS VARCHAR), CAST(lat AS VARCHAR), '', code, s_time, e_time,
@@ -232,7 +225,7 @@ def _(t):
 )
 def _(t):
     rows = t.intervals("county").withColumn("phone", F.concat(F.lit("138"), "imsi"))
-    return J.interval_trace_count(rows, Timeline(keys=("phone", "date")).measured(rows))
+    return J.interval_trace_count(rows, Timeline(keys=("phone", "date")))
 
 
 @query(

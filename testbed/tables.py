@@ -45,16 +45,17 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir
-        self._lines: dict[Timeline, Timeline] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.dir, f"{name}.parquet"))
 
     def scratch(self, name: str) -> str:
-        """A new folder for derived files, in the cluster's shared folder when it names one."""
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-            prefix="run-"
-        )
+        """A new folder for derived files, in the folder that all executors share."""
+        base = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not self.spark.conf.get("spark.master", "local").startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="run-")
         return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
     def events(self) -> DataFrame:
@@ -268,30 +269,18 @@ class Tables:
             self.intervals("county"), self.daily(), smooth=True, midpoint=False
         )
 
-    def _measured(self, line: Timeline, rows: DataFrame) -> Timeline:
-        if line not in self._lines:
-            self._lines[line] = line.measured(rows)
-        return self._lines[line]
-
     def daily(self) -> Timeline:
-        """Traces of a subscriber and day, with those measured that are too large for a task."""
-        return self._measured(DAILY, self.events())
+        """Traces of a subscriber and day."""
+        return DAILY
 
     def lifetime(self) -> Timeline:
-        return self._measured(LIFETIME, self.events())
+        return LIFETIME
 
     def by_phone(self) -> Timeline:
-        phones = self.events().withColumn("phone", F.concat(F.lit("138"), "imsi"))
-        return self._measured(PHONE, phones)
+        return PHONE
 
     def by_ticket(self) -> Timeline:
-        day = F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd")
-        rows = self.raw("orders").select(
-            F.col("o_custkey").cast("string").alias("imsi"),
-            F.concat(F.lit("138"), F.col("o_custkey")).alias("phone"),
-            day.alias("date"),
-        )
-        return self._measured(TICKET, rows)
+        return TICKET
 
     def hubs(self) -> DataFrame:
         return self.cells().where(F.col("scene_id").isin("YDY2", "YDY3"))

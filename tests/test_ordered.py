@@ -49,14 +49,12 @@ def walk(data):
     return want
 
 
-def lines(df):
+def lines():
     base = Timeline(keys=KEYS, slice_ms=SLICE)
     return {
-        "all sliced": base,
+        "slices": base,
         "one slice": replace(base, slice_ms=10**6),
-        "none sliced": replace(base, large=()),
-        "large sliced": base.measured(df, limit=20),
-        "nothing large": base.measured(df, limit=1000),
+        "a slice for each stamp": replace(base, slice_ms=1),
     }
 
 
@@ -67,7 +65,7 @@ def test_annotate_equals_walk(spark, seed):
         data, "imsi string, s_time long, event_id long, code string, v int"
     )
     want = walk(data)
-    for name, line in lines(df).items():
+    for name, line in lines().items():
         got = annotate(
             df,
             line,
@@ -83,12 +81,29 @@ def test_annotate_equals_walk(spark, seed):
         assert found == want, name
 
 
-def test_measured_finds_only_large_traces(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "imsi string")
-    line = Timeline(keys=KEYS)
-    assert [r[0] for r in line.measured(df, limit=3).large.collect()] == ["a"]
-    assert line.measured(df, limit=5).large == ()
-    assert line.measured(df, limit=5).cut == []
+def test_equal_stamps_keep_their_runs(spark):
+    data = [("a", 5, 1, c, None) for c in "BAB"] + [(None, 5, 1, "C", None), (None, 5, 1, "A", None)]
+    df = spark.createDataFrame(data, "imsi string, s_time long, event_id long, code string, v int")
+    for line in lines().values():
+        got = annotate(df, line, run_of=F.col("code"), before={"prev": F.col("code")})
+        got = {(r["imsi"], r["code"], r["prev"], tuple(r["run"])) for r in got.collect()}
+        assert got == {
+            ("a", "A", None, (5, 1, "A")),
+            ("a", "B", "A", (5, 1, "B")),
+            ("a", "B", "B", (5, 1, "B")),
+            (None, "A", None, (5, 1, "A")),
+            (None, "C", "A", (5, 1, "C")),
+        }
+
+
+def test_rows_without_key_are_sliced_too(spark):
+    df = spark.createDataFrame(
+        [(None, t, t, "A", None) for t in range(0, 100, 5)],
+        "imsi string, s_time long, event_id long, code string, v int",
+    )
+    got = annotate(df, lines()["slices"], position="pos", size="n")
+    assert got.select(lines()["slices"].slice).distinct().count() == 10
+    assert sorted((r["pos"], r["n"]) for r in got.collect()) == [(i + 1, 20) for i in range(20)]
 
 
 def test_exact_median(spark):

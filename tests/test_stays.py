@@ -11,7 +11,7 @@ from waymarks.operators import stays as S
 from waymarks.operators import traces as E
 from waymarks.operators.ordered import DAILY, Timeline
 
-WHOLE = replace(DAILY, large=())
+WHOLE = replace(DAILY, slice_ms=10**15)
 SLICED = replace(DAILY, slice_ms=3_600_000)
 
 AOI_EVENTS = [
@@ -108,7 +108,7 @@ def test_merge_equals_stepwise_midpoints(spark):
     ]
     df = interval_frame(spark, data)
     plain = S.merge_adjacent_stays(df, WHOLE).orderBy("s_time").collect()
-    for line in (SLICED, DAILY.measured(df, limit=10), replace(DAILY, slice_ms=1)):
+    for line in (SLICED, replace(DAILY, slice_ms=1)):
         cut = S.merge_adjacent_stays(df, line).orderBy("s_time").collect()
         assert len(cut) == len(plain)
         for a, b in zip(plain, cut):
@@ -140,15 +140,29 @@ def test_smoothing_order_check_and_ping_pong(spark):
             S.validate_stay_order(df, line, strict=True).collect()
 
 
-def test_long_trace_text_continues_in_parts(spark):
+def test_trace_text_in_parts_of_time(spark):
     df = interval_frame(
         spark, [("u", "d", i, f"c{i}", i + 1, i + 2, 1.0, 2.0, "ROAD") for i in range(7)]
     ).withColumn("duration", F.lit(1))
-    for line in (WHOLE, replace(DAILY, slice_ms=2)):
-        whole = S.trace_serialise(df, line=line).collect()[0]["trace"]
-        parts = S.trace_serialise(df, line=line, max_stays=3).orderBy("part").collect()
-        assert len(parts) == 3 and "".join(p["trace"] for p in parts) == whole
-        assert whole.startswith("u,SECTOR#1.0,2.0,,c0,1,2,1,ROAD#")
+    whole = S.trace_serialise(df).collect()
+    assert len(whole) == 1 and whole[0]["part"] == 0
+    assert whole[0]["trace"].startswith("u,SECTOR#1.0,2.0,,c0,1,2,1,ROAD#")
+    parts = S.trace_serialise(df, part_ms=3).orderBy("part").collect()
+    assert [p["part"] for p in parts] == [0, 1, 2]
+    head = "u,SECTOR"
+    assert all(p["trace"].startswith(head + "#") for p in parts)
+    assert head + "".join(p["trace"].removeprefix(head) for p in parts) == whole[0]["trace"]
+
+
+def test_stay_lists_every_source(spark):
+    points = spark.createDataFrame(
+        [("u", "d", i, i, "A", 105.0, 26.5, "ROAD", "4G", s)
+         for i, s in enumerate(["bill", "MR", "bill", None, "XDR"])],
+        "imsi string, date string, event_id long, s_time long, code string, lon double, lat double, "
+        "scene string, rat string, source string",
+    )
+    stay = S.stay_aggregate(points).collect()
+    assert len(stay) == 1 and stay[0]["source"] == "|billMRXDR" and stay[0]["points"] == 5
 
 
 def test_passages_restart_at_each_origin(spark):

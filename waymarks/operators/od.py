@@ -296,7 +296,7 @@ def province_od_signalling(
     )
     carried = [c for c in ("phone", "date", "home_province") if c not in line.keys]
     stays = S.stay_aggregate(
-        points, line, extra={c: F.min_by(c, line.stamp) for c in carried}
+        points, line, carried=tuple(carried)
     )
     placed = roaming_in_force(stays, roaming, "province", phone_line).drop("r_start", "r_end")
     return od_table(od_changes(placed, line, skip_blank=True, changed_on="place_code"), "province")

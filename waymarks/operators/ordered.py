@@ -1,56 +1,33 @@
-"""Looking along a subscriber's ordered rows, also when one subscriber has very many.
-
-Ordinary traces are windows over ``(imsi, date)``: one shuffle, which the following steps on the
-same keys share.  ``Timeline.measured`` counts rows per trace once, reading only the key columns,
-and remembers the traces too large for one task.  Those are cut into time slices: windows run
-inside ``(keys, slice)``, and what a slice needs from the slices around it (the neighbouring row,
-the last known value, the run in progress, the rows counted so far) comes from one summary row
-per slice, of which a trace has at most its length divided by ``slice_ms``.  An unmeasured
-timeline slices every trace, which is right for any data and needs no counting pass.
+"""Looking along a subscriber's ordered rows, however many one subscriber has.
+
+A trace (the rows of ``Timeline.keys``) is cut into time slices of ``slice_ms``.  Windows run inside
+``(keys, slice)``, and what a slice needs from the slices around it (the neighbouring row, the last
+known value, the run in progress, the rows counted so far) comes from one summary row per slice, of
+which a trace has at most its length divided by ``slice_ms``.  Every trace is cut, also one whose
+key is NULL, so there is one way for every size and no counting pass.
+
+Rows with equal order columns are ordered by the value that makes runs, else by ``code``, so that
+ties are settled and no run hides another one of the same stamp.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions.calendar import HOUR_MS
 
-LARGE_TRACE_ROWS = 1_000_000
-MOST_LARGE_TRACES = 100_000
-
 
 @dataclass(frozen=True)
 class Timeline:
-    """Which rows form a trace, how they are ordered, and which traces are sliced.
-
-    ``large``: None slices every trace, ``()`` none, a DataFrame of keys only those.
-    """
+    """Which rows form a trace, how they are ordered, and how long a slice is."""
 
     keys: tuple[str, ...] = ("imsi", "date")
     order: tuple[str, ...] = ("s_time", "event_id")
     slice_ms: int = HOUR_MS
-    large: Any = None
-
-    def measured(self, df: DataFrame, limit: int | None = None) -> Timeline:
-        """This timeline with the traces of ``df`` that have more than ``limit`` rows.
-
-        There can be at most rows / ``limit`` of them; if that is still too many to broadcast,
-        every trace is sliced.  Steps that only drop or merge rows can keep using the result.
-        """
-        keys, limit = list(self.keys), limit or LARGE_TRACE_ROWS
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        found = counts.where(F.col("_rows") > limit).select(*keys).limit(MOST_LARGE_TRACES + 1)
-        rows = found.collect()
-        if len(rows) > MOST_LARGE_TRACES:
-            return replace(self, large=None)
-        if not rows:
-            return replace(self, large=())
-        return replace(self, large=df.sparkSession.createDataFrame(rows, found.schema))
 
     def ordered_by(self, *order: str) -> Timeline:
         return replace(self, order=order)
@@ -59,34 +36,14 @@ class Timeline:
     def slice(self) -> str:
         return f"_slice_{self.order[0]}_{self.slice_ms}"
 
-    @property
-    def cut(self) -> list[str]:
-        """The slice column, if any trace is sliced."""
-        return [] if isinstance(self.large, tuple) else [self.slice]
-
     @property
     def stamp(self) -> Column:
         return F.struct(*self.order)
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        if not self.cut or self.slice in df.columns:
+        if self.slice in df.columns:
             return df
-        number = F.floor(F.col(self.order[0]) / F.lit(self.slice_ms))
-        if self.large is None:
-            # A trace with a NULL key stays whole: its slices could not be joined to it.
-            known = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
-            return df.withColumn(self.slice, F.when(known, number).otherwise(F.lit(0)))
-        marked = df.join(
-            F.broadcast(self.large.withColumn("_large", F.lit(True))), list(self.keys), "left"
-        )
-        return marked.withColumn(
-            self.slice, F.when(F.col("_large"), number).otherwise(F.lit(0))
-        ).drop("_large")
-
-    def large_rows(self, rows: DataFrame) -> DataFrame:
-        if self.large is None:
-            return rows
-        return rows.join(F.broadcast(self.large), list(self.keys), "left_semi")
+        return df.withColumn(self.slice, F.floor(F.col(self.order[0]) / F.lit(self.slice_ms)))
 
     def unsliced(self, df: DataFrame) -> DataFrame:
         return df.drop(self.slice)
@@ -112,16 +69,18 @@ def annotate(
 
     ``before``/``after``: values of the row just before/after, NULL at the ends.
     ``last_before``/``last_upto``: last non-NULL value before this row / up to this row.
-    ``run_of``: adds ``run``, the order stamp of the first row of the current run of equal
-    values.  ``position``/``size``: 1-based row number in the trace, and its length.
+    ``run_of``: adds ``run``, the order stamp and value of the first row of the current run of
+    equal values.  ``position``/``size``: 1-based row number in the trace, and its length.
     A slice column stays on the result so that a following call needs no shuffle.
     """
     before, after = before or {}, after or {}
     last_before, last_upto = last_before or {}, last_upto or {}
     keys = list(line.keys)
-    here = [*keys, *line.cut]
+    here = [*keys, line.slice]
     rows = line.sliced(df)
-    local = Window.partitionBy(*here).orderBy(*line.order)
+    tie = run_of if run_of is not None else F.col("code") if "code" in df.columns else F.lit(0)
+    stamp = F.struct(*line.order, tie.alias("_tie"))
+    local = Window.partitionBy(*here).orderBy(*line.order, tie)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     past = local.rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*keys).orderBy(line.slice)
@@ -137,61 +96,53 @@ def annotate(
     carried: dict[str, Column] = {}
     result: dict[str, Column] = {}
 
-    def either(*names: str) -> Column:
-        return F.coalesce(*[n for n in names if line.cut or n.startswith("_l_")])
-
     if before:
         local_columns["_l_before"] = F.lag(packed(before)).over(local)
-        summary.append(F.max_by(packed(before), line.stamp).alias("_s_last"))
+        summary.append(F.max_by(packed(before), stamp).alias("_s_last"))
         carried["_c_before"] = F.lag("_s_last").over(across)
         for name in before:
-            result[name] = either("_l_before", "_c_before")[name]
+            result[name] = F.coalesce("_l_before", "_c_before")[name]
     if after:
         local_columns["_l_after"] = F.lead(packed(after)).over(local)
-        summary.append(F.min_by(packed(after), line.stamp).alias("_s_first"))
+        summary.append(F.min_by(packed(after), stamp).alias("_s_first"))
         carried["_c_after"] = F.lead("_s_first").over(across)
         for name in after:
-            result[name] = either("_l_after", "_c_after")[name]
+            result[name] = F.coalesce("_l_after", "_c_after")[name]
     for frame, columns in ((past, last_before), (upto, last_upto)):
         for name, value in columns.items():
             local_columns[f"_l_{name}"] = F.last(value, ignorenulls=True).over(frame)
             summary.append(
-                F.max_by(value, F.when(value.isNotNull(), line.stamp)).alias(f"_s_{name}")
+                F.max_by(value, F.when(value.isNotNull(), stamp)).alias(f"_s_{name}")
             )
             carried[f"_c_{name}"] = F.last(f"_s_{name}", ignorenulls=True).over(earlier)
-            result[name] = either(f"_l_{name}", f"_c_{name}")
+            result[name] = F.coalesce(f"_l_{name}", f"_c_{name}")
     if position or size:
         summary.append(F.count(F.lit(1)).alias("_s_rows"))
     if position:
         local_columns["_l_pos"] = F.row_number().over(local)
         carried["_c_pos"] = F.sum("_s_rows").over(earlier)
-        skipped = F.coalesce("_c_pos", F.lit(0)) if line.cut else F.lit(0)
+        skipped = F.coalesce("_c_pos", F.lit(0))
         result[position] = (F.col("_l_pos") + skipped).cast("long")
     if size:
-        local_columns["_l_size"] = F.count(F.lit(1)).over(Window.partitionBy(*here))
         carried["_c_size"] = F.sum("_s_rows").over(Window.partitionBy(*keys))
-        result[size] = either("_c_size", "_l_size")
+        result[size] = F.col("_c_size")
     if run_of is not None:
         turn = F.when(
             (F.row_number().over(local) > 1) & ~F.lag(run_of).over(local).eqNullSafe(run_of),
-            line.stamp,
+            stamp,
         )
         rows = rows.withColumn("_l_turn", turn)
         local_columns["_l_run"] = F.last("_l_turn", ignorenulls=True).over(upto)
-        local_columns["_l_open"] = F.first(line.stamp).over(upto)
+        local_columns["_l_open"] = F.first(stamp).over(upto)
         summary += [
-            F.min(line.stamp).alias("_s_open"),
+            F.min(stamp).alias("_s_open"),
             F.max("_l_turn").alias("_s_turn"),
-            F.min_by(F.struct(run_of.alias("v")), line.stamp).alias("_s_head"),
-            F.max_by(F.struct(run_of.alias("v")), line.stamp).alias("_s_tail"),
+            F.min_by(F.struct(run_of.alias("v")), stamp).alias("_s_head"),
+            F.max_by(F.struct(run_of.alias("v")), stamp).alias("_s_tail"),
         ]
-        result["run"] = either("_l_run", "_c_run", "_l_open")
-
-    if not line.cut:
-        marked = rows.withColumns(local_columns).withColumns(result)
-        return marked.drop(*local_columns, "_l_turn")
+        result["run"] = F.coalesce("_l_run", "_c_run", "_l_open")
 
-    slices = line.large_rows(rows).groupBy(*here).agg(*summary)
+    slices = rows.groupBy(*here).agg(*summary)
     if run_of is not None:
         came_from = F.lag("_s_tail").over(across)
         slices = slices.withColumn(
@@ -205,9 +156,14 @@ def annotate(
             F.last(F.coalesce("_s_turn", "_c_opens"), ignorenulls=True).over(earlier),
         )
         carried["_c_run"] = F.coalesce("_c_opens", "_c_carried")
-    slices = slices.select(*here, *[c.alias(n) for n, c in carried.items()])
-    joined = rows.withColumns(local_columns).join(slices, here, "left").withColumns(result)
-    return joined.drop(*local_columns, *carried, "_l_turn")
+    names = {c: f"_k_{c}" for c in here}
+    slices = slices.select(
+        *[F.col(c).alias(n) for c, n in names.items()], *[c.alias(n) for n, c in carried.items()]
+    )
+    rows = rows.withColumns(local_columns)
+    same = reduce(Column.__and__, [rows[c].eqNullSafe(slices[n]) for c, n in names.items()])
+    joined = rows.join(slices, same, "left").withColumns(result)
+    return joined.drop(*local_columns, *carried, *names.values(), "_l_turn")
 
 
 def exact_median(

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions import geo
-from waymarks.functions.cells import SOURCES
 from waymarks.operators.ordered import DAILY, Timeline, annotate
 
 INDOOR = "INDOOR"
@@ -23,21 +22,6 @@ def segment_stays(points: DataFrame, line: Timeline = DAILY, code: str = "code")
     )
 
 
-def _joined_sources(line: Timeline, source: str) -> Column:
-    """``|`` followed by the distinct sources of a group in order of first appearance."""
-    seen = F.array(
-        *[
-            F.struct(
-                F.min(F.when(F.col(source) == name, line.stamp)).alias("at"),
-                F.lit(name).alias("name"),
-            )
-            for name in SOURCES
-        ]
-    )
-    ordered = F.array_sort(F.filter(seen, lambda s: s["at"].isNotNull()))
-    return F.concat(F.lit("|"), F.array_join(F.transform(ordered, lambda s: s["name"]), ""))
-
-
 def _scene(line: Timeline) -> Column:
     """INDOOR when any row is, otherwise the last row's scene."""
     return F.when(F.max(F.col("scene") == INDOOR), INDOOR).otherwise(
@@ -50,23 +34,47 @@ def stay_aggregate(
     line: Timeline = DAILY,
     code: str = "code",
     meridian: float = geo.CENTRAL_MERIDIAN,
-    extra: dict[str, Column] | None = None,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per stay: first to last event start, centroid, scene, technology, sources."""
+    """One row per stay: first to last event start, centroid, scene, technology, sources.
+
+    ``source`` is ``|`` and the distinct sources in order of first appearance, whatever they are
+    called.  Points are summed by stay and source first, so a stay gathers one entry for each of its
+    sources.  ``carried`` columns come from the first point.
+    """
     located = geo.with_metres(points, x="_x", y="_y", meridian=meridian)
     runs = segment_stays(located, line, code)
-    grouped = runs.groupBy(*line.keys, "run").agg(
+    by_source = runs.groupBy(*line.keys, "run", "source").agg(
         F.min(code).alias("code"),
         F.min("s_time").alias("s_time"),
         F.max("s_time").alias("e_time"),
         F.count(F.lit(1)).alias("points"),
-        F.avg("_x").alias("_x"),
-        F.avg("_y").alias("_y"),
-        _scene(line).alias("scene"),
-        F.min_by("rat", line.stamp).alias("rat"),
-        _joined_sources(line, "source").alias("source"),
-        *[c.alias(n) for n, c in (extra or {}).items()],
+        F.count("_x").alias("_n"),
+        F.sum("_x").alias("_sx"),
+        F.sum("_y").alias("_sy"),
+        F.max(F.col("scene") == INDOOR).alias("_indoor"),
+        F.max(F.struct(line.stamp.alias("at"), "scene")).alias("_last"),
+        F.min(line.stamp).alias("_at"),
+        F.min_by(F.struct("rat", *carried), line.stamp).alias("_first"),
     )
+    seen = F.array_sort(
+        F.collect_list(F.when(F.col("source").isNotNull(), F.struct("_at", "source")))
+    )
+    grouped = by_source.groupBy(*line.keys, "run").agg(
+        F.min("code").alias("code"),
+        F.min("s_time").alias("s_time"),
+        F.max("e_time").alias("e_time"),
+        F.sum("points").alias("points"),
+        (F.sum("_sx") / F.sum("_n")).alias("_x"),
+        (F.sum("_sy") / F.sum("_n")).alias("_y"),
+        F.when(F.max("_indoor"), INDOOR).otherwise(F.max("_last")["scene"]).alias("scene"),
+        F.min_by("_first", "_at").alias("_first"),
+        F.concat(
+            F.lit("|"), F.array_join(F.transform(seen, lambda s: s["source"]), "")
+        ).alias("source"),
+    )
+    grouped = grouped.withColumns({c: F.col("_first")[c] for c in ("rat", *carried)})
+    grouped = grouped.drop("_first")
     stays = grouped.withColumns(
         {
             "event_id": F.col("run.event_id"),
@@ -195,8 +203,8 @@ def merge_adjacent_stays(
     )
     if smooth:
         rows = rows.withColumn("e_time", F.least("e_time", "_next_start"))
-    group = [*line.keys, *line.cut, "run"]
-    at = F.col(line.slice) if line.cut else F.lit(0)
+    group = [*line.keys, line.slice, "run"]
+    at = F.col(line.slice)
     partial = [
         F.min("s_time").alias("s_time"),
         F.max("e_time").alias("e_time"),
@@ -243,7 +251,7 @@ def merge_adjacent_stays(
                 )
             ).alias("_parts")
         )
-    # Slice by slice first; when no trace is sliced, both steps run on one partitioning.
+    # Slice by slice first.
     merged = rows.groupBy(*group).agg(*partial).groupBy(*line.keys, "run").agg(*final)
     columns: dict[str, Column] = {c: F.col(f"_first.{c}") for c in rest}
     columns["duration"] = F.col("e_time") - F.col("s_time")
@@ -376,23 +384,22 @@ def trace_serialise(
     stays: DataFrame,
     kind: str = "SECTOR",
     line: Timeline = DAILY,
-    max_stays: int = 10_000,
+    part_ms: int | None = None,
 ) -> DataFrame:
     """Trace text ``imsi,kind#stay#stay...``.
 
-    A trace longer than ``max_stays`` continues in further rows with part 1, 2, ..., so that no
-    row grows without bound; their texts joined in part order give the whole trace.
+    With ``part_ms`` a trace has one row for each stretch of that length in which a stay starts, each
+    with the head; ``part`` numbers the stretches from the epoch.  Without, it is one row, part 0.
     """
-    rows = annotate(stays.withColumn("_text", stay_text()), line, position="_pos")
-    rows = rows.withColumn("part", F.floor((F.col("_pos") - 1) / F.lit(max_stays)))
+    order = F.struct(*line.order, F.coalesce("code", F.lit("")).alias("code"))
+    part = F.lit(0) if part_ms is None else F.floor(F.col("s_time") / F.lit(part_ms))
+    rows = stays.withColumns({"part": part.cast("bigint"), "_pos": order, "_text": stay_text()})
     texts = rows.groupBy(*line.keys, "part").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_text"))).alias("_stays")
     )
-    body = F.concat(
-        F.lit("#"), F.array_join(F.transform("_stays", lambda s: s["_text"]), "#")
-    )
-    head = F.when(F.col("part") == 0, F.concat_ws(",", "imsi", F.lit(kind))).otherwise("")
-    return texts.select(*line.keys, "part", F.concat(head, body).alias("trace"))
+    body = F.array_join(F.transform("_stays", lambda s: s["_text"]), "#")
+    head = F.concat_ws(",", "imsi", F.lit(kind))
+    return texts.select(*line.keys, "part", F.concat(head, F.lit("#"), body).alias("trace"))
 
 
 def stay_count_per_trace(
