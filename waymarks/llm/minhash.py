@@ -42,7 +42,10 @@ ESTIMATE = 128
 SKETCH = "doc_id bigint, n_shingles bigint, fp binary, a array<bigint>, b array<bigint>"
 SETS = "doc bigint, shingles binary"
 FOUND = "u bigint, v bigint"
-PAIRS = "i int, part bigint, x int, y int, u bigint, v bigint"
+BUSY = (
+    "i int, part bigint, x int, y int, own int, doc bigint, n bigint, component bigint, "
+    "a array<bigint>, b array<bigint>, estimate binary"
+)
 ROWS = "doc bigint, n bigint, component bigint, a array<bigint>, b array<bigint>, estimate binary"
 
 
@@ -184,71 +187,66 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(columns)
 
 
-def _pairs(percent: int):
+def _matrix(column) -> np.ndarray:
+    flat = column.combine_chunks()
+    return flat.flatten().to_numpy().reshape(len(flat), -1)
+
+
+def _likely(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs of a block that may be links across components."""
     # Similar sets agree in this many of the estimate's values but for one pair in about 100,000.
     p = percent / 100
     least = int(ESTIMATE * p - 4.2 * (ESTIMATE * p * (1 - p)) ** 0.5)
-
-    def matrix(column) -> np.ndarray:
-        flat = column.combine_chunks()
-        return flat.flatten().to_numpy().reshape(len(flat), -1)
-
-    def pairs(table: pa.Table) -> pa.Table:
-        i, x, y = (table[c][0].as_py() for c in ("i", "x", "y"))
-        doc, n, comp = (table[c].to_numpy() for c in ("doc", "n", "component"))
-        u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        if len(np.unique(comp)) > 1:
-            a, b = matrix(table["a"]), matrix(table["b"])
-            est = np.frombuffer(b"".join(table["estimate"].to_pylist()), np.uint8)
-            est = est.reshape(len(doc), ESTIMATE)
-            own = table["own"].to_numpy()
-            left = np.flatnonzero(own == x)
-            right = left if x == y else np.flatnonzero(own == y)
-            for at in range(0, len(left), 256):
-                r = left[at : at + 256]
-                ok = comp[r][:, None] != comp[right]
-                ok &= 100 * np.minimum.outer(n[r], n[right]) >= percent * np.maximum.outer(
-                    n[r], n[right]
-                )
-                if x == y:
-                    ok &= doc[r][:, None] > doc[right]
-                for k in range(i):  # a pair belongs to the first partial key it shares
-                    ok &= a[r, k][:, None] != a[right, k]
-                shared = np.zeros(ok.shape, bool)
-                for k in range(b.shape[1]):
-                    shared |= b[r, k][:, None] == b[right, k]
-                e, f = np.nonzero(ok & shared)
-                e, f = r[e], right[f]
-                for cut in range(0, len(e), 1 << 16):
-                    g, h = e[cut : cut + (1 << 16)], f[cut : cut + (1 << 16)]
-                    like = (est[g] == est[h]).sum(1) >= least
-                    u.append(np.maximum(doc[g], doc[h])[like])
-                    v.append(np.minimum(doc[g], doc[h])[like])
-        u, v = np.concatenate(u), np.concatenate(v)
-        part = table["part"][0].as_py()
-        return pa.table(
-            {
-                "i": pa.array(np.full(len(u), i), pa.int32()),
-                "part": pa.array(np.full(len(u), part), pa.int64()),
-                "x": pa.array(np.full(len(u), x), pa.int32()),
-                "y": pa.array(np.full(len(u), y), pa.int32()),
-                "u": u,
-                "v": v,
-            }
-        )
-
-    return pairs
+    i, x, y = (table[c][0].as_py() for c in ("i", "x", "y"))
+    doc, n, comp = (table[c].to_numpy() for c in ("doc", "n", "component"))
+    if len(np.unique(comp)) < 2:
+        return
+    a, b = _matrix(table["a"]), _matrix(table["b"])
+    est = np.frombuffer(b"".join(table["estimate"].to_pylist()), np.uint8)
+    est = est.reshape(len(doc), ESTIMATE)
+    own = table["own"].to_numpy()
+    left = np.flatnonzero(own == x)
+    right = left if x == y else np.flatnonzero(own == y)
+    for at in range(0, len(left), 256):
+        r = left[at : at + 256]
+        ok = comp[r][:, None] != comp[right]
+        low, high = np.minimum.outer(n[r], n[right]), np.maximum.outer(n[r], n[right])
+        ok &= 100 * low >= percent * high
+        if x == y:
+            ok &= doc[r][:, None] > doc[right]
+        for k in range(i):  # a pair belongs to the first partial key it shares
+            ok &= a[r, k][:, None] != a[right, k]
+        shared = np.zeros(ok.shape, bool)
+        for k in range(b.shape[1]):
+            shared |= b[r, k][:, None] == b[right, k]
+        e, f = np.nonzero(ok & shared)
+        e, f = r[e], right[f]
+        for cut in range(0, len(e), 1 << 16):
+            g, h = e[cut : cut + (1 << 16)], f[cut : cut + (1 << 16)]
+            like = (est[g] == est[h]).sum(1) >= least
+            yield g[like], h[like]
+
+
+def _busy(percent: int):
+    def busy(table: pa.Table) -> pa.Table:
+        hit = np.zeros(len(table), bool)
+        for g, h in _likely(table, percent):
+            hit[g] = hit[h] = True
+        return table.filter(pa.array(hit))
+
+    return busy
 
 
 def _confirm_block(percent: int):
-    def confirm(pairs: pa.Table, needed: pa.Table) -> pa.Table:
-        of = {
-            doc: np.frombuffer(x.as_buffer(), np.uint64)
-            for doc, x in zip(needed["doc"].to_pylist(), needed["shingles"])
-        }
-        u, v = pairs["u"].to_pylist(), pairs["v"].to_pylist()
-        keep = np.array([_similar(of[a], of[b], percent) for a, b in zip(u, v)], bool)
-        return pa.table({"u": pairs["u"].to_numpy()[keep], "v": pairs["v"].to_numpy()[keep]})
+    def confirm(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+        doc, u, v = table["doc"].to_numpy(), [], []
+        for g, h in _likely(table, percent):
+            for e, f in zip(g.tolist(), h.tolist()):
+                if _similar(sets[e], sets[f], percent):
+                    u.append(max(doc[e], doc[f]))
+                    v.append(min(doc[e], doc[f]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return confirm
 
@@ -371,16 +369,11 @@ class Candidates:
         met = met.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
         met = met.select("i", "part", "x", "y", "own", "doc", "n", "component", "a", "b", "estimate")
         group = ["i", "part", "x", "y"]
-        pairs = stored(met.groupBy(*group).applyInArrow(_pairs(self.percent), PAIRS), "pairs")
-        # Each set goes once to each block that needs it, however many pairs it has there.
-        needed = pairs.select(*group, F.col("u").alias("doc")).union(pairs.select(*group, "v"))
-        needed = needed.distinct().join(self.sets, "doc").select(*group, "doc", "shingles")
-        needed = needed.toDF("gi", "gpart", "gx", "gy", "doc", "shingles")
-        return (
-            pairs.groupBy(*group)
-            .cogroup(needed.groupBy("gi", "gpart", "gx", "gy"))
-            .applyInArrow(_confirm_block(self.percent), FOUND)
-        )
+        # Tasks name the documents that have a likely partner, not the pairs; only those fetch their
+        # sets, once a block, and the block finds the pairs again and confirms them.
+        busy = stored(met.groupBy(*group).applyInArrow(_busy(self.percent), BUSY), "busy")
+        busy = busy.join(self.sets, "doc").select(*busy.columns, "shingles")
+        return busy.groupBy(*group).applyInArrow(_confirm_block(self.percent), FOUND)
 
 
 def near_duplicates(
