@@ -331,6 +331,7 @@ def fit(counts: np.ndarray, units: Units, classes: int, weight: float = 50.0) ->
     frequency = counts.sum(0)
     # Every unit is possible: one more count for each.
     prior = (one.T @ (frequency + 1.0)) / (frequency.sum() + len(own))
+    prior = np.maximum(prior, 1e-300)  # a class without units is never met
     step = (table + weight * prior) / (table.sum(1, keepdims=True) + weight)
     within = (frequency + 1.0) / (one.T @ (frequency + 1.0))[own]
     return Model(units, own, np.log10(step), np.log10(within), frequency)
