@@ -179,6 +179,20 @@ def test_exchange_raises_the_likelihood():
             assert likelihood(other) <= likelihood(own) + 1e-6
 
 
+def test_classes_are_learned_for_words_below_the_share(spark):
+    # 120 words of one ending in three groups that follow one another, none above the share.
+    rng = random.Random(8)
+    groups = [[f"w{g}x{i}ing" for i in range(40)] for g in range(3)]
+    rows = [(d, " ".join(rng.choice(groups[i % 3]) for i in range(60))) for d in range(400)]
+    train = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    model = classlm.fit(train, share=1 / 20, classes=6)
+    of = model.units.lookup()
+    classes = [{int(model.own[of[w.encode()]]) for w in group} for group in groups]
+    assert len(model.units.words) == 120
+    assert not (classes[0] & classes[1] or classes[1] & classes[2] or classes[0] & classes[2])
+    assert classlm.class_count(10**6, 32) > classlm.class_count(10**4, 32) == 32
+
+
 def test_language_of_held_out_rows(docs, empty):
     got = {}
     for r in langid.identify(docs).collect():

@@ -1,14 +1,17 @@
 """Class-based n-gram scores: exchange clustering, class transitions, word emissions.
 
-1. Heavy hitters.  Words and word endings that make up a share of the training tokens get an id.
-   Tasks count a slice of text exactly and send what passes a quarter of the share in the slice, so
-   every word above the share is found, and no more than ``4 / (3 * share)`` are.
-2. Units.  A token's unit is its word if that has an id, else its ending, else the rest.  Bigrams of
-   units over all training documents are counted in Spark; the table is bounded by the squared
-   number of units.
-3. Exchange clustering moves one unit at a time to the class that gains most likelihood of the class
-   bigrams, until no move gains.  The end of a document is a class of its own and also what
-   precedes its first word.
+1. Vocabulary.  All words of the training rows are counted exactly in Spark.  Every word with
+   ``least`` or more tokens is a unit of its own, so the vocabulary grows with the corpus.  Rarer
+   words have too few neighbours to learn from: their unit is their ending if it makes up a share of
+   the tokens, else the rest.
+2. Seed.  Words and endings that make up a share of the training tokens (at most ``4 / (3 * share)``
+   each) are clustered exactly on the driver, one move at a time.
+3. Exchange rounds.  Counts of (unit, neighbour) over all training rows are dealt by unit into parts
+   and stored.  In each round, tasks sum a unit's neighbours by class and move it to the class that
+   gains most likelihood, measured without its own counts; half of the units move at a time.  Only
+   the class of every unit and the table of class bigrams are sent to the tasks.  A round that does
+   not raise the likelihood is taken back.  The number of classes grows with the root of the
+   vocabulary.  The end of a document is a class of its own and also what precedes its first word.
 4. Scores.  log10 P(text) sums class transition (smoothed towards class frequency), unit within
    class, and word within unit.  Words of ending units share the unit by their exact training
    counts; words never seen share the mass of words seen once over an estimated number of such words.
@@ -30,20 +33,33 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymarks.llm.chunks import CHUNK_BYTES, by_hash, parts, text_bytes
 from waymarks.llm.hashing import WordHashes, finish, pack, unpack
+from waymarks.llm.stored import stored
 
 #: UTF-8 bytes of an ending.
 ENDING = 3
 #: Text bytes whose words one bucket receives, about.
 BUCKET_BYTES = 24_000_000
 SLICE_BYTES = 4_000_000
+#: Training tokens of a word from which it has a class of its own.
+LEAST = 3
+#: Exchange rounds over the whole vocabulary, and units compared at once.
+ROUNDS = 6
+UNITS = 2000
+#: Training text whose neighbours one part holds, about.
+PART_BYTES = 6_000_000
 
 HEAVY = "ending boolean, word binary, n bigint, tokens bigint"
 PAIRS = "a int, b int, n bigint"
+KNOWN = "word bigint, seed int, n bigint"
+CONTEXTS = "part int, keys binary, counts binary"
+MOVES = "unit int, class int"
+FREQUENCY = "unit int, n bigint"
 SENT = "chunk int, bucket int, words binary, counts binary, kinds bigint, once bigint, twice bigint"
 SCORED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, "
@@ -157,39 +173,6 @@ def frequent_units(train: DataFrame, share: float) -> Units:
     )
 
 
-def _bigrams(units: Units):
-    size = units.end + 1
-
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit_of = units.lookup()
-        for batch in _slices(batches):
-            flow = [np.array([units.end], np.int32)]
-            for text in batch["text"].to_pylist():
-                flow.append(unit_of.array(lower_words(text)))
-                flow.append(flow[0])
-            flow = np.concatenate(flow).astype(np.int64)
-            pair, n = np.unique(flow[:-1] * size + flow[1:], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(pair // size, pa.int32()),
-                    pa.array(pair % size, pa.int32()),
-                    pa.array(n, pa.int64()),
-                ],
-                ["a", "b", "n"],
-            )
-
-    return bigrams
-
-
-def bigram_counts(train: DataFrame, units: Units) -> np.ndarray:
-    """Counts of neighbouring units over all training texts; the shape is bounded by the units."""
-    pairs = train.select("text").mapInArrow(_bigrams(units), PAIRS)
-    rows = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((units.end + 1, units.end + 1))
-    counts[rows["a"].to_numpy(int), rows["b"].to_numpy(int)] = rows["n"].to_numpy(float)
-    return counts
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
@@ -311,36 +294,315 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.concat_tables([own, sent])
 
 
+@dataclass
+class Vocabulary:
+    """Units of words with enough tokens, by sorted hash; then endings, the rest, the end of a text."""
+
+    hashes: np.ndarray
+    endings: dict[bytes, int]
+
+    @property
+    def words(self) -> np.ndarray:
+        return self.hashes
+
+    @property
+    def rest(self) -> int:
+        return len(self.hashes) + len(self.endings)
+
+    @property
+    def end(self) -> int:
+        return self.rest + 1
+
+    def lookup(self) -> _KnownUnitOf:
+        return _KnownUnitOf(self)
+
+
+class _KnownUnitOf(_UnitOf):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        u = self.units
+        h = np.uint64(xxhash.xxh3_64_intdigest(word))
+        unit = int(np.searchsorted(u.hashes, h))
+        if unit == len(u.hashes) or u.hashes[unit] != h:
+            unit = u.endings.get(word[-ENDING:], u.rest)
+        self[word] = unit
+        return unit
+
+
+def _known(shared):
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unit_of = WordHashes(), shared.value.lookup()
+        for batch in _slices(batches):
+            words: Counter = Counter()
+            for text in batch["text"].to_pylist():
+                words.update(lower_words(text))
+            own = list(words)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(hashes.array(own).view(np.int64)),
+                    pa.array(unit_of.array(own)),
+                    pa.array(np.fromiter(words.values(), np.int64, len(own))),
+                ],
+                ["word", "seed", "n"],
+            )
+
+    return known
+
+
+def vocabulary(train: DataFrame, seed: Units, least: int) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
+    """All words with ``least`` or more training tokens, their units in the seed and their tokens."""
+    shared = train.sparkSession.sparkContext.broadcast(seed)
+    found = train.select("text").mapInArrow(_known(shared), KNOWN)
+    found = found.groupBy("word").agg(F.sum("n").alias("n"), F.min("seed").alias("seed"))
+    rows = found.where(F.col("n") >= least).toArrow()
+    hashes = rows["word"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = len(hashes)
+    endings = {w: first + i for i, w in enumerate(sorted(seed.endings))}
+    return Vocabulary(hashes, endings), rows["seed"].to_numpy()[order], rows["n"].to_numpy()[order]
+
+
+def _planes(keys: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    steps = np.diff(keys, prepend=0).astype(np.uint64)
+    return pack(steps), n.astype(">u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _pairs_of(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(counts, np.uint8).reshape(4, -1)
+    n = np.ascontiguousarray(planes.T).view(">u4").ravel().astype(np.int64)
+    return np.cumsum(unpack(keys)).astype(np.int64), n
+
+
+def _contexts(shared, count: int):
+    """Neighbours of units, (unit, side, neighbour) as one number; side 0 is what follows."""
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = shared.value
+        size, unit_of = units.end + 1, units.lookup()
+        for batch in _slices(batches):
+            flow = [np.array([units.end], np.int32)]
+            for text in batch["text"].to_pylist():
+                flow.append(unit_of.array(lower_words(text)))
+                flow.append(flow[0])
+            flow = np.concatenate(flow).astype(np.int64)
+            pair, n = np.unique(flow[:-1] * size + flow[1:], return_counts=True)
+            a, b = pair // size, pair % size
+            keys = np.concatenate((2 * a * size + b, (2 * b + 1) * size + a))
+            n, part = np.concatenate((n, n)), np.concatenate((a, b)) % count
+            order = np.argsort(part * (2 * size * size) + keys)
+            keys, n, part = keys[order], n[order], part[order]
+            to, at = np.unique(part, return_index=True)
+            sent = [_planes(*x) for x in zip(np.split(keys, at[1:]), np.split(n, at[1:]))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(to, pa.int32()),
+                    pa.array([x[0] for x in sent], pa.binary()),
+                    pa.array([x[1] for x in sent], pa.binary()),
+                ],
+                ["part", "keys", "counts"],
+            )
+
+    return contexts
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    got = [_pairs_of(*x) for x in zip(table["keys"].to_pylist(), table["counts"].to_pylist())]
+    keys, at = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([x[1] for x in got]).astype(float), len(keys))
+    # A count over 32 bits is sent as several entries.
+    again = np.maximum(1, np.ceil(n / 0xFFFFFFFF)).astype(np.int64)
+    at = np.repeat(np.arange(len(keys)), again)
+    before = np.arange(len(at)) - np.repeat(np.cumsum(again) - again, again)
+    keys, n = keys[at], np.minimum(n[at] - before * 0xFFFFFFFF, 0xFFFFFFFF)
+    keys, n = _planes(keys, n)
+    part = pa.array([table["part"][0].as_py()], pa.int32())
+    return pa.table({"part": part, "keys": pa.array([keys]), "counts": pa.array([n])})
+
+
+def _each(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield _pairs_of(batch["keys"][i].as_py(), batch["counts"][i].as_py())
+
+
+def _frequency(size: int):
+    def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in _each(batches):
+            after = keys // size % 2 == 1
+            unit, at = np.unique(keys[after] // (2 * size), return_inverse=True)
+            n = np.bincount(at, n[after].astype(float), len(unit)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(n)], ["unit", "n"])
+
+    return frequency
+
+
+def _class_pairs(shared):
+    def class_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        size, k = len(own), int(own[-1]) + 1
+        for keys, n in _each(batches):
+            after = keys // size % 2 == 0
+            keys, n = keys[after], n[after]
+            cell = own[keys // (2 * size)] * k + own[keys % size]
+            sums = np.bincount(cell, n.astype(float), k * k).astype(np.int64)
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at // k, pa.int32()), pa.array(at % k, pa.int32()), pa.array(sums[at])],
+                ["a", "b", "n"],
+            )
+
+    return class_pairs
+
+
+def _best(own, table, right, left):
+    """Best class of units in classes ``own`` with neighbour counts; a unit's own counts left out."""
+    k, few = len(table), 0.5
+    rows, cols = table.sum(1), table.sum(0)
+    logs = np.log(table + few)
+    r, c = right.sum(1), left.sum(1)
+    gain = right @ logs.T + left @ logs
+    gain -= r[:, None] * np.log(rows + k * few) + c[:, None] * np.log(cols + k * few)
+    gain[:, k - 1] = -np.inf  # the end of a text
+    stay = (right * np.log(np.maximum(table[own] - right, 0) + few)).sum(1)
+    stay += (left * np.log(np.maximum(table.T[own] - left, 0) + few)).sum(1)
+    stay -= r * np.log(np.maximum(rows[own] - r, 0) + k * few)
+    stay -= c * np.log(np.maximum(cols[own] - c, 0) + k * few)
+    gain[np.arange(len(own)), own] = stay
+    best = gain.argmax(1)
+    return np.where(gain[np.arange(len(own)), best] > stay + 1e-9, best, own)
+
+
+def _moves(shared, count: int, turn: int):
+    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, table = shared.value
+        size, k = len(own), len(table)
+        for keys, n in _each(batches):
+            unit = keys // (2 * size)
+            units, start = np.unique(unit, return_index=True)
+            start = np.append(start, len(keys))
+            for i in range(0, len(units), UNITS):
+                part = units[i : i + UNITS]
+                a, b = start[i], start[i + len(part)]
+                cell = np.searchsorted(part, unit[a:b]) * 2 + keys[a:b] // size % 2
+                cell = cell * k + own[keys[a:b] % size]
+                sums = np.bincount(cell, n[a:b].astype(float), len(part) * 2 * k)
+                sums = sums.reshape(len(part), 2, k)
+                free = (part < size - 1) & ((part // count + turn) % 2 == 0)
+                part, sums = part[free], sums[free]
+                best = _best(own[part], table, sums[:, 0], sums[:, 1])
+                moved = best != own[part]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[moved], pa.int32()), pa.array(best[moved], pa.int32())],
+                    ["unit", "class"],
+                )
+
+    return moves
+
+
+def _class_table(contexts: DataFrame, own: np.ndarray) -> np.ndarray:
+    shared = contexts.sparkSession.sparkContext.broadcast(own)
+    rows = contexts.mapInArrow(_class_pairs(shared), PAIRS)
+    rows = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((int(own[-1]) + 1,) * 2)
+    table[rows["a"].to_numpy(), rows["b"].to_numpy()] = rows["n"].to_numpy()
+    shared.destroy()
+    return table
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of class bigrams, but for what no clustering changes."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def exchange_rounds(
+    contexts: DataFrame, own: np.ndarray, count: int, rounds: int = ROUNDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all units and the table of class bigrams after exchange rounds in Spark."""
+    table, failed = _class_table(contexts, own), 0
+    for turn in range(rounds):
+        shared = contexts.sparkSession.sparkContext.broadcast((own, table))
+        rows = contexts.mapInArrow(_moves(shared, count, turn), MOVES).toArrow()
+        shared.destroy()
+        new = own.copy()
+        new[rows["unit"].to_numpy()] = rows["class"].to_numpy()
+        after = _class_table(contexts, new) if len(rows) else table
+        if likelihood(after) > likelihood(table):
+            own, table, failed = new, after, 0
+        else:
+            failed += 1
+        if failed == 2:  # neither half has a move that gains
+            break
+    return own, table
+
+
 @dataclass
 class Model:
     """Log10 probabilities of the class model, but for the words of ending units."""
 
-    units: Units
+    units: Vocabulary
     own: np.ndarray  # class of a unit
     step: np.ndarray  # log10 P(class | class before)
     within: np.ndarray  # log10 P(unit | class)
     frequency: np.ndarray  # training tokens of a unit
 
 
-def fit(counts: np.ndarray, units: Units, classes: int, weight: float = 50.0) -> Model:
-    own = exchange(counts, classes)
-    k = int(own[-1]) + 1
-    one = np.zeros((len(own), k))
-    one[np.arange(len(own)), own] = 1.0
-    table = one.T @ counts @ one
-    frequency = counts.sum(0)
+def class_count(words: int, classes: int) -> int:
+    return max(classes, math.isqrt(words) // 8)
+
+
+def seed_units(seed: Units, units: Vocabulary, of: np.ndarray) -> np.ndarray:
+    """The seed's unit of every unit."""
+    out = np.empty(units.end + 1, np.int64)
+    out[: len(of)] = of
+    for word, unit in units.endings.items():
+        out[unit] = seed.endings[word]
+    out[units.rest], out[units.end] = seed.rest, seed.end
+    return out
+
+
+def first_classes(seed: Units, counts: np.ndarray, of: np.ndarray, n: np.ndarray, classes: int):
+    """Classes before the first round: those of the seed; other words are dealt by frequency."""
+    k = class_count(len(n), classes)
+    seeded = exchange(counts, k, rounds=8)
+    own = seeded[of]
+    order = np.argsort(-n, kind="stable")
+    dealt = np.empty(len(n), np.int64)
+    dealt[order] = np.arange(len(n)) % k
+    # Ids of the seed's words come before those of its endings.
+    own[: len(n)] = np.where(of[: len(n)] < len(seed.words), own[: len(n)], dealt)
+    own[-1] = k
+    return own
+
+
+def fit(
+    train: DataFrame, share: float, classes: int, least: int = LEAST, weight: float = 50.0
+) -> Model:
+    seed = frequent_units(train, share)
+    units, of, n = vocabulary(train, seed, least)
+    count = parts(text_bytes(train), PART_BYTES)
+    shared = train.sparkSession.sparkContext.broadcast(units)
+    sent = train.select("text").mapInArrow(_contexts(shared, count), CONTEXTS)
+    contexts = stored(sent.groupBy("part").applyInArrow(_merged, CONTEXTS), "contexts")
+    rows = contexts.mapInArrow(_frequency(units.end + 1), FREQUENCY).toArrow()
+    frequency = np.zeros(units.end + 1)
+    frequency[rows["unit"].to_numpy()] = rows["n"].to_numpy()
+    of = seed_units(seed, units, of)
+    own = first_classes(seed, _class_table(contexts, of), of, n, classes)
+    own, table = exchange_rounds(contexts, own, count)
     # Every unit is possible: one more count for each.
-    prior = (one.T @ (frequency + 1.0)) / (frequency.sum() + len(own))
-    prior = np.maximum(prior, 1e-300)  # a class without units is never met
+    mass = np.bincount(own, frequency + 1.0, len(table))
+    prior = np.maximum(mass / mass.sum(), 1e-300)  # a class without units is never met
     step = (table + weight * prior) / (table.sum(1, keepdims=True) + weight)
-    within = (frequency + 1.0) / (one.T @ (frequency + 1.0))[own]
+    within = (frequency + 1.0) / mass[own]
     return Model(units, own, np.log10(step), np.log10(within), frequency)
 
 
-def _score(model: Model, buckets: int):
-    units = model.units
-
+def _score(shared, buckets: int):
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        model = shared.value
+        units = model.units
         c = _Chunk(docs, buckets)
         known = np.zeros(len(c.distinct), np.int64)
         order = np.lexsort((c.distinct, c.bucket))
@@ -397,13 +659,14 @@ def class_scores(
 
     Returns doc_id, held_out, n_tokens, n_known (tokens with training counts), train_tokens,
     base_score (add-one unigram log10 probability), score (log10 probability of the class model)
-    and perplexity.  ``share`` bounds the units: at most 4 / (3 * share) words and endings each.
+    and perplexity.  ``share`` bounds the seed of the clustering and the endings of rare words, not
+    the vocabulary; ``classes`` is the least number of classes.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), "text", held.alias("held_out"))
     train = docs.where(~F.col("held_out"))
-    units = frequent_units(train, share)
-    counts = bigram_counts(train, units)
-    model = fit(counts, units, classes)
+    model = fit(train, share, classes)
+    units = model.units
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     size = text_bytes(docs)
     buckets = parts(size, bucket_bytes)
@@ -417,7 +680,7 @@ def class_scores(
     scored = (
         dealt.groupBy("chunk")
         .cogroup(answers.where("chunk >= 0").groupBy("chunk"))
-        .applyInArrow(_score(model, buckets), SCORED)
+        .applyInArrow(_score(shared, buckets), SCORED)
     )
     ends = float(model.frequency[units.end])
     tokens = int(model.frequency.sum())
