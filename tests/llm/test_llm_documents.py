@@ -243,6 +243,30 @@ def test_decontamination_tolerates_substitutions(spark, docs, empty):
     assert decontaminate.overlaps(docs, bench.where("false")).count() == 0
 
 
+def test_overlaps_are_the_longest_similar_runs(spark):
+    pattern = "1" * 11 + "0" * 4 + "1111011110111101"
+    items = {1: [f"a{i}" for i in range(31)], 2: [f"b{i}" for i in range(12)], 3: "c d e".split()}
+    items[4] = [f"e{i}" for i in range(40)]
+    mixed = [x if keep == "1" else f"z{i}" for i, (x, keep) in enumerate(zip(items[1], pattern))]
+    last = [x if i % 10 != 4 else f"y{i}" for i, x in enumerate(items[4])]
+    texts = [mixed, ["other", *items[2][1:]], ["so", *items[3], "on"], "c d x e".split()]
+    texts.append([*items[4][:14], *(f"q{i}" for i in range(9)), *last[23:]])
+    docs = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    bench = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in items.items()], "item_id bigint, text string"
+    )
+    found = {}
+    for r in decontaminate.overlaps(docs, bench).collect():
+        assert 100 * r.matches >= 75 * (r.doc_end - r.doc_start)
+        found.setdefault((r.doc_id, r.item_id), set()).add((r.item_start, r.item_end))
+    assert set(found) == {(0, 1), (1, 2), (2, 3), (4, 4)}
+    assert found[0, 1] == {(0, 31)} and found[1, 2] == {(0, 12)} and found[2, 3] == {(0, 3)}
+    kept = decontaminate.keep_clean(docs, bench).collect()
+    assert [r.doc_id for r in kept] == [3]
+
+
 def test_secret_spans(spark, docs, empty):
     key = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
     texts = {

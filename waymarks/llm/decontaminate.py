@@ -3,8 +3,9 @@
 A seed is a window of tokens of which a fixed mask keeps some positions and ignores the others, so a
 substituted word at an ignored position leaves its hash as it is.  The hashes of every window of the
 benchmark under every mask are joined with those of the documents.  Around each hit, document and
-item are compared token by token along the hit's diagonal, and the best run (matches count for it,
-substitutions against it) is a verified overlap if it is long and similar enough.
+item are compared token by token along the hit's diagonal, and the longest run with enough equal
+tokens is a verified overlap if it is long enough; then its two sides are searched.  Unequal tokens
+at its ends are left out unless it would be too short without them.
 
 Tokens are words in lower case without characters other than letters and digits; what has none is
 no token.
@@ -13,7 +14,8 @@ The benchmark is a query set: it is dealt into blocks of bounded text, each sent
 and met by all documents, so what is broadcast never exceeds a block, whatever the benchmark's size.
 
 Defined results: NULL or empty texts and items match nothing.  An item shorter than the shortest
-overlap matches only as a whole, one shorter than a seed not at all.  A NULL doc_id is returned as it is;
+overlap matches only as a whole, one shorter than every seed only where all its tokens are equal.
+A NULL doc_id is returned as it is;
 repeated rows are compared each.  A NULL item_id takes no part.  Empty tables give an empty result.
 Other columns are ignored.
 """
@@ -80,12 +82,18 @@ class Block:
 
     def __init__(self, items: list[tuple[int, str | None]], masks: tuple[str, ...]):
         hashes = TokenHashes()
-        self.masks = masks
         self.ids = [i for i, _ in items]
         self.tokens = [tokens_of(t, hashes)[0] for _, t in items]
         self.seeds = []
-        for mask in masks:
-            per = [seeds(t, mask) for t in self.tokens]
+        # Items shorter than every mask are looked up whole.
+        short = {len(t) for t in self.tokens if 0 < len(t) < min(map(len, masks))}
+        whole = tuple("1" * n for n in sorted(short))
+        self.masks = masks + whole
+        for mask in self.masks:
+            per = [
+                seeds(t, mask) if mask not in whole or len(t) == len(mask) else seeds(t[:0], mask)
+                for t in self.tokens
+            ]
             h = np.concatenate(per) if per else np.empty(0, np.uint64)
             item = np.repeat(np.arange(len(per)), [len(x) for x in per])
             at = np.concatenate([np.arange(len(x)) for x in per]) if per else item
@@ -114,14 +122,22 @@ class Block:
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def best_run(equal: np.ndarray, percent: int) -> tuple[int, int]:
-    """The run of highest score; a match gains what a run of ``percent`` matches would lose."""
-    gain = np.where(equal, 100 - percent, -percent)
-    sums = np.concatenate(([0], np.cumsum(gain)))
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    start = int(np.argmin(sums[: end + 1]))
-    return start, end
+def longest_run(equal: np.ndarray, percent: int) -> tuple[int, int]:
+    """The longest run with ``percent`` equal tokens or more, the first of several."""
+    sums = np.concatenate(([0], np.cumsum(np.where(equal, 100 - percent, -percent))))
+    # The run to an end begins where the sum is first as low as there.
+    start = np.searchsorted(-np.minimum.accumulate(sums), -sums, side="left")
+    end = int(np.argmax(np.arange(len(sums)) - start))
+    return int(start[end]), end
+
+
+def trimmed(equal: np.ndarray, s: int, e: int, least: int) -> tuple[int, int]:
+    """A run without unequal tokens at its ends, but for what ``least`` tokens need."""
+    while e - s > least and not equal[e - 1]:
+        e -= 1
+    while e - s > least and not equal[s]:
+        s += 1
+    return s, e
 
 
 def _overlaps(tokens, block: Block, hits, least: int, percent: int) -> list[tuple[int, ...]]:
@@ -132,15 +148,16 @@ def _overlaps(tokens, block: Block, hits, least: int, percent: int) -> list[tupl
         own = block.tokens[i]
         first, last = max(0, -shift), min(len(own), len(tokens) - shift)
         equal = own[first:last] == tokens[first + shift : last + shift]
+        need = min(least, len(own))
         todo = [(0, len(equal))]
-        while todo:  # every long run on the diagonal, best first
+        while todo:  # every long run on the diagonal, longest first
             a, b = todo.pop()
-            if b - a < min(least, len(own)):
+            if b - a < need:
                 continue
-            s, e = best_run(equal[a:b], percent)
-            s, e = s + a, e + a
-            n = int(equal[s:e].sum())
-            if e - s >= min(least, len(own)) and 100 * n >= percent * (e - s):
+            s, e = longest_run(equal[a:b], percent)
+            if e - s >= need:
+                s, e = trimmed(equal, s + a, e + a, need)
+                n = int(equal[s:e].sum())
                 out.append((i, s + first + shift, e + first + shift, s + first, e + first, n))
                 todo += [(a, s), (e, b)]
     return out
