@@ -267,6 +267,24 @@ def test_overlaps_are_the_longest_similar_runs(spark):
     assert [r.doc_id for r in kept] == [3]
 
 
+def test_random_pieces_and_single_case_letters():
+    encoding = S._encoding(S.VOCABULARY)
+
+    def found(text):
+        base = S.base_spans(text)
+        return [text[s:e] for s, _, e in S.random_spans(text, base, encoding)]
+
+    key = "qZ7xK2vR9mW4tB8yN3pL6sD1fG5hJ0cX"
+    path = "com/documents/archive/reports/annual/summary/download/"
+    assert found(f"see {path}{path}{key} there") == [key]
+    assert found("mail xqzvkwjpbmtrhgdf now") == ["xqzvkwjpbmtrhgdf"]
+    assert found("otp XKZQVWJHGBPFRMYT now") == ["XKZQVWJHGBPFRMYT"]
+    base = "0123456789abcdef" * 2
+    assert [t for t in found(f"{base}/{key}") if key in t]
+    assert found(f"{path} internationalization zzzzzzzzzzzzzzzzzzzz ABABABABABABABABAB") == []
+    assert found("550e8400-e29b-41d4-a716-446655440000 2024-01-02/2024-01-03") == []
+
+
 def test_secret_spans(spark, docs, empty):
     key = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
     texts = {

@@ -5,9 +5,10 @@ of 6 or more characters), ``access`` (AKIA and more, 20 or more characters) and
 lowercase hexadecimal digits), each leftmost and without overlaps of its kind.
 
 ``random`` spans come from the token-efficiency test: runs of 16 or more characters of keys and
-encodings that mix digits with letters, or upper and lower case, are encoded with a tiktoken
-vocabulary.  Text that people write gets 3 to 5 characters a token; a random string gets less than
-2.  Known digests (hexadecimal of the usual digest lengths) and known identifiers (UUIDs, numbers,
+encodings, or what base spans leave of them, are encoded with a tiktoken vocabulary.  If a run is not
+random as a whole, its pieces between ``/ - _ = +`` of 16 or more characters are tested each.  Text
+that people write gets 3 to 5 characters a token; a random string gets less than 2, and letters of
+one case must get less than 1.9.  Known digests (hexadecimal of the usual digest lengths) and known identifiers (UUIDs, numbers,
 dates, versions) are not flagged, neither is what a base span covers.
 
 Defined results: NULL text is empty.  Spans are in code points, end exclusive, start with the
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 #: Characters a token below which a run counts as random.
 MOST_CHARS_A_TOKEN = 2.0
+#: The same for letters of one case, which are words more often.
+MOST_CHARS_ONE_CASE = 1.9
 VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 # The base patterns, their least lengths, and the order of kinds.
@@ -37,6 +40,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
 LEAST_VALUE = 6
 LEAST_ACCESS = 20
+LEAST_RUN = 16
+#: Different letters of a random string; fewer are rulers and repeated syllables.
+LEAST_LETTERS = 6
 KINDS = ("assign", "access", "hex", "random")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -45,6 +51,8 @@ _ACCESS = re.compile(ACCESS)
 # Runs of 24 and more are what the pattern of any length leaves after dropping shorter matches.
 _HEX = re.compile(HEX)
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_PIECE = re.compile(r"[A-Za-z0-9]{16,}")
+_LETTERS = re.compile(r"[a-z]+|[A-Z]+")
 _DIGEST = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128})"
@@ -90,24 +98,49 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _is_random(run: str, encoding, most: float) -> bool:
+    """Whether a run gets few characters a token; single-case letters by a stricter ratio."""
+    if _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run):
+        return False
+    if not _MIXED.search(run):
+        if not _LETTERS.fullmatch(run) or len(set(run)) < LEAST_LETTERS:
+            return False
+        most = min(most, MOST_CHARS_ONE_CASE)
+    # Long runs are judged by parts, so the encoder's work stays in proportion.
+    tokens = sum(
+        len(encoding.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096)
+    )
+    return len(run) < most * tokens
+
+
+def _outside(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What sorted base spans leave of a run."""
+    for s, _, e in base:
+        if s < end and start < e:
+            if start < s:
+                yield start, s
+            start = max(start, e)
+    if start < end:
+        yield start, end
+
+
 def random_spans(
     text: str, base: list[tuple[int, int, int]], encoding, most: float = MOST_CHARS_A_TOKEN
 ) -> list[tuple[int, int, int]]:
-    """Spans of runs with few characters a token, outside the base spans."""
+    """Spans of runs, or of their pieces, with few characters a token, outside the base spans."""
     out = []
     for m in _RUN.finditer(text):
-        run = m[0]
-        if not _MIXED.search(run) or _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run):
-            continue
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in base):
+        if _DIGEST.fullmatch(m[0]) or _IDENTIFIER.fullmatch(m[0]):
             continue
-        # Long runs are judged by parts, so the encoder's work stays in proportion.
-        tokens = sum(
-            len(encoding.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096)
-        )
-        if len(run) < most * tokens:
-            out.append((start, 3, end))
+        for start, end in _outside(*m.span(), base):
+            if end - start < LEAST_RUN:
+                continue
+            if _is_random(text[start:end], encoding, most):
+                out.append((start, 3, end))
+                continue
+            for piece in _PIECE.finditer(text, start, end):
+                if piece.span() != (start, end) and _is_random(piece[0], encoding, most):
+                    out.append((piece.start(), 3, piece.end()))
     return out
 
 
