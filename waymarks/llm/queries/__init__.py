@@ -11,6 +11,7 @@ from waymarks.llm.queries import (  # noqa: F401
     op08,
     op09,
     op10,
+    op13,
     pipeline,
 )
 from waymarks.llm.registry import QUERIES, SQL
