@@ -11,6 +11,7 @@ from waymarks.llm.queries import (  # noqa: F401
     op08,
     op09,
     op10,
+    op11,
     op12,
     op13,
     pipeline,

@@ -40,7 +40,7 @@ from waymarks.llm.terms import Terms, byte_table, shards, sort_pointers
 SLOTS = 1 << 20
 #: Share of the documents with terms that a term may be in, for each stage but the last.
 STAGES = (0.001, 0.01, 0.1)
-#: Items of a bundle, and documents of a shard: their product bounds the sums in one task.
+#: Items of a bundle, and documents of a shard at most: their product bounds the sums in one task.
 BUNDLE = 64
 SHARD_DOCS = 4096
 
@@ -56,10 +56,10 @@ _POSTINGS = pa.schema(
 )
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _cut(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
     for shard in shards(batches):
-        for at in range(0, len(shard), SHARD_DOCS):
-            yield shard.slice(at, SHARD_DOCS)
+        for at in range(0, len(shard), most):
+            yield shard.slice(at, most)
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,14 +94,14 @@ def _binary(values: np.ndarray, first: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(first), buffers)
 
 
-def _postings(n_docs: int, n_terms: int, bitmap: bytes):
+def _postings(n_docs: int, n_terms: int, bitmap: bytes, shard_docs: int):
     """Rows of one shard: postings of a term, and one row with the ids of its documents."""
     table = byte_table(digits=True)
     wanted = np.unpackbits(np.frombuffer(bitmap, np.uint8)).view(bool)
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
-        for shard in _cut(batches):
+        for shard in _cut(batches, shard_docs):
             # Documents in order of their id, so that a smaller number is a smaller id.
             shard = shard.take(pc.sort_indices(shard, [("doc_id", "ascending")]))
             ids = pa.array([shard["doc_id"].to_pylist()], pa.list_(pa.int64()))
@@ -151,7 +151,8 @@ def _postings(n_docs: int, n_terms: int, bitmap: bytes):
 class Sums:
     """The accumulators of a bundle in one shard."""
 
-    def __init__(self, state: pd.DataFrame):
+    def __init__(self, state: pd.DataFrame, size: int):
+        self.size = size
         self.of: dict[int, np.ndarray] = {}
         for row in state.itertuples():
             ends = np.cumsum(row.size)[:-1]
@@ -162,7 +163,7 @@ class Sums:
 
     def item(self, key: int) -> np.ndarray:
         if key not in self.of:
-            self.of[key] = np.zeros(SHARD_DOCS, np.int64)
+            self.of[key] = np.zeros(self.size, np.int64)
         return self.of[key]
 
     def add(self, owner: pd.DataFrame) -> dict[int, int]:
@@ -183,10 +184,10 @@ class Sums:
             yield key, docs, sums[docs]
 
 
-def _stage(top: int, last: bool):
+def _stage(top: int, shard_docs: int, last: bool):
     def stage(key: tuple, state: pd.DataFrame, owner: pd.DataFrame) -> pd.DataFrame:
         bundle, shard = key
-        sums = Sums(state)
+        sums = Sums(state, shard_docs)
         rest = sums.add(owner)
         if last:
             found = [
@@ -219,8 +220,18 @@ def _stage(top: int, last: bool):
     return stage
 
 
-def rank_documents(docs: DataFrame, items: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` documents of each item by score: item_id, rank, doc_id, score."""
+def rank_documents(
+    docs: DataFrame,
+    items: DataFrame,
+    top: int = 10,
+    stages: tuple[float, ...] = STAGES,
+    bundle: int = BUNDLE,
+    shard_docs: int = SHARD_DOCS,
+) -> DataFrame:
+    """The ``top`` documents of each item by score: item_id, rank, doc_id, score.
+
+    ``shard_docs`` is at most 65,536.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
     n_docs, n_terms = (
@@ -233,18 +244,18 @@ def rank_documents(docs: DataFrame, items: DataFrame, top: int = 10) -> DataFram
         .withColumn("item", F.xxhash64("item_id", "text"))
     )
     asked = named.select("item", "text").mapInArrow(_item_terms, "item bigint, term string, slot int")
-    bundles = parts(named.count(), BUNDLE)
+    bundles = parts(named.count(), bundle)
 
     # At most SLOTS numbers, however many terms the items have.
     bits = np.zeros(SLOTS, bool)
     for row in asked.select("slot").distinct().toLocalIterator():
         bits[row.slot] = True
-    posted = texts.mapInArrow(_postings(n_docs, n_terms, np.packbits(bits).tobytes()), POSTINGS)
-    posted = stored(posted, "postings")
+    post = _postings(n_docs, n_terms, np.packbits(bits).tobytes(), shard_docs)
+    posted = stored(texts.mapInArrow(post, POSTINGS), "postings")
     postings = posted.where(F.col("term").isNotNull())
 
-    stage = F.lit(len(STAGES))
-    for i, share in reversed(list(enumerate(STAGES))):
+    stage = F.lit(len(stages))
+    for i, share in reversed(list(enumerate(stages))):
         stage = F.when(F.col("docs_with") <= share * n_docs, F.lit(i)).otherwise(stage)
     inverse = (2 * n_docs + 2) / (2 * F.col("docs_with").cast("double") + 1)
     weights = (
@@ -268,15 +279,15 @@ def rank_documents(docs: DataFrame, items: DataFrame, top: int = 10) -> DataFram
     wanted = stored(wanted, "item-terms")
 
     state = spark.createDataFrame([], STATE)
-    for i in range(len(STAGES) + 1):
+    for i in range(len(stages) + 1):
         owners = postings.select("term", "shard", "docs", "ratio").join(
             wanted.where(F.col("stage") == i).drop("stage"), "term"
         )
-        last = i == len(STAGES)
+        last = i == len(stages)
         state = (
             state.groupBy("bundle", "shard")
             .cogroup(owners.groupBy("bundle", "shard"))
-            .applyInPandas(_stage(top, last), FOUND if last else STATE)
+            .applyInPandas(_stage(top, shard_docs, last), FOUND if last else STATE)
         )
     ids = posted.where(F.col("ids").isNotNull()).select("shard", F.posexplode("ids").alias("doc", "doc_id"))
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

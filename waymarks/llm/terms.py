@@ -35,7 +35,7 @@ def shards(batches: Iterator[pa.RecordBatch], most: int = SHARD_BYTES) -> Iterat
     """Slices of whole rows with about ``most`` bytes of ``text`` each."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        sizes = np.diff(_buffers(table["text"])[0])
+        sizes = np.diff(text_buffers(table["text"])[0])
         cut = np.cumsum(sizes) // most
         edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(sizes)]
         for a, b in zip(edges[:-1], edges[1:]):
@@ -43,7 +43,7 @@ def shards(batches: Iterator[pa.RecordBatch], most: int = SHARD_BYTES) -> Iterat
                 yield table.slice(a, b - a)
 
 
-def _buffers(text: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def text_buffers(text: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Offsets from 0 and bytes of the texts, NULL as empty."""
     column = text.cast(pa.large_string()).combine_chunks()
     if isinstance(column, pa.ChunkedArray):
@@ -61,7 +61,7 @@ class Terms:
     """Pointers to the terms of a column of texts: ``start``, ``length`` and ``doc`` (row)."""
 
     def __init__(self, text: pa.ChunkedArray, table: np.ndarray):
-        offsets, data = _buffers(text)
+        offsets, data = text_buffers(text)
         self.data = table[data]
         inside = self.data != 0
         edge = np.zeros(len(data) + 1, bool)
