@@ -17,7 +17,7 @@ from waymarks.sources import writers as W
 
 H = 3_600_000
 DAY0 = 1_599_609_600_000  # 2020-09-09 00:00 UTC
-LINES = [replace(DAILY, large=()), replace(DAILY, slice_ms=H)]
+LINES = [replace(DAILY, slice_ms=10**15), replace(DAILY, slice_ms=H), DAILY]
 
 
 def stays(spark, rows):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymarks.functions.calendar import HOUR_MS, SHANGHAI, Clock
-from waymarks.operators.ordered import DAILY, Timeline, annotate
+from waymarks.operators.ordered import DAILY, Timeline, neighbours
 from waymarks.operators.stays import relabel_and_remerge
 
 
@@ -102,7 +102,7 @@ def area_transition_flow(
     """
     area = cells.select("code", F.concat_ws("_", "city_id", "county_id").alias("area_code"))
     merged = relabel_and_remerge(stays, area, line, smooth=True, midpoint=False)
-    moves = annotate(
+    moves = neighbours(
         merged,
         line,
         before={"_from": F.col("code"), "_left": F.col("e_time")},

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waymarks.functions import geo
 from waymarks.functions.calendar import MINUTE_MS
 from waymarks.operators import stays as S
-from waymarks.operators.ordered import DAILY, Timeline, annotate
+from waymarks.operators.ordered import DAILY, Timeline, annotate, neighbours
 from waymarks.operators.traces import passages
 
 PHONE = Timeline(keys=("phone",))
@@ -80,14 +80,10 @@ def od_changes(
             position="_pos" if compat else None,
             size="_size" if compat else None,
         )
+    elif compat:
+        rows = annotate(rows, line, before=seen, position="_pos", size="_size")
     else:
-        rows = annotate(
-            rows,
-            line,
-            before=seen,
-            position="_pos" if compat else None,
-            size="_size" if compat else None,
-        )
+        rows = neighbours(rows, line, before=seen)
     was = F.coalesce(F.col("_was"), F.lit(""))
     turn = F.col("_label") != was
     if skip_blank:

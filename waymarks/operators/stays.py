@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions import geo
-from waymarks.operators.ordered import DAILY, Timeline, annotate
+from waymarks.operators.ordered import DAILY, Timeline, annotate, merged_runs, neighbours
 
 INDOOR = "INDOOR"
 ROAD = "ROAD"
@@ -22,11 +22,24 @@ def segment_stays(points: DataFrame, line: Timeline = DAILY, code: str = "code")
     )
 
 
-def _scene(line: Timeline) -> Column:
-    """INDOOR when any row is, otherwise the last row's scene."""
-    return F.when(F.max(F.col("scene") == INDOOR), INDOOR).otherwise(
-        F.max_by("scene", line.stamp)
-    )
+def _scene_parts(line: Timeline) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Parts of a run's scene: INDOOR when any row is, otherwise the last row's scene."""
+    parts = {
+        "_indoor": F.max(F.col("scene") == INDOOR),
+        "_last": F.max(F.struct(line.stamp.alias("at"), "scene")),
+    }
+    return parts, {"_indoor": F.max("_indoor"), "_last": F.max("_last")}
+
+
+def _scene() -> Column:
+    return F.when(F.col("_indoor"), INDOOR).otherwise(F.col("_last")["scene"])
+
+
+def _earliest(sources: Column) -> Column:
+    """Of (stamp, source) pairs the earliest of each source, in order."""
+    ordered = F.array_sort(sources)
+    names = F.transform(ordered, lambda s: s["source"])
+    return F.filter(ordered, lambda s, i: F.array_position(names, s["source"]) == i + 1)
 
 
 def stay_aggregate(
@@ -39,73 +52,99 @@ def stay_aggregate(
     """One row per stay: first to last event start, centroid, scene, technology, sources.
 
     ``source`` is ``|`` and the distinct sources in order of first appearance, whatever they are
-    called.  Points are summed by stay and source first, so a stay gathers one entry for each of its
-    sources.  ``carried`` columns come from the first point.
+    called.  Points are summed by slice, stay and source first, so a stay gathers one entry for each
+    of its slices and sources.  ``carried`` columns come from the first point.  Points without a place
+    code take no part and do not split a stay.
     """
-    located = geo.with_metres(points, x="_x", y="_y", meridian=meridian)
-    runs = segment_stays(located, line, code)
-    by_source = runs.groupBy(*line.keys, "run", "source").agg(
-        F.min(code).alias("code"),
-        F.min("s_time").alias("s_time"),
-        F.max("s_time").alias("e_time"),
-        F.count(F.lit(1)).alias("points"),
-        F.count("_x").alias("_n"),
-        F.sum("_x").alias("_sx"),
-        F.sum("_y").alias("_sy"),
-        F.max(F.col("scene") == INDOOR).alias("_indoor"),
-        F.max(F.struct(line.stamp.alias("at"), "scene")).alias("_last"),
-        F.min(line.stamp).alias("_at"),
-        F.min_by(F.struct("rat", *carried), line.stamp).alias("_first"),
+    located = geo.with_metres(
+        points.where(F.col(code).isNotNull()), x="_x", y="_y", meridian=meridian
     )
-    seen = F.array_sort(
-        F.collect_list(F.when(F.col("source").isNotNull(), F.struct("_at", "source")))
-    )
-    grouped = by_source.groupBy(*line.keys, "run").agg(
-        F.min("code").alias("code"),
-        F.min("s_time").alias("s_time"),
-        F.max("e_time").alias("e_time"),
-        F.sum("points").alias("points"),
-        (F.sum("_sx") / F.sum("_n")).alias("_x"),
-        (F.sum("_sy") / F.sum("_n")).alias("_y"),
-        F.when(F.max("_indoor"), INDOOR).otherwise(F.max("_last")["scene"]).alias("scene"),
-        F.min_by("_first", "_at").alias("_first"),
-        F.concat(
-            F.lit("|"), F.array_join(F.transform(seen, lambda s: s["source"]), "")
-        ).alias("source"),
-    )
-    grouped = grouped.withColumns({c: F.col("_first")[c] for c in ("rat", *carried)})
-    grouped = grouped.drop("_first")
-    stays = grouped.withColumns(
+    scene, merged_scene = _scene_parts(line)
+    seen = F.struct(F.min(line.stamp).alias("at"), F.first("source").alias("source"))
+    no_source = F.filter(F.array(seen), lambda s: s["source"].isNotNull())
+    grouped = merged_runs(
+        located,
+        line,
+        F.col(code),
+        {
+            "code": F.first(code),
+            "s_time": F.min("s_time"),
+            "e_time": F.max("s_time"),
+            "points": F.count(F.lit(1)),
+            "_n": F.count("_x"),
+            "_sx": F.sum("_x"),
+            "_sy": F.sum("_y"),
+            "_first": F.min_by(F.struct("rat", *carried), line.stamp),
+            "_sources": no_source,
+            **scene,
+        },
         {
-            "event_id": F.col("run.event_id"),
-            "duration": F.col("e_time") - F.col("s_time"),
-        }
+            "code": F.first("code"),
+            "s_time": F.min("s_time"),
+            "e_time": F.max("e_time"),
+            "points": F.sum("points"),
+            "_n": F.sum("_n"),
+            "_sx": F.sum("_sx"),
+            "_sy": F.sum("_sy"),
+            "_first": F.min_by("_first", "_at"),
+            "_sources": _earliest(F.flatten(F.collect_list("_sources"))),
+            **merged_scene,
+        },
+        by="source",
     )
-    return geo.with_degrees(stays, "_x", "_y", meridian=meridian).drop("run", "_x", "_y")
+    names = F.array_join(F.transform("_sources", lambda s: s["source"]), "")
+    stays = grouped.select(
+        *line.keys,
+        "code",
+        "s_time",
+        "e_time",
+        "points",
+        (F.col("_sx") / F.col("_n")).alias("_x"),
+        (F.col("_sy") / F.col("_n")).alias("_y"),
+        _scene().alias("scene"),
+        *[F.col("_first")[c].alias(c) for c in ("rat", *carried)],
+        F.concat(F.lit("|"), names).alias("source"),
+        F.col("at.event_id").alias("event_id"),
+        (F.col("e_time") - F.col("s_time")).alias("duration"),
+    )
+    return geo.with_degrees(stays, "_x", "_y", meridian=meridian).drop("_x", "_y")
 
 
 def stay_aggregate_given_center(
     points: DataFrame, centers: DataFrame, line: Timeline = DAILY, code: str = "code"
 ) -> DataFrame:
     """As ``stay_aggregate`` with the centre looked up by place code; no technology or source."""
-    runs = segment_stays(points, line, code)
-    grouped = runs.groupBy(*line.keys, "run").agg(
-        F.min(code).alias("code"),
-        F.min("s_time").alias("s_time"),
-        F.max("s_time").alias("e_time"),
-        F.count(F.lit(1)).alias("points"),
-        _scene(line).alias("scene"),
+    scene, merged_scene = _scene_parts(line)
+    grouped = merged_runs(
+        points.where(F.col(code).isNotNull()),
+        line,
+        F.col(code),
+        {
+            "code": F.first(code),
+            "s_time": F.min("s_time"),
+            "e_time": F.max("s_time"),
+            "points": F.count(F.lit(1)),
+            **scene,
+        },
+        {
+            "code": F.first("code"),
+            "s_time": F.min("s_time"),
+            "e_time": F.max("e_time"),
+            "points": F.sum("points"),
+            **merged_scene,
+        },
     )
-    return (
-        grouped.withColumns(
-            {
-                "event_id": F.col("run.event_id"),
-                "duration": F.col("e_time") - F.col("s_time"),
-            }
-        )
-        .drop("run")
-        .join(centers.select("code", "lon", "lat"), "code", "left")
+    stays = grouped.select(
+        *line.keys,
+        "code",
+        "s_time",
+        "e_time",
+        "points",
+        _scene().alias("scene"),
+        F.col("at.event_id").alias("event_id"),
+        (F.col("e_time") - F.col("s_time")).alias("duration"),
     )
+    return stays.join(centers.select("code", "lon", "lat"), "code", "left")
 
 
 def smooth_overlaps(
@@ -115,22 +154,20 @@ def smooth_overlaps(
 
     ``drop_single`` leaves out traces of one stay, as the older daily rebuild does.
     """
-    rows = annotate(
-        stays,
-        line,
-        after={"_next_start": F.col("s_time")},
-        size="_size" if drop_single else None,
-    ).withColumn("e_time", F.least("e_time", "_next_start"))
+    next_start = {"_next_start": F.col("s_time")}
     if drop_single:
-        rows = rows.where(F.col("_size") > 1).drop("_size")
-    return line.unsliced(rows).drop("_next_start")
+        rows = annotate(stays, line, after=next_start, size="_size")
+        rows = line.unsliced(rows.where(F.col("_size") > 1).drop("_size"))
+    else:
+        rows = neighbours(stays, line, after=next_start)
+    return rows.withColumn("e_time", F.least("e_time", "_next_start")).drop("_next_start")
 
 
 def validate_stay_order(
     stays: DataFrame, line: Timeline = DAILY, strict: bool = False
 ) -> DataFrame:
     """Stays that start before the previous one ends; ``strict`` raises on the first one."""
-    rows = annotate(stays, line, before={"previous_end": F.col("e_time")})
+    rows = neighbours(stays, line, before={"previous_end": F.col("e_time")})
     bad = F.col("previous_end") > F.col("s_time")
     if strict:
         message = F.concat(
@@ -139,22 +176,19 @@ def validate_stay_order(
         guarded = F.when(bad, F.raise_error(message).cast("bigint")).otherwise(
             F.col("s_time")
         )
-        return line.unsliced(rows.withColumn("s_time", guarded)).drop("previous_end")
-    return line.unsliced(rows.where(bad))
+        return rows.withColumn("s_time", guarded).drop("previous_end")
+    return rows.where(bad)
 
 
 def suppress_ping_pong(
     points: DataFrame, line: Timeline = DAILY, code: str = "code"
 ) -> DataFrame:
     """Rewrite the middle of an A, B, A flip-flop to A."""
-    rows = annotate(
-        points, line, before={"_was": F.col(code)}, after={"_will_be": F.col(code)}
+    rows = neighbours(
+        points, line, before={"_was_at": F.col(code)}, after={"_will_be": F.col(code)}
     )
-    return line.unsliced(
-        rows.withColumn(
-            code, F.when(F.col("_was") == F.col("_will_be"), F.col("_was")).otherwise(F.col(code))
-        )
-    ).drop("_was", "_will_be")
+    there = F.when(F.col("_was_at") == F.col("_will_be"), F.col("_was_at"))
+    return rows.withColumn(code, there.otherwise(F.col(code))).drop("_was_at", "_will_be")
 
 
 def _folded_center(parts: Column) -> Column:
@@ -193,82 +227,58 @@ def merge_adjacent_stays(
     computed = {"s_time", "e_time", "duration", "scene", "run"}
     if midpoint:
         stays = geo.with_metres(stays, x="_x", y="_y", meridian=meridian)
-    rest = [c for c in stays.columns if c not in computed | {*line.keys, "_x", "_y", line.slice}]
+    hidden = {"_x", "_y", line.row, *line.here}
+    rest = [c for c in stays.columns if c not in computed | {*line.keys} | hidden]
+    parts = {
+        "s_time": F.min("s_time"),
+        "e_time": F.max("e_time"),
+        "_first": F.min_by(F.struct(*rest), line.stamp),
+        "_stays": F.count(F.lit(1)),
+    }
+    merge = {
+        "s_time": F.min("s_time"),
+        "e_time": F.max("e_time"),
+        "_first": F.min_by("_first", "_at"),
+        "_stays": F.sum("_stays"),
+    }
     has_scene = "scene" in stays.columns
-    rows = annotate(
-        stays,
-        line,
-        run_of=F.col(code),
-        after={"_next_start": F.col("s_time")} if smooth else None,
-    )
-    if smooth:
-        rows = rows.withColumn("e_time", F.least("e_time", "_next_start"))
-    group = [*line.keys, line.slice, "run"]
-    at = F.col(line.slice)
-    partial = [
-        F.min("s_time").alias("s_time"),
-        F.max("e_time").alias("e_time"),
-        F.min_by(F.struct(*rest), line.stamp).alias("_first"),
-        F.count(F.lit(1)).alias("_stays"),
-    ]
-    final = [
-        F.min("s_time").alias("s_time"),
-        F.max("e_time").alias("e_time"),
-        F.min_by("_first", at).alias("_first"),
-        F.sum("_stays").alias("_stays"),
-    ]
     if has_scene:
-        partial += [
-            F.max(F.col("scene") == INDOOR).alias("_indoor"),
-            F.max_by("scene", line.stamp).alias("_scene"),
-        ]
-        final.append(
-            F.when(F.max("_indoor"), INDOOR).otherwise(F.max_by("_scene", at)).alias("scene")
-        )
+        scene, merged_scene = _scene_parts(line)
+        parts, merge = {**parts, **scene}, {**merge, **merged_scene}
     if midpoint:
-        back = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in line.order])
+        weight = F.pow(F.lit(2.0), -F.col("_from_end"))
         located = F.when(F.col("_x").isNotNull(), line.stamp)
-        rows = rows.withColumn(
-            "_w",
-            F.pow(F.lit(2.0), -F.count("_x").over(back.rowsBetween(Window.unboundedPreceding, 0))),
-        )
-        partial += [
-            F.count("_x").alias("_n"),
-            F.sum(F.col("_x") * F.col("_w")).alias("_sx"),
-            F.sum(F.col("_y") * F.col("_w")).alias("_sy"),
-            F.min_by("_x", located).alias("_x1"),
-            F.min_by("_y", located).alias("_y1"),
-        ]
-        final.append(
-            F.collect_list(
-                F.struct(
-                    at.alias("at"),
-                    F.col("_n").alias("n"),
-                    F.col("_sx").alias("sx"),
-                    F.col("_sy").alias("sy"),
-                    F.col("_x1").alias("x1"),
-                    F.col("_y1").alias("y1"),
-                )
-            ).alias("_parts")
+        parts["_middle"] = F.struct(
+            F.min(line.stamp).alias("at"),
+            F.count("_x").alias("n"),
+            F.sum(F.col("_x") * weight).alias("sx"),
+            F.sum(F.col("_y") * weight).alias("sy"),
+            F.min_by("_x", located).alias("x1"),
+            F.min_by("_y", located).alias("y1"),
         )
-    # Slice by slice first.
-    merged = rows.groupBy(*group).agg(*partial).groupBy(*line.keys, "run").agg(*final)
-    columns: dict[str, Column] = {c: F.col(f"_first.{c}") for c in rest}
+        merge["_middle"] = F.collect_list("_middle")
+    merged = merged_runs(
+        stays,
+        line,
+        F.col(code),
+        parts,
+        merge,
+        smooth=smooth,
+        from_end=F.col("_x") if midpoint else None,
+    )
+    columns: dict[str, Column] = {c: F.col("_first")[c] for c in rest}
     columns["duration"] = F.col("e_time") - F.col("s_time")
+    if has_scene:
+        columns["scene"] = _scene()
     if midpoint:
-        merged = merged.withColumn("_mid", _folded_center(F.col("_parts")))
+        merged = merged.withColumn("_mid", _folded_center(F.col("_middle")))
         merged = geo.with_degrees(merged, "_mid.x", "_mid.y", "_lon", "_lat", meridian)
         single = F.col("_stays") == 1
         columns["lon"] = F.when(single, F.col("_first.lon")).otherwise(F.col("_lon"))
         columns["lat"] = F.when(single, F.col("_first.lat")).otherwise(F.col("_lat"))
-    merged = merged.withColumns(columns)
+    names = [*rest, "s_time", "e_time", "duration", *(["scene"] if has_scene else [])]
     return merged.select(
-        *line.keys,
-        *rest,
-        "s_time",
-        "e_time",
-        "duration",
-        *(["scene"] if has_scene else []),
+        *line.keys, *[columns[c].alias(c) if c in columns else F.col(c) for c in names]
     )
 
 

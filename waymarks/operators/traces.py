@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymarks.functions import geo
 from waymarks.functions.calendar import HOUR_MS, MINUTE_MS, SHANGHAI, Clock
-from waymarks.operators.ordered import DAILY, Timeline, annotate, exact_median
+from waymarks.operators.ordered import DAILY, Timeline, annotate, exact_median, neighbours
 
 WORK_START_HOUR = 8
 WORK_END_HOUR = 17
@@ -67,9 +67,9 @@ def passages(
     ends = stays.where((F.col("code") == origin) | (F.col("code") == destination)).withColumns(
         {"_is_o": F.col("code") == origin, "_here": fields}
     )
-    rows = annotate(ends, line, before={"_was_o": F.col("_is_o"), "o": F.col("_here")})
+    rows = neighbours(ends, line, before={"_was_o": F.col("_is_o"), "o": F.col("_here")})
     found = rows.where(~F.col("_is_o") & F.col("_was_o"))
-    return line.unsliced(found.withColumn("d", F.col("_here"))).drop("_is_o", "_was_o", "_here")
+    return found.withColumn("d", F.col("_here")).drop("_is_o", "_was_o", "_here")
 
 
 def sub_traces_between(
@@ -93,7 +93,7 @@ def path_length(stays: DataFrame, line: Timeline = DAILY, meridian=geo.CENTRAL_M
     located = geo.with_metres(
         stays.select(*line.keys, *line.order, "lon", "lat"), x="_x", y="_y", meridian=meridian
     )
-    rows = annotate(
+    rows = neighbours(
         located.drop("lon", "lat"),
         line,
         before={"_px": F.col("_x"), "_py": F.col("_y")},
@@ -152,9 +152,9 @@ def home_work_passages(
         (F.col("home") != F.col("office"))
         & ((F.col("code") == F.col("home")) | (F.col("code") == F.col("office")))
     ).withColumn("_here", F.struct(*STAY_FIELDS))
-    rows = annotate(ends, line, before={"o": F.col("_here")})
+    rows = neighbours(ends, line, before={"o": F.col("_here")})
     found = rows.where(F.col("o.code") != F.col("code"))
-    return line.unsliced(found).select(
+    return found.select(
         *line.keys,
         F.when(F.col("o.code") == F.col("home"), "home_to_work")
         .otherwise("work_to_home")

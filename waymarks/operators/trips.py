@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions import geo
-from waymarks.operators.ordered import DAILY, Timeline, annotate
+from waymarks.operators.ordered import DAILY, Timeline, annotate, merged_runs, neighbours
 from waymarks.operators.stays import (
     merge_adjacent_stays,
     relabel_and_remerge,
@@ -87,13 +87,18 @@ def hub_trip_segments(
     scenes = hubs.select("code", "rat", F.col("scene_name").alias("hub"))
     at_hub = stays.join(scenes, ["code", "rat"])
     merged = merge_adjacent_stays(at_hub, line, smooth=True, meridian=meridian)
-    rows = annotate(merged, line, run_of=F.col("hub"))
     stay = F.struct("code", "s_time", "e_time", "lon", "lat")
-    trips = rows.groupBy(*line.keys, "run").agg(
-        F.min("hub").alias("_hub"),
-        F.min_by(stay, line.stamp).alias("a"),
-        F.max_by(stay, line.stamp).alias("b"),
-    )
+    trips = merged_runs(
+        merged,
+        line,
+        F.col("hub"),
+        {
+            "_hub": F.first("hub"),
+            "a": F.min_by(stay, line.stamp),
+            "b": F.max(F.struct(line.stamp.alias("at"), stay.alias("stay"))),
+        },
+        {"_hub": F.first("_hub"), "a": F.min_by("a", "_at"), "b": F.max("b")},
+    ).withColumn("b", F.col("b.stay"))
     trips = _with_distance(trips, "a", "b", "_metres", meridian)
     seconds = F.floor((F.col("b.s_time") - F.col("a.e_time")) / F.lit(1000))
     return (
@@ -129,13 +134,11 @@ def hub_trip_changes(
     )
     merged = stays_from_intervals(labelled.drop("_hub"), line)
     stay = F.struct("code", "hub", "s_time", "e_time", "lon", "lat")
-    rows = annotate(
-        merged.withColumn("a", stay),
-        line,
-        before={"b": F.col("a")},
-        position="_pos" if compat else None,
-        size="_size" if compat else None,
-    )
+    rows = merged.withColumn("a", stay)
+    if compat:
+        rows = annotate(rows, line, before={"b": F.col("a")}, position="_pos", size="_size")
+    else:
+        rows = neighbours(rows, line, before={"b": F.col("a")})
     rows = _with_distance(rows, "a", "b", "_metres", meridian)
     left = F.coalesce(F.col("b.hub"), F.lit(""))
     gap = F.col("a.s_time") - F.col("b.e_time")
