@@ -89,8 +89,12 @@ class Clock:
         )
 
     def parse(self, text: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-        """Epoch milliseconds of a date-time text; NULL when it does not parse."""
-        return wall_ms(F.try_to_timestamp(text, F.lit(pattern))) - self.offset_hours * HOUR_MS
+        """Epoch milliseconds of a date-time text; NULL when it does not parse.
+
+        The text is read as UTC, so the session's zone and its clock changes play no part.
+        """
+        utc = F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(f"{pattern} xxx"))
+        return F.unix_millis(utc) - self.offset_hours * HOUR_MS
 
     def day_ms(self, day_text: Column) -> Column:
         """Epoch milliseconds of midnight of a ``yyyy-MM-dd`` day."""

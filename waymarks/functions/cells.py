@@ -40,9 +40,8 @@ def number_or_zero(text: Column, kind: str = "bigint") -> Column:
 def cell_number(cell: Column) -> Column:
     """One number for 2G and 4G cells; anything unreadable becomes 0."""
     parts = F.split(cell, "_")
-    combined = parts.getItem(0).try_cast("bigint") * LAC_FACTOR + F.try_element_at(
-        parts, F.lit(2)
-    ).try_cast("bigint")
+    area = F.try_multiply(F.get(parts, 0).try_cast("bigint"), F.lit(LAC_FACTOR))
+    combined = F.try_add(area, F.get(parts, 1).try_cast("bigint"))
     return F.coalesce(
         F.when(cell.contains("_"), combined).otherwise(cell.try_cast("bigint")),
         F.lit(0).cast("bigint"),
@@ -50,7 +49,7 @@ def cell_number(cell: Column) -> Column:
 
 
 def _hex(text: Column) -> Column:
-    return F.conv(F.nullif(text, F.lit("")), 16, 10).cast("bigint")
+    return F.conv(F.nullif(text, F.lit("")), 16, 10).try_cast("bigint")
 
 
 def voice_cell(lac: Column, cell: Column, compat: bool = False) -> Column:
@@ -60,7 +59,7 @@ def voice_cell(lac: Column, cell: Column, compat: bool = False) -> Column:
     """
     number = F.coalesce(_hex(F.substring_index(cell, "|", 1)), F.lit(0).cast("bigint"))
     area = _hex(lac)
-    joined = (area - number).cast("string") if compat else F.concat_ws("-", area, number)
+    joined = F.try_subtract(area, number).cast("string") if compat else F.concat_ws("-", area, number)
     return F.when((number <= LARGEST_2G_CELL) & area.isNotNull(), joined).otherwise(
         number.cast("string")
     )
@@ -68,7 +67,7 @@ def voice_cell(lac: Column, cell: Column, compat: bool = False) -> Column:
 
 def data_cell(lac: Column, cell: Column) -> Column:
     """Cell of a data ticket: area times 256 plus cell."""
-    return (_hex(lac) * CELLS_PER_SITE + _hex(cell)).cast("string")
+    return F.try_add(F.try_multiply(_hex(lac), F.lit(CELLS_PER_SITE)), _hex(cell)).cast("string")
 
 
 def site_of(eci: Column) -> Column:

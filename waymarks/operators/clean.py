@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymarks.functions import cells as C
 from waymarks.functions import geo
 from waymarks.functions.calendar import SHANGHAI, Clock
+from waymarks.operators.ordered import DAILY, Timeline, annotate
 
 PLACE_KINDS = ("AOI", "GRID", "SECTOR")
 
@@ -59,49 +62,58 @@ def _scene(text: Column) -> Column:
 
 
 def parse_location_csv(lines: DataFrame) -> DataFrame:
-    """Comma lines (column ``value``) to located events.
+    """Comma lines (column ``value``) to located events; fields that cannot be read are NULL.
 
     Fields: 0 imsi, 1 start, 2 end, 4 cell, 6 scene, 7 session, 8 longitude, 9 latitude.
     """
     part = F.split("value", ",")
     return lines.select(
-        part[0].alias("imsi"),
-        part[1].cast("bigint").alias("s_time"),
-        part[2].cast("bigint").alias("e_time"),
-        part[4].cast("bigint").alias("eci"),
-        _scene(part[6]).alias("scene"),
-        part[7].cast("int").alias("session"),
-        part[8].cast("double").alias("lon"),
-        part[9].cast("double").alias("lat"),
+        F.get(part, 0).alias("imsi"),
+        _number(part, 1).alias("s_time"),
+        _number(part, 2).alias("e_time"),
+        _number(part, 4).alias("eci"),
+        _scene(F.get(part, 6)).alias("scene"),
+        _number(part, 7, "int").alias("session"),
+        _number(part, 8, "double").alias("lon"),
+        _number(part, 9, "double").alias("lat"),
     )
 
 
+def _number(part: Column, i: int, kind: str = "bigint") -> Column:
+    """Field ``i`` as a number; NULL when it is missing, blank or unreadable."""
+    return F.get(part, i).try_cast(kind)
+
+
 def expand_source_target_cell(lines: DataFrame) -> DataFrame:
     """A source-cell event per line and, when field 5 names a target cell, a second event there.
 
-    The target event happens at the end time; its position is left for a cell-table lookup.
+    The target event happens at the end time; its position is left for a cell-table lookup.  Fields that
+    cannot be read are NULL, and a blank or missing target is none.
     """
     part = F.split("value", ",")
+    nothing = F.lit(None)
 
     def event(role, start, cell, lon, lat):
         return F.struct(
             F.lit(role).alias("role"),
-            start.cast("bigint").alias("s_time"),
-            part[2].cast("bigint").alias("e_time"),
-            cell.cast("bigint").alias("eci"),
+            start.alias("s_time"),
+            _number(part, 2).alias("e_time"),
+            cell.alias("eci"),
             lon.cast("double").alias("lon"),
             lat.cast("double").alias("lat"),
         )
 
-    source = event("source", part[1], part[4], part[8], part[9])
-    target = event("target", part[2], part[5], F.lit(None), F.lit(None))
-    events = F.when(part[5] == C.NO_TARGET_CELL, F.array(source)).otherwise(
+    position = [_number(part, i, "double") for i in (8, 9)]
+    source = event("source", _number(part, 1), _number(part, 4), *position)
+    target = event("target", _number(part, 2), _number(part, 5), nothing, nothing)
+    named = F.trim(F.coalesce(F.get(part, 5), F.lit("")))
+    events = F.when(named.isin("", C.NO_TARGET_CELL), F.array(source)).otherwise(
         F.array(source, target)
     )
     return lines.select(
-        part[0].alias("imsi"),
-        _scene(part[6]).alias("scene"),
-        part[7].cast("int").alias("session"),
+        F.get(part, 0).alias("imsi"),
+        _scene(F.get(part, 6)).alias("scene"),
+        _number(part, 7, "int").alias("session"),
         F.inline(events),
     )
 
@@ -122,12 +134,16 @@ def guard_day(stays: DataFrame, day: Column, clock: Clock = SHANGHAI) -> DataFra
 
 
 def drop_bad_coordinate_traces(
-    stays: DataFrame, keys: tuple[str, ...] = ("imsi", "date")
+    stays: DataFrame, line: Timeline = DAILY, dealt: bool = False
 ) -> DataFrame:
-    """Drop every trace with any longitude or latitude below 0 or above 180."""
+    """Drop every trace with any longitude or latitude below 0 or above 180.
+
+    A trace whose key is NULL is a trace like any other.  ``dealt`` keeps the columns by which rows are
+    dealt, so that a next step along ``line`` needs no shuffle.
+    """
     outside = ~F.col("lon").between(0, 180) | ~F.col("lat").between(0, 180)
-    bad = stays.where(outside).select(*keys).distinct()
-    return stays.join(bad, list(keys), "left_anti")
+    rows = annotate(stays, line, anywhere={"_bad": outside}).where(~F.col("_bad")).drop("_bad")
+    return rows if dealt else line.unsliced(rows)
 
 
 def require_full_identity(
@@ -221,7 +237,49 @@ def cells_within_radius(
     # A degree of latitude is at least 110 km; widen the box a little for the projection.
     reach = radius / 110_000 * 1.05
     box = F.col("lat").between(lat - reach, lat + reach)
+    furthest = max(abs(lat - reach), abs(lat + reach))
+    if furthest < 89:
+        # Meridians draw together towards the poles; a box over the date line has two parts.
+        wide = reach / math.cos(math.radians(furthest))
+        apart = F.abs(F.col("lon") - lon)
+        if wide < 180:
+            box = box & ((apart <= wide) | (apart >= 360 - wide))
     near = geo.with_metres(cells.where(box), x="_x", y="_y", meridian=meridian)
     near = geo.with_metres(near, F.lit(lon), F.lit(lat), "_cx", "_cy", meridian)
     near = near.withColumn("distance", geo.euclid("_x", "_y", "_cx", "_cy"))
     return near.where(F.col("distance") < radius).drop("_x", "_y", "_cx", "_cy")
+
+
+def cells_near_places(
+    cells: DataFrame,
+    places: DataFrame,
+    radius: float,
+    meridian: float = geo.CENTRAL_MERIDIAN,
+) -> DataFrame:
+    """Cells nearer than ``radius`` metres to each of many places (``place``, lon, lat).
+
+    Both sides are dealt to squares of ``radius`` metres in the projection in which distances are
+    measured.  A place looks into its own square and the ring around it, so the join is on equal squares
+    and each pair is met once.
+    """
+    here = geo.with_metres(cells, x="_x", y="_y", meridian=meridian)
+    there = geo.with_metres(
+        places.select("place", F.col("lon").alias("_plon"), F.col("lat").alias("_plat")),
+        "_plon", "_plat", "_px", "_py", meridian,
+    )
+
+    def square(c: str) -> Column:
+        return F.floor(F.col(c) / F.lit(float(radius)))
+
+    ring = F.array(*[
+        F.struct((square("_px") + i).alias("_sx"), (square("_py") + j).alias("_sy"))
+        for i in (-1, 0, 1)
+        for j in (-1, 0, 1)
+    ])
+    met = here.withColumns({"_sx": square("_x"), "_sy": square("_y")}).join(
+        there.select("place", "_px", "_py", F.inline(ring)), ["_sx", "_sy"]
+    )
+    distance = geo.euclid("_x", "_y", "_px", "_py")
+    return met.withColumn("distance", distance).where(F.col("distance") < radius).drop(
+        "_x", "_y", "_px", "_py", "_sx", "_sy"
+    )

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymarks.functions.calendar import HOUR_MS
+from waymarks.operators.intervals import overlap_join
+
 KIND_FIELDS = ("aoi", "grid", "sector")
 SECTOR_AREA = 300.0
 
@@ -14,16 +17,24 @@ def headcount(crowd: DataFrame) -> DataFrame:
 
 
 def crowd_is_empty(crowd: DataFrame) -> DataFrame:
-    return crowd.agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+    """Whether nobody is in the crowd; one row is enough to know."""
+    return crowd.select(F.lit(1).alias("_one")).limit(1).agg((F.count("_one") == 0).alias("is_empty"))
 
 
 def crowd_non_empty(crowd: DataFrame) -> DataFrame:
-    return crowd.agg((F.count(F.lit(1)) > 0).alias("non_empty"))
+    return crowd.select(F.lit(1).alias("_one")).limit(1).agg((F.count("_one") > 0).alias("non_empty"))
 
 
 def crowd_add_users(crowd: DataFrame, newcomers: DataFrame) -> DataFrame:
-    """Add users; one who is already there is replaced."""
-    return crowd.join(newcomers.select("imsi"), "imsi", "left_anti").unionByName(newcomers)
+    """Add users; one who is already there is replaced.
+
+    A crowd is unique by imsi: of several rows of one newcomer the largest, compared column by
+    column, stays.
+    """
+    both = crowd.withColumn("_new", F.lit(0)).unionByName(newcomers.withColumn("_new", F.lit(1)))
+    rest = [c for c in crowd.columns if c != "imsi"]
+    latest = both.groupBy("imsi").agg(F.max(F.struct("_new", *rest)).alias("_user"))
+    return latest.select(*[F.col("imsi") if c == "imsi" else F.col("_user")[c].alias(c) for c in crowd.columns])
 
 
 def _at(side: str, kind: str, code: str) -> Column:
@@ -85,6 +96,21 @@ def linger_crowd(
     return users.join(there.select("imsi"), "imsi", "left_semi")
 
 
+def linger_crowds(
+    stays: DataFrame, windows: DataFrame, bucket_ms: int = HOUR_MS
+) -> DataFrame:
+    """Users with a stay at the place of each window that overlaps it: ``window``, ``imsi``.
+
+    ``windows``: ``window``, ``code`` and [``start``, ``end``).
+    """
+    spans = windows.select("window", "code", F.col("start").alias("w_start"), F.col("end").alias("w_end"))
+    met = overlap_join(
+        stays.select("imsi", "code", "s_time", "e_time"),
+        spans, ("s_time", "e_time"), ("w_start", "w_end"), ("code",), bucket_ms,
+    )
+    return met.select("window", "imsi").distinct()
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 

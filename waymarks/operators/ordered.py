@@ -226,6 +226,7 @@ def annotate(
     position: str | None = None,
     size: str | None = None,
     anywhere: dict[str, Column] | None = None,
+    least: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add columns read from other rows of the same trace.
 
@@ -233,7 +234,8 @@ def annotate(
     ``last_before``/``last_upto``: last non-NULL value before this row / up to this row.
     ``run_of``: adds ``run``, the order stamp and value of the first row of the current run of
     equal values.  ``position``/``size``: 1-based row number in the trace, and its length.
-    ``anywhere``: whether a condition holds for any row of the trace.
+    ``anywhere``: whether a condition holds for any row of the trace.  ``least``: the smallest
+    non-NULL value in the trace.
     The columns of ``Timeline.here`` stay on the result so that a following call needs no shuffle.
     """
     before, after = before or {}, after or {}
@@ -289,6 +291,10 @@ def annotate(
         summary.append(F.max(condition).alias(f"_s_{name}"))
         carried[f"_c_{name}"] = F.max(f"_s_{name}").over(Window.partitionBy(*line.whole))
         result[name] = F.coalesce(f"_c_{name}", F.lit(False))
+    for name, value in (least or {}).items():
+        summary.append(F.min(value).alias(f"_s_{name}"))
+        carried[f"_c_{name}"] = F.min(f"_s_{name}").over(Window.partitionBy(*line.whole))
+        result[name] = F.col(f"_c_{name}")
     if run_of is not None:
         turn = F.when(
             (F.row_number().over(local) > 1) & ~F.lag(run_of).over(local).eqNullSafe(run_of),
@@ -330,31 +336,29 @@ def exact_median(
 ) -> DataFrame:
     """Exact median of an integer column per key, without gathering a key's values.
 
-    Values are first counted, then located through a histogram of ``bin_width`` bins; only the
-    one or two bins holding the middle are ranked.  Groups are bounded by the number of bins
-    of a key and by ``bin_width`` distinct values in a bin.
+    Values are dealt by bins of ``bin_width`` and counted there.  Bin totals, made from the same dealt
+    rows, say which one or two bins hold the middle; only those are ranked.  Groups are bounded
+    by the number of bins of a key and by ``bin_width`` distinct values in a bin.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_b", F.floor(F.col("_v") / F.lit(bin_width)))
+    here = [*keys, "_b"]
+    values = df.where(F.col(value).isNotNull()).select(
+        *keys, F.floor(F.col(value) / F.lit(bin_width)).alias("_b"), F.col(value).alias("_v")
     )
-    bins = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"))
+    counts = values.repartition(*here).groupBy(*here, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    bins = counts.groupBy(*here).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lowest"))
     up = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     bins = bins.withColumns(
         {"_upto": F.sum("_n").over(up), "_all": F.sum("_n").over(Window.partitionBy(*keys))}
     )
     low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
-    holding = bins.where(
-        (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < high)
-    ).select(*keys, "_b", "_all", (F.col("_upto") - F.col("_n")).alias("_below"))
-    inner = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    ranked = counts.join(holding, [*keys, "_b"]).withColumn(
-        "_r", F.sum("_c").over(inner) + F.col("_below")
+    below = F.col("_upto") - F.col("_n")
+    holding = bins.where((F.col("_upto") >= low) & (below < high)).select(
+        *here, "_all", "_lowest", below.alias("_below")
     )
+    inner = Window.partitionBy(*here).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    # The lowest value keeps the columns of both sides the same, so they share the dealt rows.
+    ranked = counts.join(holding, here).where(F.col("_v") >= F.col("_lowest"))
+    ranked = ranked.withColumn("_r", F.sum("_c").over(inner) + F.col("_below"))
     middle = ranked.where((F.col("_r") >= low) & (F.col("_r") - F.col("_c") < high))
     return middle.groupBy(*keys).agg(
         ((F.min("_v") + F.max("_v")) / 2).alias(out)

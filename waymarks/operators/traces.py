@@ -15,7 +15,8 @@ STAY_FIELDS = ("event_id", "code", "s_time", "e_time", "lon", "lat")
 
 
 def trace_contains(stays: DataFrame, code: str, keys=("imsi", "date")) -> DataFrame:
-    return stays.groupBy(*keys).agg(F.max(F.col("code") == code).alias("visited"))
+    hit = F.coalesce(F.col("code") == code, F.lit(False))
+    return stays.groupBy(*keys).agg(F.max(hit).alias("visited"))
 
 
 def trace_passby_count(stays: DataFrame, places: DataFrame, keys=("imsi", "date")) -> DataFrame:
@@ -238,14 +239,14 @@ def one_day_od(
     the end of work count.  Traces without a home stay give no row.
     """
     homed = _with_home_work(stays, subscribers, kind)
-    first_home = (
-        homed.where(F.col("code") == F.col("home"))
-        .groupBy(*line.keys)
-        .agg(F.min_by(F.struct(*STAY_FIELDS), line.stamp).alias("_o"))
+    at_home = F.when(
+        F.col("code") == F.col("home"),
+        F.struct(line.stamp.alias("at"), F.struct(*STAY_FIELDS).alias("stay")),
     )
+    known = annotate(homed, line, least={"_first": at_home}).where(F.col("_first").isNotNull())
     midnight = clock.day_ms(F.col("date"))
     within = sub_trace_by_time(
-        homed.join(first_home, list(line.keys)),
+        line.unsliced(known).withColumn("_o", F.col("_first.stay")),
         F.least(F.col("_o.e_time"), midnight + work_start * HOUR_MS),
         midnight + work_end * HOUR_MS,
     )

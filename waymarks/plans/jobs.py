@@ -77,10 +77,12 @@ def cell_stay_table_text(
     ``sites``: ``eci``, lon, lat; rows of unknown cells are dropped, and so is a whole trace with
     any impossible coordinate.  ``counties``: ``code`` and ``county_id``.
     """
-    located = clean.drop_bad_coordinate_traces(
-        intervals.join(sites.select("eci", "lon", "lat"), "eci"), line.keys
-    ).withColumn("code", F.col("eci").cast("string"))
-    merged = S.stays_from_intervals(located, line)
+    known = intervals.join(sites.select("eci", "lon", "lat"), "eci").withColumn(
+        "code", F.col("eci").cast("string")
+    )
+    by_end = line.ordered_by("e_time", "s_time", "event_id")
+    located = clean.drop_bad_coordinate_traces(known, by_end, dealt=True)
+    merged = S.merge_adjacent_stays(located, by_end)
     return (
         merged.where(~F.col("code").contains("-"))
         .join(counties.select("code", "county_id"), "code", "left")
