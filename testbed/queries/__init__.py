@@ -3,6 +3,7 @@
 from testbed.queries import (  # noqa: F401
     cleaning,
     crowds,
+    files,
     flows,
     geometry,
     jobs,

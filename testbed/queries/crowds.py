@@ -164,3 +164,22 @@ def _(t):
 )
 def _(t):
     return G.head_density(t.subscribers()).withColumn("density", F.round("density", 9))
+
+
+@query(
+    "linger_crowds",
+    """, w AS (SELECT event_id AS w, concat('C', k//10) AS code, s_time AS f, s_time + 7200000 AS u FROM ev
+      WHERE event_id%50=0)
+    SELECT DISTINCT w AS "window", imsi FROM w JOIN iv_county iv USING (code)
+    WHERE iv.s_time < u AND iv.e_time > f""",
+)
+def _(t):
+    """Windows of two hours around every fiftieth event, against all stays."""
+    e = t.intervals("county").where(F.col("event_id") % 50 == 0)
+    windows = e.select(
+        F.col("event_id").alias("window"),
+        "code",
+        F.col("s_time").alias("start"),
+        (F.col("s_time") + 7_200_000).alias("end"),
+    )
+    return G.linger_crowds(t.intervals("county"), windows)

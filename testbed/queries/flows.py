@@ -8,7 +8,7 @@ from waymarks.functions.calendar import UTC
 from waymarks.operators import flows as L
 
 AREA = f""", rl AS (SELECT iv.* REPLACE (coalesce(c.county_id, '') AS code) FROM iv
-    LEFT JOIN cells c ON iv.code=c.code),
+    LEFT JOIN cells c ON iv.code=c.code AND iv.rat=c.rat AND c.code<>'0'),
   m AS (SELECT * FROM {merge(smooth('rl'), midpoint=False)})"""
 
 
@@ -51,7 +51,7 @@ def _(t):
 @query(
     "hourly_custom_area_flow",
     f""", rl AS (SELECT iv.* REPLACE (coalesce(c.area, '') AS code) FROM iv LEFT JOIN
-      (SELECT code, CASE WHEN k%10<2 THEN 'hubs' ELSE 'campus' END AS area FROM cells WHERE k%10<3) c
+      (SELECT code, CASE WHEN k%10<2 THEN 'hubs' ELSE 'campus' END AS area FROM cells WHERE k%10<3 AND code<>'0') c
       ON iv.code=c.code),
     m AS (SELECT * FROM {merge(smooth('rl'), midpoint=False)} WHERE code<>'')"""
     + roles("m")
@@ -68,8 +68,8 @@ def _(t):
 
 @query(
     "area_transition_flow",
-    f""", rl AS (SELECT iv.* REPLACE (concat(c.city_id, '_', c.county_id) AS code) FROM iv
-      JOIN cells c ON iv.code=c.code),
+    f""", rl AS (SELECT iv.* REPLACE (CASE WHEN c.code IS NULL THEN ''
+      ELSE concat(c.city_id, '_', c.county_id) END AS code) FROM iv LEFT JOIN cells c ON iv.code=c.code AND iv.rat=c.rat AND c.code<>'0'),
     m AS (SELECT * FROM {merge(smooth('rl'), midpoint=False)}),
     p AS (SELECT *, lag(code) OVER w AS a, lag(e_time) OVER w AS left_at FROM m
       WINDOW w AS (PARTITION BY imsi, date ORDER BY s_time, event_id)),
@@ -83,3 +83,17 @@ def _(t):
 )
 def _(t):
     return L.area_transition_flow(t.intervals(), t.cells(), clock=UTC, line=t.daily())
+
+
+@query(
+    "flow_rejects",
+    """SELECT event_id, CASE WHEN k%5=0 THEN 'no time' WHEN k%5=1 THEN 'ends before it starts'
+    ELSE 'too long' END AS reason FROM ev WHERE k%5<3""",
+)
+def _(t):
+    """Ends that are missing, before the start, or never."""
+    k = F.col("k") % 5
+    broken = F.when(k == 1, F.col("s_time") - 1).when(k == 2, F.lit(9 * 10**15))
+    end = F.when(k > 2, F.col("s_time") + 1000).when(k > 0, broken)
+    stays = t.events().withColumn("e_time", end.cast("bigint"))
+    return L.flow_rejects(stays).select("event_id", "reason")

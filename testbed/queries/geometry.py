@@ -10,6 +10,9 @@ from waymarks.operators.ordered import annotate
 from waymarks.operators.stays import merge_adjacent_stays
 
 
+BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
 def degrees(df):
     return df.select("event_id", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
 
@@ -156,7 +159,7 @@ def _geohash_sql(lon: str, lat: str) -> str:
             n = 5 * i + j
             source, at = (lo, 29 - n // 2) if n % 2 == 0 else (la, 29 - n // 2)
             bits.append(f"(({source} >> {at}) & 1) * {16 >> j}")
-        chars.append(f"substr('{geohash.ALPHABET}', CAST({' + '.join(bits)} AS BIGINT) + 1, 1)")
+        chars.append(f"substr('{BASE32}', CAST({' + '.join(bits)} AS BIGINT) + 1, 1)")
     return "concat(" + ", ".join(chars) + ")"
 
 
@@ -174,7 +177,7 @@ def _(t):
     "geohash_decode",
     f""", g AS (SELECT event_id, {GEOHASH} AS h FROM pt),
     d AS (SELECT event_id, h, list_transform(range(0, 60), lambda n:
-        ((instr('{geohash.ALPHABET}', substr(h, n//5 + 1, 1)) - 1) >> (4 - n%5)) & 1) AS b FROM g),
+        ((instr('{BASE32}', substr(h, n//5 + 1, 1)) - 1) >> (4 - n%5)) & 1) AS b FROM g),
     f AS (SELECT event_id, h,
       list_sum(list_transform(range(0, 30), lambda i: b[2*i+1] * pow(2, -(i+1)))) AS fx,
       list_sum(list_transform(range(0, 30), lambda i: b[2*i+2] * pow(2, -(i+1)))) AS fy FROM d),
@@ -222,3 +225,18 @@ def _(t):
 def _(t):
     chosen = t.cells().where(F.col("scene_id") == "YDY3")
     return clean.keep_cells_in_dim(t.points(), chosen, "eci").select("event_id", "eci")
+
+
+@query(
+    "cells_near_places",
+    f""", near AS (SELECT DISTINCT lon, lat, 'p' || k AS place FROM cells WHERE k%100=7)
+    SELECT place, eci, round(distance,3) AS distance FROM (SELECT p.place, c.eci,
+      sqrt(pow(c.x-p.x,2)+pow(c.y-p.y,2)) AS distance
+      FROM {project('cells')} c, {project('near')} p) WHERE distance < 3000""",
+)
+def _(t):
+    places = t.cells().where(F.col("k") % 100 == 7).select(
+        F.concat(F.lit("p"), "k").alias("place"), "lon", "lat"
+    )
+    near = clean.cells_near_places(t.cells(), places, 3000)
+    return near.select("place", "eci", F.round("distance", 3).alias("distance"))

@@ -24,7 +24,7 @@ def cell_table(points: str) -> str:
       round(a.lon,7) AS longitude, round(a.lat,7) AS latitude, {hashed} AS geohash,
       'CN' AS country_code, coalesce(city_id,'') AS city_code, coalesce(county_id,'') AS county_code,
       a.s_time AS enter_time, a.e_time AS leave_time, source
-    FROM {aggregate(points)} a LEFT JOIN cells c ON a.code=c.code AND a.rat=c.rat"""
+    FROM {aggregate(points)} a LEFT JOIN cells c ON a.code=c.code AND a.rat=c.rat AND c.code<>'0'"""
 
 
 CELL_TABLE = "SELECT * FROM ("
@@ -133,7 +133,7 @@ TICKET_KEYS = "imsi, phone, date"
 
 
 def ticket_tables(t):
-    tickets = t.tickets().withColumn("cell", F.substring_index("cell", "|", 1))
+    tickets = t.tickets()
     return [
         tickets.where((F.col("origin") == o) & (F.col("service") == s))
         for o in ("local", "out")
@@ -155,11 +155,11 @@ def _(t):
 
 @query(
     "merge_ticket_and_location",
-    f""", a AS (SELECT imsi, date, event_id, code, s_time, e_time, lon, lat, scene, rat, 'xdr' AS source
-      FROM iv),
-    b AS (SELECT imsi, date, event_id + 1000000000 AS event_id, code, s_time + 60000 AS s_time,
-      e_time + 60000 AS e_time, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS DOUBLE) AS lat,
-      'ROAD' AS scene, 0 AS rat, 'bill' AS source FROM iv WHERE scene='ROAD'),
+    TICKETS
+    + f""", b AS (SELECT imsi, date, event_id, code, s_time, e_time, CAST(NULL AS DOUBLE) AS lon,
+      CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS VARCHAR) AS scene, 0 AS rat, 'bill' AS source
+      FROM {merge(smooth('tk', TICKET_KEYS), TICKET_KEYS, midpoint=False)}),
+    a AS (SELECT imsi, date, event_id, code, s_time, e_time, lon, lat, scene, rat, 'xdr' AS source FROM iv),
     u AS (SELECT * FROM a UNION ALL SELECT * FROM b),
     m AS (SELECT * FROM {merge(smooth('u'), carry=('source',))})
     SELECT imsi, date, event_id, code, s_time, e_time, duration, scene, source, round(lon,7) AS lon,
@@ -167,19 +167,10 @@ def _(t):
 )
 def _(t):
     located = t.intervals().withColumn("source", F.lit("xdr")).drop("rat")
-    bills = (
-        located.where(F.col("scene") == "ROAD")
-        .drop("lon", "lat")
-        .withColumns(
-            {
-                "event_id": F.col("event_id") + 1000000000,
-                "s_time": F.col("s_time") + 60000,
-                "e_time": F.col("e_time") + 60000,
-                "source": F.lit("bill"),
-            }
-        )
+    tickets = J.merged_tickets(*ticket_tables(t), clock=UTC, line=t.by_ticket()).select(
+        "imsi", "date", "event_id", "code", "s_time", "e_time", F.lit("bill").alias("source")
     )
-    return degrees(J.merge_ticket_and_location(bills, located, t.daily()), "lon", "lat")
+    return degrees(J.merge_ticket_and_location(tickets, located, t.daily()), "lon", "lat")
 
 
 STAY_TEXT = """concat_ws(',', CAST(lon AS VARCHAR), CAST(lat AS VARCHAR), '', code, s_time, e_time,
@@ -189,8 +180,8 @@ STAY_TEXT = """concat_ws(',', CAST(lon AS VARCHAR), CAST(lat AS VARCHAR), '', co
 @query(
     "trace_serialise",
     f""", m AS (SELECT * FROM {merge('iv', midpoint=False)})
-    SELECT imsi, date, CAST(0 AS BIGINT) AS part, concat(imsi, ',SECTOR#',
-      array_to_string(list({STAY_TEXT} ORDER BY {ORDER}), '#')) AS trace FROM m GROUP BY imsi, date""",
+    SELECT imsi, date, s_time//3600000 AS part, concat(imsi, ',SECTOR#',
+      array_to_string(list({STAY_TEXT} ORDER BY {ORDER}), '#')) AS trace FROM m GROUP BY imsi, date, part""",
 )
 def _(t):
     stays = S.merge_adjacent_stays(t.intervals(), midpoint=False, line=t.daily())
@@ -199,33 +190,38 @@ def _(t):
 
 @query(
     "point_trace_text",
-    f""", m AS (SELECT * FROM {aggregate('(SELECT * FROM pt WHERE value>=2)')})
-    SELECT imsi, date, CAST(0 AS BIGINT) AS part, count(*) AS stays,
-      list_reduce(list(code ORDER BY {ORDER}), lambda a, b: concat(a, '#', b)) AS codes
-    FROM m GROUP BY imsi, date""",
+    f""", m AS (SELECT * FROM {aggregate('pt')})
+    SELECT imsi, date, s_time//3600000 AS part, concat(imsi, ',SECTOR#', array_to_string(list(
+      concat_ws(',', 'lonlat', '', code, s_time, CASE WHEN e_time<>0 THEN e_time END, duration,
+        CASE WHEN scene='INDOOR' THEN 'INDOOR' ELSE 'ROAD' END) ORDER BY {ORDER}), '#')) AS trace,
+      list(round(lon, 6) ORDER BY {ORDER}) AS lons, list(round(lat, 6) ORDER BY {ORDER}) AS lats
+    FROM m GROUP BY imsi, date, part""",
 )
 def _(t):
-    texts = J.point_trace_text(t.points(), where=F.col("value") >= 2, line=t.daily())
+    """Whole texts; the positions in them are compared as numbers."""
+    texts = J.point_trace_text(t.points(), line=t.daily())
     stays = F.slice(F.split("trace", "#"), 2, 10**6)
-    codes = F.transform(stays, lambda s: F.split(s, ",")[3])
+
+    def number(i):
+        return F.transform(stays, lambda s: F.round(F.split(s, ",")[i].cast("double"), 6))
+
+    rest = F.regexp_replace("trace", "#[-0-9.E]*,[-0-9.E]*,", "#lonlat,")
     return texts.select(
-        "imsi",
-        "date",
-        "part",
-        F.size(codes).cast("bigint").alias("stays"),
-        F.array_join(codes, "#").alias("codes"),
+        "imsi", "date", "part", rest.alias("trace"), number(0).alias("lons"), number(1).alias("lats")
     )
 
 
 @query(
     "interval_trace_count",
-    f""", ph AS (SELECT *, concat('138', imsi) AS phone FROM iv_county)
+    f""", ph AS (SELECT *, concat('138', imsi) AS phone FROM iv_eci
+      WHERE code IN (SELECT CAST(eci AS VARCHAR) FROM cells WHERE k%7<>0))
     SELECT phone, date, count(*) AS stays FROM {merge('ph', 'phone, date', BY_END, midpoint=False)}
     GROUP BY ALL""",
 )
 def _(t):
-    rows = t.intervals("county").withColumn("phone", F.concat(F.lit("138"), "imsi"))
-    return J.interval_trace_count(rows, Timeline(keys=("phone", "date")))
+    rows = t.intervals("eci").withColumn("phone", F.concat(F.lit("138"), "imsi"))
+    rows = rows.withColumn("eci", F.col("code").cast("bigint"))
+    return J.interval_trace_count(rows, t.cells().where(F.col("k") % 7 != 0))
 
 
 @query(
@@ -239,7 +235,7 @@ def _(t):
 @query(
     "single_area_subscribers",
     f""", rl AS (SELECT iv.* REPLACE (coalesce(c.county_id,'') AS code) FROM iv LEFT JOIN
-      (SELECT * FROM cells WHERE scene_id<>'YDY2') c ON iv.code=c.code),
+      (SELECT * FROM cells WHERE scene_id<>'YDY2' AND code<>'0') c ON iv.code=c.code AND iv.rat=c.rat),
     m AS (SELECT *, count(*) OVER (PARTITION BY imsi, date) AS n FROM {merge('rl', midpoint=False)})
     SELECT imsi, date, code AS area_code, s_time, e_time FROM m WHERE n=1""",
 )
@@ -304,7 +300,7 @@ def _(t):
 @query(
     "relabel_and_remerge",
     f""", rl AS (SELECT iv.* REPLACE (coalesce(c.county_id, iv.code) AS code) FROM iv LEFT JOIN
-      (SELECT * FROM cells WHERE scene_id<>'YDY2') c ON iv.code=c.code)
+      (SELECT * FROM cells WHERE scene_id<>'YDY2' AND code<>'0') c ON iv.code=c.code)
     SELECT imsi, date, event_id, code, s_time, e_time, duration, round(lon,7) AS lon, round(lat,7) AS lat,
       scene, rat FROM {merge('rl')}""",
 )
@@ -316,28 +312,36 @@ def _(t):
     return degrees(merged, "lon", "lat")
 
 
-TWO_DAYS = """, a AS (SELECT * FROM iv_county WHERE date='2024-01-10'),
-    b AS (SELECT * FROM iv_county WHERE date='2024-01-11')"""
+APPENDED = f""", sp AS (SELECT imsi, date, min(s_time) AS f, max(e_time) AS t FROM iv_county GROUP BY ALL),
+    fold AS (SELECT imsi, list_reduce(list({{'f': f, 't': t, 'd': [date]}} ORDER BY f, t, date), lambda a, b:
+      CASE WHEN b.f > a.t OR b.t < a.f
+      THEN {{'f': least(a.f, b.f), 't': greatest(a.t, b.t), 'd': list_concat(a.d, b.d)}} ELSE a END) AS x
+      FROM sp GROUP BY imsi),
+    kept AS (SELECT imsi, unnest(x.d) AS date FROM fold),
+    marked AS (SELECT *, CASE WHEN date <> lag(date) OVER w AND code = lag(code) OVER w THEN 0 ELSE 1 END AS n
+      FROM iv_county SEMI JOIN kept USING (imsi, date)
+      WINDOW w AS (PARTITION BY imsi ORDER BY {ORDER})),
+    numbered AS (SELECT *, sum(n) OVER (PARTITION BY imsi ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING) AS g
+      FROM {project('marked', x='_x', y='_y')}),
+    joined AS (SELECT imsi, arg_min(event_id, ({ORDER})) AS event_id, arg_min(date, ({ORDER})) AS date,
+      arg_min(code, ({ORDER})) AS code, min(s_time) AS s_time, max(e_time) AS e_time,
+      max(e_time) - min(s_time) AS duration, arg_min(rat, ({ORDER})) AS rat, count(*) AS cnt,
+      CASE WHEN bool_or(scene='INDOOR') THEN 'INDOOR' ELSE arg_max(scene, ({ORDER})) END AS scene,
+      arg_min(lon, ({ORDER})) AS lon1, arg_min(lat, ({ORDER})) AS lat1,
+      list_reduce(list(_x ORDER BY {ORDER}), lambda p, q: (p+q)/2) AS _mx,
+      list_reduce(list(_y ORDER BY {ORDER}), lambda p, q: (p+q)/2) AS _my FROM numbered GROUP BY imsi, g)"""
 
 
 @query(
     "merge_traces_across_days",
-    TWO_DAYS
-    + f""", cl AS (SELECT imsi FROM (SELECT imsi, min(s_time) AS f, max(e_time) AS l FROM a GROUP BY 1) x
-      JOIN (SELECT imsi, min(s_time) AS rf, max(e_time) AS rl FROM b GROUP BY 1) y USING (imsi)
-      WHERE NOT (l < rf OR f > rl)),
-    u AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE imsi NOT IN (SELECT imsi FROM cl))
-    SELECT imsi, event_id, date, code, s_time, e_time, duration, scene, rat,
-      round(lon,7) AS lon, round(lat,7) AS lat FROM {merge('u', 'imsi', carry=('date',))}""",
+    APPENDED
+    + f""" SELECT imsi, event_id, date, code, s_time, e_time, duration, scene, rat,
+      round(CASE WHEN cnt=1 THEN lon1 ELSE _ulon END, 7) AS lon,
+      round(CASE WHEN cnt=1 THEN lat1 ELSE _ulat END, 7) AS lat
+    FROM {unproject('joined', '_mx', '_my', '_ulon', '_ulat')}""",
 )
 def _(t):
-    day = t.intervals("county")
-    merged = S.merge_traces_across_days(
-        day.where(F.col("date") == "2024-01-10"),
-        day.where(F.col("date") == "2024-01-11"),
-        t.lifetime(),
-    )
-    return degrees(merged, "lon", "lat")
+    return degrees(S.append_traces(t.intervals("county"), "date", t.lifetime()), "lon", "lat")
 
 
 @query(

@@ -92,9 +92,8 @@ OFFICE = f"({HOUR.format('s_time')}>=8 AND {HOUR.format('e_time')}<=20)"
 WEEKEND = "isodow(make_timestamp(s_time*1000))>=6"
 
 
-@query(
-    "place_labels_weekend",
-    f""", st AS (SELECT s.imsi, s.code, {WEEKEND} AS we, {OFFICE} AS office, u.work_cell FROM iv_eci s
+def weekend_sql(stays: str, imei: str = "imei") -> str:
+    return f""", st AS (SELECT s.imsi, s.code, {WEEKEND} AS we, {OFFICE} AS office, u.work_cell FROM {stays} s
       JOIN subs u USING (imsi)),
     ct AS (SELECT imsi, count(*) FILTER (we AND code=work_cell) AS won,
       count(*) FILTER (we AND code<>work_cell) AS woff,
@@ -104,15 +103,31 @@ WEEKEND = "isodow(make_timestamp(s_time*1000))>=6"
       (SELECT scene_name FROM cells WHERE CAST(eci AS VARCHAR)=home_cell) AS h,
       (SELECT scene_name FROM cells WHERE CAST(eci AS VARCHAR)=work_cell) AS w
       FROM subs JOIN ct USING (imsi))
-    SELECT imsi, phone, imei, '教务人员' AS crowd_name FROM u WHERE h IS NOT NULL AND w='学校' AND age>23
+    SELECT imsi, phone, {imei} AS imei, '教务人员' AS crowd_name FROM u WHERE h IS NOT NULL AND w='学校' AND age>23
       AND CASE WHEN h<>w THEN woff>won ELSE income>100 END
-    UNION ALL SELECT imsi, phone, imei, '学生' FROM u WHERE w='学校' AND age<23
-    UNION ALL SELECT imsi, phone, imei, '医务工作者' FROM u WHERE h IS NOT NULL AND w='医院' AND age>23
+    UNION ALL SELECT imsi, phone, {imei} AS imei, '学生' FROM u WHERE w='学校' AND age<23
+    UNION ALL SELECT imsi, phone, {imei} AS imei, '医务工作者' FROM u WHERE h IS NOT NULL AND w='医院' AND age>23
       AND h<>w AND woff>won
-    UNION ALL SELECT imsi, phone, imei, '商务人员' FROM u WHERE h<>w AND age BETWEEN 18 AND 70 AND ins>outs""",
-)
+    UNION ALL SELECT imsi, phone, {imei} AS imei, '商务人员' FROM u WHERE h<>w AND age BETWEEN 18 AND 70 AND ins>outs"""
+
+
+@query("place_labels_weekend", weekend_sql("iv_eci"))
 def _(t):
     scenes = t.cells().select(
         F.col("eci").cast("string").alias("cell"), F.col("scene_name").alias("scene")
     )
     return B.place_labels_weekend(t.intervals("eci"), t.subscribers(), scenes, UTC)
+
+
+@query(
+    "driver_labels_published",
+    """, d AS (SELECT imsi, date, count(*) AS n, count(*) - count(DISTINCT code) AS rep
+      FROM iv_county GROUP BY ALL),
+    u AS (SELECT imsi, sum(n) AS stays, avg(rep) AS m FROM d GROUP BY imsi)
+    SELECT imsi, coalesce(phone, '') AS msisdn, coalesce(imei, '') AS imei, CASE WHEN m<2e-1 THEN '出租车司机'
+      WHEN m>2e-1 AND m<4e-1 THEN '快递人员' ELSE '公交车司机' END AS crowd_name, '20240131' AS stat_date
+    FROM u LEFT JOIN subs USING (imsi) WHERE stays>50 AND m<>2e-1 AND m<>4e-1""",
+)
+def _(t):
+    labels = B.driver_labels_by_revisit(t.intervals("county"), 50, 0.2, 0.4)
+    return B.published_labels(labels, t.subscribers(), "20240131")

@@ -127,7 +127,7 @@ def labelled(level: str) -> str:
     """Cell stays of points with the place columns; hub cells have no county, to have blanks."""
     return f""", st AS (SELECT a.*, c.{level}_id AS place_code, c.{level}_name AS place_name,
       c.scene_name AS place_scene FROM {aggregate('pt')} a LEFT JOIN
-      (SELECT * FROM cells WHERE scene_id<>'YDY2') c ON a.code=c.code AND a.rat=c.rat),
+      (SELECT * FROM cells WHERE scene_id<>'YDY2' AND code<>'0') c ON a.code=c.code AND a.rat=c.rat),
     lb AS (SELECT * FROM {project('st')})"""
 
 
@@ -161,9 +161,9 @@ PLACE = {
 }
 
 
-def lookup_sql(level: str) -> str:
+def lookup_sql(level: str, roam: str = "roam") -> str:
     """Signalling rows with the roaming row in force, merged by cell, per phone."""
-    return f""", rf AS (SELECT phone, event_id, s_time, e_time, {PLACE[level]} FROM roam),
+    return f""", rf AS (SELECT phone, event_id, s_time, e_time, {PLACE[level]} FROM {roam}),
     sg AS (SELECT * REPLACE (s_time AS s_time), substr(msisdn, 3) AS phone FROM sig),
     lk AS (SELECT g.phone, g.imsi, g.date, g.home_province, g.event_id, g.cell AS code, g.lon, g.lat,
         r.s_time, r.e_time, r.place_code, r.place_name, '' AS place_scene, 'ROAD' AS scene, 6 AS rat
@@ -196,9 +196,9 @@ def _(t):
     return O.od_lookup(t.signalling(), t.roaming(), "country", t.by_phone())
 
 
-def roaming_sql(level: str, rows: str, phones: str) -> str:
+def roaming_sql(level: str, rows: str, phones: str, roam: str = "roam") -> str:
     return f""", sg AS (SELECT *, substr(msisdn, 3) AS phone FROM sig WHERE {phones}),
-    rs AS (SELECT phone, date, event_id, s_time, e_time, {PLACE[level]}, '' AS place_scene FROM roam
+    rs AS (SELECT phone, date, event_id, s_time, e_time, {PLACE[level]}, '' AS place_scene FROM {roam}
       WHERE {rows} AND phone IN (SELECT phone FROM sg)),
     sm AS (SELECT * FROM {smooth('rs', 'phone')}),
     lc AS (SELECT sm.*, l.imsi, l.home_province, l.cell, l.lon, l.lat, 'ROAD' AS scene, 6 AS rat,

@@ -128,3 +128,20 @@ def _(t):
 )
 def _(t):
     return P.is_transient(t.trace(), t.subscribers(), "C3")
+
+
+@query(
+    "home_and_work",
+    TRACE
+    + f""", dy AS (SELECT imsi, count(DISTINCT date) AS total_days FROM tr GROUP BY imsi),
+    nt AS (SELECT imsi, code, count(DISTINCT date) AS days FROM tr WHERE {NIGHT} GROUP BY ALL),
+    wk AS (SELECT imsi, code, count(*) AS days FROM (SELECT imsi, code, date, sum({WORK_MS}) AS ms
+      FROM tr GROUP BY ALL) WHERE ms > 3600000 GROUP BY ALL),
+    hm AS (SELECT imsi, arg_min(code, (-days, code)) AS code, max(days) AS days FROM nt GROUP BY imsi),
+    ofc AS (SELECT imsi, arg_min(code, (-days, code)) AS code, max(days) AS days FROM wk GROUP BY imsi)
+    SELECT imsi, CASE WHEN total_days>10 AND hm.days/total_days > 15e-2 THEN hm.code END AS live_code,
+      CASE WHEN total_days>10 AND ofc.days/total_days > 5e-2 THEN ofc.code END AS work_code, total_days
+    FROM dy LEFT JOIN hm USING (imsi) LEFT JOIN ofc USING (imsi)""",
+)
+def _(t):
+    return P.home_and_work(t.trace(), 10, 0.15, 0.05, clock=UTC)

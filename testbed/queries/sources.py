@@ -62,11 +62,27 @@ TSV = f"""SELECT date, concat('138', imsi) AS phone, {ECI} AS eci, imsi, concat(
   WHERE event_id%11<>0 AND event_id%13<>0 AND event_id%17<>0"""
 
 
-@query("read_signalling_tsv", TSV)
-def _(t):
+def signalling_file(t):
     path = t.scratch("signalling")
     tsv_lines(t).select("value").write.text(path)
-    return R.read_signalling_tsv(t.spark, path, clock=UTC)
+    return path
+
+
+@query("read_signalling_tsv", TSV)
+def _(t):
+    return R.read_signalling_tsv(t.spark, signalling_file(t), clock=UTC).drop("event_id")
+
+
+@query(
+    "read_signalling_tsv_rejects",
+    """SELECT reason, count(*) AS lines FROM (SELECT CASE WHEN event_id%17=0 THEN
+      CASE WHEN event_id%11=0 OR event_id%13=0 THEN 'missing data' ELSE 'too few fields' END
+      WHEN event_id%11=0 OR event_id%13=0 THEN 'missing data' END AS reason FROM ev)
+    WHERE reason IS NOT NULL GROUP BY reason""",
+)
+def _(t):
+    bad = R.read_signalling_tsv(t.spark, signalling_file(t), clock=UTC, rejects=True)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query("read_multi_day", TSV + " AND date LIKE '2024-01-0%'")
@@ -74,17 +90,21 @@ def _(t):
     path = t.scratch("days")
     lines = tsv_lines(t).withColumn("day", F.regexp_replace("date", "-", ""))
     lines.select("value", "day").hint("rebalance", "day").write.partitionBy("day").text(path)
-    return R.read_multi_day(t.spark, f"{path}/day=2024010[1-9]/", clock=UTC)
+    return R.read_multi_day(t.spark, f"{path}/day=2024010[1-9]/", clock=UTC).drop("event_id")
 
 
 @query(
     "read_roaming_extract",
-    """SELECT phone, country_code, country_name, country_name_en, province_code, 'g' AS gap,
+    """SELECT date, phone, country_code, country_name, country_name_en, province_code, 'g' AS gap,
     home_province_code, home_province_name, province_name, s_time//1000*1000 AS s_time,
     e_time//1000*1000 AS e_time, CAST(NULL AS BIGINT) AS next_start FROM roam
     WHERE country_code='86' AND province_code<>''""",
 )
 def _(t):
+    return R.read_roaming_extract(t.spark, roaming_file(t), clock=UTC).drop("event_id")
+
+
+def roaming_file(t):
     r = t.roaming()
     blank = F.lit("")
     line = F.concat_ws(
@@ -95,7 +115,7 @@ def _(t):
     )
     path = t.scratch("roaming")
     r.select(line.alias("value")).write.text(path)
-    return R.read_roaming_extract(t.spark, path, clock=UTC)
+    return path
 
 
 def area_file(t):
@@ -132,17 +152,22 @@ def _(t):
     return sites.select("eci", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
-@query(
-    "load_subscriber_dim",
-    "SELECT phone, imsi, age, income, home_cell, work_cell FROM subs",
-)
-def _(t):
+def subscriber_file(t):
     path = t.scratch("subscribers")
     line = F.concat_ws(
         "|", F.lit("d"), "phone", "imsi", "age", "income", "home_cell", F.lit(""), "work_cell"
     )
     t.subscribers().select(line.alias("value")).write.text(path)
-    return R.load_subscriber_dim(t.spark, path)
+    return path
+
+
+@query(
+    "load_subscriber_dim",
+    """SELECT phone, imsi, CAST(NULL AS VARCHAR) AS imei, age, income, home_cell, work_cell
+    FROM subs""",
+)
+def _(t):
+    return R.load_subscriber_dim(t.spark, subscriber_file(t))
 
 
 @query(
@@ -174,17 +199,67 @@ def _(t):
     return t.spark.read.text(path)
 
 
+@query("extract_subscriber_rows", "SELECT phone, event_id, code FROM (SELECT *, concat('138', imsi) AS phone FROM iv) WHERE phone='1387'")
+def _(t):
+    rows = t.intervals().withColumn("phone", F.concat(F.lit("138"), "imsi"))
+    return R.extract_subscriber_rows(rows, "1387").select("phone", "event_id", "code")
+
+
 @query(
-    "write_single_file",
-    "SELECT concat(date, chr(9), count(*)) AS value FROM ev GROUP BY date",
+    "load_district_dim",
+    """SELECT cell, city_name, county_name, CAST(rat AS INTEGER) AS rat, code FROM cells
+    WHERE code<>'0' AND k%9<>0""",
 )
 def _(t):
-    path = t.scratch("single")
-    W.write_single_file(t.events().groupBy("date").count(), path)
-    return t.spark.read.text(path)
+    short = F.when(F.col("k") % 9 == 0, F.lit(None)).otherwise(F.col("county_name"))
+    blank = F.lit("x")
+    line = F.concat_ws("\t", "cell", *[blank] * 5, "city_name", short)
+    path = t.scratch("districts")
+    t.cells().select(line.alias("value")).write.text(path)
+    return R.load_district_dim(t.spark, path)
 
 
-@query("extract_subscriber_rows", "SELECT phone, event_id, code FROM (SELECT *, concat('138', imsi) AS phone FROM iv) WHERE phone='1387'")
+@query(
+    "load_custom_area",
+    "SELECT code, CAST(rat AS INTEGER) AS rat, 'station' AS area_code FROM cells WHERE code<>'0' AND k%10=0",
+)
 def _(t):
-    rows = t.intervals().withColumn("phone", F.concat(F.lit("138"), "imsi"))
-    return R.extract_subscriber_rows(rows, "1387").select("phone", "event_id", "code")
+    path = t.scratch("custom")
+    chosen = t.cells().where(F.col("k") % 10 == 0)
+    chosen.select(F.concat_ws(",", F.lit("no"), "cell").alias("value")).write.text(path)
+    return R.load_custom_area(t.spark, path, "station")
+
+
+@query(
+    "load_user_places",
+    "SELECT phone, imsi, imei, work_cell, home_cell, holiday_cell, age, income FROM subs",
+)
+def _(t):
+    """Places and age and income from two files, joined by phone."""
+    blank = F.lit("")
+    places, incomes = t.scratch("places"), t.scratch("incomes")
+    users = t.subscribers()
+    users.select(
+        F.concat_ws(
+            "\t", "phone", "imsi", "imei", *[blank] * 6, "work_cell", *[blank] * 4, "home_cell",
+            *[blank] * 4, "holiday_cell",
+        ).alias("value")
+    ).write.text(places)
+    users.select(F.concat_ws("\t", "phone", "imsi", "imei", "age", "income").alias("value")).write.text(incomes)
+    return R.with_age_income(R.load_user_places(t.spark, places), R.load_age_income(t.spark, incomes))
+
+
+@query(
+    "cell_conflicts",
+    """SELECT code, CAST(rat AS INTEGER) AS rat, CAST(2 AS BIGINT) AS rows, county_id AS kept, 'X' AS other
+    FROM cells WHERE code<>'0' AND k%3=0""",
+)
+def _(t):
+    from waymarks.operators.dims import cell_conflicts
+
+    dim = t.cells().select("code", "rat", "county_id")
+    again = t.cells().where(F.col("k") % 3 == 0).select("code", "rat", F.lit("X").alias("county_id"))
+    found = cell_conflicts(dim.unionByName(again))
+    return found.select(
+        "code", "rat", "rows", F.col("kept.county_id").alias("kept"), F.col("other.county_id").alias("other")
+    )

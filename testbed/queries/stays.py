@@ -51,7 +51,7 @@ def _(t):
     "stay_aggregate_given_center",
     f"""SELECT a.imsi, a.date, a.event_id, a.code, a.s_time, a.e_time, a.duration, a.points,
     a.scene, round(c.lon,7) AS lon, round(c.lat,7) AS lat
-    FROM {aggregate('pt')} a LEFT JOIN cells c ON a.code = c.code""",
+    FROM {aggregate('pt')} a LEFT JOIN cells c ON a.code = c.code AND c.code<>'0'""",
 )
 def _(t):
     return degrees(S.stay_aggregate_given_center(t.points(), t.cells(), line=t.daily()))

@@ -13,7 +13,7 @@ ORDER = "s_time, event_id"
     "rail_trip_first_pair",
     f""", hb AS (SELECT iv.* REPLACE (coalesce(c.hub, '') AS code) FROM iv LEFT JOIN
       (SELECT code, concat(scene_name, county_id) AS hub FROM cells
-        WHERE scene_id IN ('YDY2','YDY3')) c USING (code)),
+        WHERE scene_id IN ('YDY2','YDY3') AND code<>'0') c USING (code)),
     m AS (SELECT * FROM {merge('hb')} WHERE code<>''),
     o AS (SELECT imsi, date, arg_min(code, ({ORDER})) AS o_code, arg_min(e_time, ({ORDER})) AS o_e,
       arg_min(lon, ({ORDER})) AS o_lon, arg_min(lat, ({ORDER})) AS o_lat FROM m GROUP BY ALL),
@@ -25,18 +25,17 @@ ORDER = "s_time, event_id"
     FROM {project(project('d'), 'o_lon', 'o_lat', 'ox', 'oy')} WHERE d_s<>o_e""",
 )
 def _(t):
-    hubs = t.hubs().select("code", F.concat("scene_name", "county_id").alias("area_code"))
+    hubs = t.hubs().select("code", "rat", F.concat("scene_name", "county_id").alias("area_code"))
     trips = R.rail_trip_first_pair(t.intervals(), hubs, line=t.daily())
     return trips.withColumn("mileage", F.round("mileage", 3))
 
 
 def hub_sql(join: str) -> str:
     return f""", hb AS (SELECT iv.*, coalesce(scene_name, '') AS hub FROM iv {join}
-      (SELECT code, rat, scene_name FROM cells WHERE scene_id IN ('YDY2','YDY3')) c USING (code, rat))"""
+      (SELECT code, rat, scene_name FROM cells WHERE scene_id IN ('YDY2','YDY3') AND code<>'0') c USING (code, rat))"""
 
 
-@query(
-    "hub_trip_segments",
+SEGMENTS = (
     hub_sql("JOIN")
     + f""", m AS (SELECT * FROM {merge(smooth('hb'), carry=('hub',))}),
     g AS (SELECT imsi, date, hub, arg_min(code, ({ORDER})) AS a_code, arg_min(e_time, ({ORDER})) AS a_e,
@@ -48,8 +47,11 @@ def hub_sql(join: str) -> str:
       FROM {project(project('g', 'a_lon', 'a_lat', 'ax', 'ay'), 'b_lon', 'b_lat', 'bx', 'by_')})
     SELECT imsi, date, a_code AS start_transportation, b_code AS end_transportation,
       substr(hub,1,2) AS trans_type, round(km,6) AS mileage,
-      sign(sec)*((abs(CAST(sec AS BIGINT))+18)//36)/1e2 AS duration FROM p WHERE km>20 OR sec>600""",
+      sign(sec)*((abs(CAST(sec AS BIGINT))+18)//36)/1e2 AS duration FROM p WHERE km>20 OR sec>600"""
 )
+
+
+@query("hub_trip_segments", SEGMENTS)
 def _(t):
     return R.hub_trip_segments(t.intervals(), t.hubs(), line=t.daily())
 
@@ -92,3 +94,15 @@ def kept(value: str) -> str:
 def _(t):
     trips = R.hub_trip_changes(t.intervals(), t.hubs(), compat=True, line=t.daily())
     return trips.withColumn("mileage", F.round("mileage", 3))
+
+
+@query(
+    "hub_trips_published",
+    SEGMENTS.replace("SELECT imsi, date, a_code", ", tp AS (SELECT imsi, date, a_code")
+    + """) SELECT date AS "timeStamp", imsi, coalesce(phone, '') AS phone, coalesce(imei, '') AS imei,
+      start_transportation, end_transportation, trans_type, mileage, duration
+    FROM tp LEFT JOIN subs USING (imsi)""",
+)
+def _(t):
+    trips = R.hub_trip_segments(t.intervals(), t.hubs(), line=t.daily())
+    return R.published_trips(trips, t.subscribers())

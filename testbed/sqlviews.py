@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from waymarks.functions import geo
+# Numbers of the projection, written out: WGS84 and the meridian arc in latitude, sin, sin^3, sin^5.
+DEGREE = 0.017453292519943334
+SEMI_MAJOR = 6378137.0
+E2 = 0.0066943799901413165
+EP2 = 0.006739496742276434
+ARC_LAT = 6367449.145823035
+ARC_SIN1 = -32009.818962023488
+ARC_SIN3 = -133.9564292830688
+ARC_SIN5 = -0.7044756343191493
 
 ECI = "(CAST(25600 AS BIGINT) + (k//4)*256 + k%4)"
 CELL = f"(CASE WHEN k%5=0 THEN concat_ws('_', k, k%4) ELSE CAST({ECI} AS VARCHAR) END)"
@@ -74,8 +82,8 @@ tick AS (
   SELECT o_orderkey AS event_id, CAST(o_custkey AS VARCHAR) AS imsi,
     concat('138', o_custkey) AS phone, concat('R', o_orderkey%7) AS city_code,
     concat('D', o_orderkey%11) AS county_code, o_orderkey%50000 + 4096 AS lac,
-    (o_orderkey*37)%100000 AS ci, strftime(o_orderdate, '%Y%m%d103000') AS start_text,
-    epoch_us(date_trunc('day', o_orderdate))//1000 + 37800000 AS s_time,
+    (o_orderkey*37)%100000 AS ci, strftime(DATE '2024-01-01' + CAST(o_orderkey%30 AS INTEGER), '%Y%m%d103000') AS start_text,
+    1704067200000 + (o_orderkey%30)*86400000 + 37800000 AS s_time,
     CAST(floor(o_totalprice/100) AS BIGINT) AS seconds,
     CASE WHEN o_orderkey%2=0 THEN 'voice' ELSE 'data' END AS service,
     CASE WHEN o_orderkey%4<2 THEN 'local' ELSE 'out' END AS origin
@@ -102,10 +110,10 @@ MIDNIGHT = "(epoch_us(CAST(date AS TIMESTAMP))//1000)"
 
 def project(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: str = "y") -> str:
     """``source`` with projected metres, written out term by term."""
-    d, a = repr(geo.DEGREE), repr(geo.SEMI_MAJOR)
-    e2, ep2 = repr(geo.E2), repr(geo.EP2)
-    arc = f"({geo.ARC_LAT!r}*_b + cos(_b)*({geo.ARC_SIN1!r}*sin(_b)"
-    arc += f" + {geo.ARC_SIN3!r}*pow(sin(_b),3) + {geo.ARC_SIN5!r}*pow(sin(_b),5)))"
+    d, a = repr(DEGREE), repr(SEMI_MAJOR)
+    e2, ep2 = repr(E2), repr(EP2)
+    arc = f"({ARC_LAT!r}*_b + cos(_b)*({ARC_SIN1!r}*sin(_b)"
+    arc += f" + {ARC_SIN3!r}*pow(sin(_b),3) + {ARC_SIN5!r}*pow(sin(_b),5)))"
     east = "_n*_m + (1-_t*_t+_q)*_n*pow(_m,3)/6"
     east += " + (5-18*_t*_t+pow(_t,4)-14*_q-58*_q*_t*_t)*_n*pow(_m,5)/120"
     north = "_n*_t*_m*_m/2 + (5-_t*_t+9*_q+4*_q*_q)*_n*_t*pow(_m,4)/24"
@@ -119,9 +127,9 @@ def project(source: str, lon: str = "lon", lat: str = "lat", x: str = "x", y: st
 
 def unproject(source: str, x: str = "x", y: str = "y", lon: str = "lon", lat: str = "lat") -> str:
     """``source`` with degrees of projected metres."""
-    e2 = geo.E2
+    e2 = E2
     r = (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
-    quad = geo.SEMI_MAJOR * (1 - e2 / 4 - 3 * e2 * e2 / 64 - 5 * e2**3 / 256)
+    quad = SEMI_MAJOR * (1 - e2 / 4 - 3 * e2 * e2 / 64 - 5 * e2**3 / 256)
 
     def v(number: float) -> str:
         return f"CAST('{number!r}' AS DOUBLE)"
@@ -130,8 +138,8 @@ def unproject(source: str, x: str = "x", y: str = "y", lon: str = "lon", lat: st
         f"_u + {v(3*r/2 - 27*r**3/32)}*sin(2*_u) + {v(21*r*r/16 - 55*r**4/32)}*sin(4*_u)"
         f" + {v(151*r**3/96)}*sin(6*_u) + {v(1097*r**4/512)}*sin(8*_u)"
     )
-    e, ep, d = v(e2), v(geo.EP2), v(geo.DEGREE)
-    a = v(geo.SEMI_MAJOR)
+    e, ep, d = v(e2), v(EP2), v(DEGREE)
+    a = v(SEMI_MAJOR)
     lon_expr = (
         "_d - (1+2*_t+_c)*pow(_d,3)/6 + "
         f"(5-2*_c+28*_t-3*_c*_c+8*{ep}+24*_t*_t)*pow(_d,5)/120"

@@ -206,7 +206,9 @@ class Tables:
             F.concat(
                 F.hex((o * 37) % 100000), F.when(o % 3 == 0, "|1100").otherwise("")
             ).alias("cell"),
-            F.date_format(F.to_date("o_orderdate"), "yyyyMMdd'103000'").alias("start_text"),
+            F.date_format(
+                F.date_add(F.lit("2024-01-01").cast("date"), (o % 30).cast("int")), "yyyyMMdd'103000'"
+            ).alias("start_text"),
             F.floor(F.col("o_totalprice") / 100).alias("seconds"),
             F.when(o % 2 == 0, "voice").otherwise("data").alias("service"),
             F.when(o % 4 < 2, "local").otherwise("out").alias("origin"),

@@ -143,10 +143,8 @@ def test_secondary_sort_reads_bad_scores_as_zero(spark):
     assert rows == [("g0", "d", 1), ("g1", "c", 90), ("g1", "a", 70), ("g1", "b", 0)]
 
 
-def test_single_file_and_partition_overwrite(spark, tmp_path):
+def test_partition_overwrite(spark, tmp_path):
     df = spark.range(100).withColumn("day_id", (F.col("id") % 3).cast("string"))
-    W.write_single_file(df.repartition(8), str(tmp_path / "one"))
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
     path = str(tmp_path / "days")
     W.write_partition_overwrite(df, path)
     W.write_partition_overwrite(df.where("day_id = '1' and id < 5"), path)

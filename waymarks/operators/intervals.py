@@ -16,6 +16,11 @@ def broken_intervals(df: DataFrame, start: str, end: str, longest_ms: int = LONG
     return df.withColumn("reason", _reason(start, end, longest_ms)).where(F.col("reason").isNotNull())
 
 
+def whole_intervals(df: DataFrame, start: str, end: str, longest_ms: int = LONGEST_MS) -> DataFrame:
+    """The rows that are not ``broken_intervals``."""
+    return df.where(_reason(start, end, longest_ms).isNull())
+
+
 def _reason(start: str, end: str, longest_ms: int):
     length = F.try_subtract(F.col(end), F.col(start))
     return (
@@ -46,7 +51,7 @@ def overlap_join(
         a = F.floor(F.col(start) / F.lit(bucket_ms))
         # An interval without length overlaps what lies around its start.
         b = F.floor(F.greatest(F.col(start), F.col(end) - 1) / F.lit(bucket_ms))
-        whole = df.where(_reason(start, end, longest_ms).isNull())
+        whole = whole_intervals(df, start, end, longest_ms)
         return whole.withColumn(first, a).withColumn("_bucket", F.explode(F.sequence(a, b)))
 
     met = dealt(left, left_span, "_first_left").join(

@@ -110,8 +110,6 @@ def driver_labels_by_features(
     return features.where(F.col("crowd_name").isNotNull())
 
 
-
-
 def _exploded_labels(users: DataFrame, rules: dict[str, Column], keep: list[str]) -> DataFrame:
     """A row per user and rule that holds; NULL counts as not holding."""
     labels = F.filter(
@@ -231,3 +229,16 @@ def place_labels_weekend(
         & (F.col("_inside") > F.col("_outside")),
     }
     return _exploded_labels(users, rules, ["imsi", "phone", "imei"])
+
+
+def published_labels(labels: DataFrame, subscribers: DataFrame, stat_date: str) -> DataFrame:
+    """Labels as the published table: imsi, msisdn, imei, crowd_name, stat_date; blank where unknown."""
+    known = subscribers.groupBy("imsi").agg(F.min(F.struct("phone", "imei")).alias("_user"))
+    blank = F.lit("")
+    return labels.select("imsi", "crowd_name").join(known, "imsi", "left").select(
+        "imsi",
+        F.coalesce("_user.phone", blank).alias("msisdn"),
+        F.coalesce("_user.imei", blank).alias("imei"),
+        "crowd_name",
+        F.lit(stat_date).alias("stat_date"),
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waymarks.functions import geo
 from waymarks.functions.calendar import MINUTE_MS
 from waymarks.operators import stays as S
+from waymarks.operators.dims import one_row_per_cell
 from waymarks.operators.ordered import DAILY, Timeline, annotate, neighbours
 from waymarks.operators.traces import passages
 
@@ -146,12 +147,14 @@ def area_od(
     compat: bool = False,
 ) -> DataFrame:
     """County or city OD: cell stays, labelled by cell and technology, and their changes."""
-    labels = dim.select(
-        "code",
-        "rat",
-        F.col(f"{level}_id").alias("place_code"),
-        F.col(f"{level}_name").alias("place_name"),
-        F.col("scene_name").alias("place_scene"),
+    labels = one_row_per_cell(
+        dim.select(
+            "code",
+            "rat",
+            F.col(f"{level}_id").alias("place_code"),
+            F.col(f"{level}_name").alias("place_name"),
+            F.col("scene_name").alias("place_scene"),
+        )
     )
     labelled = stays.join(labels, ["code", "rat"], "left")
     return od_table(od_changes(labelled, line, compat=compat), level)

@@ -250,6 +250,9 @@ def annotate(
     across = Window.partitionBy(*line.whole).orderBy(line.slice)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
 
+    # Always true; a summary that names the row's hash needs the same columns as the rows.
+    whole_row = F.col(line.row) <= F.lit(2**63 - 1)
+
     # For each request: the value inside the slice, what a slice tells the others, what it
     # takes over from them, and how the two make the result.
     local_columns: dict[str, Column] = {}
@@ -278,7 +281,7 @@ def annotate(
             carried[f"_c_{name}"] = F.last(f"_s_{name}", ignorenulls=True).over(earlier)
             result[name] = F.coalesce(f"_l_{name}", f"_c_{name}")
     if position or size:
-        summary.append(F.count(F.lit(1)).alias("_s_rows"))
+        summary.append(F.count_if(whole_row).alias("_s_rows"))
     if position:
         local_columns["_l_pos"] = F.row_number().over(local)
         carried["_c_pos"] = F.sum("_s_rows").over(earlier)
@@ -288,11 +291,11 @@ def annotate(
         carried["_c_size"] = F.sum("_s_rows").over(Window.partitionBy(*line.whole))
         result[size] = F.col("_c_size")
     for name, condition in (anywhere or {}).items():
-        summary.append(F.max(condition).alias(f"_s_{name}"))
+        summary.append(F.max(condition & whole_row).alias(f"_s_{name}"))
         carried[f"_c_{name}"] = F.max(f"_s_{name}").over(Window.partitionBy(*line.whole))
         result[name] = F.coalesce(f"_c_{name}", F.lit(False))
     for name, value in (least or {}).items():
-        summary.append(F.min(value).alias(f"_s_{name}"))
+        summary.append(F.min(F.when(whole_row, value)).alias(f"_s_{name}"))
         carried[f"_c_{name}"] = F.min(f"_s_{name}").over(Window.partitionBy(*line.whole))
         result[name] = F.col(f"_c_{name}")
     if run_of is not None:

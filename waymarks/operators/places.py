@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions.calendar import HOUR_MS, SHANGHAI, Clock
@@ -45,17 +45,50 @@ def work_stays(stays: DataFrame, clock: Clock = SHANGHAI) -> DataFrame:
     )
 
 
-def _steady_place(stays, hits: DataFrame, min_days: int, min_share: float) -> DataFrame:
-    """The code with the most days per subscriber, when it covers enough of the days present."""
-    best = hits.groupBy("imsi").agg(
-        F.min(F.struct((-F.col("days")).alias("m"), "code")).alias("_best")
+def _days_at_places(stays: DataFrame, min_hours: float, clock: Clock) -> DataFrame:
+    """Per subscriber and code: days with a night there, days of work there, and ``_present``.
+
+    One row for each subscriber, code and day knows both.  Of a day's codes the first one carries the
+    day, so the sum of ``_present`` over codes is the number of days.
+    """
+    night = _at_night(clock.hour(F.col("s_time"))) | _at_night(clock.hour(F.col("e_time")))
+    daily = (
+        work_stays(stays, clock)
+        .groupBy("imsi", "date", "code")
+        .agg(F.max(night).alias("_night"), F.sum("work_ms").alias("_ms"))
     )
-    present = stays.groupBy("imsi").agg(F.count_distinct("date").alias("total_days"))
-    days = -F.col("_best.m")
+    codes = Window.partitionBy("imsi", "date").orderBy("code")
+    dated = F.col("date").isNotNull()
+    carries = dated & (F.row_number().over(codes) == 1)
     return (
-        best.join(present, "imsi")
-        .where((F.col("total_days") > min_days) & (days / F.col("total_days") > min_share))
-        .select("imsi", F.col("_best.code").alias("code"), days.alias("days"), "total_days")
+        daily.withColumn("_carries", carries)
+        .groupBy("imsi", "code")
+        .agg(
+            F.count_if(F.col("_night") & dated).alias("_nights"),
+            F.count_if(F.col("_ms") > min_hours * HOUR_MS).alias("_work_days"),
+            F.count_if("_carries").alias("_present"),
+        )
+    )
+
+
+def _steady(days: str, min_days: int, min_share: float) -> tuple[Column, Column]:
+    """The place with the most days, as (-days, code), and whether it covers enough of all days."""
+    ranked = F.when(F.col(days) > 0, F.struct((-F.col(days)).alias("m"), "code"))
+    present = F.sum("_present")
+    best = F.min(ranked)
+    return best, (present > min_days) & (-best["m"] / present > min_share)
+
+
+def _steady_place(days_at: DataFrame, days: str, min_days: int, min_share: float) -> DataFrame:
+    best, enough = _steady(days, min_days, min_share)
+    found = days_at.groupBy("imsi").agg(
+        best.alias("_best"), F.sum("_present").alias("total_days"), enough.alias("_enough")
+    )
+    return found.where(F.col("_enough")).select(
+        "imsi",
+        F.col("_best.code").alias("code"),
+        (-F.col("_best.m")).alias("days"),
+        "total_days",
     )
 
 
@@ -66,9 +99,8 @@ def live_place(
     clock: Clock = SHANGHAI,
 ) -> DataFrame:
     """Home: the place with the most nights, on more than ``min_share`` of the days present."""
-    nights = night_stays(stays, clock)
-    hits = nights.groupBy("imsi", "code").agg(F.count_distinct("date").alias("days"))
-    return _steady_place(stays, hits, min_days, min_share)
+    days_at = _days_at_places(stays, MIN_WORK_HOURS, clock)
+    return _steady_place(days_at, "_nights", min_days, min_share)
 
 
 def work_place(
@@ -79,14 +111,30 @@ def work_place(
     clock: Clock = SHANGHAI,
 ) -> DataFrame:
     """Work: the place with the most days of more than ``min_hours`` working-time dwell."""
-    daily = (
-        work_stays(stays, clock)
-        .groupBy("imsi", "code", "date")
-        .agg(F.sum("work_ms").alias("_ms"))
-        .where(F.col("_ms") > min_hours * HOUR_MS)
+    days_at = _days_at_places(stays, min_hours, clock)
+    return _steady_place(days_at, "_work_days", min_days, min_share)
+
+
+def home_and_work(
+    stays: DataFrame,
+    min_days: int = MIN_DAYS,
+    live_share: float = MIN_SHARE,
+    work_share: float = MIN_SHARE,
+    min_hours: float = MIN_WORK_HOURS,
+    clock: Clock = SHANGHAI,
+) -> DataFrame:
+    """``live_place`` and ``work_place`` of every subscriber in one pass; NULL where there is none."""
+    live, lives = _steady("_nights", min_days, live_share)
+    work, works = _steady("_work_days", min_days, work_share)
+    return (
+        _days_at_places(stays, min_hours, clock)
+        .groupBy("imsi")
+        .agg(
+            F.when(lives, live["code"]).alias("live_code"),
+            F.when(works, work["code"]).alias("work_code"),
+            F.sum("_present").alias("total_days"),
+        )
     )
-    hits = daily.groupBy("imsi", "code").agg(F.count(F.lit(1)).alias("days"))
-    return _steady_place(stays, hits, min_days, min_share)
 
 
 def place_of_kind(subscribers: DataFrame, kind: str) -> DataFrame:

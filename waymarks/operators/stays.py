@@ -6,8 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions import geo
-from waymarks.operators.ordered import DAILY, Timeline, annotate, merged_runs, neighbours
-
+from waymarks.functions.calendar import HOUR_MS
+from waymarks.operators.dims import cell_keys, one_row_per_cell
+from waymarks.operators.ordered import (
+    DAILY,
+    LIFETIME,
+    Timeline,
+    annotate,
+    merged_runs,
+    neighbours,
+)
+
+#: Stretch of a trace that one trace text holds.
+PART_MS = HOUR_MS
 INDOOR = "INDOOR"
 ROAD = "ROAD"
 
@@ -144,7 +155,8 @@ def stay_aggregate_given_center(
         F.col("at.event_id").alias("event_id"),
         (F.col("e_time") - F.col("s_time")).alias("duration"),
     )
-    return stays.join(centers.select("code", "lon", "lat"), "code", "left")
+    places = one_row_per_cell(centers.select("code", "lon", "lat"), ("code",))
+    return stays.join(places, "code", "left")
 
 
 def smooth_overlaps(
@@ -299,12 +311,14 @@ def relabel_and_remerge(
 ) -> DataFrame:
     """Replace the place code by the area code and merge again.
 
-    ``area`` has ``code`` and ``area_code``.  Places outside it get ``unknown``, or keep their
-    code when ``unknown`` is None.
+    ``area`` has ``code``, ``area_code`` and perhaps ``rat``; of several rows of a cell the smallest
+    counts.  Places outside it get ``unknown``, or keep their code when ``unknown`` is None.
     """
     fallback = F.col("code") if unknown is None else F.lit(unknown)
+    keys = cell_keys(stays, area)
+    areas = one_row_per_cell(area.select(*keys, "area_code"), tuple(keys))
     labelled = (
-        stays.join(area.select("code", "area_code"), "code", "left")
+        stays.join(areas, keys, "left")
         .withColumn("code", F.coalesce("area_code", fallback))
         .drop("area_code")
     )
@@ -332,33 +346,124 @@ def cells_per_grid(
 
 
 def merge_traces_across_days(
-    left: DataFrame, right: DataFrame, line: Timeline = Timeline(keys=("imsi",))
+    left: DataFrame, right: DataFrame, line: Timeline = LIFETIME
 ) -> DataFrame:
     """Append two traces of each subscriber, whichever comes first.
 
     The touching stays merge when their codes match.  A pair of traces that overlaps in time is
     not merged: the left one is kept unchanged.  Subscribers in one input only pass through.
     """
-    keys = list(line.keys)
+    both = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1)))
+    return append_traces(both, "_side", line, in_time=False).drop("_side")
 
-    def span(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.min("s_time").alias(f"_{side}_from"), F.max("e_time").alias(f"_{side}_to")
-        )
 
-    clash = (
-        span(left, "l")
-        .join(span(right, "r"), keys)
-        .where(
-            ~(
-                (F.col("_l_to") < F.col("_r_from"))
-                | (F.col("_l_from") > F.col("_r_to"))
-            )
-        )
-        .select(*keys)
+def append_traces(
+    stays: DataFrame,
+    trace: str = "date",
+    line: Timeline = LIFETIME,
+    in_time: bool = True,
+    meridian: float = geo.CENTRAL_MERIDIAN,
+) -> DataFrame:
+    """Append all traces of each subscriber, one for each value of ``trace``.
+
+    Traces are taken in order of their start (or of ``trace``); one that overlaps what is there by
+    then is left out.  Where a trace ends and the next begins at one code, the two touching stays
+    merge as in ``merge_adjacent_stays``; no other stay changes.
+    """
+    day = Timeline((*line.keys, trace), line.order, line.slice_ms)
+    rows = day.dealt(stays)
+    kept = rows.join(_slices_of_kept_traces(rows, trace, line, day, in_time), day.here, "left_semi")
+    located = geo.with_metres(kept, x="_x", y="_y", meridian=meridian)
+    rows = neighbours(located, day, before={"_b": F.lit(True)}, after={"_a": F.lit(True)})
+    first, last = F.col("_b").isNull(), F.col("_a").isNull()
+    # Only the ends of traces meet; what lies inside stays with its slice.
+    inside = F.when(~first & ~last, F.struct(trace, F.floor(F.col("s_time") / F.lit(line.slice_ms))))
+    rows = rows.withColumns({"_first_of": first, "_last_of": last, "_inside": inside})
+    group = [*line.keys, "_inside"]
+    ends = Window.partitionBy(*group).orderBy(*line.order, F.desc("_first_of"))
+    came = F.lag(F.struct("code", F.col(trace).alias("trace"), "_last_of")).over(ends)
+    touches = (
+        F.col("_first_of")
+        & F.col("_came._last_of")
+        & ~F.col("_came.trace").eqNullSafe(F.col(trace))
+        & (F.col("_came.code") == F.col("code"))
+    )
+    rows = rows.withColumn("_came", came)
+    rows = rows.withColumn("_new", (~F.coalesce(touches, F.lit(False))).cast("int"))
+    rows = rows.withColumn("_run", F.sum("_new").over(ends))
+    place = F.struct(
+        line.stamp.alias("at"),
+        F.col("_x").isNotNull().cast("int").alias("n"),
+        (F.col("_x") / 2).alias("sx"),
+        (F.col("_y") / 2).alias("sy"),
+        F.col("_x").alias("x1"),
+        F.col("_y").alias("y1"),
+    )
+    columns = [c for c in stays.columns if c not in line.keys]
+    scene = [F.max(F.col("scene") == INDOOR).alias("_indoor"), F.max(F.struct(line.stamp, "scene")).alias("_last")]
+    merged = rows.groupBy(*group, "_run").agg(
+        F.min_by(F.struct(*columns), line.stamp).alias("_first"),
+        F.count(F.lit(1)).alias("_stays"),
+        F.max("e_time").alias("_end"),
+        F.collect_list(place).alias("_middle"),
+        *(scene if "scene" in columns else []),
     )
-    both = left.unionByName(right.join(clash, keys, "left_anti"))
-    return merge_adjacent_stays(both, line)
+    merged = merged.withColumn("_mid", _folded_center(F.col("_middle")))
+    merged = geo.with_degrees(merged, "_mid.x", "_mid.y", "_lon", "_lat", meridian)
+    changed = {
+        "e_time": F.col("_end"),
+        "duration": F.col("_end") - F.col("_first.s_time"),
+        "lon": F.col("_lon"),
+        "lat": F.col("_lat"),
+        "scene": _scene() if "scene" in columns else None,
+    }
+    alone = F.col("_stays") == 1
+
+    def value(c: str) -> Column:
+        first = F.col("_first")[c]
+        return F.when(alone, first).otherwise(changed[c]) if c in changed else first
+
+    return merged.select(*line.keys, *[value(c).alias(c) for c in columns])
+
+
+def _slices_of_kept_traces(
+    rows: DataFrame, trace: str, line: Timeline, day: Timeline, in_time: bool
+) -> DataFrame:
+    """Slices of the traces that do not overlap what was appended before them.
+
+    A subscriber's traces are folded as a list of their spans, which has one entry a trace.
+    """
+    slices = rows.groupBy(*day.here).agg(
+        F.min("s_time").alias("_from"), F.max("e_time").alias("_to"), F.max(day.row).alias("_pin")
+    )
+    spans = slices.groupBy(*day.whole).agg(
+        F.min("_from").alias("from"), F.max("_to").alias("to"), F.max("_pin").alias("pin")
+    )
+    order = F.col("from") if in_time else F.col(day.trace)[trace]
+    entry = F.struct(order.alias("order"), "from", "to", "pin", *day.whole)
+    listed = spans.groupBy(*[F.col(day.trace)[k].alias(k) for k in line.keys]).agg(
+        F.array_sort(F.collect_list(entry)).alias("all")
+    )
+    whole = F.struct(*[F.col("all")[0][c].alias(c) for c in day.whole])
+    start = F.struct(
+        F.col("all")[0]["from"].alias("from"),
+        F.col("all")[0]["to"].alias("to"),
+        F.array(whole).alias("kept"),
+    )
+
+    def step(acc: Column, t: Column) -> Column:
+        apart = (t["from"] > acc["to"]) | (t["to"] < acc["from"])
+        own = F.struct(*[t[c].alias(c) for c in day.whole])
+        longer = F.struct(
+            F.least(acc["from"], t["from"]).alias("from"),
+            F.greatest(acc["to"], t["to"]).alias("to"),
+            F.concat(acc["kept"], F.array(own)).alias("kept"),
+        )
+        return F.when(apart, longer).otherwise(acc)
+
+    rest = F.slice(F.col("all"), 2, F.greatest(F.size("all") - 1, F.lit(1)))
+    kept = listed.select(F.inline(F.aggregate(rest, start, step)["kept"]))
+    return slices.select(*day.here).join(kept, day.whole)
 
 
 def coordinate_text(lon: Column, lat: Column, alt: Column | None = None) -> Column:
@@ -394,15 +499,15 @@ def trace_serialise(
     stays: DataFrame,
     kind: str = "SECTOR",
     line: Timeline = DAILY,
-    part_ms: int | None = None,
+    part_ms: int = PART_MS,
 ) -> DataFrame:
     """Trace text ``imsi,kind#stay#stay...``.
 
-    With ``part_ms`` a trace has one row for each stretch of that length in which a stay starts, each
-    with the head; ``part`` numbers the stretches from the epoch.  Without, it is one row, part 0.
+    A trace has one row for each stretch of ``part_ms`` in which a stay starts, each with the head, so
+    a text is bounded by its stretch; ``part`` numbers the stretches from the epoch.
     """
     order = F.struct(*line.order, F.coalesce("code", F.lit("")).alias("code"))
-    part = F.lit(0) if part_ms is None else F.floor(F.col("s_time") / F.lit(part_ms))
+    part = F.floor(F.col("s_time") / F.lit(part_ms))
     rows = stays.withColumns({"part": part.cast("bigint"), "_pos": order, "_text": stay_text()})
     texts = rows.groupBy(*line.keys, "part").agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_text"))).alias("_stays")

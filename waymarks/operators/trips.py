@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions import geo
+from waymarks.operators.dims import one_row_per_cell
 from waymarks.operators.ordered import DAILY, Timeline, annotate, merged_runs, neighbours
 from waymarks.operators.stays import (
     merge_adjacent_stays,
@@ -39,7 +40,7 @@ def rail_trip_first_pair(
 ) -> DataFrame:
     """First hub of a trace and the earliest stay at another hub.
 
-    ``hubs``: cell ``code`` and hub name ``area_code``.  Of the first stays at each hub, the
+    ``hubs``: cell ``code``, perhaps ``rat``, and hub name ``area_code``.  Of the first stays at each hub, the
     earliest is the origin and the next the arrival; a trace has at most as many as there are
     hubs.
     """
@@ -84,7 +85,7 @@ def hub_trip_segments(
 
     ``hubs``: ``code``, ``rat`` and ``scene_name`` of the hub cells.
     """
-    scenes = hubs.select("code", "rat", F.col("scene_name").alias("hub"))
+    scenes = one_row_per_cell(hubs.select("code", "rat", F.col("scene_name").alias("hub")))
     at_hub = stays.join(scenes, ["code", "rat"])
     merged = merge_adjacent_stays(at_hub, line, smooth=True, meridian=meridian)
     stay = F.struct("code", "s_time", "e_time", "lon", "lat")
@@ -128,7 +129,7 @@ def hub_trip_changes(
     gives a row, duration is previous end minus start, and at the first, second and last row of
     a trace hub, distance and duration are those of the last regular change.
     """
-    scenes = hubs.select("code", "rat", F.col("scene_name").alias("_hub"))
+    scenes = one_row_per_cell(hubs.select("code", "rat", F.col("scene_name").alias("_hub")))
     labelled = stays.join(scenes, ["code", "rat"], "left").withColumn(
         "hub", F.coalesce("_hub", F.lit(""))
     )
@@ -163,3 +164,16 @@ def hub_trip_changes(
         F.coalesce("_kept.mileage", F.lit(0.0)).alias("mileage"),
         F.coalesce("_kept.duration", F.lit(0)).cast("bigint").alias("duration"),
     )
+
+
+def published_trips(trips: DataFrame, subscribers: DataFrame) -> DataFrame:
+    """Hub trips with the day as ``timeStamp`` and phone and imei of the subscriber, blank where unknown."""
+    known = subscribers.groupBy("imsi").agg(F.min(F.struct("phone", "imei")).alias("_user"))
+    blank = F.lit("")
+    return trips.join(known, "imsi", "left").select(
+        F.col("date").alias("timeStamp"),
+        "imsi",
+        F.coalesce("_user.phone", blank).alias("phone"),
+        F.coalesce("_user.imei", blank).alias("imei"),
+        *[c for c in trips.columns if c not in ("imsi", "date")],
+    )

@@ -11,6 +11,7 @@ from waymarks.functions import geo, geohash
 from waymarks.functions.calendar import SHANGHAI, Clock
 from waymarks.operators import clean
 from waymarks.operators import stays as S
+from waymarks.operators.dims import cell_keys, one_row_per_cell
 from waymarks.operators.ordered import DAILY, Timeline
 
 # ---- fixed values: country codes and source marks of the published tables ------------------
@@ -45,7 +46,7 @@ def cell_stay_table(
     if ping_pong:
         points = S.suppress_ping_pong(points, line)
     stays = S.stay_aggregate(points, line)
-    places = area.select("code", "rat", "city_id", "county_id")
+    places = one_row_per_cell(area.select("code", "rat", "city_id", "county_id"))
     return stays.join(places, ["code", "rat"], "left").select(
         "imsi",
         "date",
@@ -77,15 +78,20 @@ def cell_stay_table_text(
     ``sites``: ``eci``, lon, lat; rows of unknown cells are dropped, and so is a whole trace with
     any impossible coordinate.  ``counties``: ``code`` and ``county_id``.
     """
-    known = intervals.join(sites.select("eci", "lon", "lat"), "eci").withColumn(
-        "code", F.col("eci").cast("string")
-    )
+    located = sites.groupBy("eci").agg(F.min(F.struct("lon", "lat")).alias("_at"))
+    known = intervals.join(located.where(F.col("eci").isNotNull()), "eci").withColumns(
+        {
+            "code": F.col("eci").cast("string"),
+            "lon": F.col("_at.lon"),
+            "lat": F.col("_at.lat"),
+        }
+    ).drop("_at")
     by_end = line.ordered_by("e_time", "s_time", "event_id")
     located = clean.drop_bad_coordinate_traces(known, by_end, dealt=True)
     merged = S.merge_adjacent_stays(located, by_end)
     return (
         merged.where(~F.col("code").contains("-"))
-        .join(counties.select("code", "county_id"), "code", "left")
+        .join(one_row_per_cell(counties.select("code", "county_id"), ("code",)), "code", "left")
         .select(
             "imsi",
             "phone",
@@ -191,7 +197,21 @@ def ticket_trace(
     compat: bool = False,
     line: Timeline = TICKET,
 ) -> DataFrame:
-    """Four ticket tables to stays of decoded cells, overlaps cut and neighbours merged."""
+    """Four ticket tables to stays of decoded cells, as the published table."""
+    merged = merged_tickets(local_voice, local_data, out_voice, out_data, clock, compat, line)
+    return _stay_row(merged, F.lit(SOURCE_OF_TICKETS))
+
+
+def merged_tickets(
+    local_voice: DataFrame,
+    local_data: DataFrame,
+    out_voice: DataFrame,
+    out_data: DataFrame,
+    clock: Clock = SHANGHAI,
+    compat: bool = False,
+    line: Timeline = TICKET,
+) -> DataFrame:
+    """Stays of decoded cells of all tickets, overlaps cut and neighbours merged."""
     decoded = [
         clean.ticket_stays(t, service, clock, compat)
         for t, service in (
@@ -212,8 +232,7 @@ def ticket_trace(
         "city_code",
         "county_code",
     )
-    merged = S.merge_adjacent_stays(rows, line, smooth=True, midpoint=False)
-    return _stay_row(merged, F.lit(SOURCE_OF_TICKETS))
+    return S.merge_adjacent_stays(rows, line, smooth=True, midpoint=False)
 
 
 def merge_ticket_and_location(
@@ -236,19 +255,29 @@ def merge_ticket_and_location(
 
 
 def point_trace_text(
-    points: DataFrame, kind: str = "SECTOR", line: Timeline = DAILY, where: Column | None = None
+    points: DataFrame,
+    kind: str = "SECTOR",
+    line: Timeline = DAILY,
+    where: Column | None = None,
+    part_ms: int = S.PART_MS,
 ) -> DataFrame:
-    """Points, optionally filtered, to one trace text per subscriber and day."""
+    """Points, optionally filtered, to trace texts, one for each stretch of a subscriber's day."""
     kept = points if where is None else points.where(where)
-    return S.trace_serialise(S.stay_aggregate(kept, line), kind, line)
+    return S.trace_serialise(S.stay_aggregate(kept, line), kind, line, part_ms)
 
 
 def interval_trace_count(
-    intervals: DataFrame, line: Timeline = Timeline(keys=("phone", "date"))
+    intervals: DataFrame, sites: DataFrame, line: Timeline = Timeline(keys=("phone", "date"))
 ) -> DataFrame:
-    """Signalling intervals to the number of merged stays per phone and day."""
+    """Signalling intervals to the number of merged stays per phone and day.
+
+    Both sides have ``eci``; rows of cells that ``sites`` does not know are dropped.
+    """
     by_end = line.ordered_by("e_time", "s_time", "event_id")
-    merged = S.merge_adjacent_stays(intervals, by_end, midpoint=False)
+    known = intervals.join(sites.select("eci"), "eci", "left_semi")
+    merged = S.merge_adjacent_stays(
+        known.withColumn("code", F.col("eci").cast("string")), by_end, midpoint=False
+    )
     return S.stay_count_per_trace(merged, line.keys)
 
 
@@ -260,7 +289,9 @@ def single_area_subscribers(
     A trace is one merged stay exactly when all its stays have one area, so counting areas
     needs no ordering.  Places outside the area table do not count as an area.
     """
-    labelled = stays.join(area.select("code", "area_code"), "code", "left")
+    keys = cell_keys(stays, area)
+    areas = one_row_per_cell(area.select(*keys, "area_code"), tuple(keys))
+    labelled = stays.join(areas, keys, "left")
     area_code = F.coalesce(F.col("area_code"), F.lit(""))
     return (
         labelled.groupBy(*line.keys)

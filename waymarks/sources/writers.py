@@ -30,8 +30,3 @@ def write_text_replace(df: DataFrame, path: str, sep: str = "\t") -> None:
     """Text lines of all columns, replacing the folder."""
     line = F.concat_ws(sep, *to_string_row(df).columns)
     to_string_row(df).select(line.alias("value")).write.mode("overwrite").text(path)
-
-
-def write_single_file(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """As ``write_text_replace`` into one file: for results of known small size."""
-    write_text_replace(df.coalesce(1), path, sep)
