@@ -94,6 +94,46 @@ def test_style_tree_drops_what_a_host_repeats(spark):
     assert extract.extract(df.where("false")).count() == 0
 
 
+def test_repeated_pages_are_one_page_of_the_tree(spark):
+    html = '<body><div id="wrap"><article><p>An article that a host has four times.</p></article></div></body>'
+    rows = [(i, "http://same.example/", html) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.text for r in extract.extract(df).collect()} == {"An article that a host has four times."}
+
+
+def test_style_tree_equals_brute_force(spark):
+    import math
+    from collections import Counter, defaultdict
+
+    def page(i):
+        notice = "<p class='x'>Sign up for our letter today</p>" if i % 4 else ""
+        advert = f"<ul><li>Offer {i % 2}</li></ul>"
+        return (f"<body><article><h2>Title {i}</h2><p>Text {i}.</p>{notice}{advert}<p>More {i}</p>"
+                f"<section><h3>Always</h3><p>End {i}</p></section></article></body>")
+
+    rows = [(i, "http://h.example/", page(i % 18)) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    values = defaultdict(lambda: (Counter(), Counter()))
+    for html in {page(i) for i in range(18)}:
+        first = {}
+        for path, tags, content in Reader().read(html).contents():
+            first.setdefault(path, (tags, content))
+        for path, (tags, content) in first.items():
+            values[path][0][tags] += 1
+            values[path][1][content] += 1
+
+    def entropy(c):
+        n = sum(c.values())
+        return -sum(x / n * math.log(x / n) for x in c.values()) / math.log(n)
+
+    want = {path: 0.1 * entropy(a) + 0.9 * entropy(b) for path, (a, b) in values.items()}
+    got = {r.path: r.importance for r in extract.importance(df).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    texts = {r.page_id: r.text for r in extract.extract(df, threshold=0.4).collect()}
+    assert texts == {i: f"Title {i % 18}\nText {i % 18}.\nMore {i % 18}\nEnd {i % 18}" for i in range(20)}
+
+
 def test_snapshots_collapse(spark):
     turns = [("a", 0, "user", "hi"), ("a", 1, "bot", "yo")]
     turns += [("b", *t[1:]) for t in turns] + [("b", 2, "user", "more")]
@@ -125,5 +165,5 @@ def test_snapshots_collapse(spark):
 
 def test_each_operator_has_a_query():
     names = [n.split("_")[0] for n in QUERIES if n.startswith("op")]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in QUERIES

@@ -16,6 +16,7 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _DIGITS = re.compile(r"\d+")
+_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 # Elements of HTML by what they mean for text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,8 +29,8 @@ CHROME = set(
     "head nav footer aside form button select option input dialog menu svg canvas object audio video "
     "map math fieldset".split()
 )
-#: Elements whose whole branch may go if its importance is low.
-BRANCHES = set("div section ul ol dl table details center header figure blockquote".split())
+#: Block elements that are no node of the style tree: the page itself.
+PAGE = {"", "html", "body"}
 #: Starting one of these ends an open one of the named elements.
 ENDS = {
     "li": {"li"},
@@ -77,21 +78,58 @@ class Element:
     dropped: bool
     children: list[str] = field(default_factory=list)
     first_block: int = 0
+    holds: int = 0
+
+
+@dataclass
+class Block:
+    level: int
+    text: str
+    dropped: bool
 
 
 @dataclass
 class Page:
-    """Blocks (level, text) of what is not dropped, and the elements whose branches may go.
+    """Text blocks in page order, and every block element with its branch.
 
-    A branch is (path, children's tags joined, text of the branch).
+    A branch is (path, children's tags joined, first block, block behind the last, the highest level
+    that it or an element in it begins).
     """
 
-    blocks: list[tuple[int, str]] = field(default_factory=list)
-    branches: list[tuple[int, str, str]] = field(default_factory=list)
+    blocks: list[Block] = field(default_factory=list)
+    branches: list[tuple[int, str, int, int, int]] = field(default_factory=list)
     root: int = BODY
 
-    def text(self) -> str:
-        return "\n".join(text for level, text in self.blocks if level >= self.root)
+    def contents(self) -> list[tuple[int, str, int]]:
+        """Of every branch the path, the children's tags and a hash of its whole text.
+
+        Hashes of blocks are summed along the page as a polynomial, so a branch is one difference.
+        """
+        sums, powers = [0], [1]
+        for block in self.blocks:
+            own = xxhash.xxh3_64_intdigest(block.text.encode("utf-8", "surrogatepass"))
+            sums.append((sums[-1] * _BASE + own) & _MASK)
+            powers.append(powers[-1] * _BASE & _MASK)
+        return [
+            (path, tags, ((sums[b] - sums[a] * powers[b - a]) & _MASK) - (1 << 63))
+            for path, tags, a, b, _ in self.branches
+        ]
+
+    def text(self, low: frozenset[int] = frozenset()) -> str:
+        """The article, without branches of ``low`` paths.
+
+        A branch that has the article or main element in it, and most of its text, is the article,
+        whatever its importance.
+        """
+        shown = [not b.dropped and b.level >= self.root for b in self.blocks]
+        size = [0]
+        for block, on in zip(self.blocks, shown):
+            size.append(size[-1] + (len(block.text) if on else 0))
+        for path, _, a, b, holds in self.branches:
+            article = self.root > BODY and holds >= self.root and 2 * (size[b] - size[a]) > size[-1]
+            if path in low and not article:
+                shown[a:b] = [False] * (b - a)
+        return "\n".join(block.text for block, on in zip(self.blocks, shown) if on)
 
 
 class Reader:
@@ -139,8 +177,7 @@ class Reader:
         known = self.meanings[tag, raw] = (key, chrome, level)
         return known
 
-    def read(self, html: str | None, low: frozenset[int] = frozenset()) -> Page:
-        """``low``: paths of branches to drop."""
+    def read(self, html: str | None) -> Page:
         page = Page()
         stack = [Element("", 0, BODY, False)]
         held: list[str] = []
@@ -148,19 +185,20 @@ class Reader:
 
         def flush():
             if held:
-                if not stack[-1].dropped:
-                    text = " ".join(unescape("".join(held)).split())
-                    if text:
-                        page.blocks.append((stack[-1].level, text))
+                text = " ".join(unescape("".join(held)).split())
+                if text:
+                    page.blocks.append(Block(stack[-1].level, text, stack[-1].dropped))
                 held.clear()
 
         def close(to: int):
             flush()
             while len(stack) > to:
                 e = stack.pop()
-                if e.tag in BRANCHES and not e.dropped:
-                    text = "\n".join(t for _, t in page.blocks[e.first_block :])
-                    page.branches.append((e.path, " ".join(e.children), text))
+                # Every block element is a node, whatever its name says.
+                if e.tag not in PAGE and e.tag not in INLINE:
+                    blocks = (e.first_block, len(page.blocks))
+                    page.branches.append((e.path, " ".join(e.children), *blocks, e.holds))
+                stack[-1].holds = max(stack[-1].holds, e.holds)
 
         at, end = 0, len(html)
         while at < end:
@@ -222,11 +260,11 @@ class Reader:
             # The header of an article holds its title; the header of a page surrounds it.
             chrome |= tag == "header" and top.level < ARTICLE
             path = self._path(top.path, tag, key)
-            dropped = top.dropped or chrome or path in low
+            dropped = top.dropped or chrome
             if level > page.root and not dropped:
                 page.root = level
-            level = max(level, top.level)
-            stack.append(Element(tag, path, level, dropped, [], len(page.blocks)))
+            holds, level = level, max(level, top.level)
+            stack.append(Element(tag, path, level, dropped, [], len(page.blocks), holds))
         close(1)
         flush()
         return page

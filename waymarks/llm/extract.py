@@ -5,17 +5,19 @@ masked) are one node of the tree.  A node has a distribution of presentations (t
 children's tags) and of contents (the text of its branch).  With ``n`` pages that have the node, its
 importance is ``(1 - weight) * presentation + weight * content``, where each is the entropy of the
 distribution over ``log n``: 0 if all pages agree, 1 if no two do.  Branches of low importance are
-removed from each page of the host.  The counts are Spark aggregates over (host, path, value), so a
-host may have any number of pages.
+removed from each page of the host, but for one that has a page's article element and most of its
+text in it.  Every block
+element is a node, down to paragraphs and list items.  A page that a host has several times is one
+page of the tree.  The counts are Spark aggregates over (host, path, value), so a host may have any
+number of pages.
 
-HTML itself says more: navigation, footers, asides, forms, scripts, and elements named or hidden as
-such, surround the article whatever their entropy; the article and its paragraphs never count as
-low.  If a page has ``article`` elements, their text is the text; else that of ``main``; else the body's.
+HTML itself says more, as a further check: navigation, footers, asides, forms, scripts, and elements
+named or hidden as such, surround the article whatever their entropy.  If a page has ``article``
+elements, their text is the text; else that of ``main``; else the body's.
 
 Defined results: NULL or empty html has the empty text.  A NULL or odd url has the empty host, whose
-pages are not merged.  Hosts with fewer than ``least_pages`` pages of a node keep it.  Rows with one
-page_id are extracted each, and each counts as a page.  An empty table gives an empty result.  Other
-columns are ignored.
+pages are not merged.  Hosts with fewer than ``least_pages`` different pages of a node keep it.  Rows
+with one page_id are extracted each.  An empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from waymarks.llm.dom import Reader
 from waymarks.llm.stored import stored
 
-NODES = "host string, path bigint, presentation bigint, content bigint"
+NODES = "host string, page bigint, path bigint, presentation bigint, content bigint"
 TEXTS = "page_id bigint, url string, text string"
 
 
@@ -47,19 +49,24 @@ def _hash(text: str) -> int:
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader()
     for batch in batches:
-        host, path, looks, content = [], [], [], []
-        for of, html in zip(batch["host"].to_pylist(), batch["html"]):
+        host, page, path, looks, content = [], [], [], [], []
+        pages = zip(batch["host"].to_pylist(), batch["page"].to_pylist(), batch["html"])
+        for of, number, html in pages:
             seen = set()
-            for at, children, text in reader.read(html.as_py()).branches:
+            for at, children, text in reader.read(html.as_py()).contents():
                 if at not in seen:  # one count for a page
                     seen.add(at)
                     host.append(of)
+                    page.append(number)
                     path.append(at)
                     looks.append(_hash(children))
-                    content.append(_hash(text))
+                    content.append(text)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), *(pa.array(x, pa.int64()) for x in (path, looks, content))],
-            ["host", "path", "presentation", "content"],
+            [
+                pa.array(host, pa.string()),
+                *(pa.array(x, pa.int64()) for x in (page, path, looks, content)),
+            ],
+            ["host", "page", "path", "presentation", "content"],
         )
 
 
@@ -78,7 +85,10 @@ def _entropy(nodes: DataFrame, value: str) -> DataFrame:
 def importance(pages: DataFrame, weight: float = 0.9) -> DataFrame:
     """(host, path, pages, presentation, content, importance) of the nodes of each host's tree."""
     rows = pages.select(host_of("url").alias("host"), "html").where("host <> ''")
-    nodes = stored(rows.mapInArrow(_nodes, NODES), "nodes")
+    # Equal pages of a host meet as hashes of their nodes: what a page says of a path comes once.
+    page = F.xxhash64("html")
+    nodes = rows.withColumn("page", page).mapInArrow(_nodes, NODES)
+    nodes = stored(nodes.distinct().drop("page"), "nodes")
     looks, content = _entropy(nodes, "presentation"), _entropy(nodes, "content").drop("pages")
     both = looks.join(content, ["host", "path"])
     value = (1 - weight) * F.col("presentation") + weight * F.col("content")
@@ -100,7 +110,7 @@ def extract(
         reader = Reader()
         for batch in batches:
             texts = [
-                reader.read(html.as_py(), frozenset(gone.as_py() or ())).text()
+                reader.read(html.as_py()).text(frozenset(gone.as_py() or ()))
                 for html, gone in zip(batch["html"], batch["low"])
             ]
             yield pa.RecordBatch.from_arrays(
