@@ -45,14 +45,14 @@ from waymarks.llm.stored import stored
 ENDING = 3
 #: Text bytes whose words one bucket receives, about.
 BUCKET_BYTES = 24_000_000
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 #: Training tokens of a word from which it has a class of its own.
 LEAST = 3
 #: Exchange rounds over the whole vocabulary, and units compared at once.
 ROUNDS = 6
 UNITS = 2000
 #: Training text whose neighbours one part holds, about.
-PART_BYTES = 6_000_000
+PART_BYTES = 3_000_000
 
 HEAVY = "ending boolean, word binary, n bigint, tokens bigint"
 PAIRS = "a int, b int, n bigint"
@@ -391,7 +391,7 @@ def _contexts(shared, count: int):
             a, b = pair // size, pair % size
             keys = np.concatenate((2 * a * size + b, (2 * b + 1) * size + a))
             n, part = np.concatenate((n, n)), np.concatenate((a, b)) % count
-            order = np.argsort(part * (2 * size * size) + keys)
+            order = np.lexsort((keys, part))
             keys, n, part = keys[order], n[order], part[order]
             to, at = np.unique(part, return_index=True)
             sent = [_planes(*x) for x in zip(np.split(keys, at[1:]), np.split(n, at[1:]))]
@@ -407,10 +407,38 @@ def _contexts(shared, count: int):
     return contexts
 
 
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    return keys[at], np.add.reduceat(n[order], at)
+
+
+def _joined(more: tuple, less: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of two sorted lists of distinct keys, the longer one first."""
+    (k1, n1), (k2, n2) = (more, less) if len(more[0]) >= len(less[0]) else (less, more)
+    at = np.searchsorted(k1, k2)
+    same = at < len(k1)
+    same[same] = k1[at[same]] == k2[same]
+    n1[at[same]] += n2[same]
+    new = ~same
+    return np.insert(k1, at[new], k2[new]), np.insert(n1, at[new], n2[new])
+
+
 def _merged(table: pa.Table) -> pa.Table:
-    got = [_pairs_of(*x) for x in zip(table["keys"].to_pylist(), table["counts"].to_pylist())]
-    keys, at = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True)
-    n = np.bincount(at, np.concatenate([x[1] for x in got]).astype(float), len(keys))
+    # Sorted lists are merged by twos of like size: a common unit has many lists with the same
+    # neighbours, and only what they sum to is held.
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for keys, counts in zip(table["keys"], table["counts"]):
+        held.append(_pairs_of(keys.as_py(), counts.as_py()))
+        while len(held) > 1 and 2 * len(held[-1][0]) >= len(held[-2][0]):
+            held.append(_joined(held.pop(), held.pop()))
+    while len(held) > 1:
+        held.append(_joined(held.pop(), held.pop()))
+    keys, n = held[0]
     # A count over 32 bits is sent as several entries.
     again = np.maximum(1, np.ceil(n / 0xFFFFFFFF)).astype(np.int64)
     at = np.repeat(np.arange(len(keys)), again)
@@ -446,10 +474,9 @@ def _class_pairs(shared):
             after = keys // size % 2 == 0
             keys, n = keys[after], n[after]
             cell = own[keys // (2 * size)] * k + own[keys % size]
-            sums = np.bincount(cell, n.astype(float), k * k).astype(np.int64)
-            at = np.flatnonzero(sums)
+            at, sums = _summed(cell, n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at // k, pa.int32()), pa.array(at % k, pa.int32()), pa.array(sums[at])],
+                [pa.array(at // k, pa.int32()), pa.array(at % k, pa.int32()), pa.array(sums)],
                 ["a", "b", "n"],
             )
 
