@@ -7,9 +7,10 @@ lowercase hexadecimal digits), each leftmost and without overlaps of its kind.
 ``random`` spans come from the token-efficiency test: runs of 16 or more characters of keys and
 encodings, or what base spans leave of them, are encoded with a tiktoken vocabulary.  If a run is not
 random as a whole, its pieces between ``/ - _ = +`` of 16 or more characters are tested each.  Text
-that people write gets 3 to 5 characters a token; a random string gets less than 2, and letters of
-one case must get less than 1.9.  Known digests (hexadecimal of the usual digest lengths) and known identifiers (UUIDs, numbers,
-dates, versions) are not flagged, neither is what a base span covers.
+that people write gets 3 to 5 characters a token; a random string gets less than 2, and letters
+without digits, of one case or with one change of case, must get less than 1.9.  Known digests
+(hexadecimal of the usual digest lengths) and known identifiers (UUIDs, numbers, dates, versions) are
+not flagged, neither is what a base span covers.
 
 Defined results: NULL text is empty.  Spans are in code points, end exclusive, start with the
 smallest start, ties in the order assign, access, hex, random.  Repeated rows are scanned each.  An
@@ -19,7 +20,6 @@ empty table gives an empty result.  Other columns are ignored.
 from __future__ import annotations
 
 import base64
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 #: Characters a token below which a run counts as random.
 MOST_CHARS_A_TOKEN = 2.0
-#: The same for letters of one case, which are words more often.
-MOST_CHARS_ONE_CASE = 1.9
-VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+#: The same for letters alone, of one case or with one change of case, which are words more often.
+MOST_CHARS_LETTERS = 1.9
+#: Vocabulary file that every machine has; a parameter of ``scan`` and ``redact``.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # The base patterns, their least lengths, and the order of kinds.
 ASSIGN = r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -52,7 +53,7 @@ _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(HEX)
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _PIECE = re.compile(r"[A-Za-z0-9]{16,}")
-_LETTERS = re.compile(r"[a-z]+|[A-Z]+")
+_LETTERS = re.compile(r"[A-Za-z]+")
 _DIGEST = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128})"
@@ -99,13 +100,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _is_random(run: str, encoding, most: float) -> bool:
-    """Whether a run gets few characters a token; single-case letters by a stricter ratio."""
+    """Whether a run gets few characters a token; letters like those of a word by a stricter ratio."""
     if _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run):
         return False
     if not _MIXED.search(run):
         if not _LETTERS.fullmatch(run) or len(set(run)) < LEAST_LETTERS:
             return False
-        most = min(most, MOST_CHARS_ONE_CASE)
+        most = min(most, MOST_CHARS_LETTERS)
     # Long runs are judged by parts, so the encoder's work stays in proportion.
     tokens = sum(
         len(encoding.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096)
