@@ -200,6 +200,22 @@ def test_language_of_many_held_out_rows(spark):
     held = {r.doc_id: r for r in langid.identify(df).collect() if r.held_out}
     right = sum(held[i].lang_pred == lang for i, _, lang in rows if i in held)
     assert len(held) > 250 and right >= 0.98 * len(held)
+    # Labelled rows are kept; scripts and letters that were never learned are not.
+    assert sum(held[i].rejected for i in held) <= 0.01 * len(held)
+    odd = ["これは日本語の文章です、とても長い", "Это русский текст о погоде", "qxzvk wjpqx zzkxv vqjxw xkzqp"]
+    unknown = spark.createDataFrame([(9000 + i, t, None) for i, t in enumerate(odd)], df.schema)
+    found = {r.doc_id: r for r in langid.identify(df.union(unknown)).collect() if r.doc_id >= 9000}
+    assert all(found[9000 + i].rejected for i in range(3))
+    assert {r.doc_id for r in langid.keep_identified(df.union(unknown)).collect()} <= set(range(1200))
+
+
+def test_equal_rows_are_sampled_once(spark):
+    rows = [(None, "the same text", "en")] * 3000 + [(i, f"der {i} und", "de") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    texts, labels = langid.sample(df, 5000, F.lit(True))
+    assert labels.count("en") == 1 and labels.count("de") == 50
+    few, _ = langid.sample(df, 5000, F.lit(True), most_rows=20)
+    assert len(few) < 40
 
 
 def test_language_of_odd_rows(docs, empty):
@@ -283,6 +299,10 @@ def test_random_pieces_and_single_case_letters():
     assert found(f"see {path}{path}{key} there") == [key]
     assert found("mail xqzvkwjpbmtrhgdf now") == ["xqzvkwjpbmtrhgdf"]
     assert found("otp XKZQVWJHGBPFRMYT now") == ["XKZQVWJHGBPFRMYT"]
+    # Letters with one change of case.
+    for word in ("Qzxvkjwpbnmtrdfg", "XKqzvwjpbmtrhgdf", "xqzvkwjpbmtrhgdF"):
+        assert found(f"pin {word} now") == [word]
+    assert found("Internationalization Verantwortungsbewusstsein NationalGeographic") == []
     base = "0123456789abcdef" * 2
     assert [t for t in found(f"{base}/{key}") if key in t]
     assert found(f"{path} internationalization zzzzzzzzzzzzzzzzzzzz ABABABABABABABABAB") == []
@@ -312,6 +332,28 @@ def test_secret_spans(spark, docs, empty):
         6: [],
         7: [],
     }
+    # Base spans against the patterns written out, on random texts.
+    import re
+
+    rng = random.Random(8)
+    bits = ["password", "api_key", "APIKEY", '"', "'", " ", "=", ":", "AKIA", "Z9", "abc", "0f", "hunter", ".", "é", "\n"]
+    many = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(1, 60)))) for i in range(300)]
+    many += [(300, "x " * 200_000 + "token=abcdef" + " y" * 200_000), (301, "deadbeef" * 5000)]
+    kinds = {
+        "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        "access": r"AKIA[A-Z0-9]+",
+        "hex": r"[0-9a-f]+",
+    }
+    least = {"assign": 6, "access": 20, "hex": 24}
+    spans = S.scan(spark.createDataFrame(many, "doc_id bigint, text string")).collect()
+    for (_, text), row in zip(many, sorted(spans, key=lambda r: r.doc_id)):
+        want = {
+            (k, m.start(), m.end())
+            for k, p in kinds.items()
+            for m in re.finditer(p, text, re.A)
+            if len(m[2] if k == "assign" else m[0]) >= least[k]
+        }
+        assert {tuple(s) for s in row.spans if s.kind in kinds} == want
     clean = {r.doc_id: r.text for r in S.redact(df).collect()}
     assert clean[4] == "use [secret] now" and clean[6] is None and clean[5] == texts[5]
     assert S.redact(docs).columns == docs.columns
@@ -351,7 +393,8 @@ def test_mix_meets_targets(docs, empty):
 
 
 def test_pipeline_stages(spark, tmp_path, docs):
-    item = " ".join(f"q{i}x" for i in range(30))
+    # Words of the learned languages; other words would be rejected as no language.
+    item = sentence(random.Random(77), "en", 40)
     planted = [(900, f"the and {item} ring of", "en", "s0", 0, "x", 1)]
     planted += [(901, 'with the token = "abcdefgh12" of ringing and the', "en", "s1", 0, "x", 1)]
     docs.union(spark.createDataFrame(planted, SCHEMA)).write.parquet(f"{tmp_path}/documents.parquet")

@@ -6,13 +6,15 @@ are trained together by stochastic gradient descent in numpy on a bounded sample
 Since the layers are linear, table times weights gives one score vector per row, and predicting is a
 lookup and a mean over the whole text.
 
-The sample takes about ``per_language`` rows of each of at most ``MOST_LANGUAGES`` languages, chosen by
-a hash of the id.
-A fifth of it is not trained on: it calibrates a temperature, and the score below which a prediction is
-rejected, so that no more than ``reject_rate`` of labelled rows are.
+The sample takes about ``per_language`` rows of each language, and fewer of each where there are so many
+languages that this would be more than ``most_rows``; rows are chosen by a hash of id and text, and equal
+rows count once.  A fifth of it is not trained on: it calibrates a temperature and two bounds, each
+passed by all but ``reject_rate`` of labelled rows: the score of a prediction, and its familiarity, the
+share of the text's letter pairs that the training texts have.  A prediction below either is rejected,
+so that text of an unlearned script, and letters that form no words, are.
 
 Defined results: NULL text, and text without a letter, is ``und`` with score 0, and rejected.  Text of
-letters always gets a learned language.  Without labelled rows everything is ``und``.  An empty table
+letters always gets a learned language, rejected or not.  Without labelled rows everything is ``und``.  An empty table
 gives an empty result.  Repeated rows are rows of their own.  Other columns are never inputs.
 """
 
@@ -31,8 +33,10 @@ UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)
 BITS = 16
 DIMENSION = 16
-#: Languages learned, the most frequent ones.
-MOST_LANGUAGES = 500
+#: Sampled rows over all languages, about.
+MOST_ROWS = 50_000
+#: What a calibrated bound is multiplied by, so that text a little odder than the sample passes.
+SLACK = 0.9
 #: Texts are hashed in runs of so many characters, whatever their length.
 RUN = 1 << 20
 
@@ -46,12 +50,12 @@ def has_letter(text: str | None) -> bool:
     return text is not None and _LETTER.search(text) is not None
 
 
-def grams(text: str) -> np.ndarray:
+def grams(text: str, sizes: tuple[int, ...] = GRAMS) -> np.ndarray:
     """Rows of the embedding table for every n-gram of a whole text."""
     plain = f" {_BREAK.sub(' ', text.lower()).strip()} "
     codes = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), np.uint32)
     out = []
-    for n in GRAMS:
+    for n in sizes:
         if len(codes) < n:
             continue
         h = np.full(len(codes) - n + 1, 0x811C9DC5 + n, np.uint32)
@@ -63,9 +67,9 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _pieces(text: str) -> Iterator[np.ndarray]:
+def _pieces(text: str, sizes: tuple[int, ...] = GRAMS) -> Iterator[np.ndarray]:
     for at in range(0, len(text), RUN):
-        yield grams(text[at : at + RUN])
+        yield grams(text[at : at + RUN], sizes)
 
 
 @dataclass
@@ -74,6 +78,16 @@ class Model:
     scores: np.ndarray  # one row of language scores for each row of the embedding table
     temperature: float = 1.0
     threshold: float = 0.0
+    pairs: np.ndarray | None = None  # whether training texts have a letter pair, by its row
+    least_familiar: float = 0.0
+
+    def familiarity(self, text: str) -> float:
+        """Share of the letter pairs of a whole text that training texts have."""
+        known = total = 0
+        for rows in _pieces(text, (2,)):
+            known += int(self.pairs[rows].sum())
+            total += len(rows)
+        return known / max(total, 1)
 
     def logits(self, text: str) -> np.ndarray:
         total, n = np.zeros(len(self.languages)), 0
@@ -126,11 +140,19 @@ def train(
             table[rows] -= (50 * step) * np.outer(share, back)
             steps += 1
     model = Model(languages, (table @ weights).astype(np.float32))
-    return calibrate(model, [data[i] for i in check], y[check])
+    model.pairs = np.zeros(1 << BITS, bool)
+    for i in fit:
+        for rows in _pieces(texts[i], (2,)):
+            model.pairs[rows] = True
+    check = [int(i) for i in check]
+    familiar = np.array([model.familiarity(texts[i]) for i in check])
+    return calibrate(model, [data[i] for i in check], y[check], familiar)
 
 
-def calibrate(model: Model, data: list, y: np.ndarray, reject_rate: float = 0.001) -> Model:
-    """Temperature of the least log loss, then the threshold that keeps 1 - reject_rate."""
+def calibrate(
+    model: Model, data: list, y: np.ndarray, familiar: np.ndarray, reject_rate: float = 0.001
+) -> Model:
+    """Temperature of the least log loss, then the bounds that 1 - reject_rate pass."""
     if not len(y):
         return model
     logits = np.stack([share @ model.scores[rows] for rows, share in data])
@@ -142,22 +164,26 @@ def calibrate(model: Model, data: list, y: np.ndarray, reject_rate: float = 0.00
         if loss < best:
             best, model.temperature = loss, float(t)
     top = model.probabilities(logits).max(1)
-    # Never above what a confident two-way guess has, never asking less than chance.
+    # Never asking less than chance.
     floor = 1.0 / len(model.languages)
-    model.threshold = float(min(max(np.quantile(top, reject_rate) * 0.9, floor), 0.5))
+    model.threshold = float(max(np.quantile(top, reject_rate) * SLACK, floor))
+    model.least_familiar = float(np.quantile(familiar, reject_rate) * SLACK)
     return model
 
 
-def sample(docs: DataFrame, per_language: int, learnable: Column) -> tuple[list[str], list[str]]:
+def sample(
+    docs: DataFrame, per_language: int, learnable: Column, most_rows: int = MOST_ROWS
+) -> tuple[list[str], list[str]]:
     """A bounded, repeatable sample of labelled rows, about as many of each language."""
     rows = docs.where(learnable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    sizes = {r[0]: r[1] for r in sizes.collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return [], []
+    per_language = min(per_language, max(1, most_rows // len(sizes)))
     share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, per_language / n)))
-    at = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    got = rows.where(at < share[F.col("lang")]).select("doc_id", "text", "lang").collect()
+    at = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.where(at < share[F.col("lang")]).select("doc_id", "text", "lang")
+    got = chosen.distinct().collect()
     got.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, r.text))
     got = [r for r in got if has_letter(r.text)]
     return [r.text for r in got], [r.lang for r in got]
@@ -169,7 +195,8 @@ def judge(model: Model | None, text: str | None) -> tuple[str, float, bool]:
         return UNKNOWN, 0.0, True
     p = model.probabilities(model.logits(text))
     best = int(np.argmax(p))
-    return model.languages[best], float(p[best]), float(p[best]) < model.threshold
+    rejected = p[best] < model.threshold or model.familiarity(text) < model.least_familiar
+    return model.languages[best], float(p[best]), bool(rejected)
 
 
 def predict(docs: DataFrame, model: Model | None, held: Column) -> DataFrame:
