@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,13 +187,55 @@ def test_classes_are_learned_for_words_below_the_share(spark):
     rows = [(d, " ".join(rng.choice(groups[i % 3]) for i in range(60))) for d in range(400)]
     train = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     model = classlm.fit(train, share=1 / 20, classes=6)
-    of = model.units.lookup()
-    classes = [{int(model.own[of[w.encode()]]) for w in group} for group in groups]
+
+    def units(group):
+        return model.units.of(*(lambda w: (w.distinct, w.hashes()))(classlm.Words(pa.array(group))))
+
+    classes = [set(model.own[units(group)].tolist()) for group in groups]
     assert len(model.units.words) == 120
     assert not (classes[0] & classes[1] or classes[1] & classes[2] or classes[0] & classes[2])
     assert classlm.class_count(10**6, 32) > classlm.class_count(10**4, 32) == 32
 
 
+def test_words_of_arrow_texts():
+    rng = random.Random(4)
+    bits = ["A", "b", "É", "ſ", " ", "\t", "\x0b", "\n", "\x1c", "\x85", "\u2003", "日本"]
+    texts = ["", None, " ", "a", " a ", "x " * 5000]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    for array in (pa.array(texts), pa.array(["skipped", *texts]).slice(1), pa.chunked_array([texts[:7], texts[7:]])):
+        found = classlm.Words(array)
+        tokens = [(t or "").encode().lower().split() for t in texts]
+        assert found.sizes.tolist() == [len(t) for t in tokens]
+        assert [found.distinct[i] for i in found.at] == [w for t in tokens for w in t]
+        assert len(set(found.distinct)) == len(found.distinct)
+
+
+def test_wide_units_move_like_others(spark, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(5)
+    rows = [(" ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(80)),) for _ in range(150)]
+    train = spark.createDataFrame(rows, "text string").repartition(4)
+    monkeypatch.setattr(classlm, "SLICE_BYTES", 2000)
+    found = []
+    # Every unit in one part; common ones dealt over all parts, in short rows.
+    for wide, pairs in ((10**9, 1 << 16), (300, 64)):
+        monkeypatch.setattr(classlm, "WIDE", wide)
+        monkeypatch.setattr(classlm, "ROW_PAIRS", pairs)
+        monkeypatch.setattr(classlm, "PART_BYTES", 6000)
+        found.append(classlm.fit(train, share=1 / 4, classes=4))
+    pairs = np.zeros((len(found[0].own),) * 2)
+    for (text,) in rows:
+        at = classlm.Words(pa.array([text]))
+        units = found[0].units.of(at.distinct, at.hashes())[at.at]
+        flow = [found[0].units.end, *units.tolist(), found[0].units.end]
+        np.add.at(pairs, (flow[:-1], flow[1:]), 1)
+    for model in found:
+        assert np.array_equal(model.frequency, pairs.sum(0))
+    assert np.array_equal(found[0].own, found[1].own)
+    assert np.allclose(found[0].step, found[1].step) and len(set(found[0].own.tolist())) > 2
+
+
 def test_language_of_many_held_out_rows(spark):
     rng = random.Random(11)
     rows = [(i, sentence(rng, lang, 40), lang) for i in range(1200) for lang in ["en" if i % 2 else "de"]]

@@ -7,7 +7,8 @@
 2. Seed.  Words and endings that make up a share of the training tokens (at most ``4 / (3 * share)``
    each) are clustered exactly on the driver, one move at a time.
 3. Exchange rounds.  Counts of (unit, neighbour) over all training rows are dealt by unit into parts
-   and stored.  In each round, tasks sum a unit's neighbours by class and move it to the class that
+   and stored; a unit with very many tokens is dealt over all parts by its neighbours, and what parts
+   find of it is summed.  In each round, tasks sum a unit's neighbours by class and move it to the class that
    gains most likelihood, measured without its own counts; half of the units move at a time.  Only
    the class of every unit and the table of class bigrams are sent to the tasks.  A round that does
    not raise the likelihood is taken back.  The number of classes grows with the root of the
@@ -33,13 +34,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymarks.llm.chunks import CHUNK_BYTES, by_hash, parts, text_bytes
-from waymarks.llm.hashing import WordHashes, finish, pack, unpack
-from waymarks.llm.stored import stored
+from waymarks.llm.hashing import finish, pack, unpack
+from waymarks.llm.stored import write
 
 #: UTF-8 bytes of an ending.
 ENDING = 3
@@ -48,17 +50,23 @@ BUCKET_BYTES = 24_000_000
 SLICE_BYTES = 2_000_000
 #: Training tokens of a word from which it has a class of its own.
 LEAST = 3
-#: Exchange rounds over the whole vocabulary, and units compared at once.
+#: Exchange rounds over the whole vocabulary, and (unit, side, class) sums held at once.
 ROUNDS = 6
-UNITS = 2000
+CELLS = 500_000
 #: Training text whose neighbours one part holds, about.
 PART_BYTES = 3_000_000
+#: Training tokens from which a unit's neighbours are dealt over all parts.
+WIDE = 250_000
+#: Pairs in a stored row, about (12 bytes each), and rows sent to Python at once.
+ROW_PAIRS = 1 << 16
+BATCH_ROWS = 8
 
 HEAVY = "ending boolean, word binary, n bigint, tokens bigint"
 PAIRS = "a int, b int, n bigint"
 KNOWN = "word bigint, seed int, n bigint"
 CONTEXTS = "part int, keys binary, counts binary"
 MOVES = "unit int, class int"
+SUMS = "unit int, cell int, n bigint"
 FREQUENCY = "unit int, n bigint"
 SENT = "chunk int, bucket int, words binary, counts binary, kinds bigint, once bigint, twice bigint"
 SCORED = (
@@ -73,9 +81,29 @@ def held_out(remainder: int, modulus: int) -> Column:
     return F.crc32(text) % modulus == remainder
 
 
-def lower_words(text: str | None) -> list[bytes]:
-    # bytes.lower() changes A-Z only.
-    return [] if text is None else text.encode("utf-8", "surrogatepass").lower().split()
+class Words:
+    """Distinct lower-case words of texts, where each token is among them, and tokens by text."""
+
+    def __init__(self, texts: pa.Array | pa.ChunkedArray):
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        # Arrow's ASCII functions change A-Z only and split at U+0009 to U+000D and the space.
+        found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        ends = np.cumsum(pc.list_value_length(found).to_numpy(zero_copy_only=False))
+        tokens = found.flatten()
+        real = pc.greater(pc.binary_length(tokens), 0)  # blanks at the ends of a text split off ""
+        before = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+        self.sizes = np.diff(before[np.append(0, ends).astype(np.int64)]).astype(np.int64)
+        coded = pc.dictionary_encode(tokens.filter(real))
+        self.at = coded.indices.to_numpy(zero_copy_only=False)
+        self.distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+
+    def hashes(self) -> np.ndarray:
+        n = len(self.distinct)
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.distinct), np.uint64, n)
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.at, minlength=len(self.distinct))
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,15 +121,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _heavy(share: float):
     def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            words: Counter = Counter()
-            for text in batch["text"].to_pylist():
-                words.update(lower_words(text))
+            words = Words(batch["text"])
+            counts = words.counts().tolist()
             endings: Counter = Counter()
-            for word, n in words.items():
+            for word, n in zip(words.distinct, counts):
                 endings[word[-ENDING:]] += n
-            tokens = sum(words.values())
+            tokens = len(words.at)
             least = share / 4 * tokens
-            out = [(False, w, n, 0) for w, n in words.items() if n >= least]
+            out = [(False, w, n, 0) for w, n in zip(words.distinct, counts) if n >= least]
             out += [(True, w, n, 0) for w, n in endings.items() if n >= least]
             out.append((None, b"", 0, tokens))
             yield pa.RecordBatch.from_arrays(
@@ -132,31 +159,10 @@ class Units:
     def end(self) -> int:
         return self.rest + 1
 
-    def lookup(self) -> _UnitOf:
-        return _UnitOf(self)
-
-
-class _UnitOf(dict):
-    """Word to unit, remembering words already seen up to a bound."""
-
-    LIMIT = 1 << 18
-
-    def __init__(self, units: Units):
-        super().__init__()
-        self.units = units
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        u = self.units
-        unit = u.words.get(word)
-        if unit is None:
-            unit = u.endings.get(word[-ENDING:], u.rest)
-        self[word] = unit
-        return unit
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+    def of(self, words: list[bytes]) -> np.ndarray:
+        own, endings, rest = self.words, self.endings, self.rest
+        units = [own[w] if w in own else endings.get(w[-ENDING:], rest) for w in words]
+        return np.array(units, np.int32)
 
 
 def frequent_units(train: DataFrame, share: float) -> Units:
@@ -232,28 +238,25 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = 20) -> np.ndarray:
 
 
 class _Chunk:
-    """Distinct word hashes of a chunk, and where its tokens are among them."""
+    """Words of a chunk in the order in which buckets receive and answer them."""
 
     def __init__(self, table: pa.Table, buckets: int):
-        hashes = WordHashes()
-        self.words = [lower_words(t) for t in table["text"].to_pylist()]
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
-        tokens = [hashes.array(w) for w in self.words]
-        tokens = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
-        self.distinct, self.at = np.unique(tokens, return_inverse=True)
+        self.words = Words(table["text"])
+        self.hashes = self.words.hashes()
         # Another mix of the hash deals words to buckets.
-        self.bucket = (finish(self.distinct * np.uint64(5)) >> np.uint64(33)) % np.uint64(buckets)
+        mixed = finish(self.hashes * np.uint64(5))
+        self.bucket = (mixed >> np.uint64(33)) % np.uint64(buckets)
+        self.order = np.lexsort((self.hashes, self.bucket))
 
 
 def _send(buckets: int):
     def send(table: pa.Table) -> pa.Table:
         c = _Chunk(table, buckets)
-        train = np.repeat(~np.array(table["held_out"].to_pylist(), bool), c.sizes)
-        n = np.bincount(c.at[train], minlength=len(c.distinct)).astype(np.uint32)
-        order = np.argsort(c.bucket, kind="stable")
-        to, at = np.unique(c.bucket[order], return_index=True)
-        words = [pack(x) for x in np.split(c.distinct[order], at[1:])] if len(to) else []
-        counts = [x.tobytes() for x in np.split(n[order], at[1:])] if len(to) else []
+        train = np.repeat(~np.array(table["held_out"].to_pylist(), bool), c.words.sizes)
+        n = np.bincount(c.words.at[train], minlength=len(c.hashes)).astype(np.uint32)
+        to, at = np.unique(c.bucket[c.order], return_index=True)
+        words = [pack(x) for x in np.split(c.hashes[c.order], at[1:])] if len(to) else []
+        counts = [x.tobytes() for x in np.split(n[c.order], at[1:])] if len(to) else []
         return _sent(table["chunk"][0].as_py(), to, words, counts, (0, 0, 0))
 
     return send
@@ -313,36 +316,26 @@ class Vocabulary:
     def end(self) -> int:
         return self.rest + 1
 
-    def lookup(self) -> _KnownUnitOf:
-        return _KnownUnitOf(self)
-
-
-class _KnownUnitOf(_UnitOf):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        u = self.units
-        h = np.uint64(xxhash.xxh3_64_intdigest(word))
-        unit = int(np.searchsorted(u.hashes, h))
-        if unit == len(u.hashes) or u.hashes[unit] != h:
-            unit = u.endings.get(word[-ENDING:], u.rest)
-        self[word] = unit
-        return unit
+    def of(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.hashes, hashes)
+        own = at < len(self.hashes)
+        own[own] = self.hashes[at[own]] == hashes[own]
+        endings, rest = self.endings, self.rest
+        other = np.flatnonzero(~own)
+        at[other] = [endings.get(words[i][-ENDING:], rest) for i in other.tolist()]
+        return at
 
 
 def _known(shared):
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unit_of = WordHashes(), shared.value.lookup()
+        units = shared.value
         for batch in _slices(batches):
-            words: Counter = Counter()
-            for text in batch["text"].to_pylist():
-                words.update(lower_words(text))
-            own = list(words)
+            words = Words(batch["text"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes.array(own).view(np.int64)),
-                    pa.array(unit_of.array(own)),
-                    pa.array(np.fromiter(words.values(), np.int64, len(own))),
+                    pa.array(words.hashes().view(np.int64)),
+                    pa.array(units.of(words.distinct)),
+                    pa.array(words.counts(), pa.int64()),
                 ],
                 ["word", "seed", "n"],
             )
@@ -376,21 +369,25 @@ def _pairs_of(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contexts(shared, count: int):
-    """Neighbours of units, (unit, side, neighbour) as one number; side 0 is what follows."""
+    """Neighbours of units, (unit, side, neighbour) as one number; side 0 is what follows.
+
+    A unit's neighbours go to one part, those of a wide unit over all parts of wide units.
+    """
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = shared.value
-        size, unit_of = units.end + 1, units.lookup()
+        units, wide = shared.value
+        size = units.end + 1
         for batch in _slices(batches):
-            flow = [np.array([units.end], np.int32)]
-            for text in batch["text"].to_pylist():
-                flow.append(unit_of.array(lower_words(text)))
-                flow.append(flow[0])
-            flow = np.concatenate(flow).astype(np.int64)
+            words = Words(batch["text"])
+            unit = units.of(words.distinct, words.hashes())[words.at]
+            # An end before the first text and after every text.
+            flow = np.append(units.end, np.insert(unit, np.cumsum(words.sizes), units.end))
             pair, n = np.unique(flow[:-1] * size + flow[1:], return_counts=True)
             a, b = pair // size, pair % size
             keys = np.concatenate((2 * a * size + b, (2 * b + 1) * size + a))
-            n, part = np.concatenate((n, n)), np.concatenate((a, b)) % count
+            unit, other = np.concatenate((a, b)), np.concatenate((b, a))
+            n = np.concatenate((n, n))
+            part = np.where(wide[unit], count + (unit + other) % count, unit % count)
             order = np.lexsort((keys, part))
             keys, n, part = keys[order], n[order], part[order]
             to, at = np.unique(part, return_index=True)
@@ -428,25 +425,47 @@ def _joined(more: tuple, less: tuple) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(k1, at[new], k2[new]), np.insert(n1, at[new], n2[new])
 
 
-def _merged(table: pa.Table) -> pa.Table:
-    # Sorted lists are merged by twos of like size: a common unit has many lists with the same
-    # neighbours, and only what they sum to is held.
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for keys, counts in zip(table["keys"], table["counts"]):
-        held.append(_pairs_of(keys.as_py(), counts.as_py()))
-        while len(held) > 1 and 2 * len(held[-1][0]) >= len(held[-2][0]):
+def _merged(size: int):
+    """Sums of a part's lists, in rows of bounded length that keep a unit whole if they can."""
+
+    def merged(table: pa.Table) -> pa.Table:
+        # Sorted lists are merged by twos of like size: a common unit has many lists with the same
+        # neighbours, and only what they sum to is held.
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for keys, counts in zip(table["keys"], table["counts"]):
+            held.append(_pairs_of(keys.as_py(), counts.as_py()))
+            while len(held) > 1 and 2 * len(held[-1][0]) >= len(held[-2][0]):
+                held.append(_joined(held.pop(), held.pop()))
+        while len(held) > 1:
             held.append(_joined(held.pop(), held.pop()))
-    while len(held) > 1:
-        held.append(_joined(held.pop(), held.pop()))
-    keys, n = held[0]
-    # A count over 32 bits is sent as several entries.
-    again = np.maximum(1, np.ceil(n / 0xFFFFFFFF)).astype(np.int64)
-    at = np.repeat(np.arange(len(keys)), again)
-    before = np.arange(len(at)) - np.repeat(np.cumsum(again) - again, again)
-    keys, n = keys[at], np.minimum(n[at] - before * 0xFFFFFFFF, 0xFFFFFFFF)
-    keys, n = _planes(keys, n)
-    part = pa.array([table["part"][0].as_py()], pa.int32())
-    return pa.table({"part": part, "keys": pa.array([keys]), "counts": pa.array([n])})
+        keys, n = held[0]
+        # A count over 32 bits is sent as several entries.
+        again = np.maximum(1, np.ceil(n / 0xFFFFFFFF)).astype(np.int64)
+        at = np.repeat(np.arange(len(keys)), again)
+        before = np.arange(len(at)) - np.repeat(np.cumsum(again) - again, again)
+        keys, n = keys[at], np.minimum(n[at] - before * 0xFFFFFFFF, 0xFFFFFFFF)
+        # A row begins with the first unit that begins in each stretch of ROW_PAIRS pairs.
+        first = np.flatnonzero(np.diff(keys // (2 * size), prepend=-1))
+        cuts = first[np.flatnonzero(np.diff(first // ROW_PAIRS, prepend=0))]
+        rows = [_planes(*x) for x in zip(np.split(keys, cuts), np.split(n, cuts)) if len(x[0])]
+        return pa.table(
+            {
+                "part": pa.array([table["part"][0].as_py()] * len(rows), pa.int32()),
+                "keys": pa.array([r[0] for r in rows], pa.binary()),
+                "counts": pa.array([r[1] for r in rows], pa.binary()),
+            }
+        )
+
+    return merged
+
+
+def _in_small_batches(df: DataFrame, name: str) -> DataFrame:
+    """``df``, stored and read by a session of its own that sends few rows at once to Python."""
+    path = write(df, name, **{"parquet.block.size": BATCH_ROWS * ROW_PAIRS * 12})
+    session = df.sparkSession.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    session.conf.set("spark.sql.shuffle.partitions", df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return session.read.schema(df.schema).parquet(path)
 
 
 def _each(batches: Iterator[pa.RecordBatch]):
@@ -474,7 +493,12 @@ def _class_pairs(shared):
             after = keys // size % 2 == 0
             keys, n = keys[after], n[after]
             cell = own[keys // (2 * size)] * k + own[keys % size]
-            at, sums = _summed(cell, n)
+            if k * k <= len(n):
+                sums = np.bincount(cell, n.astype(float), k * k).astype(np.int64)
+                at = np.flatnonzero(sums)
+                sums = sums[at]
+            else:
+                at, sums = _summed(cell, n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at // k, pa.int32()), pa.array(at % k, pa.int32()), pa.array(sums)],
                 ["a", "b", "n"],
@@ -501,33 +525,91 @@ def _best(own, table, right, left):
     return np.where(gain[np.arange(len(own)), best] > stay + 1e-9, best, own)
 
 
+def _starts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each distinct value begins."""
+    return np.flatnonzero(np.diff(sorted_values, prepend=-1))
+
+
+def _cells(keys: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """(side, class of the neighbour) of (unit, side, neighbour)."""
+    size = len(own)
+    return keys // size % 2 * k + own[keys % size]
+
+
+def _chosen(units: np.ndarray, best: np.ndarray, own: np.ndarray, names=("unit", "class")):
+    moved = best != own[units]
+    return [pa.array(units[moved], pa.int32()), pa.array(best[moved], pa.int32())], list(names)
+
+
 def _moves(shared, count: int, turn: int):
+    """Moves of units whose neighbours are in one part."""
+
     def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, table = shared.value
         size, k = len(own), len(table)
+        at_once = max(1, CELLS // (2 * k))
         for keys, n in _each(batches):
             unit = keys // (2 * size)
-            units, start = np.unique(unit, return_index=True)
-            start = np.append(start, len(keys))
-            for i in range(0, len(units), UNITS):
-                part = units[i : i + UNITS]
+            free = (unit // count + turn) % 2 == 0
+            keys, n, unit = keys[free], n[free], unit[free]
+            start = np.append(_starts(unit), len(keys))
+            units = unit[start[:-1]]
+            for i in range(0, len(units), at_once):
+                part = units[i : i + at_once]
                 a, b = start[i], start[i + len(part)]
-                cell = np.searchsorted(part, unit[a:b]) * 2 + keys[a:b] // size % 2
-                cell = cell * k + own[keys[a:b] % size]
+                cell = np.repeat(np.arange(len(part)), np.diff(start[i : i + len(part) + 1]))
+                cell = cell * 2 * k + _cells(keys[a:b], own, k)
                 sums = np.bincount(cell, n[a:b].astype(float), len(part) * 2 * k)
                 sums = sums.reshape(len(part), 2, k)
-                free = (part < size - 1) & ((part // count + turn) % 2 == 0)
-                part, sums = part[free], sums[free]
                 best = _best(own[part], table, sums[:, 0], sums[:, 1])
-                moved = best != own[part]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[moved], pa.int32()), pa.array(best[moved], pa.int32())],
-                    ["unit", "class"],
-                )
+                yield pa.RecordBatch.from_arrays(*_chosen(part, best, own))
 
     return moves
 
 
+def _wide_sums(shared, count: int, turn: int):
+    """Neighbours of wide units by class, as far as a row holds them."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, table = shared.value
+        size, k = len(own), len(table)
+        for keys, n in _each(batches):
+            unit = keys // (2 * size)
+            free = ((unit // count + turn) % 2 == 0) & (unit < size - 1)  # the end stays
+            unit = unit[free]
+            at, n = _summed(unit * 2 * k + _cells(keys[free], own, k), n[free])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at // (2 * k), pa.int32()), pa.array(at % (2 * k), pa.int32()), pa.array(n)],
+                ["unit", "cell", "n"],
+            )
+
+    return sums
+
+
+def _wide_move(shared):
+    def move(sums: pa.Table) -> pa.Table:
+        own, table = shared.value
+        k = len(table)
+        unit = sums["unit"].to_numpy()[:1]
+        row = np.bincount(sums["cell"].to_numpy(), sums["n"].to_numpy().astype(float), 2 * k)
+        best = _best(own[unit], table, row[None, :k], row[None, k:])
+        return pa.Table.from_arrays(*_chosen(unit, best, own))
+
+    return move
+
+
+def _moved(contexts: DataFrame, own: np.ndarray, table: np.ndarray, count: int, turn: int):
+    """(unit, class) of the moves of a turn."""
+    shared = contexts.sparkSession.sparkContext.broadcast((own, table))
+    whole = contexts.where(F.col("part") < count).mapInArrow(_moves(shared, count, turn), MOVES)
+    wide = contexts.where(F.col("part") >= count).mapInArrow(_wide_sums(shared, count, turn), SUMS)
+    wide = wide.groupBy("unit", "cell").agg(F.sum("n").alias("n"))
+    wide = wide.groupBy("unit").applyInArrow(_wide_move(shared), MOVES)
+    rows = whole.union(wide).toArrow()
+    shared.destroy()
+    return rows["unit"].to_numpy(), rows["class"].to_numpy()
+
+
 def _class_table(contexts: DataFrame, own: np.ndarray) -> np.ndarray:
     shared = contexts.sparkSession.sparkContext.broadcast(own)
     rows = contexts.mapInArrow(_class_pairs(shared), PAIRS)
@@ -549,12 +631,10 @@ def exchange_rounds(
     """Classes of all units and the table of class bigrams after exchange rounds in Spark."""
     table, failed = _class_table(contexts, own), 0
     for turn in range(rounds):
-        shared = contexts.sparkSession.sparkContext.broadcast((own, table))
-        rows = contexts.mapInArrow(_moves(shared, count, turn), MOVES).toArrow()
-        shared.destroy()
+        units, classes = _moved(contexts, own, table, count, turn)
         new = own.copy()
-        new[rows["unit"].to_numpy()] = rows["class"].to_numpy()
-        after = _class_table(contexts, new) if len(rows) else table
+        new[units] = classes
+        after = _class_table(contexts, new) if len(units) else table
         if likelihood(after) > likelihood(table):
             own, table, failed = new, after, 0
         else:
@@ -609,10 +689,13 @@ def fit(
     seed = frequent_units(train, share)
     units, of, n = vocabulary(train, seed, least)
     count = parts(text_bytes(train), PART_BYTES)
-    shared = train.sparkSession.sparkContext.broadcast(units)
+    wide = np.append(n >= WIDE, np.ones(units.end + 1 - len(n), bool))
+    shared = train.sparkSession.sparkContext.broadcast((units, wide))
     sent = train.select("text").mapInArrow(_contexts(shared, count), CONTEXTS)
-    contexts = stored(sent.groupBy("part").applyInArrow(_merged, CONTEXTS), "contexts")
-    rows = contexts.mapInArrow(_frequency(units.end + 1), FREQUENCY).toArrow()
+    merged = sent.groupBy("part").applyInArrow(_merged(units.end + 1), CONTEXTS)
+    contexts = _in_small_batches(merged, "contexts")
+    rows = contexts.mapInArrow(_frequency(units.end + 1), FREQUENCY)
+    rows = rows.groupBy("unit").agg(F.sum("n").alias("n")).toArrow()
     frequency = np.zeros(units.end + 1)
     frequency[rows["unit"].to_numpy()] = rows["n"].to_numpy()
     of = seed_units(seed, units, of)
@@ -631,30 +714,28 @@ def _score(shared, buckets: int):
         model = shared.value
         units = model.units
         c = _Chunk(docs, buckets)
-        known = np.zeros(len(c.distinct), np.int64)
-        order = np.lexsort((c.distinct, c.bucket))
-        start = np.searchsorted(c.bucket[order], answers["bucket"].to_numpy())
+        sizes = c.words.sizes
+        known = np.zeros(len(c.hashes), np.int64)
+        start = np.searchsorted(c.bucket[c.order], answers["bucket"].to_numpy())
         for at, payload in zip(start, answers["counts"].to_pylist()):
             n = np.frombuffer(payload, np.uint32 if payload[0] == 4 else np.uint64, offset=1)
-            known[order[at : at + len(n)]] = n
-        n = known[c.at]
-        unit_of = units.lookup()
-        unit = [unit_of.array(w) for w in c.words]
-        unit = np.concatenate(unit) if unit else np.empty(0, np.int32)
+            known[c.order[at : at + len(n)]] = n
+        n = known[c.words.at]
+        unit = units.of(c.words.distinct, c.hashes)[c.words.at]
         # The flow of units with an end before each document and after the last.
-        ends = np.cumsum(c.sizes)
-        flow = np.insert(unit, ends - c.sizes, units.end) if len(c.sizes) else unit
+        ends = np.cumsum(sizes)
+        flow = np.insert(unit, ends - sizes, units.end) if len(sizes) else unit
         flow = np.append(flow, units.end)
         kind = model.own[flow]
         step = model.step[kind[:-1], kind[1:]] + model.within[flow[1:]]
-        doc = np.repeat(np.arange(len(c.sizes)), c.sizes)
-        docs_of = np.repeat(np.arange(len(c.sizes)), c.sizes + 1)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        docs_of = np.repeat(np.arange(len(sizes)), sizes + 1)
         rare = unit >= len(units.words)
         seen, unseen = rare & (n > 0), rare & (n == 0)
         share = np.log10(model.frequency[unit] + 1.0)
 
         def per_doc(of: np.ndarray, x: np.ndarray) -> np.ndarray:
-            return np.bincount(of, x, len(c.sizes))
+            return np.bincount(of, x, len(sizes))
 
         steps = per_doc(docs_of, step)
         words = per_doc(doc, np.where(seen, np.log10(np.maximum(n, 1)), 0.0) - share * rare)
@@ -662,7 +743,7 @@ def _score(shared, buckets: int):
             {
                 "doc_id": docs["doc_id"].cast(pa.int64()),
                 "held_out": docs["held_out"],
-                "n_tokens": pa.array(c.sizes + 1, pa.int64()),
+                "n_tokens": pa.array(sizes + 1, pa.int64()),
                 "n_known": pa.array(per_doc(doc, n > 0), pa.int64()),
                 "log_counts": pa.array(per_doc(doc, np.log10(n + 1.0)), pa.float64()),
                 "log_model": pa.array(steps + words, pa.float64()),

@@ -20,8 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return base
 
 
+def write(df: DataFrame, name: str, **options: object) -> str:
+    """Path of the rows of ``df``, written once as Parquet."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.options(**options).parquet(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once as Parquet and read back."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write(df, name))
