@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from waymarks.llm.chunks import CHUNK_BYTES, by_hash, parts, text_bytes
 from waymarks.llm.hashing import finish, pack, unpack
-from waymarks.llm.stored import write
+from waymarks.llm.stored import stored, write
 
 #: UTF-8 bytes of an ending.
 ENDING = 3
@@ -58,8 +58,8 @@ PART_BYTES = 3_000_000
 #: Training tokens from which a unit's neighbours are dealt over all parts.
 WIDE = 250_000
 #: Pairs in a stored row, about (12 bytes each), and rows sent to Python at once.
-ROW_PAIRS = 1 << 16
-BATCH_ROWS = 8
+ROW_PAIRS = 1 << 15
+BATCH_ROWS = 16
 
 HEAVY = "ending boolean, word binary, n bigint, tokens bigint"
 PAIRS = "a int, b int, n bigint"
@@ -168,6 +168,7 @@ class Units:
 def frequent_units(train: DataFrame, share: float) -> Units:
     found = train.select("text").mapInArrow(_heavy(share), HEAVY)
     found = found.groupBy("ending", "word").agg(F.sum("n").alias("n"), F.sum("tokens").alias("t"))
+    found = stored(found, "frequent")  # read twice below
     tokens = F.max(F.when(F.col("ending").isNull(), F.col("t")))
     total = found.agg(tokens).first()[0] or 0
     top = found.where(F.col("ending").isNotNull() & (F.col("n") >= 0.75 * share * total))
@@ -461,7 +462,14 @@ def _merged(size: int):
 
 def _in_small_batches(df: DataFrame, name: str) -> DataFrame:
     """``df``, stored and read by a session of its own that sends few rows at once to Python."""
-    path = write(df, name, **{"parquet.block.size": BATCH_ROWS * ROW_PAIRS * 12})
+    # Parquet looks at the size of pages and row groups only every 100 rows, unless told otherwise.
+    options = {
+        "parquet.block.size": BATCH_ROWS * ROW_PAIRS * 12,
+        "parquet.block.size.row.check.min": BATCH_ROWS,
+        "parquet.page.size.row.check.min": 1,
+        "parquet.enable.dictionary": "false",
+    }
+    path = write(df, name, **options)
     session = df.sparkSession.newSession()
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     session.conf.set("spark.sql.shuffle.partitions", df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
