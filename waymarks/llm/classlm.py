@@ -57,6 +57,8 @@ CELLS = 500_000
 PART_BYTES = 3_000_000
 #: Training tokens from which a unit's neighbours are dealt over all parts.
 WIDE = 250_000
+#: Pairs of a part that are summed at once, at least.
+JOINED_PAIRS = 500_000
 #: Pairs in a stored row, about (12 bytes each), and rows sent to Python at once.
 ROW_PAIRS = 1 << 15
 BATCH_ROWS = 16
@@ -389,7 +391,10 @@ def _contexts(shared, count: int):
             unit, other = np.concatenate((a, b)), np.concatenate((b, a))
             n = np.concatenate((n, n))
             part = np.where(wide[unit], count + (unit + other) % count, unit % count)
-            order = np.lexsort((keys, part))
+            order = np.argsort(keys)
+            # Short integers are sorted by radix.
+            small = np.uint16 if 2 * count <= 1 << 16 else np.int32
+            order = order[np.argsort(part[order].astype(small), kind="stable")]
             keys, n, part = keys[order], n[order], part[order]
             to, at = np.unique(part, return_index=True)
             sent = [_planes(*x) for x in zip(np.split(keys, at[1:]), np.split(n, at[1:]))]
@@ -409,37 +414,29 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and the sums of their counts."""
     if not len(keys):
         return keys, n
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     at = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
     return keys[at], np.add.reduceat(n[order], at)
 
 
-def _joined(more: tuple, less: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """The sums of two sorted lists of distinct keys, the longer one first."""
-    (k1, n1), (k2, n2) = (more, less) if len(more[0]) >= len(less[0]) else (less, more)
-    at = np.searchsorted(k1, k2)
-    same = at < len(k1)
-    same[same] = k1[at[same]] == k2[same]
-    n1[at[same]] += n2[same]
-    new = ~same
-    return np.insert(k1, at[new], k2[new]), np.insert(n1, at[new], n2[new])
+def _joined(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([k for k, _ in lists]), np.concatenate([n for _, n in lists]))
 
 
 def _merged(size: int):
     """Sums of a part's lists, in rows of bounded length that keep a unit whole if they can."""
 
     def merged(table: pa.Table) -> pa.Table:
-        # Sorted lists are merged by twos of like size: a common unit has many lists with the same
-        # neighbours, and only what they sum to is held.
+        # Lists are summed when they hold more pairs than what they were summed to before.
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        more = 0
         for keys, counts in zip(table["keys"], table["counts"]):
             held.append(_pairs_of(keys.as_py(), counts.as_py()))
-            while len(held) > 1 and 2 * len(held[-1][0]) >= len(held[-2][0]):
-                held.append(_joined(held.pop(), held.pop()))
-        while len(held) > 1:
-            held.append(_joined(held.pop(), held.pop()))
-        keys, n = held[0]
+            more += len(held[-1][0])
+            if more > max(JOINED_PAIRS, len(held[0][0])):
+                held, more = [_joined(held)], 0
+        keys, n = _joined(held)
         # A count over 32 bits is sent as several entries.
         again = np.maximum(1, np.ceil(n / 0xFFFFFFFF)).astype(np.int64)
         at = np.repeat(np.arange(len(keys)), again)
