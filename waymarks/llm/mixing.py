@@ -27,6 +27,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a source in one part, about.
 PART_ROWS = 50_000
 SLOTS_IN_PART = 1 << 16
+#: Points of the schedule whose owners are found together.
+POINTS_IN_STRETCH = 1 << 16
 
 
 def word_count(text: Column | str) -> Column:
@@ -90,6 +92,31 @@ def van_der_corput(n: Column, bits: int = 40) -> Column:
     )
 
 
+def _owners(slots: DataFrame, goal: DataFrame) -> DataFrame:
+    """(slot, source_key): the source whose interval [low, high) holds a slot's point.
+
+    Points are dealt to stretches of the line, intervals to each stretch they begin in or enter; in
+    order of a stretch, the last interval begun before a point is its owner.
+    """
+    stretch = F.floor(F.col("point") / POINTS_IN_STRETCH)
+    entered = F.sequence(
+        F.floor(F.col("low") / POINTS_IN_STRETCH), F.floor((F.col("high") - 1) / POINTS_IN_STRETCH)
+    )
+    begun = goal.select("source_key", "low", F.explode(entered).alias("stretch")).select(
+        "stretch",
+        F.greatest("low", F.col("stretch") * POINTS_IN_STRETCH).alias("point"),
+        F.lit(-1).cast("bigint").alias("slot"),
+        "source_key",
+    )
+    points = slots.select(
+        stretch.alias("stretch"), "point", "slot", F.lit(None).cast("string").alias("source_key")
+    )
+    line = Window.partitionBy("stretch").orderBy("point", "slot")
+    owner = F.last("source_key", ignorenulls=True).over(line)
+    owned = begun.unionByName(points).withColumn("source_key", owner)
+    return owned.where("slot >= 0").select("slot", "source_key")
+
+
 class Mix:
     """The stream of pieces of documents, in the order of the mix.
 
@@ -172,18 +199,15 @@ class Mix:
         total = goal.agg(F.sum("need")).first()[0] or 0
         spark = goal.sparkSession
         slots = spark.range(total).withColumnRenamed("id", "slot")
-        # A point in [0, total) lies in the interval of one source; needs are whole numbers, so
-        # a table of whole numbers finds it without comparing it with every source.
+        # A point in [0, total) lies in the interval of one source.
         point = F.floor(van_der_corput(F.col("slot")) * F.lit(float(total))).cast("bigint")
-        owner = goal.select(
-            "source_key", F.explode(F.sequence("low", F.col("high") - 1)).alias("point")
-        )
-        slots = slots.withColumn("point", point).join(owner, "point").drop("point")
+        slots = _owners(slots.withColumn("point", point), goal)
         slots = slots.withColumn("part", F.floor(F.col("slot") / SLOTS_IN_PART))
         ranked = _before(slots, ["source_key"], "part", ["slot"], F.lit(1))
         ranked = ranked.withColumnRenamed("before", "block")
         ranked = ranked.join(goal.select("source_key", "need"), "source_key").where("block < need")
-        # What discrepancy left out comes at the end, source by source.
+        # What discrepancy left out comes at the end, source by source.  An interval lacks at most
+        # about log2(total) of the points, so these lists are short.
         have = ranked.groupBy("source_key").agg((F.max("block") + 1).alias("have"))
         late = goal.join(have, "source_key", "left").withColumn("have", F.coalesce("have", F.lit(0)))
         late = late.where("have < need").select(
