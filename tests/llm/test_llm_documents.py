@@ -330,6 +330,88 @@ def test_overlaps_are_the_longest_similar_runs(spark):
     assert [r.doc_id for r in kept] == [3]
 
 
+def overlaps_by_force(tokens, items, least=12, percent=75):
+    """(item, diagonal) of every pair of equal seeds, and the overlaps on them, window by window."""
+    out = set()
+    for i, own in items.items():
+        shifts = set()
+        for mask in decontaminate.MASKS:
+            keep = [j for j, c in enumerate(mask) if c == "1"]
+
+            def kept(words):
+                for at in range(len(words) - len(mask) + 1):
+                    yield at, tuple(words[at + j] for j in keep)
+
+            seen = {}
+            for at, seed in kept(own):
+                seen.setdefault(seed, []).append(at)
+            shifts |= {at - b for at, seed in kept(tokens) for b in seen.get(seed, ())}
+        need = min(least, len(own))
+        for shift in shifts:
+            first, last = max(0, -shift), min(len(own), len(tokens) - shift)
+            same = [own[j] == tokens[j + shift] for j in range(first, last)]
+            todo = [(0, last - first)]
+            while todo:
+                a, b = todo.pop()
+                spans = [
+                    (e - s, -s)
+                    for s in range(a, b)
+                    for e in range(s + 1, b + 1)
+                    if 100 * sum(same[s:e]) >= percent * (e - s)
+                ]
+                n, s = max(spans, default=(0, 0))
+                s, e = -s, n - s
+                if n < need:
+                    continue
+                while e - s > need and not same[e - 1]:
+                    e -= 1
+                while e - s > need and not same[s]:
+                    s += 1
+                out.add((i, s + first + shift, e + first + shift, s + first, e + first))
+                todo += [(a, s), (e, b)]
+    return out
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 7])
+def test_overlaps_equal_brute_force(monkeypatch, pairs):
+    """Few words, so that seeds repeat within texts; with many and with few pairs at once."""
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    rng = random.Random(17)
+    items = {i: [rng.choice("ab") for _ in range(rng.randint(9, 24))] for i in range(4)}
+    items[4] = ["a"] * 20
+    items[5] = list("abc" * 7)
+    texts = [[rng.choice("abx") for _ in range(rng.randint(0, 30))] for _ in range(12)]
+    texts += [["a"] * 26, list("abc" * 9), items[0] + ["x"] * 12 + items[1], [], items[2] * 2]
+    block = decontaminate.Block([(i, " ".join(t)) for i, t in items.items()], decontaminate.MASKS)
+    hashes = decontaminate.TokenHashes()
+    joined = [" ".join(t) for t in texts]
+    got = [set() for _ in texts]
+    for k, i, s, e, a, b, n, first, last in decontaminate._found(block, joined, hashes, 12, 75):
+        assert (i, s, e, a, b) not in got[k] and (first, last) == (s, e)
+        assert n == sum(x == y for x, y in zip(texts[k][s:e], items[i][a:b]))
+        got[k].add((i, s, e, a, b))
+    assert got == [overlaps_by_force(t, items) for t in texts]
+    some = decontaminate._texts_with_overlaps(block, joined, hashes, 12, 75)
+    assert list(some) == [k for k, found in enumerate(got) if found]
+
+
+def test_texts_of_one_repeated_word(spark):
+    """Very long texts whose seeds are all equal, or take turns."""
+    n = 20_000
+    docs = spark.createDataFrame(
+        [(1, "no " * n), (2, "yes no " * (n // 2)), (3, "other " * n)], "doc_id bigint, text string"
+    )
+    bench = spark.createDataFrame(
+        [(1, "no " * 3000), (2, "no yes " * 300)], "item_id bigint, text string"
+    )
+    found = decontaminate.overlaps(docs, bench)
+    counts = found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).collect()
+    got = {(r.doc_id, r.item_id): r.n for r in counts}
+    # All diagonals with 12 tokens or more; where words take turns, the odd ones of -588 to 19988.
+    assert got == {(1, 1): n + 3000 - 23, (2, 2): len(range(-587, n - 12, 2))}
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()] == [3]
+
+
 def test_random_pieces_and_single_case_letters():
     encoding = S._encoding(S.VOCABULARY)
 
@@ -435,6 +517,30 @@ def test_mix_meets_targets(docs, empty):
     assert mixing.Mix(empty).taken().count() == 0
 
 
+def test_slots_belong_to_the_interval_of_their_point(spark, docs, monkeypatch):
+    """Stretches of every length give the slots of a plain search."""
+    plain = None
+    for stretch in (1, 3, 1 << 16):
+        monkeypatch.setattr(mixing, "POINTS_IN_STRETCH", stretch)
+        mix = mixing.Mix(docs, block_words=8)
+        slots = sorted(map(tuple, mix.slots().collect()))
+        need = [(r.source_key, -(-r.give // 8)) for r in mix.goal.orderBy("source_key").collect()]
+        need = [(k, n) for k, n in need if n]
+        if plain is None:
+            total, taken, plain = sum(n for _, n in need), {}, []
+            for slot in range(total):
+                point = int(int(f"{slot:040b}"[::-1], 2) / 2**40 * total)
+                for key, n in need:
+                    if point < n:
+                        break
+                    point -= n
+                block = taken[key] = taken.get(key, -1) + 1
+                if block < dict(need)[key]:
+                    plain.append((slot, key, block))
+        assert [s for s in slots if s[0] < total] == plain
+        assert {s[1:] for s in slots} == {(k, b) for k, n in need for b in range(n)}
+
+
 def test_pipeline_stages(spark, tmp_path, docs):
     # Words of the learned languages; other words would be rejected as no language.
     item = sentence(random.Random(77), "en", 40)

@@ -10,6 +10,9 @@ at its ends are left out unless it would be too short without them.
 Tokens are words in lower case without characters other than letters and digits; what has none is
 no token.
 
+A hit counts by its diagonal only, and runs of one seed, as a repeated word has them, give a range of
+diagonals at once; pairs of equal seeds are never listed.
+
 The benchmark is a query set: it is dealt into blocks of bounded text, each sent to the tasks in turn
 and met by all documents, so what is broadcast never exceeds a block, whatever the benchmark's size.
 
@@ -23,6 +26,8 @@ Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -78,12 +83,16 @@ def seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
 
 
 class Block:
-    """Seeds of a block of benchmark items, sorted by hash."""
+    """Seeds of a block of benchmark items, sorted by hash.
+
+    Equal seeds at consecutive positions of an item, as a repeated word has them, are one run.
+    """
 
     def __init__(self, items: list[tuple[int, str | None]], masks: tuple[str, ...]):
         hashes = TokenHashes()
         self.ids = [i for i, _ in items]
         self.tokens = [tokens_of(t, hashes)[0] for _, t in items]
+        self.longest = max(map(len, self.tokens), default=0)
         self.seeds = []
         # Items shorter than every mask are looked up whole.
         short = {len(t) for t in self.tokens if 0 < len(t) < min(map(len, masks))}
@@ -98,28 +107,89 @@ class Block:
             item = np.repeat(np.arange(len(per)), [len(x) for x in per])
             at = np.concatenate([np.arange(len(x)) for x in per]) if per else item
             order = np.argsort(h, kind="stable")
-            h = h[order]
+            h, item, at = h[order], item[order], at[order]
+            first, last = runs(h, at, item)
+            h, item, first, last = h[first], item[first], at[first], at[last]
             likely = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
             top = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             np.bitwise_or.at(likely, top >> 3, (1 << (top & 7)).astype(np.uint8))
-            self.seeds.append((h, item[order], at[order], likely))
-
-    def hits(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document position, item, item position) of every pair of equal seeds."""
-        found = []
-        for mask, (h, item, at, likely) in zip(self.masks, self.seeds):
-            own = seeds(tokens, mask)
+            self.seeds.append((h, item, first, last, likely))
+
+    def diagonals(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, low, high): the diagonals, text position less item position, on which text
+        and item share a seed, as ranges without common diagonals, high exclusive; by text.
+
+        Pairs of runs are made in bounded numbers and merged, so that memory follows the number of
+        diagonals, which is at most the length of text and item together.
+        """
+        # Joined texts are looked up at once; zeros keep seeds from matching across texts.
+        gap = np.zeros(max(map(len, self.masks)), np.uint64)
+        joined = np.concatenate([x for t in texts for x in (t, gap)])
+        sizes = np.array([len(t) + len(gap) for t in texts])
+        ends = np.cumsum(sizes)
+        # A diagonal as one number: texts lie apart by the longest item, items by all texts.
+        apart = self.longest + 1
+        span = len(joined) + (len(texts) + 1) * apart
+        kept = [np.empty((2, 0), np.int64)]
+        held = 0
+        for mask, (h, item, first, last, likely) in zip(self.masks, self.seeds):
+            own = seeds(joined, mask)
             top = (own >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             where = np.flatnonzero(likely[top >> 3] >> (top & 7).astype(np.uint8) & 1)
-            low = np.searchsorted(h, own[where], side="left")
-            n = np.searchsorted(h, own[where], side="right") - low
-            if n.sum():
-                of = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-                found.append((np.repeat(where, n), item[of], at[of]))
-        if not found:
-            empty = np.empty(0, np.int64)
-            return empty, empty, empty
-        return tuple(np.concatenate(x) for x in zip(*found))
+            start, stop = runs(own[where], where)
+            start, stop = where[start], where[stop]
+            low = np.searchsorted(h, own[start], side="left")
+            n = np.searchsorted(h, own[start], side="right") - low
+            start, stop, low, n = (x[n > 0] for x in (start, stop, low, n))
+            text = np.searchsorted(ends, start, side="right")
+            total = np.concatenate(([0], np.cumsum(n)))
+            for begin in range(0, int(total[-1]), PAIRS):
+                pair = np.arange(begin, min(begin + PAIRS, int(total[-1])))
+                run = np.searchsorted(total, pair, side="right") - 1
+                of = low[run] + pair - total[run]
+                base = item[of] * span + (text[run] + 1) * apart
+                found = np.stack((base + start[run] - last[of], base + stop[run] - first[of] + 1))
+                kept.append(merged(found))
+                held += kept[-1].shape[1]
+                if held > PAIRS:
+                    kept = [merged(np.concatenate(kept, axis=1))]
+                    held = kept[0].shape[1] // 2  # merge again after as many new ones
+        ranges = merged(np.concatenate(kept, axis=1))
+        item, where = ranges[0] // span, ranges[0] % span
+        # Texts take up their length and the distance to the next.
+        begins = ends - sizes + np.arange(1, len(texts) + 1) * apart
+        text = np.searchsorted(begins - self.longest, where, side="right") - 1
+        low = where - begins[text]
+        high = low + ranges[1] - ranges[0]
+        order = np.argsort(text, kind="stable")
+        for i in order.tolist():
+            yield int(text[i]), int(item[i]), int(low[i]), int(high[i])
+
+
+#: Pairs of runs compared at once.
+PAIRS = 1 << 20
+
+
+def runs(h: np.ndarray, at: np.ndarray, item: np.ndarray | None = None):
+    """Index of the first and the last of each run of equal hashes at consecutive positions."""
+    if not len(h):
+        none = np.empty(0, np.int64)
+        return none, none
+    new = (h[1:] != h[:-1]) | (at[1:] != at[:-1] + 1)
+    if item is not None:
+        new |= item[1:] != item[:-1]
+    cut = np.flatnonzero(new)
+    return np.concatenate(([0], cut + 1)), np.concatenate((cut, [len(h) - 1]))
+
+
+def merged(ranges: np.ndarray) -> np.ndarray:
+    """Ranges (low, high exclusive) with those that overlap made one, sorted."""
+    if not ranges.shape[1]:
+        return ranges
+    low, high = ranges[:, np.argsort(ranges[0], kind="stable")]
+    reach = np.maximum.accumulate(high)
+    cut = np.flatnonzero(low[1:] >= reach[:-1])
+    return np.stack((low[np.concatenate(([0], cut + 1))], reach[np.concatenate((cut, [len(low) - 1]))]))
 
 
 def longest_run(equal: np.ndarray, percent: int) -> tuple[int, int]:
@@ -140,54 +210,62 @@ def trimmed(equal: np.ndarray, s: int, e: int, least: int) -> tuple[int, int]:
     return s, e
 
 
-def _overlaps(tokens, block: Block, hits, least: int, percent: int) -> list[tuple[int, ...]]:
-    doc_at, item, item_at = hits
-    diagonal = np.unique(np.stack((item, doc_at - item_at), 1), axis=0)
-    out = []
-    for i, shift in diagonal.tolist():
-        own = block.tokens[i]
-        first, last = max(0, -shift), min(len(own), len(tokens) - shift)
-        equal = own[first:last] == tokens[first + shift : last + shift]
-        need = min(least, len(own))
-        todo = [(0, len(equal))]
-        while todo:  # every long run on the diagonal, longest first
-            a, b = todo.pop()
-            if b - a < need:
-                continue
-            s, e = longest_run(equal[a:b], percent)
-            if e - s >= need:
-                s, e = trimmed(equal, s + a, e + a, need)
-                n = int(equal[s:e].sum())
-                out.append((i, s + first + shift, e + first + shift, s + first, e + first, n))
-                todo += [(a, s), (e, b)]
-    return out
+def _on_diagonal(tokens, own, shift: int, least: int, percent: int):
+    """(text start, text end, item start, item end, equal tokens) of every overlap on a diagonal."""
+    first, last = max(0, -shift), min(len(own), len(tokens) - shift)
+    need = min(least, len(own))
+    if last - first < need:
+        return
+    equal = own[first:last] == tokens[first + shift : last + shift]
+    if equal.all():  # the whole diagonal is one run
+        yield first + shift, last + shift, first, last, last - first
+        return
+    todo = [(0, len(equal))]
+    while todo:  # every long run on the diagonal, longest first
+        a, b = todo.pop()
+        if b - a < need:
+            continue
+        s, e = longest_run(equal[a:b], percent)
+        if e - s >= need:
+            s, e = trimmed(equal, s + a, e + a, need)
+            n = int(equal[s:e].sum())
+            yield s + first + shift, e + first + shift, s + first, e + first, n
+            todo += [(a, s), (e, b)]
 
 
 def _found(block: Block, texts: list[str | None], hashes: TokenHashes, least: int, percent: int):
-    """(row, item_id, doc span, item span, matches, word span) of every overlap of some texts."""
+    """(row, item_id, doc span, item span, matches, word span) of every overlap of some texts, in
+    order of rows."""
     taken = [tokens_of(t, hashes) for t in texts]
-    # Joined texts are looked up at once; zeros keep seeds from matching across texts.
-    gap = np.zeros(max(map(len, block.masks)), np.uint64)
-    joined = np.concatenate([x for t, _ in taken for x in (t, gap)])
-    ends = np.cumsum([len(t) + len(gap) for t, _ in taken])
-    doc_at, item, item_at = block.hits(joined)
-    of = np.searchsorted(ends, doc_at, side="right")
-    found = []
-    for k in np.unique(of).tolist():
+    for k, i, low, high in block.diagonals([t for t, _ in taken]):
         tokens, words = taken[k]
-        own = of == k
-        begin = ends[k] - len(tokens) - len(gap)
-        hits = doc_at[own] - begin, item[own], item_at[own]
-        for i, s, e, a, b, n in _overlaps(tokens, block, hits, least, percent):
-            found.append((k, block.ids[i], s, e, a, b, n, int(words[s]), int(words[e - 1]) + 1))
-    return found
-
-
-#: Texts looked up at once.
+        for shift in range(low, high):
+            for s, e, a, b, n in _on_diagonal(tokens, block.tokens[i], shift, least, percent):
+                yield k, block.ids[i], s, e, a, b, n, int(words[s]), int(words[e - 1]) + 1
+
+
+def _texts_with_overlaps(block, texts, hashes, least: int, percent: int) -> Iterator[int]:
+    """Rows that have an overlap; the first one found settles it."""
+    taken = [tokens_of(t, hashes)[0] for t in texts]
+    for k, ranges in groupby(block.diagonals(taken), key=itemgetter(0)):
+        overlaps = (
+            overlap
+            for _, i, low, high in ranges
+            for shift in range(low, high)
+            for overlap in _on_diagonal(taken[k], block.tokens[i], shift, least, percent)
+        )
+        if next(overlaps, None):
+            yield k
+
+
+#: Texts looked up at once, and overlaps in one batch.
 TEXTS = 500
+ROWS = 10_000
 
 
 def _compare(shared, least: int, percent: int):
+    names = [c.split()[0] for c in OVERLAP.split(", ")]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = TokenHashes()
         for batch in batches:
@@ -195,12 +273,11 @@ def _compare(shared, least: int, percent: int):
                 part = batch.slice(at, TEXTS)
                 ids, texts = part["doc_id"].to_pylist(), part["text"].to_pylist()
                 found = _found(shared.value, texts, hashes, least, percent)
-                found = [(ids[k], *x) for k, *x in found]
-                columns = list(zip(*found)) if found else [[]] * 9
-                names = [c.split()[0] for c in OVERLAP.split(", ")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names
-                )
+                rows = ((ids[k], *x) for k, *x in found)
+                while some := list(islice(rows, ROWS)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in zip(*some)], names
+                    )
 
     return compare
 
@@ -257,7 +334,7 @@ def keep_clean(
                     part = batch.slice(at, TEXTS)
                     texts = part.column(column).to_pylist()
                     keep = np.ones(len(texts), bool)
-                    for k, *_ in _found(shared.value, texts, hashes, least, percent):
+                    for k in _texts_with_overlaps(shared.value, texts, hashes, least, percent):
                         keep[k] = False
                     yield part.filter(pa.array(keep))
 
