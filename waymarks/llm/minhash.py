@@ -403,10 +403,13 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
 
     Of rows with one doc_id one stays; rows without doc_id all stay.
     """
-    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    docs = docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("gone"))
+    # Rows travel as one value, so that no name of theirs meets a name used here.
+    own = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    rows = docs.select(F.struct(*own).alias("doc"))
+    rows = rows.join(gone.distinct(), F.col("doc.doc_id") == F.col("gone"), "left_anti")
     # Rows without doc_id are spread, each a group of its own.
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    same = Window.partitionBy("doc_id", "_alone").orderBy(F.xxhash64("text"))
-    docs = docs.withColumn("_alone", alone).withColumn("_row", F.row_number().over(same))
-    return docs.where("_row = 1").drop("_row", "_alone")
+    alone = F.when(F.col("doc.doc_id").isNull(), F.monotonically_increasing_id())
+    same = Window.partitionBy("doc.doc_id", "alone").orderBy(F.xxhash64("doc.text"))
+    rows = rows.withColumn("alone", alone).withColumn("row", F.row_number().over(same))
+    return rows.where("row = 1").select("doc.*")
