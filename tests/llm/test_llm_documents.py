@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from waymarks.llm import classlm, decontaminate, langid, minhash, mixing, substrings
+from waymarks.llm import chunks, classlm, decontaminate, langid, minhash, mixing, substrings
 from waymarks.llm import secrets as S
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, chunk string, part int"
@@ -115,6 +115,34 @@ def test_minhash_equals_brute_force(docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_one_of_each_keeps_columns_of_any_name(spark, docs):
+    clashing = ["_row", "_alone", "_gone", "doc", "gone", "alone", "row", "a.b`c"]
+    more = docs
+    for i, name in enumerate(clashing):
+        more = more.withColumn(name, F.lit(i))
+    kept = minhash.keep_one_of_each(more)
+    assert kept.columns == more.columns
+    rows, plain = kept.collect(), minhash.keep_one_of_each(docs).collect()
+    assert all(list(r)[-len(clashing) :] == list(range(len(clashing))) for r in rows)
+    key = lambda r: tuple(map(repr, list(r)[: len(docs.columns)]))
+    assert sorted(map(key, rows)) == sorted(map(key, plain))
+
+
+def test_chunks_of_large_ids(spark):
+    """Ids that doubles cannot tell apart, beside NULL, lie in chunks in order."""
+    ids = [(1 << 60) + i for i in range(200)]
+    rows = spark.createDataFrame([(i, "x") for i in [*ids, None, *range(50), (1 << 63) - 1]], "doc_id bigint, text string")
+    chunk, nameless = chunks.by_range(rows.coalesce(1), 8)
+    got = {r.doc_id: r.chunk for r in rows.coalesce(1).select("doc_id", chunk.alias("chunk")).collect()}
+    alone = {
+        r.doc_id: r.chunk
+        for r in rows.where("doc_id IS NOT NULL").select("doc_id", chunk.alias("chunk")).collect()
+    }
+    assert got.pop(None) >= nameless and got == alone
+    in_order = [got[i] for i in sorted(got)]
+    assert in_order == sorted(in_order) and in_order[-1] < nameless
+
+
 def test_class_scores(docs, empty):
     held = classlm.held_out(2, 7)
     got = classlm.class_scores(docs, held, share=1 / 50).collect()

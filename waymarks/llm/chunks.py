@@ -42,13 +42,15 @@ def by_range(docs: DataFrame, count: int) -> tuple[Column, int]:
     if count > 1:
         at = [i / count for i in range(1, count)]
         edges = docs.approxQuantile("doc_id", at, max(1e-4, 0.2 / count))
-    bounds = np.unique(np.array(edges, np.int64))
+    # Edges are doubles; the largest one that is a 64-bit integer is 2**63 - 1024.
+    bounds = np.unique(np.clip(np.array(edges, float), None, 2.0**63 - 1024).astype(np.int64))
     after = len(bounds) + 1
 
     @F.pandas_udf("int")
     def range_of(doc_id: pd.Series) -> pd.Series:
-        known = doc_id.fillna(0).astype("int64").to_numpy()
-        return pd.Series(np.searchsorted(bounds, known, side="right").astype("int32"))
+        return pd.Series(np.searchsorted(bounds, doc_id.to_numpy(), side="right").astype("int32"))
 
     nameless = F.lit(after) + F.pmod(F.xxhash64("text"), F.lit(count)).cast("int")
-    return F.when(F.col("doc_id").isNull(), nameless).otherwise(range_of("doc_id")), after
+    # A NULL would turn a batch of ids into doubles, which are not exact above 2**53.
+    known = range_of(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)))
+    return F.when(F.col("doc_id").isNull(), nameless).otherwise(known), after
