@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymarks.functions.calendar import HOUR_MS
-from waymarks.operators.intervals import overlap_join
+from waymarks.operators.intervals import whole_intervals
 
 KIND_FIELDS = ("aoi", "grid", "sector")
 SECTOR_AREA = 300.0
@@ -102,13 +102,55 @@ def linger_crowds(
     """Users with a stay at the place of each window that overlaps it: ``window``, ``imsi``.
 
     ``windows``: ``window``, ``code`` and [``start``, ``end``).
+
+    Of a user's stays that overlap a window the earliest alone gives the row: the one that no earlier
+    stay there outlasts up to the window's start (``_seen``).  So pairs need no shuffle to be unique,
+    unless one ``window`` has several spans or codes.
     """
+    earlier = (
+        Window.partitionBy("imsi", "code")
+        .orderBy("s_time", F.desc("e_time"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    there = whole_intervals(stays.select("imsi", "code", "s_time", "e_time"), "s_time", "e_time")
+    there = (
+        there.where(F.col("code").isNotNull())
+        .withColumn("_seen", F.coalesce(F.max("e_time").over(earlier), F.lit(-(2**63)).cast("bigint")))
+        .where(F.col("e_time") > F.col("_seen"))
+    )
     spans = windows.select("window", "code", F.col("start").alias("w_start"), F.col("end").alias("w_end"))
-    met = overlap_join(
-        stays.select("imsi", "code", "s_time", "e_time"),
-        spans, ("s_time", "e_time"), ("w_start", "w_end"), ("code",), bucket_ms,
+    spans = (
+        whole_intervals(spans, "w_start", "w_end")
+        .where(F.col("code").isNotNull())
+        .distinct()
+        .withColumn("_spans", F.count(F.lit(1)).over(Window.partitionBy("window")))
+    )
+
+    # Even buckets: the window starts during the stay.  Odd ones: the stay starts during the window.
+    def buckets(first: Column, last: Column, odd: int) -> Column:
+        a, b = (F.floor(c / F.lit(bucket_ms)) * 2 + odd for c in (first, last))
+        return F.when(first <= last, F.sequence(a, b, F.lit(2).cast("bigint"))).otherwise(
+            F.array().cast("array<bigint>")
+        )
+
+    s, e, f, u, seen = (F.col(c) for c in ("s_time", "e_time", "w_start", "w_end", "_seen"))
+    starts = F.when(s > seen, F.array(F.floor(s / F.lit(bucket_ms)) * 2 + 1)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    dealt = there.withColumn(
+        "_bucket", F.explode(F.concat(buckets(F.greatest(s, seen), e - 1, 0), starts))
+    )
+    spans = spans.withColumn("_bucket", F.explode(F.concat(buckets(f, f, 0), buckets(f + 1, u - 1, 1))))
+    even = F.col("_bucket") % 2 == 0
+
+    def met(some: DataFrame) -> DataFrame:
+        pairs = dealt.join(some.drop("_spans"), ["code", "_bucket"])
+        found = pairs.where((f >= seen) & (f < e) & (s < u) & ((f >= s) == even))
+        return found.select("window", "imsi")
+
+    return met(spans.where(F.col("_spans") == 1)).unionByName(
+        met(spans.where(F.col("_spans") > 1)).distinct()
     )
-    return met.select("window", "imsi").distinct()
 
 
 def _share(part: Column, whole: Column) -> Column:
