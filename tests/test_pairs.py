@@ -1,8 +1,11 @@
-"""Joins with many rows on both sides of a key: right pairs, none shuffled twice."""
+"""Joins with many rows on both sides of a key: right pairs, none shuffled twice, hot keys on many tasks."""
 
 import random
 
-from waymarks.operators import crowds
+from pyspark.sql import functions as F
+
+from waymarks.operators import crowds, traces
+from waymarks.operators.intervals import spread_join
 
 H = 3_600_000
 
@@ -42,3 +45,44 @@ def test_lingering_users_come_once_without_a_shuffle_of_pairs(spark):
     assert "Exchange" not in above_join(check(windows))
     # Windows with several spans or codes, also under no name.
     check(windows + [(i % 7 or None, dice.choice("AB"), *span(2 * H)) for i in range(40)])
+
+
+def test_places_meet_sums_of_stays_and_pairs_are_not_shuffled(spark):
+    dice = random.Random(4)
+    spots = [(105.0, 26.0), (105.5, 26.0), (0.0, -0.0), (None, 26.0)]
+    stays = [(dice.choice(["u", "v", None]), "d", *dice.choice(spots), dice.choice([5, 7, None])) for _ in range(80)]
+    df = spark.createDataFrame(stays, "imsi string, date string, lon double, lat double, duration long")
+    places = [(f"p{i}", *spots[i % 4]) for i in range(12)]
+    places += places[:3] + [(None, *spots[0])]
+
+    def check(rows):
+        there = spark.createDataFrame(rows, "place string, lon double, lat double")
+        counts = {}
+        for i, d, x, y, _ in stays:
+            for p, px, py in rows:
+                if None not in (x, y) and (x, y) == (px, py):
+                    counts[i, d, p] = counts.get((i, d, p), 0) + 1
+        passed = traces.trace_passby_count(df, there)
+        assert {tuple(r)[:3]: r.passes for r in passed.collect()} == counts
+        assert passed.count() == len(counts)
+        return passed
+
+    assert "Exchange" not in above_join(check(places))
+    check(places + [("p1", *spots[0]), ("p1", *spots[2]), (None, *spots[1])])
+
+
+def test_a_hot_key_is_met_in_many_tasks(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        left = spark.range(300).select(F.when(F.col("id") < 290, "hot").otherwise("b").alias("k"), F.col("id").alias("l"))
+        right = spark.range(100).select(F.when(F.col("id") < 95, "hot").otherwise("c").alias("k"), F.col("id").alias("r"))
+        rows = spread_join(left, right, ("k",), rows=10).withColumn("task", F.spark_partition_id()).collect()
+        assert sorted((r.l, r.r) for r in rows) == [(a, b) for a in range(290) for b in range(95)]
+        tasks = [sum(r.task == t for r in rows) for t in {r.task for r in rows}]
+        assert max(tasks) < 0.5 * len(rows)
+
+        lon, lat = F.lit(105.0) + F.col("id") * 1e-12, F.lit(26.0) + F.col("id") * 1e-12
+    finally:
+        spark.conf.set(key, before)
