@@ -57,17 +57,20 @@ def test_places_meet_sums_of_stays_and_pairs_are_not_shuffled(spark):
 
     def check(rows):
         there = spark.createDataFrame(rows, "place string, lon double, lat double")
-        counts = {}
-        for i, d, x, y, _ in stays:
+        counts, times = {}, {}
+        for i, d, x, y, t in stays:
             for p, px, py in rows:
                 if None not in (x, y) and (x, y) == (px, py):
                     counts[i, d, p] = counts.get((i, d, p), 0) + 1
-        passed = traces.trace_passby_count(df, there)
+                    times.setdefault((i, d, p), []).extend([] if t is None else [t])
+        passed, spent = traces.trace_passby_count(df, there), traces.total_time_by_coord(df, there)
         assert {tuple(r)[:3]: r.passes for r in passed.collect()} == counts
-        assert passed.count() == len(counts)
-        return passed
+        assert {tuple(r)[:3]: r.total_ms for r in spent.collect()} == {k: sum(v) if v else None for k, v in times.items()}
+        assert passed.count() == spent.count() == len(counts)
+        return passed, spent
 
-    assert "Exchange" not in above_join(check(places))
+    for got in check(places):
+        assert "Exchange" not in above_join(got)
     check(places + [("p1", *spots[0]), ("p1", *spots[2]), (None, *spots[1])])
 
 
