@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from waymarks.operators import crowds, traces
+from waymarks.operators import clean, crowds, traces
 from waymarks.operators.intervals import spread_join
 
 H = 3_600_000
@@ -87,5 +87,9 @@ def test_a_hot_key_is_met_in_many_tasks(spark):
         assert max(tasks) < 0.5 * len(rows)
 
         lon, lat = F.lit(105.0) + F.col("id") * 1e-12, F.lit(26.0) + F.col("id") * 1e-12
+        cells = spark.range(30_000).select(F.col("id").alias("eci"), lon.alias("lon"), lat.alias("lat"))
+        places = spark.range(3).select(F.concat(F.lit("p"), "id").alias("place"), lon.alias("lon"), lat.alias("lat"))
+        near = clean.cells_near_places(cells, places, 3000).select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+        assert sum(r["count"] for r in near) == 90_000 and len(near) > 1
     finally:
         spark.conf.set(key, before)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waymarks.functions import cells as C
 from waymarks.functions import geo
 from waymarks.functions.calendar import SHANGHAI, Clock
+from waymarks.operators.intervals import spread_join
 from waymarks.operators.ordered import DAILY, Timeline, annotate
 
 PLACE_KINDS = ("AOI", "GRID", "SECTOR")
@@ -260,7 +261,7 @@ def cells_near_places(
 
     Both sides are dealt to squares of ``radius`` metres in the projection in which distances are
     measured.  A place looks into its own square and the ring around it, so the join is on equal squares
-    and each pair is met once.
+    and each pair is met once; a square with many cells and places is dealt over many tasks.
     """
     here = geo.with_metres(cells, x="_x", y="_y", meridian=meridian)
     there = geo.with_metres(
@@ -276,8 +277,10 @@ def cells_near_places(
         for i in (-1, 0, 1)
         for j in (-1, 0, 1)
     ])
-    met = here.withColumns({"_sx": square("_x"), "_sy": square("_y")}).join(
-        there.select("place", "_px", "_py", F.inline(ring)), ["_sx", "_sy"]
+    met = spread_join(
+        here.withColumns({"_sx": square("_x"), "_sy": square("_y")}),
+        there.select("place", "_px", "_py", F.inline(ring)),
+        ("_sx", "_sy"),
     )
     distance = geo.euclid("_x", "_y", "_px", "_py")
     return met.withColumn("distance", distance).where(F.col("distance") < radius).drop(
