@@ -143,8 +143,12 @@ def linger_crowds(
     spans = spans.withColumn("_bucket", F.explode(F.concat(buckets(f, f, 0), buckets(f + 1, u - 1, 1))))
     even = F.col("_bucket") % 2 == 0
 
+    # The number of partitions is given: the size of the input says little about the number of pairs.
+    parts = int(stays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, "code", "_bucket")
+
     def met(some: DataFrame) -> DataFrame:
-        pairs = dealt.join(some.drop("_spans"), ["code", "_bucket"])
+        pairs = dealt.join(some.drop("_spans").repartition(parts, "code", "_bucket"), ["code", "_bucket"])
         found = pairs.where((f >= seen) & (f < e) & (s < u) & ((f >= s) == even))
         return found.select("window", "imsi")
 
