@@ -177,6 +177,69 @@ def test_class_scores(docs, empty):
     assert classlm.class_scores(empty, held).count() == 0
 
 
+def test_class_scores_split_texts_once(spark, docs):
+    """A text is read for its length and to split it, whatever the number of steps."""
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(x):
+        read.add(1)
+        return x
+
+    seen = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("text", text("text"))
+    got = classlm.class_scores(seen, classlm.held_out(2, 7), share=1 / 50).collect()
+    assert len(got) == len(rows) and read.value <= 2 * len(rows)
+
+
+def test_class_scores_by_slice_and_bucket(spark, docs):
+    """Counts do not depend on how texts are dealt, nor do codes on the number of words in a slice."""
+    from math import isfinite
+
+    many = " ".join(f"x{i}" for i in range(70_000))
+    more = docs.select("doc_id", "text").union(spark.createDataFrame([(10**6, many)], "doc_id bigint, text string"))
+    found = []
+    for sizes in ((2_000_000, 48_000_000), (300, 9000)):
+        got = classlm.class_scores(more, classlm.held_out(2, 7), 1 / 50, 4, *sizes).collect()
+        assert all(isfinite(r.score) and r.score <= 0 for r in got)
+        exact = ("held_out", "n_tokens", "n_known", "train_tokens")
+        found.append(sorted((order(r.doc_id), *(r[c] for c in exact), round(r.base_score, 6)) for r in got))
+    assert found[0] == found[1]
+
+
+def test_endings_of_words():
+    import numpy as np
+
+    texts = ["a ab abc abcd é日本 \x00 \x00\x00b", "", None, "zab"]
+    found = classlm.Words(pa.array(["first", *texts]).slice(1))
+    assert found.endings().tolist() == [classlm.ending_code(w) for w in found.distinct]
+    assert [classlm._ending(c) for c in found.endings().tolist()] == [w[-3:] for w in found.distinct]
+    assert len(np.unique(found.endings())) == len({w[-3:] for w in found.distinct})
+    assert not len(classlm.Words(pa.array(["", None])).endings())
+
+
+def test_rows_of_neighbours_keep_all_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    size = 5000
+    keys = np.unique(rng.integers(0, 2 * size * size, 3000))
+    n = rng.choice([1, 2, 300, 70_000, 0xFFFFFFFF], len(keys))
+    units, totals, *sides = classlm._row(keys, n, size)
+    units, totals = np.frombuffer(units, np.int32), np.frombuffer(totals, np.int64)
+    got = {}
+    for side, data in enumerate((sides[:3], sides[3:])):
+        lengths, other, counts = classlm._side(*data)
+        key = (2 * np.repeat(units, lengths).astype(np.int64) + side) * size + other
+        got.update(zip(key.tolist(), counts.tolist()))
+    assert got == dict(zip(keys.tolist(), n.tolist()))
+    met = {u: sum(x for k, x in got.items() if k // size == 2 * u + 1) for u in units.tolist()}
+    assert dict(zip(units.tolist(), totals.tolist())) == met
+    steps = np.diff(keys, prepend=0)
+    back, counts = classlm._pairs_of(classlm._planes(classlm._narrow(steps)), classlm._planes(classlm._narrow(n)))
+    assert np.array_equal(back, keys) and np.array_equal(counts, n)
+
+
 def test_exchange_raises_the_likelihood():
     import numpy as np
 

@@ -20,10 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
     return base
 
 
-def write(df: DataFrame, name: str, **options: object) -> str:
-    """Path of the rows of ``df``, written once as Parquet."""
+def write(df: DataFrame, name: str, by: tuple[str, ...] = (), **options: object) -> str:
+    """Path of the rows of ``df``, written once as Parquet, in a folder for each value of ``by``."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    out = df.write.options(**options)
+    (out.partitionBy(*by) if by else out).parquet(path)
     return path
 
 
